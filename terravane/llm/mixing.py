@@ -4,7 +4,8 @@ Each source's target follows from its weight, capped at a multiple of its size.
 A source gives whole copies of itself and, for the rest of its target, a prefix
 of its rows in a pseudo-random order; the row where the prefix ends is found
 exactly by narrowing down the order's value in steps of 1024, each a small
-aggregate. A source's rows fall into blocks by the order's leading bits, and
+aggregate. What the prefix leaves, as its next row is too large, is filled in
+the same way from the smaller rows behind it. A source's rows fall into blocks by the order's leading bits, and
 the number of blocks that each source gives is its quota. The quotas are split
 among output shards by halving the shards again and again: how many blocks of
 each source go left is drawn from the multivariate hypergeometric law, so that
@@ -36,6 +37,8 @@ SEED = 17
 #: A block is the rows of a source that agree in so many leading bits of their order.
 BLOCK_BITS = 7
 STEP_BITS = 10
+#: Times that what a prefix leaves of a target is filled with smaller rows.
+FILLS = 6
 
 
 def words(text: Column) -> Column:
@@ -85,7 +88,7 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
 class Mix:
     """What the mix takes: by source, and by source and block."""
 
-    sources: DataFrame  # key, source_size, target, whole, until
+    sources: DataFrame  # key, source_size, target, whole, drawn: the rows of one more copy, as ranges of the order with a bound on the size
     blocks: DataFrame  # key, block, shards: of the block's first copy, second, ...
     seed: int
 
@@ -95,42 +98,58 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     base = cut(docs.select(source_key(docs[source_col]).alias("key"), words(docs[text_col]).alias("size"), order_of(docs[id_col], docs[text_col], seed).alias("order")), "sizes")
 
     def level(among: DataFrame, bits: int) -> dict[str, list[tuple[int, int, int]]]:
+        """Rows and sizes by source and leading bits of the order: at most 2 ** STEP_BITS rows a source."""
         found: dict[str, list[tuple[int, int, int]]] = {}
         for r in among.groupBy("key", F.shiftright("order", bits).alias("part")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect():
             found.setdefault(r["key"], []).append((r["part"], r["size"], r["n"]))
         return {k: sorted(v) for k, v in found.items()}
 
-    bits = 63 - STEP_BITS
-    parts = level(base, bits)
+    def prefixes(rows: DataFrame, rest: dict[str, float], parts: dict | None = None) -> dict[str, int]:
+        """Where each source's longest prefix of rows ends that is no larger than the rest of its target; rest is lowered by it."""
+        bits, until = 63 - STEP_BITS, {}
+        parts = level(rows, bits) if parts is None else parts
+        while parts:
+            open_: list[tuple[str, int]] = []
+            for k, found in parts.items():
+                until.setdefault(k, 0)
+                for part, size, n in found:
+                    if size > rest[k]:
+                        if n > 1 and bits > 0:
+                            open_.append((k, part))
+                        break
+                    rest[k] -= size
+                    until[k] = (part + 1) << bits
+            if not open_:
+                break
+            edge = spark.createDataFrame(open_, "key string, part long")  # a row for each source at most
+            down = min(STEP_BITS, bits)
+            parts = level(rows.join(F.broadcast(edge), "key").where(F.shiftright("order", bits) == F.col("part")).select("key", "size", "order"), bits - down)
+            bits -= down
+        return until
+
+    parts = level(base, 63 - STEP_BITS)
     keys = sorted(parts)
     sizes = [sum(p[1] for p in parts[k]) for k in keys]
     target = targets(sizes, weights, cap)
     whole = [int(t // s) if s else 0 for t, s in zip(target, sizes, strict=True)]
     rest = {k: t - w * s for k, t, w, s in zip(keys, target, whole, sizes, strict=True)}
     blocks = {k: sorted({p[0] >> (STEP_BITS - BLOCK_BITS) for p in parts[k]}) for k in keys}
-    until: dict[str, int] = {}
-    while parts:
-        open_: list[tuple[str, int]] = []
-        for k, found in parts.items():
-            taken, until[k] = 0, 0
-            for part, size, n in found:
-                if taken + size <= rest[k]:
-                    taken, until[k] = taken + size, (part + 1) << bits
-                    continue
-                if n > 1 and bits > 0:
-                    open_.append((k, part))
-                    rest[k] -= taken
-                elif taken + size - rest[k] < rest[k] - taken:
-                    until[k] = (part + 1) << bits
-                break
-        if not open_:
+    until = prefixes(base, rest, parts)
+    drawn = {k: [(0, u, 1 << 62)] for k, u in until.items() if u}
+    for _ in range(FILLS):  # the row after a prefix was too large: smaller ones behind it fill what is left
+        gaps = [(k, until.get(k, 0), int(r)) for k, r in rest.items() if r >= 1]
+        if not gaps:
+            break
+        fill = base.join(F.broadcast(spark.createDataFrame(gaps, "key string, begin long, most long")), "key").where("order >= begin and size <= most and size > 0").select("key", "size", "order")
+        more = prefixes(fill, rest)
+        if not more:
             break
-        edge = spark.createDataFrame(open_, "key string, part long")  # a row for each source at most
-        down = min(STEP_BITS, bits)
-        parts = level(base.join(F.broadcast(edge), "key").where(F.shiftright("order", bits) == F.col("part")).select("key", "size", "order"), bits - down)
-        bits -= down
+        for k, begin, most in gaps:
+            if more.get(k, 0) > begin:
+                drawn.setdefault(k, []).append((begin, more[k], most))
+                until[k] = more[k]
     rng = np.random.default_rng(seed)
-    items = {k: [(c, b) for c in range(w) for b in blocks[k]] + [(w, b) for b in blocks[k] if b << (63 - BLOCK_BITS) < until[k]] for k, w in zip(keys, whole, strict=True)}
+    items = {k: [(c, b) for c in range(w) for b in blocks[k]] + [(w, b) for b in blocks[k] if b << (63 - BLOCK_BITS) < until.get(k, 0)] for k, w in zip(keys, whole, strict=True)}
     shares = split_quotas(np.array([len(items[k]) for k in keys], np.int64), shards, rng) if keys else np.zeros((shards, 0), np.int64)
     rows = []
     for i, k in enumerate(keys):
@@ -138,7 +157,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         dealt = dict(zip([items[k][j] for j in order], np.repeat(np.arange(shards), shares[:, i]).tolist(), strict=True))
         rows += [(k, b, [dealt[c, b] for c in range(whole[i] + 1) if (c, b) in dealt]) for b in blocks[k]]
     return Mix(
-        spark.createDataFrame([(k, s, t, w, until[k]) for k, s, t, w in zip(keys, sizes, target, whole, strict=True)], "key string, source_size long, target double, whole int, until long"),
+        spark.createDataFrame([(k, s, t, w, drawn.get(k, [])) for k, s, t, w in zip(keys, sizes, target, whole, strict=True)], "key string, source_size long, target double, whole int, drawn array<struct<begin: long, until: long, most: long>>"),
         spark.createDataFrame(rows, "key string, block long, shards array<int>"),
         seed,
     )
@@ -148,10 +167,10 @@ def counted(docs: DataFrame, plan: Mix, id_col: str = "doc_id", text_col: str =
     """docs with __mix: size, source_size, target, copies, order and the shards of the copies. Both joined tables have at most 2 ** BLOCK_BITS rows a source."""
     own = F.struct(source_key(docs[source_col]).alias("key"), words(docs[text_col]).alias("size"), order_of(docs[id_col], docs[text_col], plan.seed).alias("order"))
     data = docs.withColumn("__own", own)
-    per = plan.sources.select(F.col("key").alias("__key"), F.struct("source_size", "target", "whole", "until").alias("__source"))
+    per = plan.sources.select(F.col("key").alias("__key"), F.struct("source_size", "target", "whole", "drawn").alias("__source"))
     block = plan.blocks.select(F.col("key").alias("__bkey"), F.col("block").alias("__block"), F.col("shards").alias("__shards"))
     out = data.join(F.broadcast(per), F.col("__own.key") == F.col("__key")).join(F.broadcast(block), (F.col("__own.key") == F.col("__bkey")) & (F.shiftright(F.col("__own.order"), 63 - BLOCK_BITS) == F.col("__block")))
-    copies = F.col("__source.whole") + F.when(F.col("__own.order") < F.col("__source.until"), 1).otherwise(0)
+    copies = F.col("__source.whole") + F.exists("__source.drawn", lambda d: (F.col("__own.order") >= d["begin"]) & (F.col("__own.order") < d["until"]) & (F.col("__own.size") <= d["most"])).cast("int")
     mix = F.struct(F.col("__own.size").alias("size"), F.col("__own.order").alias("order"), F.col("__source.source_size").alias("source_size"), F.col("__source.target").alias("target"), copies.alias("copies"), F.slice("__shards", F.lit(1), copies).alias("shards"))
     return out.select(*[docs[c] for c in docs.columns], mix.alias("__mix"))
 

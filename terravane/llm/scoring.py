@@ -44,18 +44,28 @@ from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
 FREQUENT = 150_000
-#: log2 of the slots of each predictor's table: the last byte, two, four, the word so far.
-TABLE_BITS = (17, 20, 21, 22)
+#: log2 of the slots of each predictor's table: the last byte, two, three, four, six, the word so far.
+TABLE_BITS = (17, 20, 20, 21, 21, 22)
 PREDICTORS = len(TABLE_BITS)
-ORDERS = (1, 2, 4)
+ORDERS = (1, 2, 3, 4, 6)
 #: Slots of a table that are summed together.
 PART = 1 << 16
 #: Tokens after which a document's weights are refined.
 BLOCK = 64
 RATE = 0.02
-SEEN = 6  # classes of how often a context was seen: 0, 1, 2-3, 4-7, 8-31, more
-GATES = SEEN * SEEN
-PRIOR = 0.25
+#: Classes of how often the word so far, and its last six bytes, were seen.
+SEEN = np.array([1, 2, 3, 5, 9, 20, 60, 250])
+SEEN_SHORT = np.array([1, 4, 32])
+#: Gates: both classes, and whether the word so far has only ever gone on with one bit.
+GATES = (len(SEEN) + 1) * 2 * (len(SEEN_SHORT) + 1)
+PRIOR = 0.1
+#: Anchors are contexts of three words, one in eight by hash, that foretell the eight words behind them.
+ANCHOR = 3
+AHEAD = 8
+#: log2 of the anchors that are sent along: where two share a slot, the one seen more often stays.
+ANCHOR_BITS = 21
+#: How likely an anchor's words are at first, as log odds, by how often it was seen: 1, 2-3, 4-15, more.
+TRUST = np.array([-1.0, 0.0, 0.5, 1.0])
 #: Different words that a worker counts before it hands them on.
 HELD = 300_000
 
@@ -161,17 +171,84 @@ def paths_of(words: list[bytes], code: tuple) -> Paths:
     return Paths(np.r_[0, start], bits[text[of], k], slots)
 
 
-def seen_class(n: np.ndarray) -> np.ndarray:
-    return np.searchsorted(np.array([1, 2, 4, 8, 32]), n, side="right")
-
-
 def guesses(zeros: list[np.ndarray], ones: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Stretched guesses of each predictor, and the gate of each bit, from its counts."""
     st = np.empty((len(zeros[0]), PREDICTORS), np.float32)
     for k in range(PREDICTORS):
         st[:, k] = np.log((ones[k] + PRIOR) / (zeros[k] + PRIOR))
-    np.clip(st, -9, 9, out=st)
-    return st, (seen_class(zeros[3] + ones[3]) * SEEN + seen_class(zeros[2] + ones[2])).astype(np.int64)
+    np.clip(st, -12, 12, out=st)
+    whole = np.searchsorted(SEEN, zeros[-1] + ones[-1], side="right")
+    short = np.searchsorted(SEEN_SHORT, zeros[-2] + ones[-2], side="right")
+    return st, ((whole * 2 + (np.minimum(zeros[-1], ones[-1]) == 0)) * (len(SEEN_SHORT) + 1) + short).astype(np.int64)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """32 bits a word, never 0."""
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) | np.uint32(1)
+
+
+def anchors_in(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of token hashes, zeros between documents: where the foretold words begin, the contexts, and the foretold words, 16 bits each (0: none)."""
+    h = hashes.astype(np.uint64)
+    n = len(h)
+    if n <= ANCHOR:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, AHEAD), np.uint16)
+    context = np.zeros(n - ANCHOR, np.uint64)
+    whole = h[ANCHOR:] > 0
+    for k in range(ANCHOR):
+        context = (context + h[k : n - ANCHOR + k]) * _MIX[k]
+        context ^= context >> np.uint64(32)
+        whole &= h[k : n - ANCHOR + k] > 0
+    at = np.flatnonzero(whole & (context >> np.uint64(61) == 0))
+    short = np.r_[(hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1), np.zeros(AHEAD, np.uint16)]
+    short[:n][hashes == 0] = 0
+    ahead = short[at[:, None] + ANCHOR + np.arange(AHEAD)]
+    return at + ANCHOR, context[at], ahead * np.logical_and.accumulate(ahead > 0, axis=1)
+
+
+def counted_anchors(docs: DataFrame) -> DataFrame:
+    """slot, n, context, a, b: the anchors of a column text (binary), at most one for each of 2 ** ANCHOR_BITS slots, the one seen most often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (texts,) in slices(batch, 4 << 20):
+                hashes = np.concatenate([x for t in texts for x in (word_hashes([*t.translate(LOWER).split(), END]), np.zeros(1, np.uint32))])
+                _, context, ahead = anchors_in(hashes)
+                pair = np.ascontiguousarray(ahead).view(np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(context.view(np.int64)), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["context", "a", "b"])
+
+    rows = docs.select("text").mapInArrow(run, "context long, a long, b long").groupBy("context", "a", "b").agg(F.count("*").alias("n"))
+    slot = F.col("context").bitwiseAND((1 << ANCHOR_BITS) - 1)
+    return rows.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "context", "a", "b")).alias("best")).select("slot", "best.*")
+
+
+@dataclass
+class Anchors:
+    context: np.ndarray
+    ahead: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, counted: DataFrame) -> Anchors:
+        out = cls(np.zeros(1 << ANCHOR_BITS, np.int64), np.zeros((1 << ANCHOR_BITS, AHEAD), np.uint16), np.zeros(1 << ANCHOR_BITS, np.uint16))
+        for batch in counted.select("slot", F.least("n", F.lit(60_000)).alias("n"), "context", "a", "b").toArrow().to_batches():  # a row a slot at most
+            slot, n, context, a, b = (np.asarray(c) for c in batch.columns)
+            out.n[slot], out.context[slot] = n, context
+            out.ahead[slot] = np.ascontiguousarray(np.stack([a, b], 1)).view(np.uint16)
+        return out
+
+    def foretold(self, hashes: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each token the word that the last anchor foretells, as 16 bits (0: none), and the anchor's class. own: 1 where a document's own anchors were counted, which don't count for it."""
+        at, context, _ = anchors_in(hashes)
+        slot = (context & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
+        n = self.n[slot].astype(np.int64) - own[at]
+        ok = (self.context[slot] == context.view(np.int64)) & (n > 0)
+        at, slot, n = at[ok], slot[ok], n[ok]
+        word, kind = np.zeros(len(hashes) + AHEAD, np.uint16), np.zeros(len(hashes) + AHEAD, np.int64)
+        for k in range(AHEAD - 1, -1, -1):  # the nearest anchor has the last say
+            word[at + k] = self.ahead[slot, k]
+            kind[at + k] = np.searchsorted([2, 4, 16], n, side="right")
+        return word[: len(hashes)], kind[: len(hashes)]
 
 
 def uniform_weights() -> np.ndarray:
@@ -246,14 +323,14 @@ def _first_weights(counts: DataFrame, code: tuple, tables) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, total = uniform_weights().astype(np.float64), np.zeros(GATES)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4_000):
-                piece = batch.slice(at, 4_000)
+            for at in range(0, batch.num_rows, 2_000):
+                piece = batch.slice(at, 2_000)
                 p = paths_of(piece.column(0).to_pylist(), code)
                 zeros, ones = _lookup(tables.value, p.slots)
                 zeros = [np.maximum(z - (p.bit == 0), 0) for z in zeros]
                 ones = [np.maximum(o - (p.bit == 1), 0) for o in ones]
                 st, gate = guesses(zeros, ones)
-                times = np.repeat(np.sqrt(np.array(piece.column(1), dtype=np.float64)), np.diff(p.start))
+                times = np.repeat(np.array(piece.column(1), dtype=np.float64), np.diff(p.start))
                 for _ in range(2):
                     dot = (st * weights[gate]).sum(1)
                     err = p.bit - 1 / (1 + np.exp(-dot))
@@ -277,11 +354,11 @@ def _first_weights(counts: DataFrame, code: tuple, tables) -> np.ndarray:
 class Scorer:
     """Scores texts in batches; what a text's score is does not depend on its batch."""
 
-    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray):
-        self.code, self.tables, self.weights = code, tables, weights
+    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors):
+        self.code, self.tables, self.weights, self.anchors = code, tables, weights, anchors
 
-    def score(self, docs: list[list[bytes]]) -> np.ndarray:
-        """log10 of the model's probability of each document, given as words; the end token is added here."""
+    def score(self, docs: list[list[bytes]], own: np.ndarray) -> np.ndarray:
+        """log10 of the model's probability of each document, given as words; the end token is added here. own: whether it was a training document."""
         if not docs:
             return np.empty(0)
         number: dict[bytes, int] = {END: 0}
@@ -292,25 +369,47 @@ class Scorer:
         st *= sign[:, None]  # guesses of the right bit
         first, count = paths.start[:-1], np.diff(paths.start)
         lens = np.array([len(t) for t in tokens])
+        begin = np.cumsum(lens + 1) - lens - 1
+        hashes = np.concatenate([x for t in tokens for x in (t, [-1])])
+        short = np.r_[word_hashes(list(number)), np.uint32(0)]
+        hashes = short[hashes]
+        foretold, kind = self.anchors.foretold(hashes, np.repeat(own.astype(np.int64), lens + 1))
+        hit = (foretold == ((hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1))) & (foretold > 0)
         order = np.argsort(-lens, kind="stable")
         total = np.zeros(len(docs))
         weights = np.repeat(self.weights[None], len(docs), axis=0).astype(np.float64)
+        trust = np.repeat(TRUST[None], len(docs), axis=0)
         for b in range(0, int(lens[order[0]]), BLOCK):
             live = order[: int(np.searchsorted(-lens[order], -b, side="left"))]
             for part in range(0, len(live), 512):
                 some = live[part : part + 512]
                 block = np.concatenate([tokens[i][b : b + BLOCK] for i in some])
-                doc = np.repeat(np.arange(len(some)), [min(BLOCK, lens[i] - b) for i in some])
+                sizes = np.minimum(BLOCK, lens[some] - b)
+                doc = np.repeat(np.arange(len(some)), sizes)
                 n = count[block]
-                at = np.repeat(first[block] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                bits_at = np.cumsum(n) - n
+                at = np.repeat(first[block] - bits_at, n) + np.arange(int(n.sum()))
                 key = np.repeat(doc * GATES, n) + gate[at]
                 x = st[at]
-                own = weights[some].reshape(-1, PREDICTORS)
-                dot = np.einsum("ij,ij->i", x, own[key].astype(np.float32))
+                mine = weights[some].reshape(-1, PREDICTORS)
+                dot = np.einsum("ij,ij->i", x, mine[key].astype(np.float32))
                 right = 1 / (1 + np.exp(-np.clip(dot, -20, 20)))
-                total[some] += np.bincount(np.repeat(doc, n), np.log10(right), len(some))
-                step(own, key, x, 1 - right, RATE)
-                weights[some] = own.reshape(len(some), GATES, PREDICTORS)
+                spelt = np.add.reduceat(np.log10(right), bits_at).astype(np.float64)
+                step(mine, key, x, 1 - right, RATE)
+                weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
+                # a token's probability mixes what its anchor foretells with what its bits give
+                place = np.repeat(begin[some] + b - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(block))
+                told, k = foretold[place] > 0, kind[place]
+                odds = trust[some]
+                m = np.where(told, 1 / (1 + np.exp(-odds[doc, k])), 0.0)
+                p = 10.0**spelt
+                both = np.where(hit[place], m, 0.0) + (1 - m) * p
+                total[some] += np.bincount(doc, np.where(told, np.log10(np.maximum(both, 1e-300)), spelt), len(some))
+                if told.any():
+                    after = np.where(hit[place], m / np.maximum(both, 1e-300), 0.0)
+                    cell = (doc * len(TRUST) + k)[told]
+                    up = np.bincount(cell, (after - m)[told], odds.size) / (np.bincount(cell, (m * (1 - m))[told], odds.size) + 1)
+                    trust[some] = np.clip(odds + 0.5 * np.clip(up, -4, 4).reshape(odds.shape), -7, 7)
         return total
 
 
@@ -345,7 +444,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     counts = cut(counted_tokens(data.where(~held)), "token-counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, vocabulary = sums["n"], sums["v"]
-    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts)))
+    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), Anchors.of(counted_anchors(data.where(~held)))))
     top = counts.orderBy(F.desc("c"), "word").limit(frequent).toArrow()  # at most `frequent` words
     known = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True)))
 
@@ -354,7 +453,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         for batch in batches:
             for ids, texts in slices(batch, 2 << 20):
                 split = [t.translate(LOWER).split() for t in texts]
-                total = scorer.value.score(split)
+                total = scorer.value.score(split, np.array([i is None or zlib.crc32(str(i).encode()) % folds != 0 for i in ids.to_pylist()]))
                 logs, hits, rest = [], [], []
                 for words in split:
                     tally = Counter(words)
