@@ -3,10 +3,10 @@
 The model reads a text as its tokens' bytes, each word ended by a space, and
 each byte as the bits of a Huffman code made from the training counts. Four
 predictors guess every bit, each from counts of ones and zeros hashed by its
-context: the last byte, the last two, the last four, or the whole word so far
-(the last one equals the unigram model where a word is known). Their guesses,
-stretched, are added with weights that a gate selects: how often the word so far
-and the last four bytes were seen. Weights start from values fitted on all
+context: the last two bytes, three, five, or the whole word so far (the last one
+equals the unigram model where a word is known). Their guesses, stretched, are
+added with weights that a gate selects: how often the word so far and the last
+five bytes were seen. Weights start from values fitted on all
 training words, each with one occurrence of its own left out, and are refined
 online: after every block of a document's tokens its own weights move along the
 gradient of the block's coding cost. The total cost is the score.
@@ -44,21 +44,23 @@ from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
 FREQUENT = 150_000
-#: log2 of the slots of each predictor's table: the last byte, two, three, four, six, the word so far.
-TABLE_BITS = (17, 20, 20, 21, 21, 22)
+#: log2 of the slots of each predictor's table: the last two bytes, three, five, the word so far.
+TABLE_BITS = (20, 20, 21, 22)
 PREDICTORS = len(TABLE_BITS)
-ORDERS = (1, 2, 3, 4, 6)
+ORDERS = (2, 3, 5)
 #: Slots of a table that are summed together.
 PART = 1 << 16
 #: Tokens after which a document's weights are refined.
-BLOCK = 64
+BLOCK = 128
 RATE = 0.02
-#: Classes of how often the word so far, and its last six bytes, were seen.
+#: Classes of how often the word so far, and its last five bytes, were seen.
 SEEN = np.array([1, 2, 3, 5, 9, 20, 60, 250])
 SEEN_SHORT = np.array([1, 4, 32])
 #: Gates: both classes, and whether the word so far has only ever gone on with one bit.
 GATES = (len(SEEN) + 1) * 2 * (len(SEEN_SHORT) + 1)
 PRIOR = 0.1
+#: Log odds from which the first weights are sure of a bit.
+SURE = 2.5
 #: Anchors are contexts of three words, one in eight by hash, that foretell the eight words behind them.
 ANCHOR = 3
 AHEAD = 8
@@ -309,34 +311,31 @@ def _lookup(tables: list[np.ndarray], slots: list[np.ndarray]) -> tuple[list[np.
     return [b[:, 0] for b in both], [b[:, 1] for b in both]
 
 
-def step(weights: np.ndarray, key: np.ndarray, st: np.ndarray, err: np.ndarray, rate: float) -> None:
+def step(weights: np.ndarray, key: np.ndarray, st: np.ndarray, err: np.ndarray, power: np.ndarray, rate: float) -> None:
     """Moves the weights of each key along the gradient of the coding cost, by a step normalised by the guesses' power."""
     n = len(weights)
-    power = np.bincount(key, (st * st).sum(1), n) + 4.0
+    scale = 4 * rate / (np.bincount(key, power, n) + 4.0)
     for k in range(PREDICTORS):
-        weights[:, k] += rate * np.bincount(key, err * st[:, k], n) / power * 4
+        weights[:, k] += np.bincount(key, err * st[:, k], n) * scale
 
 
 def _first_weights(counts: DataFrame, code: tuple, tables) -> np.ndarray:
     """Weights fitted on all training words, leaving out one occurrence of each; means over the partitions, weighted by bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, total = uniform_weights().astype(np.float64), np.zeros(GATES)
+        weights, total = uniform_weights(), np.zeros(GATES)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                piece = batch.slice(at, 2_000)
+            for at in range(0, batch.num_rows, 1_000):
+                piece = batch.slice(at, 1_000)
                 p = paths_of(piece.column(0).to_pylist(), code)
                 zeros, ones = _lookup(tables.value, p.slots)
                 zeros = [np.maximum(z - (p.bit == 0), 0) for z in zeros]
                 ones = [np.maximum(o - (p.bit == 1), 0) for o in ones]
                 st, gate = guesses(zeros, ones)
                 times = np.repeat(np.array(piece.column(1), dtype=np.float64), np.diff(p.start))
-                for _ in range(2):
-                    dot = (st * weights[gate]).sum(1)
-                    err = p.bit - 1 / (1 + np.exp(-dot))
-                    power = np.bincount(gate, times * (st * st).sum(1), GATES) + 4.0
-                    for k in range(PREDICTORS):
-                        weights[:, k] += 0.5 * np.bincount(gate, times * err * st[:, k], GATES) / power * 4
+                power = times * np.einsum("ij,ij->i", st, st)
+                err = p.bit - 1 / (1 + np.exp(-np.einsum("ij,ij->i", st, weights[gate])))
+                step(weights, gate, st, times * err, power, 0.5)
                 total += np.bincount(gate, times, GATES)
         if total.any():
             yield pa.record_batch([pa.array([(weights * total[:, None]).ravel().tolist()], pa.list_(pa.float64())), pa.array([total.tolist()], pa.list_(pa.float64()))], ["w", "n"])
@@ -351,11 +350,58 @@ def _first_weights(counts: DataFrame, code: tuple, tables) -> np.ndarray:
     return np.where(n[:, None] > 0, w / np.maximum(n, 1e-9)[:, None], uniform_weights()).astype(np.float32)
 
 
+@dataclass
+class Guesses:
+    """The tables as a byte a slot: the stretched guess in tenths, and the classes of the two longest contexts."""
+
+    stretched: list[np.ndarray]
+    whole: np.ndarray
+    short: np.ndarray
+
+    @classmethod
+    def of(cls, tables: list[np.ndarray]) -> Guesses:
+        out = []
+        for t in tables:
+            st = np.log((t[:, 1] + np.float32(PRIOR)) / (t[:, 0] + np.float32(PRIOR)))
+            out.append(np.rint(np.clip(st, -12, 12) * 10).astype(np.int8))
+        seen = tables[-1].astype(np.int32)
+        whole = np.searchsorted(SEEN, seen.sum(1), side="right") * 2 + (seen.min(1) == 0)
+        return cls(out, whole.astype(np.uint8), np.searchsorted(SEEN_SHORT, tables[-2].astype(np.int32).sum(1), side="right").astype(np.uint8))
+
+    def at(self, slots: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        st = np.empty((len(slots[0]), PREDICTORS), np.float32)
+        for k, (t, s) in enumerate(zip(self.stretched, slots, strict=True)):
+            st[:, k] = t[s]
+        st *= np.float32(0.1)
+        return st, self.whole[slots[-1]].astype(np.int64) * (len(SEEN_SHORT) + 1) + self.short[slots[-2]]
+
+
 class Scorer:
-    """Scores texts in batches; what a text's score is does not depend on its batch."""
+    """Scores texts in batches; what a text's score is does not depend on its batch.
+
+    Bits of which the first weights are sure, whichever way, cost what these
+    say; a word's sum of them is found once a batch. Only the others are mixed
+    and refined along the document.
+    """
 
     def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors):
-        self.code, self.tables, self.weights, self.anchors = code, tables, weights, anchors
+        self.code, self.tables, self.weights, self.anchors = code, Guesses.of(tables), weights.astype(np.float32), anchors
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each word the cost of its sure bits and how many others it has; of these the guesses and gates."""
+        sure, count, sts, gates = [], [], [], []
+        for at in range(0, len(words), 8192):
+            paths = paths_of(words[at : at + 8192], self.code)
+            st, gate = self.tables.at(paths.slots)
+            st[paths.bit == 0] *= -1  # guesses of the right bit
+            dot = np.einsum("ij,ij->i", st, self.weights[gate])
+            open_ = np.abs(dot) <= SURE
+            cost = np.where(open_, 0.0, -np.logaddexp(0, -dot.astype(np.float64)) / np.log(10))
+            sure.append(np.add.reduceat(cost, paths.start[:-1]))
+            count.append(np.add.reduceat(open_.astype(np.int64), paths.start[:-1]))
+            sts.append(st[open_])
+            gates.append(gate[open_])
+        return np.concatenate(sure), np.concatenate(count), np.concatenate(sts), np.concatenate(gates)
 
     def score(self, docs: list[list[bytes]], own: np.ndarray) -> np.ndarray:
         """log10 of the model's probability of each document, given as words; the end token is added here. own: whether it was a training document."""
@@ -363,11 +409,9 @@ class Scorer:
             return np.empty(0)
         number: dict[bytes, int] = {END: 0}
         tokens = [np.array([number.setdefault(w, len(number)) for w in d] + [0], np.int64) for d in docs]
-        paths = paths_of(list(number), self.code)
-        st, gate = guesses(*_lookup(self.tables, paths.slots))
-        sign = np.where(paths.bit == 1, 1, -1).astype(np.float32)
-        st *= sign[:, None]  # guesses of the right bit
-        first, count = paths.start[:-1], np.diff(paths.start)
+        sure, count, st, gate = self._words(list(number))
+        power = np.einsum("ij,ij->i", st, st)
+        first = np.cumsum(count) - count
         lens = np.array([len(t) for t in tokens])
         begin = np.cumsum(lens + 1) - lens - 1
         hashes = np.concatenate([x for t in tokens for x in (t, [-1])])
@@ -377,7 +421,7 @@ class Scorer:
         hit = (foretold == ((hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1))) & (foretold > 0)
         order = np.argsort(-lens, kind="stable")
         total = np.zeros(len(docs))
-        weights = np.repeat(self.weights[None], len(docs), axis=0).astype(np.float64)
+        weights = np.repeat(self.weights[None], len(docs), axis=0)
         trust = np.repeat(TRUST[None], len(docs), axis=0)
         for b in range(0, int(lens[order[0]]), BLOCK):
             live = order[: int(np.searchsorted(-lens[order], -b, side="left"))]
@@ -387,15 +431,14 @@ class Scorer:
                 sizes = np.minimum(BLOCK, lens[some] - b)
                 doc = np.repeat(np.arange(len(some)), sizes)
                 n = count[block]
-                bits_at = np.cumsum(n) - n
-                at = np.repeat(first[block] - bits_at, n) + np.arange(int(n.sum()))
+                ends = np.cumsum(n)
+                at = np.repeat(first[block] - ends + n, n) + np.arange(int(ends[-1]))
                 key = np.repeat(doc * GATES, n) + gate[at]
                 x = st[at]
                 mine = weights[some].reshape(-1, PREDICTORS)
-                dot = np.einsum("ij,ij->i", x, mine[key].astype(np.float32))
-                right = 1 / (1 + np.exp(-np.clip(dot, -20, 20)))
-                spelt = np.add.reduceat(np.log10(right), bits_at).astype(np.float64)
-                step(mine, key, x, 1 - right, RATE)
+                right = 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, mine[key])))
+                spelt = sure[block] + np.diff(np.r_[0.0, np.cumsum(np.log10(np.maximum(right, np.float32(1e-9))), dtype=np.float64)][np.r_[0, ends]])
+                step(mine, key, x, 1 - right, power[at], RATE)
                 weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
                 # a token's probability mixes what its anchor foretells with what its bits give
                 place = np.repeat(begin[some] + b - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(block))
@@ -404,7 +447,7 @@ class Scorer:
                 m = np.where(told, 1 / (1 + np.exp(-odds[doc, k])), 0.0)
                 p = 10.0**spelt
                 both = np.where(hit[place], m, 0.0) + (1 - m) * p
-                total[some] += np.bincount(doc, np.where(told, np.log10(np.maximum(both, 1e-300)), spelt), len(some))
+                total[some] += np.bincount(doc, np.where(told & (both > 0), np.log10(np.maximum(both, 1e-300)), spelt + np.log10(1 - m)), len(some))
                 if told.any():
                     after = np.where(hit[place], m / np.maximum(both, 1e-300), 0.0)
                     cell = (doc * len(TRUST) + k)[told]
@@ -451,7 +494,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts_of = known.value
         for batch in batches:
-            for ids, texts in slices(batch, 2 << 20):
+            for ids, texts in slices(batch, 4 << 20):
                 split = [t.translate(LOWER).split() for t in texts]
                 total = scorer.value.score(split, np.array([i is None or zlib.crc32(str(i).encode()) % folds != 0 for i in ids.to_pylist()]))
                 logs, hits, rest = [], [], []
