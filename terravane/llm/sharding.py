@@ -49,6 +49,8 @@ def place(needs: np.ndarray, shards: int) -> np.ndarray:
 
 def assign(units: DataFrame, shards: int = SHARDS, bucket: int = BUCKET) -> DataFrame:
     """unit, shard for units with the columns unit (long) and NEEDS."""
+    if bucket < 3 * shards:
+        raise ValueError("a bucket must hold more units than its bins")
     n = units.count()
     buckets = max(1, -(-n // bucket))
 
