@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,9 @@ CAPACITY = 2048
 #: Pieces that one task packs.
 PART = 50_000
 ROUNDS = 3
-#: Entries of a worker's caches of words' tokens; beyond that, they start anew.
-CACHE = 700_000
+#: Entries of a worker's caches of words' tokens; beyond that, the half that came first stays, as frequent words come early.
+CACHE = 350_000
+PIECE_CACHE = 200_000
 
 #: Fixed value: how the tokenizer's file splits normalised text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -78,10 +80,10 @@ class WordTokens:
 
         odd = re.compile("[Σİ]").search
         if len(self.words) > CACHE:
-            self.words.clear()
-            words = every or words
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
+            self.words = dict(islice(self.words.items(), CACHE // 2))
+            words = (every or words).difference(self.words)
+        if len(self.pieces) > PIECE_CACHE:
+            self.pieces = dict(islice(self.pieces.items(), PIECE_CACHE // 2))
         split: list[tuple[bytes, list[str]]] = []
         fresh: dict[str, None] = {}
         for w in words:
