@@ -301,3 +301,8 @@ def decode_png(files: DataFrame, space: str = "RGB") -> DataFrame:
             yield pd.DataFrame([row_of(p.rsplit("/", 1)[-1], 0.0, space, px.from_png(c)) for p, c in zip(f["path"], f["content"], strict=True)], columns=COLUMNS)
 
     return files.select("path", "content").mapInPandas(run, SCHEMA)
+
+
+def key_points(images: DataFrame, most: int = 500, quality: float = 0.01, apart: float = 3.0) -> DataFrame:
+    """Pixel positions px, py of an image's strongest corners, strongest first; pixels_to_points turns them into map positions."""
+    return detect(images, lambda a: px.corners(a, most, quality, apart), "px int, py int")

@@ -442,3 +442,133 @@ def pixels_to_points(s, d):
 @query(f"with {fx.DIRTY} select 'ED001' as code, 'field_null' as message, 'v' as column_name, cast(findex as double) as findex from d where v is null or trim(v) = '' union all select 'ED003', 'fields_type_is_num', 'event_type', findex from d union all select 'EC005', 'duplicates_fid_data', 'user_id', min(findex) from d group by user_id having count(*) > 1")
 def validate_rules(s, d):
     return validate.validate(fx.dirty(s, d), [("field_null", "v"), ("fields_type_is_num", "event_type"), ("duplicates_fid_data", "user_id"), ("empty_data", "findex")])
+
+
+# whole shapes, solids, networks, rasters: without SQL, held against cases and invariants in tests/ ----------
+
+
+def _pixels(s, d) -> DataFrame:
+    """A 16 x 16 grey picture a user, of event numbers."""
+    from terravane.operators.images import SCHEMA, row_of
+
+    e = fx.table(s, d, "events").select((F.col("event_id") / 256).cast("long").alias("findex"), (F.col("event_id") % 256).alias("at"), (F.col("event_id") * 37 % 256).alias("v"))
+
+    def run(f):
+        import numpy as np
+        import pandas as pd
+
+        img = np.zeros(256, np.uint8)
+        img[f["at"].to_numpy()] = f["v"].to_numpy()
+        return pd.DataFrame([row_of("events", float(f["findex"].iloc[0]), "GRAYSCALE", img.reshape(16, 16))])
+
+    return e.groupBy("findex").applyInPandas(run, SCHEMA)
+
+
+@query()
+def simplify(s, d):
+    return solids.simplify(fx.long_lines(s, d), 5.0)
+
+
+@query()
+def representative_points(s, d):
+    return solids.representative_points(vertices.to_vertices(fx.boxes(s, d)))
+
+
+@query()
+def box_solids(s, d):
+    v = fx.short_lines(s, d)
+    return solids.box_solids(v, v.select("findex").distinct().select("findex", F.lit(0.4).alias("width"), F.lit(0.2).alias("depth")))
+
+
+@query()
+def cylinder_solids(s, d):
+    v = fx.short_lines(s, d)
+    return solids.cylinder_solids(v, v.select("findex").distinct().select("findex", F.lit(0.2).alias("radius")), 8)
+
+
+@query()
+def bottom_polygons(s, d):
+    v = fx.short_lines(s, d)
+    return solids.bottom_polygons(v, v.select("findex").distinct().select("findex", F.lit(0.5).alias("width")))
+
+
+@query()
+def affine_sheet(s, d):
+    p = fx.plane_points(s, d)
+    control = s.range(25).select((F.col("id") % 5 * 1000.0 - 1).alias("x"), (F.floor(F.col("id") / 5) * 800.0 - 1).alias("y"), F.lit(0.0).alias("z")).withColumns({"tx": F.col("x") + 3, "ty": F.col("y") - 2, "tz": F.col("z") + 1})
+    return solids.affine_sheet(p, control, True)
+
+
+@query()
+def reproject(s, d):
+    from terravane.functions import crs
+
+    return crs.reproject(fx.plane_points(s, d), 6677, 6668)
+
+
+@query()
+def city_models(s, d):
+    from terravane.operators import export
+
+    b = fx.boxes(s, d)
+    t = solids.prism_solids(vertices.to_vertices(b), b.select("findex", F.lit(10.0).alias("height")))
+    sheets = b.select(F.col("findex").cast("double").alias("findex"), tiles.sheet_code(F.col("x_min") + 1, F.col("y_min") + 1, "09", 2500).alias("sheet"))
+    return export.city_models(t, b.select(F.col("findex").cast("double").alias("findex"), F.col("gtype").alias("kind")), sheets, "frn:CityFurniture", "EPSG:6697")
+
+
+@query()
+def gltf(s, d):
+    from terravane.operators import export
+
+    b = fx.boxes(s, d)
+    t = solids.prism_solids(vertices.to_vertices(b), b.select("findex", F.lit(10.0).alias("height")))
+    return export.gltf(t, b.select(F.col("findex").cast("double").alias("findex"), F.col("gtype").alias("kind")))
+
+
+@query()
+def line_voxels(s, d):
+    from terravane.operators import export
+
+    v = vertices.to_vertices(fx.boxes(s, d))
+    return export.line_voxels(v, v.select("findex").distinct().select("findex", F.lit(2.0).alias("width"), F.lit(2.0).alias("height")), 20, 6677)
+
+
+@query()
+def overlay_difference(s, d):
+    b = fx.boxes(s, d).select("findex", "gtype", "coords")
+    moved = b.select((F.col("findex") + 100).alias("findex"), "gtype", F.transform("coords", lambda p: F.struct((p["x"] + 300).alias("x"), (p["y"] + 200).alias("y"), p["z"].alias("z"))).alias("coords"))
+    pairs = spatial.predicate_pairs(b, moved, "overlaps", 500.0)
+    return spatial.overlay_pairs(b, moved, pairs, "symmetric_difference").select("l", "ring", "area")
+
+
+@query()
+def integrate_lines(s, d):
+    v = fx.short_lines(s, d).select("findex", "seq", F.floor("x").cast("double").alias("x"), F.floor(F.col("y") / 10).cast("double").alias("y"), "z")
+    return network.integrate_lines(v)
+
+
+@query()
+def segment_crossings(s, d):
+    return network.segment_crossings(_grid_lines(s).unionByName(vertices.to_vertices(fx.boxes(s, d)).withColumn("findex", F.col("findex").cast("long") + 100)), 500.0)
+
+
+@query()
+def image_regions(s, d):
+    from terravane.operators import images
+
+    return images.regions(images.to_binary(_pixels(s, d), 128), 4)
+
+
+@query()
+def image_edges(s, d):
+    from terravane.operators import images
+
+    return images.edges(images.smooth(_pixels(s, d), 3, 1.0), "Sobel")
+
+
+@query()
+def geojson_features(s, d):
+    from terravane.sources import readers
+
+    b = fx.boxes(s, d).select("findex", "gtype", F.array("coords").alias("parts"), F.create_map(F.lit("findex"), F.col("findex").cast("string")).alias("attributes"))
+    return readers.to_geojson(b)
