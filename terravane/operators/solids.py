@@ -19,13 +19,13 @@ TRIANGLES = "findex double, patch int, k int, x double, y double, z double, nx d
 
 
 def _table(findex: float, triangles: list[tuple]) -> pd.DataFrame:
-    rows = []
-    for patch, t in enumerate(triangles):
-        a, b, c = (np.asarray(p, float) for p in t)
-        n = np.cross(b - a, c - a)
-        n = n / (np.linalg.norm(n) or 1.0)
-        rows += [(findex, patch, k, *p, *n) for k, p in enumerate((a, b, c, a))]
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in TRIANGLES.split(", ")])
+    t = np.asarray(triangles, float).reshape(-1, 3, 3)
+    n = np.cross(t[:, 1] - t[:, 0], t[:, 2] - t[:, 0])
+    size = np.linalg.norm(n, axis=1)
+    n = np.repeat(n / np.where(size == 0, 1, size)[:, None], 4, axis=0)
+    p = t[:, [0, 1, 2, 0]].reshape(-1, 3)
+    rows = np.arange(len(p))
+    return pd.DataFrame({"findex": np.full(len(p), findex), "patch": (rows // 4).astype(np.int32), "k": (rows % 4).astype(np.int32), "x": p[:, 0], "y": p[:, 1], "z": p[:, 2], "nx": n[:, 0], "ny": n[:, 1], "nz": n[:, 2]})
 
 
 def _frames(line: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
