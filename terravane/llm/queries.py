@@ -55,4 +55,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_media, op2_exact_dedup, op3_license_scan, op4_sharding, op5_simhash, op6_warc, op7_packing, op8_quality, op9_lm_scoring, op10_mixing)}
-ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE, "op3_license_scan": licences.ORACLE}
+ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE, "op3_license_scan": licences.ORACLE, "op6_warc": warc.ORACLE}

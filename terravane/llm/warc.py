@@ -95,36 +95,83 @@ def _chain(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"file": part["file"], "at": part["at"], "record": part["at"].to_numpy()[keep][start]})
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, record_type, refers_to, digest and payload of every record in the WARC files under path."""
-    lines = spark.read.option("lineSep", VERSION).text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("seq"), F.col("_metadata.file_block_start").alias("block"), F.col("value"))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Pieces of archives between version lines: file, block, seq (together a piece's place) and value. A second scan of the same files splits and numbers them alike."""
+    return spark.read.option("lineSep", VERSION).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value"))
+
+
+def _header(value: Column) -> Column:
+    return F.concat(F.lit("\r\n"), F.substring_index(value, "\r\n\r\n", 1), F.lit("\r\n"))
+
+
+def _record(value: Column) -> dict[str, Column]:
+    """The fields of a whole record's text, and its payload."""
+    head = _header(value)
+    field = lambda name: F.regexp_extract(head, rf"(?i)\r\n{name}: *([^\r]*)\r\n", 1)
+    number = lambda name: F.nullif(F.regexp_extract(field(name), f"<{ID}(-?[0-9]{{1,19}})>", 1), F.lit("")).try_cast("long")
+    payload = F.substring(value.cast("binary"), F.octet_length(head) + 1, field("Content-Length").try_cast("int"))
+    return {"page_id": number("WARC-Record-ID"), "record_type": field("WARC-Type"), "refers_to": number("WARC-Refers-To"), "digest": F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", ""), "payload": payload}
+
+
+def _digested(fields: dict[str, Column]) -> list[Column]:
+    return [fields[c].alias(c) for c in ("page_id", "record_type", "refers_to", "digest")] + [F.octet_length(fields["payload"]).cast("long").alias("payload_bytes"), base32_sha1(fields["payload"]).alias("payload_digest")]
+
+
+def chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pieces on the boundary chains (file, block, seq, at, record: the first piece's at), and the digests of pieces that are whole records.
+
+    Only sizes, offsets and digests leave the scan, never payloads.
+    """
     header = F.substring_index("value", "\r\n\r\n", 1)
     length = F.regexp_extract(header, r"(?i)(?:^|\r\n)Content-Length: *([0-9]{1,18})(?:\r\n|$)", 1)
     valid = (length != "") & F.col("value").contains("\r\n\r\n") & F.col("value").startswith("WARC-Type: ")
     size = F.octet_length("value").cast("long")
-    pieces = lines.select("file", "block", "seq", "value", size.alias("size"), F.when(valid, F.octet_length(header) + 4 + length.cast("long") + 4 + len(VERSION)).alias("span"))
-    pieces = cut(pieces, "pieces")
+    span = F.when(valid, F.octet_length(header) + 4 + length.cast("long") + 4 + len(VERSION))
+    own = F.when(span == size + len(VERSION), F.struct(*_digested(_record(F.col("value")))))
+    pieces = cut(_lines(spark, path).select("file", "block", "seq", size.alias("size"), span.alias("span"), own.alias("own")), "pieces")
     # byte offsets within a file: each piece takes its own bytes and the version line before it; a file starts with an empty piece
     w = Window.partitionBy("file").orderBy("block", "seq")
-    placed = pieces.select("file", "block", "seq", F.row_number().over(w).alias("at"), "size", "span", (F.sum(F.col("size") + len(VERSION)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size") - 2 * len(VERSION)).alias("offset")).where("at > 1")
-    found = placed.select("file", "seq", "at", "offset", F.coalesce(F.col("offset") + F.col("span"), F.lit(-1)).alias("successor"), (F.col("offset") + F.col("size") + len(VERSION)).alias("end"))
-    chained = found.groupBy("file").applyInPandas(_chain, "file string, at int, record int")
-    joined = found.select("file", "seq", "at").join(chained, ["file", "at"])
-    parts = pieces.select("file", "seq", "value").join(joined.select("file", "seq", "at", "record"), ["file", "seq"])
-    whole = parts.groupBy("file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), VERSION).alias("value"))
-    head = F.concat(F.lit("\r\n"), F.substring_index("value", "\r\n\r\n", 1), F.lit("\r\n"))
-    field = lambda name: F.regexp_extract(head, rf"(?i)\r\n{name}: *([^\r]*)\r\n", 1)
-    body = F.substring(F.col("value").cast("binary"), F.octet_length(head) + 1, field("Content-Length").cast("int"))
-    number = lambda name: F.try_to_number(F.nullif(F.regexp_extract(field(name), f"<{ID}(-?[0-9]+)>", 1), F.lit("")), F.lit("S9999999999999999999")).cast("long")
-    return whole.select(number("WARC-Record-ID").alias("page_id"), field("WARC-Type").alias("record_type"), number("WARC-Refers-To").alias("refers_to"), F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("digest"), body.alias("payload"))
+    before = F.sum(F.col("size") + len(VERSION)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size") - 2 * len(VERSION)
+    placed = pieces.select("file", "block", "seq", F.row_number().over(w).alias("at"), "size", "span", before.alias("offset")).where("at > 1")
+    found = placed.select("file", "block", "seq", "at", "offset", F.coalesce(F.col("offset") + F.col("span"), F.lit(-1)).alias("successor"), (F.col("offset") + F.col("size") + len(VERSION)).alias("end"))
+    chained = found.select("file", "at", "offset", "successor", "end").groupBy("file").applyInPandas(_chain, "file string, at int, record int")
+    return cut(found.select("file", "block", "seq", "at").join(chained, ["file", "at"]), "chain"), pieces.where("own is not null").select("file", "block", "seq", "own")
+
+
+def _pieced(spark: SparkSession, path: str, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Keys of records of one piece, and the text of those of several, if there are any."""
+    several = links.groupBy("file", "record").agg(F.count("*").alias("n")).where("n > 1").select("file", "record")
+    # as a written table its size is known, so that Spark needn't shuffle the archives' text to find a few pieces in it
+    parts = cut(links.join(several, ["file", "record"], "left_semi"), "parts")
+    if parts.isEmpty():
+        return links.select("file", "block", "seq"), None
+    single = links.where("at = record").join(parts.select("file", "record").distinct(), ["file", "record"], "left_anti").select("file", "block", "seq")
+    rows = _lines(spark, path).join(parts, ["file", "block", "seq"])
+    return single, rows.groupBy("file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), VERSION).alias("value"))
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, record_type, refers_to, digest and payload of every record in the WARC files under path."""
+    links, _ = chain(spark, path)
+    single, whole = _pieced(spark, path, links)
+    text = _lines(spark, path).join(single, ["file", "block", "seq"]).select("value")
+    text = text.unionAll(whole.select("value")) if whole is not None else text
+    return text.select(*[c.alias(n) for n, c in _record(F.col("value")).items()])
+
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """Like read_archives, with payload_bytes and payload_digest for the payload: only records of several pieces move their text."""
+    links, own = chain(spark, path)
+    single, whole = _pieced(spark, path, links)
+    out = own.join(single, ["file", "block", "seq"]).select("own.*")
+    return out.unionAll(whole.select(*_digested(_record(F.col("value"))))) if whole is not None else out
 
 
 def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     """Writes pages as archives, reads them back, and gives a row for each record: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
     path = write_archives(pages, path or new_path(spark, "warc"), **options)
-    back = read_archives(spark, path).select("page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    back = cut(back, "records")
+    back = cut(read_digests(spark, path), "records")
     full = back.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest")).dropDuplicates(["refers_to"])
     wrong = back.where("record_type = 'response' and digest <> payload_digest")
     if not wrong.isEmpty():
@@ -132,3 +179,13 @@ def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     response = back.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     revisit = back.where("record_type = 'revisit'").join(full, "refers_to", "left").select("page_id", F.col("full_bytes").alias("payload_bytes"), F.coalesce("full_digest", "digest").alias("payload_digest"), "record_type", "refers_to")
     return response.unionAll(revisit)
+
+
+ORACLE = r"""
+with p as (select page_id, coalesce(html, '') as h from pages),
+q as (select page_id, h, sha1(h) as x, min(page_id) over (partition by h) as f from p)
+select page_id, cast(strlen(h) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(x, cast(k // 4 * 5 + 1 as int), 5))::int >> cast(15 - k % 4 * 5 as int)) & 31), 1)), '') as payload_digest,
+  case when f = page_id then 'response' else 'revisit' end as record_type, case when f <> page_id then f end as refers_to
+from q
+"""
