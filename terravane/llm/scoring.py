@@ -1,22 +1,27 @@
 """Language-model scoring: a smoothed unigram base, and online logistic context mixing of bit predictors.
 
 The model reads a text as its tokens' bytes, each word ended by a space, and
-each byte as the bits of a Huffman code made from the training counts. Four
+each byte as the bits of a Huffman code made from the training counts. Three
 predictors guess every bit, each from counts of ones and zeros hashed by its
-context: the last two bytes, three, five, or the whole word so far (the last one
+context: the last two bytes, four, or the whole word so far (the last one
 equals the unigram model where a word is known). Their guesses, stretched, are
 added with weights that a gate selects: how often the word so far and the last
-five bytes were seen. Weights start from values fitted on all
-training words, each with one occurrence of its own left out, and are refined
-online: after every block of a document's tokens its own weights move along the
-gradient of the block's coding cost. The total cost is the score.
-
-Contexts begin anew with each word, so all that the model gathers from the
-corpus follows from the training words' counts. Counts are gathered by a
-shuffle over all training documents. Tables are summed part by part, in
-rounds, and sent to the executors; their size is a parameter. Base scores look
-up each document's words in the counts: the most frequent words, at most
-FREQUENT, are sent along; the rest meet the counts in a join.
+four bytes were seen. Weights start from values fitted on all training words,
+each with one occurrence of its own left out, and are refined online: after
+every block of a document's tokens its own weights move along the gradient of
+the block's coding cost. Bits of which the first weights are sure keep them. One
+more predictor looks further back: anchors, three words that training documents
+hold, foretell the eight words behind them, with a probability that is refined
+in the same way; a word's probability mixes this with its spelling. The total
+cost is the score.
+
+Byte contexts begin anew with each word, so the tables of bits follow from the
+counts of the training words, which a shuffle over all training documents
+gathers; another gathers the anchors. A training document's own anchors don't
+count for itself. Tables are summed part by part, in rounds, and sent to the
+executors; their sizes are parameters. Base scores look up each document's words
+in the counts: the most frequent words, at most FREQUENT, are sent along; the
+rest meet the counts in a join.
 
 Defined results: a null text counts as empty: one end token; held-out rows and
 all others are scored in the same way; rows with a null id are training rows;
@@ -32,6 +37,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -43,24 +49,28 @@ from terravane.llm.media import slices
 from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
-FREQUENT = 150_000
-#: log2 of the slots of each predictor's table: the last two bytes, three, five, the word so far.
-TABLE_BITS = (20, 20, 21, 22)
+FREQUENT = 200_000
+#: log2 of the slots of each predictor's table: the last two bytes, four, the word so far.
+TABLE_BITS = (20, 21, 22)
 PREDICTORS = len(TABLE_BITS)
-ORDERS = (2, 3, 5)
+ORDERS = (2, 4)
 #: Slots of a table that are summed together.
 PART = 1 << 16
+#: Words whose counts one task adds to its tables.
+TABLE_WORDS = 700_000
 #: Tokens after which a document's weights are refined.
 BLOCK = 128
 RATE = 0.02
-#: Classes of how often the word so far, and its last five bytes, were seen.
+#: Classes of how often the word so far, and its last four bytes, were seen.
 SEEN = np.array([1, 2, 3, 5, 9, 20, 60, 250])
 SEEN_SHORT = np.array([1, 4, 32])
 #: Gates: both classes, and whether the word so far has only ever gone on with one bit.
 GATES = (len(SEEN) + 1) * 2 * (len(SEEN_SHORT) + 1)
 PRIOR = 0.1
+#: Words whose bits a worker keeps between batches; beyond that, the half that came first stays.
+KEPT = 500_000
 #: Log odds from which the first weights are sure of a bit.
-SURE = 2.5
+SURE = 1.5
 #: Anchors are contexts of three words, one in eight by hash, that foretell the eight words behind them.
 ANCHOR = 3
 AHEAD = 8
@@ -173,15 +183,22 @@ def paths_of(words: list[bytes], code: tuple) -> Paths:
     return Paths(np.r_[0, start], bits[text[of], k], slots)
 
 
+def _classes(edges: np.ndarray) -> np.ndarray:
+    return np.searchsorted(edges, np.arange(edges[-1] + 1), side="right").astype(np.uint8)
+
+
+CLASS, CLASS_SHORT = _classes(SEEN), _classes(SEEN_SHORT)
+
+
 def guesses(zeros: list[np.ndarray], ones: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Stretched guesses of each predictor, and the gate of each bit, from its counts."""
     st = np.empty((len(zeros[0]), PREDICTORS), np.float32)
     for k in range(PREDICTORS):
-        st[:, k] = np.log((ones[k] + PRIOR) / (zeros[k] + PRIOR))
+        st[:, k] = np.log((ones[k] + np.float32(PRIOR)) / (zeros[k] + np.float32(PRIOR)))
     np.clip(st, -12, 12, out=st)
-    whole = np.searchsorted(SEEN, zeros[-1] + ones[-1], side="right")
-    short = np.searchsorted(SEEN_SHORT, zeros[-2] + ones[-2], side="right")
-    return st, ((whole * 2 + (np.minimum(zeros[-1], ones[-1]) == 0)) * (len(SEEN_SHORT) + 1) + short).astype(np.int64)
+    whole = CLASS[np.minimum(zeros[-1] + ones[-1], SEEN[-1])].astype(np.int64)
+    short = CLASS_SHORT[np.minimum(zeros[-2] + ones[-2], SEEN_SHORT[-1])]
+    return st, (whole * 2 + (np.minimum(zeros[-1], ones[-1]) == 0)) * (len(SEEN_SHORT) + 1) + short
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -257,6 +274,19 @@ def uniform_weights() -> np.ndarray:
     return np.full((GATES, PREDICTORS), 0.35, np.float32)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts as compressed planes of bytes, low ones first: high planes are nearly empty."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(counts, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    import zstandard
+
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _tables(counts: DataFrame, code: tuple) -> list[np.ndarray]:
     """Counts of zeros and ones of every table, (2, slots) each, summed over all words."""
 
@@ -279,24 +309,25 @@ def _tables(counts: DataFrame, code: tuple) -> list[np.ndarray]:
                 for i in range(0, len(t), 2 * PART):
                     part = t[i : i + 2 * PART]
                     if part.any():
-                        yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i // (2 * PART)], pa.int32()), pa.array([task], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["k", "part", "task", "data"])
+                        yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i // (2 * PART)], pa.int32()), pa.array([task], pa.int32()), pa.array([_packed(part)], pa.binary())], ["k", "part", "task", "data"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = None
         for data in rows["data"]:
-            x = np.frombuffer(zlib.decompress(data), np.uint32)
+            x = _unpacked(data)
             total = x.astype(np.uint64) if total is None else total + x
         total = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
-        return pd.DataFrame({"k": rows["k"].iloc[:1].to_numpy(), "part": rows["part"].iloc[:1].to_numpy(), "task": [int(rows["task"].iloc[0]) // 32], "data": [zlib.compress(total.tobytes(), 1)]})
+        return pd.DataFrame({"k": rows["k"].iloc[:1].to_numpy(), "part": rows["part"].iloc[:1].to_numpy(), "task": [int(rows["task"].iloc[0]) // 32], "data": [_packed(total)]})
 
     schema = "k int, part int, task int, data binary"
-    parts = counts.select("word", "c").mapInArrow(gather, schema)
+    # a task should meet many words, as each hands on whole tables
+    parts = counts.select("word", "c").coalesce(max(1, -(-counts.count() // TABLE_WORDS))).mapInArrow(gather, schema)
     parts = cut(parts, "table-parts")
     while (parts.agg(F.max("task")).first()[0] or 0) > 0:  # sums of 32 at a time, so that no task holds more
         parts = cut(parts.groupBy("k", "part", F.floor(F.col("task") / 32).cast("int").alias("group")).applyInPandas(add, schema), "table-parts")
     tables = [np.zeros(2 << b, np.uint32) for b in TABLE_BITS]
     for r in parts.select("k", "part", "data").toLocalIterator():  # bounded by TABLE_BITS
-        x = np.frombuffer(zlib.decompress(r["data"]), np.uint32)
+        x = _unpacked(r["data"])
         tables[r["k"]][r["part"] * 2 * PART : r["part"] * 2 * PART + len(x)] = x
     out = []
     for t in tables:  # 16 bits each, by halves where counts are large: only their ratio matters then
@@ -307,8 +338,8 @@ def _tables(counts: DataFrame, code: tuple) -> list[np.ndarray]:
 
 
 def _lookup(tables: list[np.ndarray], slots: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    both = [t[s].astype(np.int32) for t, s in zip(tables, slots, strict=True)]
-    return [b[:, 0] for b in both], [b[:, 1] for b in both]
+    both = [t.view(np.uint32).ravel()[s] for t, s in zip(tables, slots, strict=True)]
+    return [(b & np.uint32(0xFFFF)).astype(np.int32) for b in both], [(b >> np.uint32(16)).astype(np.int32) for b in both]
 
 
 def step(weights: np.ndarray, key: np.ndarray, st: np.ndarray, err: np.ndarray, power: np.ndarray, rate: float) -> None:
@@ -384,69 +415,104 @@ class Scorer:
     and refined along the document.
     """
 
-    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors):
+    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors, frequent: dict[bytes, int] | None = None):
+        self.frequent = frequent or {}
         self.code, self.tables, self.weights, self.anchors = code, Guesses.of(tables), weights.astype(np.float32), anchors
-
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each word the cost of its sure bits and how many others it has; of these the guesses and gates."""
-        sure, count, sts, gates = [], [], [], []
-        for at in range(0, len(words), 8192):
-            paths = paths_of(words[at : at + 8192], self.code)
+        self._reset()
+
+    def _reset(self) -> None:
+        self.ids: dict[bytes, int] = {}
+        self.sure, self.count, self.hash = np.empty(0), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.first, self.size, self.seen, self.names = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), []
+        self.st, self.gate = np.empty((0, PREDICTORS), np.float16), np.empty(0, np.uint8)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Adds words: for each the cost of its sure bits and how many others it has; of these the guesses and gates."""
+        sure, count, sts, gates = [self.sure], [self.count], [self.st], [self.gate]
+        for at in range(0, len(new), 8192):
+            paths = paths_of(new[at : at + 8192], self.code)
             st, gate = self.tables.at(paths.slots)
-            st[paths.bit == 0] *= -1  # guesses of the right bit
+            sign = paths.bit.astype(np.float32) * 2 - 1
             dot = np.einsum("ij,ij->i", st, self.weights[gate])
             open_ = np.abs(dot) <= SURE
-            cost = np.where(open_, 0.0, -np.logaddexp(0, -dot.astype(np.float64)) / np.log(10))
-            sure.append(np.add.reduceat(cost, paths.start[:-1]))
+            cost = np.log1p(np.exp(-dot * sign)) * np.float32(-1 / np.log(10))
+            cost[open_] = 0
+            sure.append(np.add.reduceat(cost, paths.start[:-1], dtype=np.float64))
             count.append(np.add.reduceat(open_.astype(np.int64), paths.start[:-1]))
-            sts.append(st[open_])
-            gates.append(gate[open_])
-        return np.concatenate(sure), np.concatenate(count), np.concatenate(sts), np.concatenate(gates)
+            sts.append((st[open_] * sign[open_, None]).astype(np.float16))  # guesses of the right bit
+            gates.append(gate[open_].astype(np.uint8))
+        self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
+        self.sure, self.count, self.st, self.gate = map(np.concatenate, (sure, count, sts, gates))
+        self.first = np.cumsum(self.count) - self.count
+        self.hash = np.concatenate([self.hash, word_hashes(new)])
+        self.size = np.concatenate([self.size, np.fromiter((len(w) + (w != END) for w in new), np.int64, len(new))])
+        self.seen = np.concatenate([self.seen, np.fromiter((self.frequent.get(w, 0) for w in new), np.float64, len(new))])
+        self.names += new
+
+    def _halve(self) -> None:
+        n = KEPT // 2
+        bits = int(self.first[n])
+        self.ids, self.names = dict(islice(self.ids.items(), n)), self.names[:n]
+        self.sure, self.count, self.hash, self.first, self.size, self.seen = (x[:n].copy() for x in (self.sure, self.count, self.hash, self.first, self.size, self.seen))
+        self.st, self.gate = self.st[:bits].copy(), self.gate[:bits].copy()
+
+    def numbered(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words and ends, one document after the other, and each document's count. What was learnt is kept for later batches, up to KEPT words."""
+        if len(self.ids) > KEPT:
+            self._halve()
+        new = set().union(*docs)
+        new.add(END)
+        new.difference_update(self.ids)
+        if new:
+            self.learn(sorted(new))
+        get, end, out = self.ids.__getitem__, self.ids[END], []
+        for d in docs:
+            out.extend(map(get, d))
+            out.append(end)
+        return np.array(out, np.int64), np.array([len(d) + 1 for d in docs])
 
     def score(self, docs: list[list[bytes]], own: np.ndarray) -> np.ndarray:
         """log10 of the model's probability of each document, given as words; the end token is added here. own: whether it was a training document."""
-        if not docs:
-            return np.empty(0)
-        number: dict[bytes, int] = {END: 0}
-        tokens = [np.array([number.setdefault(w, len(number)) for w in d] + [0], np.int64) for d in docs]
-        sure, count, st, gate = self._words(list(number))
-        power = np.einsum("ij,ij->i", st, st)
-        first = np.cumsum(count) - count
-        lens = np.array([len(t) for t in tokens])
-        begin = np.cumsum(lens + 1) - lens - 1
-        hashes = np.concatenate([x for t in tokens for x in (t, [-1])])
-        short = np.r_[word_hashes(list(number)), np.uint32(0)]
-        hashes = short[hashes]
+        return self.score_numbered(*self.numbered(docs), own) if docs else np.empty(0)
+
+    def score_numbered(self, tokens: np.ndarray, lens: np.ndarray, own: np.ndarray) -> np.ndarray:
+        sure, count, first = self.sure, self.count, self.first
+        start = np.cumsum(lens) - lens
+        # a zero behind each document keeps anchors from reaching over
+        begin = start + np.arange(len(lens))
+        hashes = np.zeros(len(tokens) + len(lens), np.uint32)
+        where = np.arange(len(tokens)) + np.repeat(np.arange(len(lens)), lens)
+        hashes[where] = self.hash[tokens]
         foretold, kind = self.anchors.foretold(hashes, np.repeat(own.astype(np.int64), lens + 1))
         hit = (foretold == ((hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1))) & (foretold > 0)
         order = np.argsort(-lens, kind="stable")
-        total = np.zeros(len(docs))
-        weights = np.repeat(self.weights[None], len(docs), axis=0)
-        trust = np.repeat(TRUST[None], len(docs), axis=0)
+        total = np.zeros(len(lens))
+        weights = np.repeat(self.weights[None], len(lens), axis=0)
+        trust = np.repeat(TRUST[None], len(lens), axis=0)
         for b in range(0, int(lens[order[0]]), BLOCK):
             live = order[: int(np.searchsorted(-lens[order], -b, side="left"))]
             for part in range(0, len(live), 512):
                 some = live[part : part + 512]
-                block = np.concatenate([tokens[i][b : b + BLOCK] for i in some])
                 sizes = np.minimum(BLOCK, lens[some] - b)
                 doc = np.repeat(np.arange(len(some)), sizes)
+                within = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                block = tokens[np.repeat(start[some] + b, sizes) + within]
                 n = count[block]
                 ends = np.cumsum(n)
                 at = np.repeat(first[block] - ends + n, n) + np.arange(int(ends[-1]))
-                key = np.repeat(doc * GATES, n) + gate[at]
-                x = st[at]
+                key = np.repeat(doc * GATES, n) + self.gate[at]
+                x = self.st[at].astype(np.float32)
                 mine = weights[some].reshape(-1, PREDICTORS)
                 right = 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, mine[key])))
                 spelt = sure[block] + np.diff(np.r_[0.0, np.cumsum(np.log10(np.maximum(right, np.float32(1e-9))), dtype=np.float64)][np.r_[0, ends]])
-                step(mine, key, x, 1 - right, power[at], RATE)
+                step(mine, key, x, 1 - right, np.einsum("ij,ij->i", x, x), RATE)
                 weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
                 # a token's probability mixes what its anchor foretells with what its bits give
-                place = np.repeat(begin[some] + b - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(block))
+                place = np.repeat(begin[some] + b, sizes) + within
                 told, k = foretold[place] > 0, kind[place]
                 odds = trust[some]
                 m = np.where(told, 1 / (1 + np.exp(-odds[doc, k])), 0.0)
-                p = 10.0**spelt
-                both = np.where(hit[place], m, 0.0) + (1 - m) * p
+                both = np.where(hit[place], m, 0.0) + (1 - m) * 10.0**spelt
                 total[some] += np.bincount(doc, np.where(told & (both > 0), np.log10(np.maximum(both, 1e-300)), spelt + np.log10(1 - m)), len(some))
                 if told.any():
                     after = np.where(hit[place], m / np.maximum(both, 1e-300), 0.0)
@@ -487,38 +553,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     counts = cut(counted_tokens(data.where(~held)), "token-counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, vocabulary = sums["n"], sums["v"]
-    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), Anchors.of(counted_anchors(data.where(~held)))))
     top = counts.orderBy(F.desc("c"), "word").limit(frequent).toArrow()  # at most `frequent` words
-    known = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True)))
+    known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
+    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), Anchors.of(counted_anchors(data.where(~held))), known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts_of = known.value
+        own = scorer.value
         for batch in batches:
-            for ids, texts in slices(batch, 4 << 20):
-                split = [t.translate(LOWER).split() for t in texts]
-                total = scorer.value.score(split, np.array([i is None or zlib.crc32(str(i).encode()) % folds != 0 for i in ids.to_pylist()]))
-                logs, hits, rest = [], [], []
-                for words in split:
-                    tally = Counter(words)
-                    tally[END] += 1
-                    own, hit, rare = [], 0, {}
-                    for w, n in tally.items():
-                        c = counts_of.get(w)
-                        if c:
-                            own.append(n * np.log10(c + 0.1))
-                            hit += n
-                        else:
-                            rare[w] = n
-                    logs.append(sum(own))
-                    hits.append(hit)
-                    rest.append(rare)
+            for ids, texts in slices(batch, 2 << 20):
+                tokens, lens = own.numbered([t.translate(LOWER).split() for t in texts])
+                total = own.score_numbered(tokens, lens, np.array([i is None or zlib.crc32(str(i).encode()) % folds != 0 for i in ids.to_pylist()]))
+                starts = np.cumsum(lens) - lens
+                c = own.seen[tokens]
+                logs = np.add.reduceat(np.where(c > 0, np.log10(c + 0.1), 0.0), starts)
+                hits = np.add.reduceat((c > 0).astype(np.int64), starts)
+                # words that aren't among the frequent ones wait for their counts
+                odd = np.flatnonzero(c == 0)
+                pair, times = np.unique(np.repeat(np.arange(len(lens)), lens)[odd] * np.int64(1 << 32) + tokens[odd], return_counts=True)
+                cuts = np.searchsorted(pair >> 32, np.arange(len(lens) + 1)).astype(np.int32)
+                names = own.names
+                rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array([names[i] for i in (pair & 0xFFFFFFFF).tolist()], pa.binary()))
+                sizes = np.add.reduceat(own.size[tokens], starts)
                 yield pa.record_batch(
-                    [
-                        ids, pa.array([len(w) + 1 for w in split], pa.int64()), pa.array([sum(map(len, w)) + len(w) + 1 for w in split], pa.int64()), pa.array(logs, pa.float64()), pa.array(hits, pa.int64()), pa.array(total, pa.float64()),
-                        pa.array([list(r.keys()) for r in rest], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rest], pa.list_(pa.int32())),
-                    ],
+                    [ids, pa.array(lens.astype(np.int64)), pa.array(sizes), pa.array(logs), pa.array(hits), pa.array(total, pa.float64()), rare, pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))],
                     ["doc_id", "n_tokens", "n_bytes", "logs", "hits", "score", "rare", "times"],
-                )
+                )
 
     rows = cut(data.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_bytes long, logs double, hits long, score double, rare array<binary>, times array<int>").withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
