@@ -11,17 +11,19 @@ each with one occurrence of its own left out, and are refined online: after
 every block of a document's tokens its own weights move along the gradient of
 the block's coding cost. Bits of which the first weights are sure keep them. One
 more predictor looks further back: anchors, three words that training documents
-hold, foretell the eight words behind them, with a probability that is refined
-in the same way; a word's probability mixes this with its spelling. The total
-cost is the score.
+hold, foretell the eight words behind them, each word as often as it stood there,
+with a weight that is refined in the same way; a word's probability mixes this
+with its spelling. The total cost is the score.
 
 Byte contexts begin anew with each word, so the tables of bits follow from the
 counts of the training words, which a shuffle over all training documents
-gathers; another gathers the anchors. A training document's own anchors don't
-count for itself. Tables are summed part by part, in rounds, and sent to the
-executors; their sizes are parameters. Base scores look up each document's words
-in the counts: the most frequent words, at most FREQUENT, are sent along; the
-rest meet the counts in a join.
+gathers. Tables are summed part by part, in rounds, and sent to the executors;
+their sizes are parameters. Anchors are all kept: every place of every document
+goes to the bucket of its context, where it meets all others of this context, and
+what they foretell comes back to its document. There are as many buckets as the
+counted tokens ask for. A training document's own anchors don't count for itself.
+Base scores look up each document's words in the counts: the most frequent words,
+at most FREQUENT, are sent along; the rest meet the counts in a join.
 
 Defined results: a null text counts as empty: one end token; held-out rows and
 all others are scored in the same way; rows with a null id are training rows;
@@ -71,11 +73,13 @@ PRIOR = 0.1
 KEPT = 500_000
 #: Log odds from which the first weights are sure of a bit.
 SURE = 1.5
-#: Anchors are contexts of three words, one in eight by hash, that foretell the eight words behind them.
+#: Anchors are contexts of three words that foretell the eight words behind them.
 ANCHOR = 3
 AHEAD = 8
-#: log2 of the anchors that are sent along: where two share a slot, the one seen more often stays.
-ANCHOR_BITS = 21
+#: Places of the corpus that meet in one bucket of contexts.
+BUCKET = 2_000_000
+#: Bytes of text that are scored together.
+SLICE = 2 << 20
 #: How likely an anchor's words are at first, as log odds, by how often it was seen: 1, 2-3, 4-15, more.
 TRUST = np.array([-1.0, 0.0, 0.5, 1.0])
 #: Different words that a worker counts before it hands them on.
@@ -218,15 +222,22 @@ def anchors_in(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         context = (context + h[k : n - ANCHOR + k]) * _MIX[k]
         context ^= context >> np.uint64(32)
         whole &= h[k : n - ANCHOR + k] > 0
-    at = np.flatnonzero(whole & (context >> np.uint64(61) == 0))
+    at = np.flatnonzero(whole)
     short = np.r_[(hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1), np.zeros(AHEAD, np.uint16)]
     short[:n][hashes == 0] = 0
     ahead = short[at[:, None] + ANCHOR + np.arange(AHEAD)]
     return at + ANCHOR, context[at], ahead * np.logical_and.accumulate(ahead > 0, axis=1)
 
 
+def spread(hashes: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Token hashes with a zero behind each document, which keeps anchors from reaching over."""
+    out = np.zeros(len(hashes) + len(lens), np.uint32)
+    out[np.arange(len(hashes)) + np.repeat(np.arange(len(lens)), lens)] = hashes
+    return out
+
+
 def counted_anchors(docs: DataFrame) -> DataFrame:
-    """slot, n, context, a, b: the anchors of a column text (binary), at most one for each of 2 ** ANCHOR_BITS slots, the one seen most often."""
+    """context, a, b, n: all anchors of a column text (binary), and how often each was seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,38 +247,147 @@ def counted_anchors(docs: DataFrame) -> DataFrame:
                 pair = np.ascontiguousarray(ahead).view(np.int64).reshape(-1, 2)
                 yield pa.record_batch([pa.array(context.view(np.int64)), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["context", "a", "b"])
 
-    rows = docs.select("text").mapInArrow(run, "context long, a long, b long").groupBy("context", "a", "b").agg(F.count("*").alias("n"))
-    slot = F.col("context").bitwiseAND((1 << ANCHOR_BITS) - 1)
-    return rows.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "context", "a", "b")).alias("best")).select("slot", "best.*")
+    return docs.select("text").mapInArrow(run, "context long, a long, b long").groupBy("context", "a", "b").agg(F.count("*").alias("n"))
+
+
+def of_others(context: np.ndarray, ahead: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which places' contexts other owners' places share, how often (by weight, 0 for places that aren't training), and how often each of the place's words ahead stood there too."""
+    order = np.argsort(context, kind="stable")
+    sorted_ = context[order]
+    group = np.cumsum(np.r_[False, sorted_[1:] != sorted_[:-1]])[: len(order)]
+    met = ((np.bincount(group) > 1) & (np.bincount(group, weight[order]) > 0))[group]
+    order, group = order[met], group[met].astype(np.int64)
+    if not len(order):
+        return order, np.empty(0, np.int64), np.empty((0, AHEAD), np.int64)
+    own = np.unique(owner[order], return_inverse=True)[1].astype(np.int64)
+    weight, owners = weight[order].astype(np.int64), int(own.max()) + 1
+
+    def others(key: np.ndarray) -> np.ndarray:
+        if int(key.max()).bit_length() + owners.bit_length() > 62:
+            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        key = key * owners + own
+        by = np.argsort(key)
+        key, total = key[by], np.r_[0, np.cumsum(weight[by])]
+
+        def sums(k: np.ndarray) -> np.ndarray:
+            edge = np.r_[np.flatnonzero(np.r_[True, k[1:] != k[:-1]]), len(k)]
+            return np.repeat(np.diff(total[edge]), np.diff(edge))
+
+        out = np.empty(len(by), np.int64)
+        out[by] = sums(key // owners) - sums(key)
+        return out
+
+    n = others(group)
+    seen = np.stack([np.where(ahead[order, k] > 0, others(group << 16 | ahead[order, k]), 0) for k in range(AHEAD)], 1)
+    return order[n > 0], n[n > 0], seen[n > 0]
+
+
+def foretold(hashes: np.ndarray, at: np.ndarray, n: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the share of the nearest known anchor's places where it stood (-1: no anchor), and the anchor's class, from what of_others found for places at."""
+    share, kind = np.full(len(hashes) + AHEAD, -1.0), np.zeros(len(hashes) + AHEAD, np.int64)
+    ends = np.flatnonzero(hashes == 0)
+    left = ends[np.searchsorted(ends, at)] - at
+    of = np.searchsorted([2, 4, 16], n, side="right")
+    for k in range(AHEAD - 1, -1, -1):  # the nearest anchor has the last say
+        here = left > k
+        share[at[here] + k] = seen[here, k] / n[here]
+        kind[at[here] + k] = of[here]
+    return share[: len(hashes)], kind[: len(hashes)]
 
 
 @dataclass
 class Anchors:
+    """Anchors of a corpus that one worker can hold."""
+
     context: np.ndarray
     ahead: np.ndarray
     n: np.ndarray
 
     @classmethod
     def of(cls, counted: DataFrame) -> Anchors:
-        out = cls(np.zeros(1 << ANCHOR_BITS, np.int64), np.zeros((1 << ANCHOR_BITS, AHEAD), np.uint16), np.zeros(1 << ANCHOR_BITS, np.uint16))
-        for batch in counted.select("slot", F.least("n", F.lit(60_000)).alias("n"), "context", "a", "b").toArrow().to_batches():  # a row a slot at most
-            slot, n, context, a, b = (np.asarray(c) for c in batch.columns)
-            out.n[slot], out.context[slot] = n, context
-            out.ahead[slot] = np.ascontiguousarray(np.stack([a, b], 1)).view(np.uint16)
-        return out
+        found = counted.select("context", "a", "b", "n").toArrow()
+        context, a, b, n = (c.to_numpy() for c in found.columns)
+        return cls(context.view(np.uint64), np.ascontiguousarray(np.stack([a, b], 1)).view(np.uint16), n)
 
     def foretold(self, hashes: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the word that the last anchor foretells, as 16 bits (0: none), and the anchor's class. own: 1 where a document's own anchors were counted, which don't count for it."""
-        at, context, _ = anchors_in(hashes)
-        slot = (context & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
-        n = self.n[slot].astype(np.int64) - own[at]
-        ok = (self.context[slot] == context.view(np.int64)) & (n > 0)
-        at, slot, n = at[ok], slot[ok], n[ok]
-        word, kind = np.zeros(len(hashes) + AHEAD, np.uint16), np.zeros(len(hashes) + AHEAD, np.int64)
-        for k in range(AHEAD - 1, -1, -1):  # the nearest anchor has the last say
-            word[at + k] = self.ahead[slot, k]
-            kind[at + k] = np.searchsorted([2, 4, 16], n, side="right")
-        return word[: len(hashes)], kind[: len(hashes)]
+        """own: 1 where a document's own anchors were counted, one of which doesn't count for it."""
+        at, context, ahead = anchors_in(hashes)
+        many = len(self.n)
+        which, n, seen = of_others(np.r_[self.context, context], np.r_[self.ahead, ahead], np.arange(many + len(at)), np.r_[self.n, np.zeros(len(at), np.int64)])
+        asked = which >= many
+        place = at[which[asked] - many]
+        n, seen = n[asked] - own[place], np.maximum(seen[asked] - own[place, None], 0)
+        return foretold(hashes, place[n > 0], n[n > 0], seen[n > 0])
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def _loose(data: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def sliced(data: DataFrame, kind: str) -> DataFrame:
+    """doc_id, train, slice, d, text: documents dealt to slices of about SLICE bytes, numbered in each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        name = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for ids, train, texts in slices(batch, SLICE):
+                yield pa.record_batch([ids, train, pa.array(np.full(len(texts), name)), pa.array(np.arange(len(texts), dtype=np.int32)), pa.array(texts, pa.binary())], ["doc_id", "train", "slice", "d", "text"])
+                name += 1
+
+    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"doc_id {kind}, train boolean, slice long, d int, text binary"), "texts")
+
+
+def hints(texts: DataFrame, buckets: int) -> DataFrame:
+    """slice, d, at, n, seen: for slices of texts what all training documents but its own foretell for each place; a row for each slice and bucket, of compressed numbers."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, ds, trains, part in slices(batch, SLICE):
+                names, ds, trains = (x.to_numpy(zero_copy_only=False) for x in (names, ds, trains))
+                edges = np.r_[np.flatnonzero(np.r_[True, names[1:] != names[:-1]]), len(names)]
+                for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                    words = [word_hashes([*t.translate(LOWER).split(), END]) for t in part[lo:hi]]
+                    lens = np.array([len(w) for w in words])
+                    place, context, ahead = anchors_in(spread(np.concatenate(words), lens))
+                    begin = np.cumsum(lens + 1) - lens - 1
+                    of = np.searchsorted(begin, place, side="right") - 1
+                    bucket = (context % np.uint64(buckets)).astype(np.int64)
+                    by = np.argsort(bucket, kind="stable")
+                    cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+                    d = (ds[lo:hi].astype(np.uint32) * 2 + trains[lo:hi])[of[by]].astype(np.uint32)
+                    at, context, ahead = (place - begin[of])[by].astype(np.uint32), context[by], ahead[by]
+                    some = np.flatnonzero(np.diff(cuts))
+                    cols = [[_squeezed(x[cuts[i] : cuts[i + 1]]) for i in some] for x in (context, ahead, d, at)]
+                    yield pa.record_batch([pa.array(some), pa.array(np.full(len(some), names[lo])), *(pa.array(c, pa.binary()) for c in cols)], ["bucket", "slice", "context", "ahead", "d", "at"])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        names = rows.column("slice").to_numpy()
+        blobs = {k: [_loose(b.as_py(), t) for b in rows.column(k)] for k, t in (("context", np.uint64), ("ahead", np.uint16), ("d", np.uint32), ("at", np.uint32))}
+        sizes = np.array([len(x) for x in blobs["at"]])
+        d, at = np.concatenate(blobs["d"]), np.concatenate(blobs["at"])
+        part = np.repeat(np.arange(len(names)), sizes)
+        owner = np.unique(names, return_inverse=True)[1][part].astype(np.int64) << 32 | d
+        which, n, seen = of_others(np.concatenate(blobs["context"]), np.concatenate(blobs["ahead"]).reshape(-1, AHEAD), owner, (d & 1).astype(np.int64))
+        by = np.argsort(which)
+        which, n, seen = which[by], n[by].astype(np.uint32), seen[by].astype(np.uint32)
+        cuts = np.searchsorted(part[which], np.arange(len(names) + 1))
+        some = np.flatnonzero(np.diff(cuts))
+        cols = [[_squeezed(x[cuts[i] : cuts[i + 1]]) for i in some] for x in (d[which] >> np.uint32(1), at[which], n, seen)]
+        return pa.table([pa.array(names[some], pa.int64()), *(pa.array(c, pa.binary()) for c in cols)], ["slice", "d", "at", "n", "seen"])
+
+    asked = texts.select("slice", "d", "train", "text").mapInArrow(ask, "bucket long, slice long, context binary, ahead binary, d binary, at binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "slice long, d binary, at binary, n binary, seen binary")
 
 
 def uniform_weights() -> np.ndarray:
@@ -415,7 +535,7 @@ class Scorer:
     and refined along the document.
     """
 
-    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors, frequent: dict[bytes, int] | None = None):
+    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors | None = None, frequent: dict[bytes, int] | None = None):
         self.frequent = frequent or {}
         self.code, self.tables, self.weights, self.anchors = code, Guesses.of(tables), weights.astype(np.float32), anchors
         self._reset()
@@ -473,18 +593,17 @@ class Scorer:
 
     def score(self, docs: list[list[bytes]], own: np.ndarray) -> np.ndarray:
         """log10 of the model's probability of each document, given as words; the end token is added here. own: whether it was a training document."""
-        return self.score_numbered(*self.numbered(docs), own) if docs else np.empty(0)
-
-    def score_numbered(self, tokens: np.ndarray, lens: np.ndarray, own: np.ndarray) -> np.ndarray:
+        if not docs:
+            return np.empty(0)
+        tokens, lens = self.numbered(docs)
+        hashes = spread(self.hash[tokens], lens)
+        return self.score_numbered(tokens, lens, *self.anchors.foretold(hashes, np.repeat(own.astype(np.int64), lens + 1)))
+
+    def score_numbered(self, tokens: np.ndarray, lens: np.ndarray, share: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Scores of documents by their words' numbers, and by what anchors foretell for each place, with a place behind each document."""
         sure, count, first = self.sure, self.count, self.first
         start = np.cumsum(lens) - lens
-        # a zero behind each document keeps anchors from reaching over
         begin = start + np.arange(len(lens))
-        hashes = np.zeros(len(tokens) + len(lens), np.uint32)
-        where = np.arange(len(tokens)) + np.repeat(np.arange(len(lens)), lens)
-        hashes[where] = self.hash[tokens]
-        foretold, kind = self.anchors.foretold(hashes, np.repeat(own.astype(np.int64), lens + 1))
-        hit = (foretold == ((hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1))) & (foretold > 0)
         order = np.argsort(-lens, kind="stable")
         total = np.zeros(len(lens))
         weights = np.repeat(self.weights[None], len(lens), axis=0)
@@ -509,13 +628,13 @@ class Scorer:
                 weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
                 # a token's probability mixes what its anchor foretells with what its bits give
                 place = np.repeat(begin[some] + b, sizes) + within
-                told, k = foretold[place] > 0, kind[place]
+                told, k, likely = share[place] >= 0, kind[place], np.maximum(share[place], 0)
                 odds = trust[some]
                 m = np.where(told, 1 / (1 + np.exp(-odds[doc, k])), 0.0)
-                both = np.where(hit[place], m, 0.0) + (1 - m) * 10.0**spelt
+                both = m * likely + (1 - m) * 10.0**spelt
                 total[some] += np.bincount(doc, np.where(told & (both > 0), np.log10(np.maximum(both, 1e-300)), spelt + np.log10(1 - m)), len(some))
                 if told.any():
-                    after = np.where(hit[place], m / np.maximum(both, 1e-300), 0.0)
+                    after = m * likely / np.maximum(both, 1e-300)
                     cell = (doc * len(TRUST) + k)[told]
                     up = np.bincount(cell, (after - m)[told], odds.size) / (np.bincount(cell, (m * (1 - m))[told], odds.size) + 1)
                     trust[some] = np.clip(odds + 0.5 * np.clip(up, -4, 4).reshape(odds.shape), -7, 7)
@@ -548,38 +667,40 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte for each row of docs."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    data = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"))
     held = F.coalesce(crc_of_id(F.col("doc_id")) % folds == 0, F.lit(False))
-    counts = cut(counted_tokens(data.where(~held)), "token-counts")
+    data = sliced(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text")).withColumn("train", ~held), kind)
+    counts = cut(counted_tokens(data.where("train")), "token-counts")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, vocabulary = sums["n"], sums["v"]
     top = counts.orderBy(F.desc("c"), "word").limit(frequent).toArrow()  # at most `frequent` words
     known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
-    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), Anchors.of(counted_anchors(data.where(~held))), known))
+    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), frequent=known))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         own = scorer.value
-        for batch in batches:
-            for ids, texts in slices(batch, 2 << 20):
-                tokens, lens = own.numbered([t.translate(LOWER).split() for t in texts])
-                total = own.score_numbered(tokens, lens, np.array([i is None or zlib.crc32(str(i).encode()) % folds != 0 for i in ids.to_pylist()]))
-                starts = np.cumsum(lens) - lens
-                c = own.seen[tokens]
-                logs = np.add.reduceat(np.where(c > 0, np.log10(c + 0.1), 0.0), starts)
-                hits = np.add.reduceat((c > 0).astype(np.int64), starts)
-                # words that aren't among the frequent ones wait for their counts
-                odd = np.flatnonzero(c == 0)
-                pair, times = np.unique(np.repeat(np.arange(len(lens)), lens)[odd] * np.int64(1 << 32) + tokens[odd], return_counts=True)
-                cuts = np.searchsorted(pair >> 32, np.arange(len(lens) + 1)).astype(np.int32)
-                names = own.names
-                rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array([names[i] for i in (pair & 0xFFFFFFFF).tolist()], pa.binary()))
-                sizes = np.add.reduceat(own.size[tokens], starts)
-                yield pa.record_batch(
-                    [ids, pa.array(lens.astype(np.int64)), pa.array(sizes), pa.array(logs), pa.array(hits), pa.array(total, pa.float64()), rare, pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))],
-                    ["doc_id", "n_tokens", "n_bytes", "logs", "hits", "score", "rare", "times"],
-                )
-
-    rows = cut(data.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_bytes long, logs double, hits long, score double, rare array<binary>, times array<int>").withColumn("row", F.monotonically_increasing_id()), "scored")
+        docs = docs.sort_by("d")
+        tokens, lens = own.numbered([t.as_py().translate(LOWER).split() for t in docs.column("text")])
+        starts = np.cumsum(lens) - lens
+        d, at, n, seen = (np.concatenate([np.empty(0, np.uint32), *(_loose(b.as_py(), np.uint32) for b in told.column(k))]).astype(np.int64) for k in ("d", "at", "n", "seen"))
+        total = own.score_numbered(tokens, lens, *foretold(spread(own.hash[tokens], lens), starts[d] + d + at, n, seen.reshape(-1, AHEAD)))
+        c = own.seen[tokens]
+        logs = np.add.reduceat(np.where(c > 0, np.log10(c + 0.1), 0.0), starts)
+        hits = np.add.reduceat((c > 0).astype(np.int64), starts)
+        # words that aren't among the frequent ones wait for their counts
+        odd = np.flatnonzero(c == 0)
+        pair, times = np.unique(np.repeat(np.arange(len(lens)), lens)[odd] * np.int64(1 << 32) + tokens[odd], return_counts=True)
+        cuts = np.searchsorted(pair >> 32, np.arange(len(lens) + 1)).astype(np.int32)
+        names = own.names
+        rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array([names[i] for i in (pair & 0xFFFFFFFF).tolist()], pa.binary()))
+        sizes = np.add.reduceat(own.size[tokens], starts)
+        return pa.table(
+            [docs.column("doc_id"), pa.array(lens.astype(np.int64)), pa.array(sizes), pa.array(logs), pa.array(hits), pa.array(total, pa.float64()), rare, pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))],
+            ["doc_id", "n_tokens", "n_bytes", "logs", "hits", "score", "rare", "times"],
+        )
+
+    told = hints(data, max(1, -(-n_train // BUCKET)))
+    met = data.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_bytes long, logs double, hits long, score double, rare array<binary>, times array<int>")
+    rows = cut(met.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     met = rare.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.1)).alias("more_logs"), F.sum("times").alias("more_hits"))
     out = rows.drop("rare", "times").join(met, "row", "left")

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -389,6 +390,45 @@ def test_model_is_a_distribution(docs):
     assert 0.05 < 10**end + (10**alone).sum() <= 1 + 1e-6
 
 
+def test_every_anchor_counts():
+    """Against brute force: all continuations of a context count, of all training places but a document's own."""
+    rng = np.random.default_rng(5)
+    docs = [(rng.integers(1, 4, int(rng.integers(1, 30))) * 2 + 1).astype(np.uint32) << np.uint32(16) for _ in range(60)]
+    train = np.array([i % 4 > 0 for i in range(60)])
+    lens = np.array([len(d) for d in docs])
+    hashes = scoring.spread(np.concatenate(docs), lens)
+    begin = np.cumsum(lens + 1) - lens - 1
+    at, context, ahead = scoring.anchors_in(hashes)
+    of = np.searchsorted(begin, at, side="right") - 1
+    which, n, seen = scoring.of_others(context, ahead, of, train[of].astype(np.int64))
+    share, _ = scoring.foretold(hashes, at[which], n, seen)
+    known = 0
+    for i, d in enumerate(docs):
+        for p in range(len(d)):
+            want = -1.0
+            for k in range(scoring.AHEAD):
+                q = p - k
+                if q < scoring.ANCHOR:
+                    break
+                same = [(j, r) for j, e in enumerate(docs) if train[j] and j != i for r in range(3, len(e)) if (e[r - 3 : r] == d[q - 3 : q]).all()]
+                if same:
+                    want = sum(r + k < len(docs[j]) and docs[j][r + k] == d[p] for j, r in same) / len(same)
+                    break
+            assert abs(share[begin[i] + p] - want) < 1e-12
+            known += want >= 0
+    assert known > 100
+
+
+def test_rare_passages_are_known(spark):
+    """Each passage of seven words stands in two documents only: both gain from it, whichever its contexts are."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passages = [" ".join(word() for _ in range(7)) for _ in range(60)]
+    texts = [*passages * 2, *(" ".join(word() for _ in range(7)) for _ in range(60))]
+    got = {r.doc_id: r.score for r in scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folds=1_000_000_007).collect()}
+    assert max(got[i] for i in range(120, 180)) < min(got[i] for i in range(120))
+
+
 def test_huffman_code_is_complete():
     length, _, _ = scoring.huffman(np.arange(256.0))
     assert abs((0.5**length).sum() - 1) < 1e-12
