@@ -1,16 +1,15 @@
 """Language-model scoring: a smoothed unigram base, and online logistic context mixing of bit predictors.
 
 The model reads a text as its tokens' bytes, each word ended by a space, and
-each byte as the bits of a Huffman code made from the training counts. Three
+each byte as the bits of a Huffman code made from the training counts. Six
 predictors guess every bit, each from counts of ones and zeros hashed by its
-context: the last two bytes, four, or the whole word so far (the last one
-equals the unigram model where a word is known). Their guesses, stretched, are
+context: the last byte, two, three, four, six, or the whole word so far (the last
+one equals the unigram model where a word is known). Their guesses, stretched, are
 added with weights that a gate selects: how often the word so far and the last
-four bytes were seen. Weights start from values fitted on all training words,
+six bytes were seen. Weights start from values fitted on all training words,
 each with one occurrence of its own left out, and are refined online: after
 every block of a document's tokens its own weights move along the gradient of
-the block's coding cost. Bits of which the first weights are sure keep them. One
-more predictor looks further back: anchors, three words that training documents
+the block's coding cost. One more predictor looks further back: anchors, three words that training documents
 hold, foretell the eight words behind them, each word as often as it stood there,
 with a weight that is refined in the same way; a word's probability mixes this
 with its spelling. The total cost is the score.
@@ -52,27 +51,25 @@ from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
 FREQUENT = 200_000
-#: log2 of the slots of each predictor's table: the last two bytes, four, the word so far.
-TABLE_BITS = (20, 21, 22)
+#: log2 of the slots of each predictor's table: the last byte, two, three, four, six, the word so far.
+TABLE_BITS = (17, 20, 20, 21, 21, 22)
 PREDICTORS = len(TABLE_BITS)
-ORDERS = (2, 4)
+ORDERS = (1, 2, 3, 4, 6)
 #: Slots of a table that are summed together.
 PART = 1 << 16
 #: Words whose counts one task adds to its tables.
 TABLE_WORDS = 700_000
 #: Tokens after which a document's weights are refined.
-BLOCK = 128
+BLOCK = 64
 RATE = 0.02
-#: Classes of how often the word so far, and its last four bytes, were seen.
+#: Classes of how often the word so far, and its last six bytes, were seen.
 SEEN = np.array([1, 2, 3, 5, 9, 20, 60, 250])
 SEEN_SHORT = np.array([1, 4, 32])
 #: Gates: both classes, and whether the word so far has only ever gone on with one bit.
 GATES = (len(SEEN) + 1) * 2 * (len(SEEN_SHORT) + 1)
 PRIOR = 0.1
 #: Words whose bits a worker keeps between batches; beyond that, the half that came first stays.
-KEPT = 500_000
-#: Log odds from which the first weights are sure of a bit.
-SURE = 1.5
+KEPT = 200_000
 #: Anchors are contexts of three words that foretell the eight words behind them.
 ANCHOR = 3
 AHEAD = 8
@@ -528,12 +525,7 @@ class Guesses:
 
 
 class Scorer:
-    """Scores texts in batches; what a text's score is does not depend on its batch.
-
-    Bits of which the first weights are sure, whichever way, cost what these
-    say; a word's sum of them is found once a batch. Only the others are mixed
-    and refined along the document.
-    """
+    """Scores texts in batches; what a text's score is does not depend on its batch. A word's guesses are looked up once a batch; all its bits are mixed and refined along the document."""
 
     def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors | None = None, frequent: dict[bytes, int] | None = None):
         self.frequent = frequent or {}
@@ -542,27 +534,22 @@ class Scorer:
 
     def _reset(self) -> None:
         self.ids: dict[bytes, int] = {}
-        self.sure, self.count, self.hash = np.empty(0), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.count, self.hash = np.empty(0, np.int64), np.empty(0, np.uint32)
         self.first, self.size, self.seen, self.names = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), []
         self.st, self.gate = np.empty((0, PREDICTORS), np.float16), np.empty(0, np.uint8)
 
     def learn(self, new: list[bytes]) -> None:
-        """Adds words: for each the cost of its sure bits and how many others it has; of these the guesses and gates."""
-        sure, count, sts, gates = [self.sure], [self.count], [self.st], [self.gate]
+        """Adds words: for each how many bits it has; of these the guesses and gates."""
+        count, sts, gates = [self.count], [self.st], [self.gate]
         for at in range(0, len(new), 8192):
             paths = paths_of(new[at : at + 8192], self.code)
             st, gate = self.tables.at(paths.slots)
             sign = paths.bit.astype(np.float32) * 2 - 1
-            dot = np.einsum("ij,ij->i", st, self.weights[gate])
-            open_ = np.abs(dot) <= SURE
-            cost = np.log1p(np.exp(-dot * sign)) * np.float32(-1 / np.log(10))
-            cost[open_] = 0
-            sure.append(np.add.reduceat(cost, paths.start[:-1], dtype=np.float64))
-            count.append(np.add.reduceat(open_.astype(np.int64), paths.start[:-1]))
-            sts.append((st[open_] * sign[open_, None]).astype(np.float16))  # guesses of the right bit
-            gates.append(gate[open_].astype(np.uint8))
+            count.append(np.diff(paths.start))
+            sts.append((st * sign[:, None]).astype(np.float16))  # guesses of the right bit
+            gates.append(gate.astype(np.uint8))
         self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
-        self.sure, self.count, self.st, self.gate = map(np.concatenate, (sure, count, sts, gates))
+        self.count, self.st, self.gate = map(np.concatenate, (count, sts, gates))
         self.first = np.cumsum(self.count) - self.count
         self.hash = np.concatenate([self.hash, word_hashes(new)])
         self.size = np.concatenate([self.size, np.fromiter((len(w) + (w != END) for w in new), np.int64, len(new))])
@@ -573,7 +560,7 @@ class Scorer:
         n = KEPT // 2
         bits = int(self.first[n])
         self.ids, self.names = dict(islice(self.ids.items(), n)), self.names[:n]
-        self.sure, self.count, self.hash, self.first, self.size, self.seen = (x[:n].copy() for x in (self.sure, self.count, self.hash, self.first, self.size, self.seen))
+        self.count, self.hash, self.first, self.size, self.seen = (x[:n].copy() for x in (self.count, self.hash, self.first, self.size, self.seen))
         self.st, self.gate = self.st[:bits].copy(), self.gate[:bits].copy()
 
     def numbered(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -601,7 +588,7 @@ class Scorer:
 
     def score_numbered(self, tokens: np.ndarray, lens: np.ndarray, share: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """Scores of documents by their words' numbers, and by what anchors foretell for each place, with a place behind each document."""
-        sure, count, first = self.sure, self.count, self.first
+        count, first = self.count, self.first
         start = np.cumsum(lens) - lens
         begin = start + np.arange(len(lens))
         order = np.argsort(-lens, kind="stable")
@@ -622,9 +609,9 @@ class Scorer:
                 key = np.repeat(doc * GATES, n) + self.gate[at]
                 x = self.st[at].astype(np.float32)
                 mine = weights[some].reshape(-1, PREDICTORS)
-                right = 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, mine[key])))
-                spelt = sure[block] + np.diff(np.r_[0.0, np.cumsum(np.log10(np.maximum(right, np.float32(1e-9))), dtype=np.float64)][np.r_[0, ends]])
-                step(mine, key, x, 1 - right, np.einsum("ij,ij->i", x, x), RATE)
+                against = np.exp(-np.maximum(np.einsum("ij,ij->i", x, mine[key]), np.float32(-80)))
+                spelt = -np.diff(np.r_[0.0, np.cumsum(np.log1p(against), dtype=np.float64)][np.r_[0, ends]]) / np.log(10)
+                step(mine, key, x, against / (1 + against), np.einsum("ij,ij->i", x, x), RATE)
                 weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
                 # a token's probability mixes what its anchor foretells with what its bits give
                 place = np.repeat(begin[some] + b, sizes) + within

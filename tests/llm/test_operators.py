@@ -429,6 +429,27 @@ def test_rare_passages_are_known(spark):
     assert max(got[i] for i in range(120, 180)) < min(got[i] for i in range(120))
 
 
+def test_all_bits_are_mixed(docs):
+    """Against a plain loop: every bit of a block costs what the document's weights say, and every bit moves them for the next block."""
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    code, tables, weights = scoring.model_of(scoring.counted_tokens(texts))
+    scorer = scoring.Scorer(code, tables, weights, scoring.Anchors.of(scoring.counted_anchors(texts)))
+    assert scoring.ORDERS == (1, 2, 3, 4, 6)
+    strange = [b"zqxj", b"abc", b"\xff\xfe", b"word"] * 800  # no training document has three of these in a row
+    paths = scoring.paths_of([*strange, b"\n"], code)
+    st, gate = scoring.Guesses.of(tables).at(paths.slots)
+    w, cost = weights.astype(np.float64), 0.0
+    for at in range(0, len(strange) + 1, scoring.BLOCK):
+        some = slice(paths.start[at], paths.start[min(at + scoring.BLOCK, len(strange) + 1)])
+        x, g, bit = st[some].astype(np.float64), gate[some], paths.bit[some]
+        p = 1 / (1 + np.exp(-(x * w[g]).sum(1)))
+        cost += np.log10(np.where(bit == 1, p, 1 - p)).sum()
+        w = w.copy()
+        for k in np.unique(g):
+            w[k] += ((bit - p)[:, None] * x)[g == k].sum(0) * 4 * scoring.RATE / ((x * x)[g == k].sum() + 4)
+    assert abs(scorer.score([strange], np.zeros(1, bool))[0] - cost) < 1e-3 * abs(cost)
+
+
 def test_huffman_code_is_complete():
     length, _, _ = scoring.huffman(np.arange(256.0))
     assert abs((0.5**length).sum() - 1) < 1e-12
