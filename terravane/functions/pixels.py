@@ -482,19 +482,26 @@ def clusters(values: np.ndarray, reach: float) -> np.ndarray:
         own = new
 
 
-def corners(img: np.ndarray, most: int, quality: float, apart: float, block: int = 3) -> list[tuple[int, int]]:
-    """Strongest corners: the smaller eigenvalue of the gradient's covariance, at least quality of the best."""
+def corners(img: np.ndarray, most: int | None, quality: float, apart: float, block: int = 3) -> list[tuple[int, int]]:
+    """Strongest corners: the smaller eigenvalue of the gradient's covariance, at least quality of the best; most: None for all."""
     gx, gy = _gradients(to_grey(img))
     k = np.ones((block, block))
     a, b, c = convolve(gx * gx, k), convolve(gx * gy, k), convolve(gy * gy, k)
     e = (a + c) / 2 - np.sqrt(((a - c) / 2) ** 2 + b * b)
+    h, w = e.shape
+    strong = np.flatnonzero((e.ravel() > 0) & (e.ravel() >= quality * e.max())) if e.size else np.empty(0, np.int64)
+    reach = max(0, math.ceil(apart))
+    dy, dx = np.mgrid[-reach : reach + 1, -reach : reach + 1]
+    near = np.hypot(dx, dy) < apart
+    free = np.ones((h + 2 * reach, w + 2 * reach), bool)  # with a margin, so that discs need no clipping
     out: list[tuple[int, int]] = []
-    for i in np.argsort(-e, axis=None, kind="stable"):
-        y, x = divmod(int(i), e.shape[1])
-        if len(out) >= most or e[y, x] <= 0 or e[y, x] < quality * e.max():
+    for i in strong[np.argsort(-e.ravel()[strong], kind="stable")]:
+        if most is not None and len(out) >= most:
             break
-        if all(math.hypot(x - p, y - q) >= apart for p, q in out):
+        y, x = divmod(int(i), w)
+        if free[y + reach, x + reach]:
             out.append((x, y))
+            free[y : y + 2 * reach + 1, x : x + 2 * reach + 1] &= ~near
     return out
 
 

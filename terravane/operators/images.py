@@ -303,6 +303,6 @@ def decode_png(files: DataFrame, space: str = "RGB") -> DataFrame:
     return files.select("path", "content").mapInPandas(run, SCHEMA)
 
 
-def key_points(images: DataFrame, most: int = 500, quality: float = 0.01, apart: float = 3.0) -> DataFrame:
-    """Pixel positions px, py of an image's strongest corners, strongest first; pixels_to_points turns them into map positions."""
+def key_points(images: DataFrame, most: int | None = None, quality: float = 0.01, apart: float = 3.0) -> DataFrame:
+    """Pixel positions px, py of all corners of an image, strongest first, or of the most strongest; pixels_to_points turns them into map positions."""
     return detect(images, lambda a: px.corners(a, most, quality, apart), "px int, py int")

@@ -233,3 +233,16 @@ def test_defragment_stream(spark, tmp_path):
     assert [(r.identifier, r.content) for r in spark.table("whole").where("complete").collect()] == [("m", "ab")]
 
 
+
+
+def test_key_points_have_no_cap(spark):
+    """900 squares have four corners each; a cap is taken only where it is asked for."""
+    img = np.zeros((370, 370), np.uint8)
+    for y in range(30):
+        for x in range(30):
+            img[12 * y + 6 : 12 * y + 12, 12 * x + 6 : 12 * x + 12] = 255
+    rows = spark.createDataFrame([images.row_of("a", 0.0, "GRAYSCALE", img)], images.SCHEMA)
+    got = [(r.px, r.py) for r in images.key_points(rows).orderBy("n").collect()]
+    assert len(got) >= 3600 and {(round((x - 6) / 12), round((y - 6) / 12)) for x, y in got} >= {(x, y) for x in range(30) for y in range(30)}
+    assert all(np.hypot(np.array(got)[:, 0] - x, np.array(got)[:, 1] - y)[np.arange(len(got)) != i].min() >= 3 for i, (x, y) in enumerate(got))
+    assert [(r.px, r.py) for r in images.key_points(rows, 500).orderBy("n").collect()] == got[:500]
