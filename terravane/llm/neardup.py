@@ -227,10 +227,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """docs with one document of each group, that of the smallest id; rows with a null id stay. Of rows that repeat an id one stays at most."""
-    groups = near_groups(docs, id_col, text_col, radius)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    out = docs.join(keep, docs[id_col] == keep["__id"], "left_semi")
-    if not docs.where(docs[id_col].isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([id_col])
-    return out.unionAll(docs.where(docs[id_col].isNull()))
+    """docs with one row of each group, that of the smallest id, and of the smallest text hash where ids are equal; null ids come last. Rows alike in id and text are one."""
+    # the id's place among all: null ids last, and equal ids told apart by their texts
+    key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), F.sha2(F.coalesce(docs[text_col].cast("binary"), F.lit("").cast("binary")), 256).alias("sha"))
+    marked = docs.withColumn("__key", key)
+    groups = near_groups(marked, "__key", text_col, radius)
+    keep = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id.id").alias("__id"), F.col("doc_id.sha").alias("__sha")).agg(F.count("*").alias("__n")), "kept")
+    out = marked.join(keep, marked["__key.id"].eqNullSafe(keep["__id"]) & (marked["__key.sha"] == keep["__sha"]), "left_semi")
+    if not keep.where("__n > 1").isEmpty():
+        out = out.dropDuplicates(["__key"])
+    return out.drop("__key")

@@ -210,6 +210,19 @@ def test_simhash(docs, rows, empty):
     assert neardup.near_groups(empty).count() == 0 and neardup.drop_near_copies(empty).count() == 0
 
 
+def test_near_copies_with_repeated_and_null_ids(spark):
+    """Exactly one row of each group stays, whatever its id."""
+    rng = random.Random(11)
+    one, two, three, four = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300)) for _ in range(4))
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " x"), (None, three), (None, three + " x"), (None, four), (5, four + " x"), (1, one), (6, three[:-1] + "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.component_id for r in neardup.near_groups(docs.select(F.col("text").alias("doc_id"), "text")).distinct().collect()}
+    assert len(set(group.values())) == 4
+    kept = [tuple(r) for r in neardup.drop_near_copies(docs).collect()]
+    assert sorted(i for i, _ in kept) == [1, 1, 5, 6] and {group[t] for _, t in kept} == set(group.values()) and set(kept) <= set(rows)
+    assert neardup.drop_near_copies(docs.where("doc_id is null")).count() == 2
+
+
 @pytest.mark.parametrize(("tile", "key_rows"), [(4, 1024), (16, 1), (4096, 1024)])
 def test_links_by_tiles(spark, tile, key_rows, monkeypatch):
     """Large keys cut into tiles, and any number of segments, lose no link."""
