@@ -5,7 +5,8 @@ A source gives whole copies of itself and, for the rest of its target, a prefix
 of its rows in a pseudo-random order; the row where the prefix ends is found
 exactly by narrowing down the order's value in steps of 1024, each a small
 aggregate. What the prefix leaves, as its next row is too large, is filled in
-the same way from the smaller rows behind it. A source's rows fall into blocks by the order's leading bits, and
+the same way from the smaller rows behind it, again and again until no row fits.
+A source's rows fall into blocks by the order's leading bits, and
 the number of blocks that each source gives is its quota. The quotas are split
 among output shards by halving the shards again and again: how many blocks of
 each source go left is drawn from the multivariate hypergeometric law, so that
@@ -37,8 +38,6 @@ SEED = 17
 #: A block is the rows of a source that agree in so many leading bits of their order.
 BLOCK_BITS = 7
 STEP_BITS = 10
-#: Times that what a prefix leaves of a target is filled with smaller rows.
-FILLS = 6
 
 
 def words(text: Column) -> Column:
@@ -118,7 +117,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                             open_.append((k, part))
                         break
                     rest[k] -= size
-                    until[k] = (part + 1) << bits
+                    until[k] = min((part + 1) << bits, (1 << 63) - 1)
             if not open_:
                 break
             edge = spark.createDataFrame(open_, "key string, part long")  # a row for each source at most
@@ -136,18 +135,17 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     blocks = {k: sorted({p[0] >> (STEP_BITS - BLOCK_BITS) for p in parts[k]}) for k in keys}
     until = prefixes(base, rest, parts)
     drawn = {k: [(0, u, 1 << 62)] for k, u in until.items() if u}
-    for _ in range(FILLS):  # the row after a prefix was too large: smaller ones behind it fill what is left
-        gaps = [(k, until.get(k, 0), int(r)) for k, r in rest.items() if r >= 1]
-        if not gaps:
-            break
+    begins = {k: until.get(k, 0) for k in keys}
+    while gaps := [(k, b, int(rest[k])) for k, b in begins.items() if rest[k] >= 1]:  # the row after a prefix was too large: smaller ones behind it fill what is left, until none fits
         fill = base.join(F.broadcast(spark.createDataFrame(gaps, "key string, begin long, most long")), "key").where("order >= begin and size <= most and size > 0").select("key", "size", "order")
         more = prefixes(fill, rest)
-        if not more:
-            break
+        stuck = [k for k, b, _ in gaps if k in more and more[k] <= b]  # rows drawn together that fit singly, but not all of them
+        past = {r["key"]: r["order"] + 1 for r in fill.where(F.col("key").isin(stuck)).groupBy("key").agg(F.min("order").alias("order")).collect()} if stuck else {}
+        begins = past
         for k, begin, most in gaps:
             if more.get(k, 0) > begin:
                 drawn.setdefault(k, []).append((begin, more[k], most))
-                until[k] = more[k]
+                begins[k] = until[k] = more[k]
     rng = np.random.default_rng(seed)
     items = {k: [(c, b) for c in range(w) for b in blocks[k]] + [(w, b) for b in blocks[k] if b << (63 - BLOCK_BITS) < until.get(k, 0)] for k, w in zip(keys, whole, strict=True)}
     shares = split_quotas(np.array([len(items[k]) for k in keys], np.int64), shards, rng) if keys else np.zeros((shards, 0), np.int64)

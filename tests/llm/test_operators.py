@@ -500,6 +500,23 @@ def test_mix_meets_targets(spark):
     assert (abs(s.taken - s.target) <= 40).all() and (s.target <= 3 * s.n + 1e-6).all()
 
 
+def test_mix_fills_until_no_row_fits(spark):
+    """Sizes with a heavy tail, and rows that are drawn together: what is left of a target is less than any row that could still be drawn."""
+    rng = np.random.default_rng(6)
+    size = lambda: int(min(20_000, 1 + rng.pareto(0.35)))
+    rows = [(i, "w " * size(), "abc"[i % 3]) for i in range(1500)]
+    rows += [(i, "w " * 7, "b") for i in range(2000, 2040) for _ in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(docs)
+    whole = {r.key: r.whole for r in plan.sources.collect()}
+    got = mixing.counted(docs, plan).select("source", "__mix.*").toPandas()
+    for source, rows in got.groupby("source"):
+        left = rows.target.iloc[0] - (rows["size"] * rows["copies"]).sum()
+        spare = rows[(rows["copies"] == whole[f"={source}"]) & (rows["size"] > 0)].groupby("order")["size"].sum()
+        assert left >= -1e-6 and (spare > left).all()
+    assert len({s for shards in got.shards for s in shards}) == mixing.SHARDS
+
+
 def test_splitting_tree_keeps_quotas():
     q = np.array([0, 7, 100, 3])
     s = mixing.split_quotas(q, 8, np.random.default_rng(0))
