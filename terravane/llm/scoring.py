@@ -1,44 +1,52 @@
 """Language-model scoring: a smoothed unigram base, and online logistic context mixing of bit predictors.
 
-The model reads a text as its tokens' bytes, each word ended by a space, and
-each byte as the bits of a Huffman code made from the training counts. Six
-predictors guess every bit, each from counts of ones and zeros hashed by its
-context: the last byte, two, three, four, six, or the whole word so far (the last
-one equals the unigram model where a word is known). Their guesses, stretched, are
-added with weights that a gate selects: how often the word so far and the last
-six bytes were seen. Weights start from values fitted on all training words,
-each with one occurrence of its own left out, and are refined online: after
-every block of a document's tokens its own weights move along the gradient of
-the block's coding cost. One more predictor looks further back: anchors, three words that training documents
-hold, foretell the eight words behind them, each word as often as it stood there,
-with a weight that is refined in the same way; a word's probability mixes this
-with its spelling. The total cost is the score.
-
-Byte contexts begin anew with each word, so the tables of bits follow from the
-counts of the training words, which a shuffle over all training documents
-gathers. Tables are summed part by part, in rounds, and sent to the executors;
-their sizes are parameters. Anchors are all kept: every place of every document
-goes to the bucket of its context, where it meets all others of this context, and
-what they foretell comes back to its document. There are as many buckets as the
-counted tokens ask for. A training document's own anchors don't count for itself.
-Base scores look up each document's words in the counts: the most frequent words,
-at most FREQUENT, are sent along; the rest meet the counts in a join.
+The model reads a text as tokens: words, then one end. A token is the bits of a
+Huffman code over the training vocabulary, which holds words seen twice or more
+(at most FREQUENT, the most frequent); any other word is the code's escape and
+then its bytes and a space, each byte the bits of a second code. Four predictors
+guess every bit of a token, each from how often training documents went on with
+a one and a zero after the same context and the same bits of the token so far:
+
+- no context (exact counts of the vocabulary);
+- the most frequent word among the sixteen before (hashed);
+- the word before (hashed);
+- the three words before (whole contexts of all documents, kept apart; a
+  document's own places don't count for it).
+
+Six guess the bits of spelt bytes: no context, the last two, three and five bytes,
+the word so far, the last three bytes with the frequent word before. Guesses,
+stretched, are added with weights that a gate selects: how often the contexts were
+seen, and how many words in a row the three before have foretold. A spelt word
+that the three words before foretell is one more bit behind the escape. Weights
+start from fixed values and are refined online: after every block of a
+document's tokens its own weights move along the gradient of the block's coding
+cost. The bits' total cost is the score, so that the probabilities of all texts
+sum to one at most: the foretold is only ever an input of the mixed bits.
+
+The whole contexts grow with the corpus: every place of every document goes to a
+bucket of its context, where it meets all others of this context, and how often
+the others went on with each of its bits comes back. There are as many buckets
+as the counted tokens ask for. Hashed tables grow with the corpus up to 2 **
+TABLE_BITS slots; they are summed part by part, in rounds, and sent to the
+executors, as is the vocabulary. Counts of words beyond the vocabulary come back
+from the buckets too, so that base scores are exact.
 
 Defined results: a null text counts as empty: one end token; held-out rows and
 all others are scored in the same way; rows with a null id are training rows;
-repeated rows count as often as they occur; without training rows the base
-score is uniform and the model uninformed; an empty table gives no rows; other
-columns are ignored.
+repeated rows count as often as they occur, and for each other; a training
+document's words are in the vocabulary and the hashed tables, which makes its
+score a little high; without training rows the base score is uniform and the
+model uninformed; an empty table gives no rows; other columns are ignored. How
+rows are stored or dealt to tasks doesn't change a score.
 """
 
 from __future__ import annotations
 
 import heapq
-import zlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -51,36 +59,45 @@ from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
 FREQUENT = 200_000
-#: log2 of the slots of each predictor's table: the last byte, two, three, four, six, the word so far.
-TABLE_BITS = (17, 20, 20, 21, 21, 22)
-PREDICTORS = len(TABLE_BITS)
-ORDERS = (1, 2, 3, 4, 6)
+#: Different words that a worker counts before it hands them on.
+HELD = 300_000
+#: log2 of the slots of a hashed table, at most.
+TABLE_BITS = 22
+#: The hashed tables: frequent word before; word before; and of spelt bytes: two, three and five, the word so far, three with the frequent word.
+TABLES = 7
 #: Slots of a table that are summed together.
 PART = 1 << 16
-#: Words whose counts one task adds to its tables.
-TABLE_WORDS = 700_000
-#: Tokens after which a document's weights are refined.
-BLOCK = 64
-RATE = 0.02
-#: Classes of how often the word so far, and its last six bytes, were seen.
-SEEN = np.array([1, 2, 3, 5, 9, 20, 60, 250])
-SEEN_SHORT = np.array([1, 4, 32])
-#: Gates: both classes, and whether the word so far has only ever gone on with one bit.
-GATES = (len(SEEN) + 1) * 2 * (len(SEEN_SHORT) + 1)
-PRIOR = 0.1
-#: Words whose bits a worker keeps between batches; beyond that, the half that came first stays.
-KEPT = 200_000
-#: Anchors are contexts of three words that foretell the eight words behind them.
-ANCHOR = 3
-AHEAD = 8
+#: Training tokens whose bits one task adds to its tables.
+TABLE_TOKENS = 50_000_000
+#: Tokens before a token among which the most frequent one is looked for.
+NEAR = 16
+#: Words of a whole context.
+CONTEXT = 3
 #: Places of the corpus that meet in one bucket of contexts.
 BUCKET = 2_000_000
-#: Bytes of text that are scored together.
-SLICE = 2 << 20
-#: How likely an anchor's words are at first, as log odds, by how often it was seen: 1, 2-3, 4-15, more.
-TRUST = np.array([-1.0, 0.0, 0.5, 1.0])
-#: Different words that a worker counts before it hands them on.
-HELD = 300_000
+#: Bytes of text that are read and scored together.
+SLICE = 4 << 20
+#: Tokens after which a document's weights are refined: so many at first, and later this share of those before.
+BLOCK = 32
+GROWTH = 8
+#: Tokens whose bits are mixed together.
+CHUNK = 12_000
+RATE = 0.05
+#: Classes of how often a context was seen.
+SEEN = np.array([1, 2, 4, 10, 40, 200, 1500])
+PRIOR = 0.3
+#: Classes of how many words in a row the whole contexts have foretold.
+RUNS = np.array([1, 3, 16])
+#: Gates of a token's bits: whole context (none; by run, seen once or more often), word before, frequent word before.
+WHOLE = 1 + 2 * (len(RUNS) + 1)
+GATES = WHOLE * 8 * 4
+#: Gates of spelt bits: word so far, five bytes, three bytes with the frequent word.
+SPELT_GATES = 8 * 3 * 3
+LIMIT = 15.0
+NONE = -1
+
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_MIX32 = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
 def counted_tokens(docs: DataFrame) -> DataFrame:
@@ -107,214 +124,154 @@ def counted_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte its code's length, the inner nodes on its path, and its bits; every byte has a code."""
-    heap = [(int(c) * 256 + 1, b, b) for b, c in enumerate(counts)]
-    heapq.heapify(heap)
-    child: dict[int, tuple[int, int]] = {}
-    node = 256
-    while len(heap) > 1:
-        a, b = heapq.heappop(heap), heapq.heappop(heap)
-        child[node] = (a[2], b[2])
-        heapq.heappush(heap, (a[0] + b[0], node, node))
-        node += 1
-    paths: dict[int, list[tuple[int, int]]] = {}
-    stack: list[tuple[int, list]] = [(node - 1, [])]
-    while stack:
-        at, path = stack.pop()
-        if at < 256:
-            paths[at] = path
-        else:
-            stack += [(child[at][bit], [*path, (at - 256, bit)]) for bit in (0, 1)]
-    length = np.array([len(paths[b]) for b in range(256)])
-    nodes, bits = np.zeros((256, length.max()), np.int64), np.zeros((256, length.max()), np.uint8)
-    for b, path in paths.items():
-        for k, (at, bit) in enumerate(path):
-            nodes[b, k], bits[b, k] = at, bit
-    return length, nodes, bits
-
-
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @dataclass
-class Paths:
-    """Words as bits: for each word where its bits begin, and for each bit its value and its slot in each table."""
-
-    start: np.ndarray
-    bit: np.ndarray
-    slots: list[np.ndarray]
-
-
-def paths_of(words: list[bytes], code: tuple) -> Paths:
-    length, nodes, bits = code
-    lens = np.array([len(w) + (w != END) for w in words], np.int64)
-    text = np.frombuffer(b"".join(w if w == END else w + b" " for w in words), np.uint8).astype(np.int64)
-    begin = np.cumsum(lens) - lens
-    place = np.arange(len(text)) - np.repeat(begin, lens)
-    # contexts of each byte: the bytes before it in its word, 256 beyond its start
-    contexts = []
-    h = np.zeros(len(text), np.uint64)
-    for back in range(1, max(ORDERS) + 1):
-        before = np.full(len(text), 256, np.int64)
-        before[back:] = text[:-back]
-        before[place < back] = 256
-        h = (h + before.astype(np.uint64) + np.uint64(1)) * _MIX[0]
-        h ^= h >> np.uint64(29)
-        if back in ORDERS:
-            contexts.append(h + np.uint64(back))
-    whole = np.zeros(len(text), np.uint64)
-    live = np.flatnonzero(lens > 0)
-    at, value, depth = begin[live], np.full(len(live), 7, np.uint64), 0
-    while len(live):  # all words' byte `depth` at once
-        whole[at] = value
-        value = (value + text[at].astype(np.uint64) + np.uint64(1)) * _MIX[1]
-        value ^= value >> np.uint64(31)
-        depth += 1
-        on = lens[live] > depth
-        live, value = live[on], value[on]
-        at = begin[live] + depth
-    contexts.append(whole)
-    n = length[text]
-    of = np.repeat(np.arange(len(text)), n)
-    k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    node = nodes[text[of], k].astype(np.uint64) + np.uint64(1)
-    slots = [(((c[of] + node * _MIX[2]) * _MIX[0]) >> np.uint64(64 - b)).astype(np.int64) for c, b in zip(contexts, TABLE_BITS, strict=True)]
-    start = np.cumsum(np.add.reduceat(n, begin)) if len(words) else np.empty(0, np.int64)
-    return Paths(np.r_[0, start], bits[text[of], k], slots)
-
-
-def _classes(edges: np.ndarray) -> np.ndarray:
-    return np.searchsorted(edges, np.arange(edges[-1] + 1), side="right").astype(np.uint8)
-
-
-CLASS, CLASS_SHORT = _classes(SEEN), _classes(SEEN_SHORT)
-
-
-def guesses(zeros: list[np.ndarray], ones: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Stretched guesses of each predictor, and the gate of each bit, from its counts."""
-    st = np.empty((len(zeros[0]), PREDICTORS), np.float32)
-    for k in range(PREDICTORS):
-        st[:, k] = np.log((ones[k] + np.float32(PRIOR)) / (zeros[k] + np.float32(PRIOR)))
-    np.clip(st, -12, 12, out=st)
-    whole = CLASS[np.minimum(zeros[-1] + ones[-1], SEEN[-1])].astype(np.int64)
-    short = CLASS_SHORT[np.minimum(zeros[-2] + ones[-2], SEEN_SHORT[-1])]
-    return st, (whole * 2 + (np.minimum(zeros[-1], ones[-1]) == 0)) * (len(SEEN_SHORT) + 1) + short
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """32 bits a word, never 0."""
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) | np.uint32(1)
-
-
-def anchors_in(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of token hashes, zeros between documents: where the foretold words begin, the contexts, and the foretold words, 16 bits each (0: none)."""
-    h = hashes.astype(np.uint64)
-    n = len(h)
-    if n <= ANCHOR:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, AHEAD), np.uint16)
-    context = np.zeros(n - ANCHOR, np.uint64)
-    whole = h[ANCHOR:] > 0
-    for k in range(ANCHOR):
-        context = (context + h[k : n - ANCHOR + k]) * _MIX[k]
-        context ^= context >> np.uint64(32)
-        whole &= h[k : n - ANCHOR + k] > 0
-    at = np.flatnonzero(whole)
-    short = np.r_[(hashes >> np.uint32(16)).astype(np.uint16) | np.uint16(1), np.zeros(AHEAD, np.uint16)]
-    short[:n][hashes == 0] = 0
-    ahead = short[at[:, None] + ANCHOR + np.arange(AHEAD)]
-    return at + ANCHOR, context[at], ahead * np.logical_and.accumulate(ahead > 0, axis=1)
-
-
-def spread(hashes: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Token hashes with a zero behind each document, which keeps anchors from reaching over."""
-    out = np.zeros(len(hashes) + len(lens), np.uint32)
-    out[np.arange(len(hashes)) + np.repeat(np.arange(len(lens)), lens)] = hashes
-    return out
-
-
-def counted_anchors(docs: DataFrame) -> DataFrame:
-    """context, a, b, n: all anchors of a column text (binary), and how often each was seen."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for (texts,) in slices(batch, 4 << 20):
-                hashes = np.concatenate([x for t in texts for x in (word_hashes([*t.translate(LOWER).split(), END]), np.zeros(1, np.uint32))])
-                _, context, ahead = anchors_in(hashes)
-                pair = np.ascontiguousarray(ahead).view(np.int64).reshape(-1, 2)
-                yield pa.record_batch([pa.array(context.view(np.int64)), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["context", "a", "b"])
-
-    return docs.select("text").mapInArrow(run, "context long, a long, b long").groupBy("context", "a", "b").agg(F.count("*").alias("n"))
-
-
-def of_others(context: np.ndarray, ahead: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which places' contexts other owners' places share, how often (by weight, 0 for places that aren't training), and how often each of the place's words ahead stood there too."""
-    order = np.argsort(context, kind="stable")
-    sorted_ = context[order]
-    group = np.cumsum(np.r_[False, sorted_[1:] != sorted_[:-1]])[: len(order)]
-    met = ((np.bincount(group) > 1) & (np.bincount(group, weight[order]) > 0))[group]
-    order, group = order[met], group[met].astype(np.int64)
-    if not len(order):
-        return order, np.empty(0, np.int64), np.empty((0, AHEAD), np.int64)
-    own = np.unique(owner[order], return_inverse=True)[1].astype(np.int64)
-    weight, owners = weight[order].astype(np.int64), int(own.max()) + 1
-
-    def others(key: np.ndarray) -> np.ndarray:
-        if int(key.max()).bit_length() + owners.bit_length() > 62:
-            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        key = key * owners + own
-        by = np.argsort(key)
-        key, total = key[by], np.r_[0, np.cumsum(weight[by])]
-
-        def sums(k: np.ndarray) -> np.ndarray:
-            edge = np.r_[np.flatnonzero(np.r_[True, k[1:] != k[:-1]]), len(k)]
-            return np.repeat(np.diff(total[edge]), np.diff(edge))
-
-        out = np.empty(len(by), np.int64)
-        out[by] = sums(key // owners) - sums(key)
-        return out
-
-    n = others(group)
-    seen = np.stack([np.where(ahead[order, k] > 0, others(group << 16 | ahead[order, k]), 0) for k in range(AHEAD)], 1)
-    return order[n > 0], n[n > 0], seen[n > 0]
+class Code:
+    """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on; for each bit its node, its value as a sign, and the stretched guess of it by the counts."""
 
+    first: np.ndarray
+    size: np.ndarray
+    word: np.ndarray
+    node: np.ndarray
+    sign: np.ndarray
+    guess: np.ndarray
 
-def foretold(hashes: np.ndarray, at: np.ndarray, n: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the share of the nearest known anchor's places where it stood (-1: no anchor), and the anchor's class, from what of_others found for places at."""
-    share, kind = np.full(len(hashes) + AHEAD, -1.0), np.zeros(len(hashes) + AHEAD, np.int64)
-    ends = np.flatnonzero(hashes == 0)
-    left = ends[np.searchsorted(ends, at)] - at
-    of = np.searchsorted([2, 4, 16], n, side="right")
-    for k in range(AHEAD - 1, -1, -1):  # the nearest anchor has the last say
-        here = left > k
-        share[at[here] + k] = seen[here, k] / n[here]
-        kind[at[here] + k] = of[here]
-    return share[: len(hashes)], kind[: len(hashes)]
+    @classmethod
+    def of(cls, counts: np.ndarray) -> Code:
+        """Every symbol has a code, of at most 32 bits."""
+        n = len(counts)
+        true = np.maximum(np.asarray(counts, np.float64), 0.5)
+        floor = np.maximum(true, true.sum() / 2**21)
+        heap = list(zip(floor.tolist(), range(n), strict=True))
+        heapq.heapify(heap)
+        up, side, weight = np.full(2 * n - 1, NONE), np.zeros(2 * n - 1, np.int8), np.r_[true, np.zeros(n - 1)]
+        for node in range(n, 2 * n - 1):
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            up[i] = up[j] = node
+            side[j] = 1
+            weight[node] = weight[i] + weight[j]
+            heapq.heappush(heap, (a + b, node))
+        at, size = np.arange(n), np.zeros(n, np.int64)
+        steps = []
+        while (up[at] >= 0).any():  # from each symbol towards the root
+            steps.append(at)
+            size += up[at] >= 0
+            at = np.where(up[at] >= 0, up[at], at)
+        first = np.cumsum(size) - size
+        node, sign, guess, word = np.zeros(size.sum(), np.uint32), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
+        for k, at in enumerate(steps):
+            some = np.flatnonzero(size > k)
+            here, place = at[some], first[some] + size[some] - 1 - k
+            node[place] = up[here] - n
+            sign[place] = 2 * side[here] - 1
+            guess[place] = np.log(weight[here] / np.maximum(weight[up[here]] - weight[here], 1e-9))
+            word[some] |= side[here].astype(np.uint32) << (32 - size[some] + k).astype(np.uint32)
+        return cls(first, size, word, node, sign, guess)
+
+
+class Ids(dict):
+    """Numbers of words; words that aren't in the vocabulary are numbered behind the escape, until they are forgotten."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.many, self.new = len(words), []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        n = self[word] = self.many + len(self.new)
+        return n
+
+    def forget(self) -> list[bytes]:
+        new, self.new = self.new, []
+        for w in new:
+            del self[w]
+        return new
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _mixed32(x: np.ndarray, salt: int) -> np.ndarray:
+    x = (x.astype(np.uint32) + np.uint32(salt)) * _MIX32[0]
+    x ^= x >> np.uint32(15)
+    return x * _MIX32[1]
 
 
 @dataclass
-class Anchors:
-    """Anchors of a corpus that one worker can hold."""
+class Spelt:
+    """Words as bits of their bytes: where each word's begin and how many; for each bit its sign, the guess without context, its node and three bytes hashed, and its slot in four tables."""
+
+    first: np.ndarray
+    size: np.ndarray
+    sign: np.ndarray
+    guess: np.ndarray
+    three: np.ndarray
+    slots: list[np.ndarray]
 
-    context: np.ndarray
-    ahead: np.ndarray
-    n: np.ndarray
 
-    @classmethod
-    def of(cls, counted: DataFrame) -> Anchors:
-        found = counted.select("context", "a", "b", "n").toArrow()
-        context, a, b, n = (c.to_numpy() for c in found.columns)
-        return cls(context.view(np.uint64), np.ascontiguousarray(np.stack([a, b], 1)).view(np.uint16), n)
-
-    def foretold(self, hashes: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """own: 1 where a document's own anchors were counted, one of which doesn't count for it."""
-        at, context, ahead = anchors_in(hashes)
-        many = len(self.n)
-        which, n, seen = of_others(np.r_[self.context, context], np.r_[self.ahead, ahead], np.arange(many + len(at)), np.r_[self.n, np.zeros(len(at), np.int64)])
-        asked = which >= many
-        place = at[which[asked] - many]
-        n, seen = n[asked] - own[place], np.maximum(seen[asked] - own[place, None], 0)
-        return foretold(hashes, place[n > 0], n[n > 0], seen[n > 0])
+class Vocabulary:
+    """Words with codes of their own, by falling count; the number behind the last is the escape's, the next stands for no word."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray, total: int, letters: np.ndarray, bits: int):
+        self.words, self.counts, self.bits = words, counts, bits
+        self.escape, self.end = len(words), words.index(END)
+        self.code = Code.of(np.r_[counts, total - counts.sum()])
+        self.bytes = Code.of(letters)
+        self.node = _mixed32(self.code.node, 3)
+        self.hash = np.r_[hashes(words), np.uint64(0)]
+        number = np.arange(len(words) + 2)
+        self.salts = (_mixed32(number, 101), _mixed32(number, 202))
+
+    def ids(self) -> Ids:
+        """One for a worker."""
+        if "_ids" not in self.__dict__:
+            self._ids = Ids(self.words)
+        return self._ids
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_ids"}
+
+    def slots(self, mixed: np.ndarray) -> np.ndarray:
+        mixed = mixed ^ (mixed >> np.uint32(16))
+        return (mixed * _MIX32[2]) >> np.uint32(32 - self.bits)
+
+    def spelt(self, words: list[bytes]) -> Spelt:
+        code = self.bytes
+        lens = np.array([len(w) + 1 for w in words], np.int64)
+        text = np.frombuffer(b"".join(w + b" " for w in words), np.uint8)
+        begin = np.cumsum(lens) - lens
+        place = np.arange(len(text)) - np.repeat(begin, lens)
+        contexts, h = {}, np.zeros(len(text), np.uint32)
+        for back in range(1, 6):
+            before = np.full(len(text), 257, np.uint32)
+            before[back:] = text[:-back]
+            before[place < back] = 256
+            h = (h + before + np.uint32(1)) * _MIX32[0]
+            h ^= h >> np.uint32(13)
+            contexts[back] = h * _MIX32[1]
+        whole, value, depth, live = np.zeros(len(text), np.uint32), np.full(len(words), 7, np.uint32), 0, np.arange(len(words))
+        while len(live):  # all words' byte `depth` at once
+            at = begin[live] + depth
+            whole[at] = value
+            value = (value + text[at] + np.uint32(1)) * _MIX32[0]
+            value ^= value >> np.uint32(14)
+            depth += 1
+            on = lens[live] > depth
+            live, value = live[on], value[on]
+        n = code.size[text]
+        at, of = spans(code.first[text], n), np.repeat(np.arange(len(text)), n)
+        node = _mixed32(code.node[at], 5)
+        slots = [self.slots(c[of] + node) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
+        size = np.add.reduceat(n, begin) if len(words) else np.empty(0, np.int64)
+        return Spelt(np.cumsum(size) - size, size, code.sign[at], code.guess[at], contexts[3][of] + node, slots)
 
 
 def _squeezed(x: np.ndarray) -> bytes:
@@ -330,367 +287,539 @@ def _loose(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def sliced(data: DataFrame, kind: str) -> DataFrame:
-    """doc_id, train, slice, d, text: documents dealt to slices of about SLICE bytes, numbered in each."""
+class Slice:
+    """Some documents as numbers of their tokens, one document after the other."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def __init__(self, train: np.ndarray, lens: np.ndarray, tokens: np.ndarray, rare: list[bytes], vocabulary: Vocabulary):
+        self.train, self.lens, self.tokens, self.rare = train, lens, tokens, rare
+        self.start = np.cumsum(lens) - lens
+        self.doc = np.repeat(np.arange(len(lens)), lens)
+        self.place = np.arange(len(tokens)) - self.start[self.doc]
+        none = vocabulary.escape + 1
+        self.ids = np.minimum(tokens, vocabulary.escape)
+        self.before = np.r_[none, self.ids[:-1]]
+        self.before[self.start] = none
+        # least number among the NEAR tokens before, escapes left out: the range doubles
+        near, reach = np.where(self.before == vocabulary.escape, none, self.before), 1
+        while reach < NEAR:
+            far = np.r_[np.full(reach, none), near[:-reach]] if reach < len(near) else np.full(len(near), none)
+            near = np.minimum(near, np.where(self.place >= reach, far, none))
+            reach *= 2
+        self.near = near
 
-        name = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for ids, train, texts in slices(batch, SLICE):
-                yield pa.record_batch([ids, train, pa.array(np.full(len(texts), name)), pa.array(np.arange(len(texts), dtype=np.int32)), pa.array(texts, pa.binary())], ["doc_id", "train", "slice", "d", "text"])
-                name += 1
-
-    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"doc_id {kind}, train boolean, slice long, d int, text binary"), "texts")
+    COLUMNS = "train binary, lens binary, tokens binary, rare binary"
 
+    def packed(self) -> list[bytes]:
+        import zstandard
 
-def hints(texts: DataFrame, buckets: int) -> DataFrame:
-    """slice, d, at, n, seen: for slices of texts what all training documents but its own foretell for each place; a row for each slice and bucket, of compressed numbers."""
+        return [_squeezed(self.train.astype(np.uint8)), _squeezed(self.lens.astype(np.int64)), _squeezed(self.tokens.astype(np.uint32)), zstandard.ZstdCompressor(level=1).compress(b" ".join(self.rare))]
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for names, ds, trains, part in slices(batch, SLICE):
-                names, ds, trains = (x.to_numpy(zero_copy_only=False) for x in (names, ds, trains))
-                edges = np.r_[np.flatnonzero(np.r_[True, names[1:] != names[:-1]]), len(names)]
-                for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                    words = [word_hashes([*t.translate(LOWER).split(), END]) for t in part[lo:hi]]
-                    lens = np.array([len(w) for w in words])
-                    place, context, ahead = anchors_in(spread(np.concatenate(words), lens))
-                    begin = np.cumsum(lens + 1) - lens - 1
-                    of = np.searchsorted(begin, place, side="right") - 1
-                    bucket = (context % np.uint64(buckets)).astype(np.int64)
-                    by = np.argsort(bucket, kind="stable")
-                    cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-                    d = (ds[lo:hi].astype(np.uint32) * 2 + trains[lo:hi])[of[by]].astype(np.uint32)
-                    at, context, ahead = (place - begin[of])[by].astype(np.uint32), context[by], ahead[by]
-                    some = np.flatnonzero(np.diff(cuts))
-                    cols = [[_squeezed(x[cuts[i] : cuts[i + 1]]) for i in some] for x in (context, ahead, d, at)]
-                    yield pa.record_batch([pa.array(some), pa.array(np.full(len(some), names[lo])), *(pa.array(c, pa.binary()) for c in cols)], ["bucket", "slice", "context", "ahead", "d", "at"])
+    @classmethod
+    def read(cls, train: bytes, lens: bytes, tokens: bytes, rare: bytes, vocabulary: Vocabulary) -> Slice:
+        import zstandard
 
-    def answer(rows: pa.Table) -> pa.Table:
-        names = rows.column("slice").to_numpy()
-        blobs = {k: [_loose(b.as_py(), t) for b in rows.column(k)] for k, t in (("context", np.uint64), ("ahead", np.uint16), ("d", np.uint32), ("at", np.uint32))}
-        sizes = np.array([len(x) for x in blobs["at"]])
-        d, at = np.concatenate(blobs["d"]), np.concatenate(blobs["at"])
-        part = np.repeat(np.arange(len(names)), sizes)
-        owner = np.unique(names, return_inverse=True)[1][part].astype(np.int64) << 32 | d
-        which, n, seen = of_others(np.concatenate(blobs["context"]), np.concatenate(blobs["ahead"]).reshape(-1, AHEAD), owner, (d & 1).astype(np.int64))
-        by = np.argsort(which)
-        which, n, seen = which[by], n[by].astype(np.uint32), seen[by].astype(np.uint32)
-        cuts = np.searchsorted(part[which], np.arange(len(names) + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        cols = [[_squeezed(x[cuts[i] : cuts[i + 1]]) for i in some] for x in (d[which] >> np.uint32(1), at[which], n, seen)]
-        return pa.table([pa.array(names[some], pa.int64()), *(pa.array(c, pa.binary()) for c in cols)], ["slice", "d", "at", "n", "seen"])
+        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), _loose(tokens, np.uint32).astype(np.int64), zstandard.ZstdDecompressor().decompress(rare).split(), vocabulary)
 
-    asked = texts.select("slice", "d", "train", "text").mapInArrow(ask, "bucket long, slice long, context binary, ahead binary, d binary, at binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "slice long, d binary, at binary, n binary, seen binary")
 
+def sliced(data: DataFrame, shared, kind: str) -> DataFrame:
+    """slice, ids, and a Slice's columns: documents (doc_id, train, text) dealt to slices of about SLICE bytes."""
 
-def uniform_weights() -> np.ndarray:
-    return np.full((GATES, PREDICTORS), 0.35, np.float32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        name = TaskContext.get().partitionId() << 32
+        vocabulary = shared.value
+        ids = vocabulary.ids()
+        for batch in batches:
+            for keys, train, texts in slices(batch, SLICE):
+                tokens, lens = [], []
+                for t in texts:
+                    words = t.translate(LOWER).split()
+                    tokens.extend(map(ids.__getitem__, words))
+                    tokens.append(vocabulary.end)
+                    lens.append(len(words) + 1)
+                part = Slice(train.to_numpy(zero_copy_only=False).astype(bool), np.array(lens, np.int64), np.array(tokens, np.int64), ids.forget(), vocabulary)
+                cols = [pa.array([x], pa.binary()) for x in part.packed()]
+                yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *cols], ["slice", "ids", "train", "lens", "tokens", "rare"])
+                name += 1
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts as compressed planes of bytes, low ones first: high planes are nearly empty."""
-    import zstandard
+    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"slice long, ids array<{kind}>, {Slice.COLUMNS}"), "slices")
 
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(counts, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
+def _read(batch: pa.RecordBatch | pa.Table, i: int, vocabulary: Vocabulary) -> Slice:
+    return Slice.read(*(batch.column(k)[i].as_py() for k in ("train", "lens", "tokens", "rare")), vocabulary)
 
-def _unpacked(data: bytes) -> np.ndarray:
-    import zstandard
 
-    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+# hashed tables ---------------------------------------------------------------------------------------
 
 
-def _tables(counts: DataFrame, code: tuple) -> list[np.ndarray]:
-    """Counts of zeros and ones of every table, (2, slots) each, summed over all words."""
+def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarray]:
+    """Every table's guesses by slot, from the counts of zeros and ones summed over all training documents."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tables = None
+        vocabulary, tables = shared.value, None
         for batch in batches:
             if tables is None:
-                tables = [np.zeros(2 << b, np.uint32) for b in TABLE_BITS]
-            for at in range(0, batch.num_rows, 20_000):
-                piece = batch.slice(at, 20_000)
-                p = paths_of(piece.column(0).to_pylist(), code)
-                c = np.repeat(np.minimum(np.array(piece.column(1)), 1 << 31).astype(np.uint32), np.diff(p.start))
-                for k, slot in enumerate(p.slots):
-                    np.add.at(tables[k], slot * 2 + p.bit, c)
+                tables = [np.zeros(2 << bits, np.uint32) for _ in range(TABLES)]
+            for i in range(batch.num_rows):
+                part = _read(batch, i, vocabulary)
+                code, learnt = vocabulary.code, part.train[part.doc]
+                at = np.flatnonzero(learnt)
+                for some in np.array_split(at, max(1, len(at) // 50_000)):
+                    n = code.size[part.ids[some]]
+                    bit = spans(code.first[part.ids[some]], n)
+                    node, one = vocabulary.node[bit], (code.sign[bit] > 0).astype(np.uint32)
+                    for k, of in enumerate((part.near, part.before)):
+                        np.add.at(tables[k], vocabulary.slots(node + np.repeat(vocabulary.salts[k][of[some]], n)) * np.uint32(2) + one, np.uint32(1))
+                odd = np.flatnonzero(learnt & (part.tokens > vocabulary.escape))
+                if not len(odd):
+                    continue
+                word, spelt = part.tokens[odd] - vocabulary.escape - 1, vocabulary.spelt(part.rare)
+                n = spelt.size[word]
+                bit = spans(spelt.first[word], n)
+                one = (spelt.sign[bit] > 0).astype(np.uint32)
+                for k, slot in enumerate([*(x[bit] for x in spelt.slots), vocabulary.slots(spelt.three[bit] + np.repeat(vocabulary.salts[0][part.near[odd]], n))], 2):
+                    np.add.at(tables[k], slot * np.uint32(2) + one, np.uint32(1))
         if tables is not None:
             task = TaskContext.get().partitionId()
             for k, t in enumerate(tables):
                 for i in range(0, len(t), 2 * PART):
                     part = t[i : i + 2 * PART]
                     if part.any():
-                        yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i // (2 * PART)], pa.int32()), pa.array([task], pa.int32()), pa.array([_packed(part)], pa.binary())], ["k", "part", "task", "data"])
+                        yield pa.record_batch([pa.array([k], pa.int32()), pa.array([i // (2 * PART)], pa.int32()), pa.array([task], pa.int32()), pa.array([_squeezed(part.astype(np.uint64))], pa.binary())], ["k", "part", "task", "data"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = None
-        for data in rows["data"]:
-            x = _unpacked(data)
-            total = x.astype(np.uint64) if total is None else total + x
-        total = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
-        return pd.DataFrame({"k": rows["k"].iloc[:1].to_numpy(), "part": rows["part"].iloc[:1].to_numpy(), "task": [int(rows["task"].iloc[0]) // 32], "data": [_packed(total)]})
+        total = sum(_loose(data, np.uint64) for data in rows["data"])
+        return pd.DataFrame({"k": rows["k"].iloc[:1].to_numpy(), "part": rows["part"].iloc[:1].to_numpy(), "task": [int(rows["task"].iloc[0]) // 32], "data": [_squeezed(total)]})
 
     schema = "k int, part int, task int, data binary"
-    # a task should meet many words, as each hands on whole tables
-    parts = counts.select("word", "c").coalesce(max(1, -(-counts.count() // TABLE_WORDS))).mapInArrow(gather, schema)
-    parts = cut(parts, "table-parts")
+    # a task should meet many tokens, as each hands on whole tables
+    parts = cut(texts.select("train", "lens", "tokens", "rare").coalesce(max(1, -(-n_train // TABLE_TOKENS))).mapInArrow(gather, schema), "table-parts")
     while (parts.agg(F.max("task")).first()[0] or 0) > 0:  # sums of 32 at a time, so that no task holds more
         parts = cut(parts.groupBy("k", "part", F.floor(F.col("task") / 32).cast("int").alias("group")).applyInPandas(add, schema), "table-parts")
-    tables = [np.zeros(2 << b, np.uint32) for b in TABLE_BITS]
+    tables = [guesses(np.zeros((1, 2)))[0] * np.ones(1 << bits, np.int16) for _ in range(TABLES)]
     for r in parts.select("k", "part", "data").toLocalIterator():  # bounded by TABLE_BITS
-        x = _unpacked(r["data"])
-        tables[r["k"]][r["part"] * 2 * PART : r["part"] * 2 * PART + len(x)] = x
-    out = []
-    for t in tables:  # 16 bits each, by halves where counts are large: only their ratio matters then
-        t = t.reshape(-1, 2)
-        shift = np.maximum(0, np.ceil(np.log2(np.maximum(t.max(1), 1).astype(np.float64) + 1)) - 16).astype(np.uint32)
-        out.append((t >> shift[:, None]).astype(np.uint16))
-    return out
+        x = guesses(_loose(r["data"], np.uint64).reshape(-1, 2))
+        tables[r["k"]][r["part"] * PART : r["part"] * PART + len(x)] = x
+    return tables
+
+
+def guesses(counts: np.ndarray) -> np.ndarray:
+    """Counts of zeros and ones as one number: the stretched guess in tenths, times 8, and the class of how often."""
+    counts = counts.astype(np.float64)
+    st = np.rint(10 * np.clip(np.log((counts[:, 1] + PRIOR) / (counts[:, 0] + PRIOR)), -12, 12)).astype(np.int16)
+    return st * np.int16(8) + np.searchsorted(SEEN, counts.sum(1), side="right").astype(np.int16)
+
+
+# whole contexts --------------------------------------------------------------------------------------
+
+
+def shared_prefixes(group: np.ndarray, key: np.ndarray, size: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For entries sorted by group and key (a code of size bits from the top bit on, then a rare word's hash): the weight of its group's entries that share its first 0, 1, ..., size bits, one entry after the other; where each begins; and the weight of those with its key."""
+    n = len(group)
+    first = np.cumsum(size + 1) - size - 1
+    out = np.repeat(weight, size + 1)
+    if not n:
+        return out, first, weight
+    apart = key[1:] ^ key[:-1]
+    high = (apart >> np.uint64(32)).astype(np.float64)
+    common = np.r_[NONE, np.where(group[1:] != group[:-1], NONE, np.where(apart == 0, 99, 32 - np.frexp(high)[1]))]
+
+    def runs(some: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        begin = np.flatnonzero(common[some] < least)
+        length = np.diff(np.r_[begin, len(some)])
+        return np.repeat(np.add.reduceat(weight[some], begin), length), np.repeat(length > 1, length)
+
+    same = runs(np.arange(n), 99)[0]
+    live, j = np.arange(n), 0
+    while len(live):
+        total, many = runs(live, j)
+        out[first[live] + j] = total
+        # what stands alone from here on keeps its own weight
+        live = live[many & (size[live] > j)]
+        j += 1
+    return out, first, same
+
+
+class Entries:
+    """The different pairs of a whole context and a word in a slice, sorted by bucket and context; and one entry for each rare word."""
+
+    def __init__(self, part: Slice, vocabulary: Vocabulary, buckets: int):
+        rare = hashes(part.rare)
+        h = np.r_[vocabulary.hash, rare]
+        self.at = np.flatnonzero(part.place >= CONTEXT)
+        context = np.zeros(len(self.at), np.uint64)
+        for k in range(CONTEXT):
+            context = (context + h[part.tokens[self.at - CONTEXT + k]]) * _MIX[k]
+            context ^= context >> np.uint64(32)
+        context = np.r_[context, (rare ^ (rare >> np.uint64(29))) * _MIX[0]]
+        kind = np.r_[np.zeros(len(self.at), np.uint64), np.ones(len(rare), np.uint64)]
+        # bucket, 39 bits of the context, 1 bit: a rare word's own entry
+        c = ((((context >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40)) | ((context & np.uint64((1 << 39) - 1)) << np.uint64(1)) | kind
+        word = np.r_[part.tokens[self.at], vocabulary.escape + 1 + np.arange(len(rare))]
+        name = np.where(word > vocabulary.escape, h[word] & np.uint64(0x7FFFFFFF) | np.uint64(0x80000000), word.astype(np.uint64)).astype(np.uint32)
+        odd = part.tokens > vocabulary.escape
+        own = np.bincount(part.tokens[odd & part.train[part.doc]] - vocabulary.escape - 1, minlength=len(rare))
+        weight = np.r_[part.train[part.doc[self.at]].astype(np.int64), own]
+        places = np.r_[np.ones(len(self.at), np.int64), np.zeros(len(rare), np.int64)]
+        key = keys_of(name, vocabulary)
+        order = np.argsort(c)
+        new = np.r_[True, c[order[1:]] != c[order[:-1]]][: len(order)]
+        edge = np.r_[np.flatnonzero(new), len(order)]
+        several = np.flatnonzero(np.repeat(np.diff(edge) > 1, np.diff(edge)))  # ties go by key
+        tied = order[several]
+        order[several] = tied[np.lexsort((key[tied], c[tied]))]
+        c, key = c[order], key[order]
+        new = np.r_[True, (c[1:] != c[:-1]) | (key[1:] != key[:-1])][: len(order)]
+        begin = np.flatnonzero(new)
+        self.c, self.key, self.name = c[begin], key[begin], name[order[begin]]
+        self.weight, self.places = (np.add.reduceat(x[order], begin) if len(begin) else x for x in (weight, places))
+        self.size = sizes_of(self.name, self.c, vocabulary)
+        of = np.empty(len(order), np.int64)
+        of[order] = np.cumsum(new) - 1
+        self.of_place, self.of_rare = of[: len(self.at)], of[len(self.at) :]
+        self.cuts = np.searchsorted(self.c >> np.uint64(40), np.arange(buckets + 1, dtype=np.uint64))
+
+
+def keys_of(name: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    odd = name >= np.uint32(0x80000000)
+    return vocabulary.code.word[np.where(odd, vocabulary.escape, name)].astype(np.uint64) << np.uint64(32) | np.where(odd, name, 0).astype(np.uint64)
+
+
+def sizes_of(name: np.ndarray, c: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    return np.where((c & np.uint64(1)) == 1, 0, vocabulary.code.size[np.where(name >= np.uint32(0x80000000), vocabulary.escape, name)])
+
+
+def hints(texts: DataFrame, shared, buckets: int) -> DataFrame:
+    """slice, bucket, at, shared, same: for entries that other slices share, by their place among the slice's entries in the bucket, what shared_prefixes finds over all training documents."""
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = Entries(_read(batch, i, vocabulary), vocabulary, buckets)
+                some = np.flatnonzero(np.diff(found.cuts))
+                c = found.c & np.uint64((1 << 40) - 1)
+                cols = [[_squeezed(x) for x in (np.diff(c[lo:hi], prepend=np.uint64(0)), found.name[lo:hi], found.weight[lo:hi])] for lo, hi in zip(found.cuts[some], found.cuts[some + 1], strict=True)]
+                yield pa.record_batch([pa.array(some), pa.array(np.full(len(some), batch.column("slice")[i].as_py()), pa.int64()), *(pa.array([x[k] for x in cols], pa.binary()) for k in range(3))], ["bucket", "slice", "context", "name", "weight"])
 
-def _lookup(tables: list[np.ndarray], slots: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    both = [t.view(np.uint32).ravel()[s] for t, s in zip(tables, slots, strict=True)]
-    return [(b & np.uint32(0xFFFF)).astype(np.int32) for b in both], [(b >> np.uint32(16)).astype(np.int32) for b in both]
+    def answer(rows: pa.Table) -> pa.Table:
+        vocabulary = shared.value
+        c = [np.cumsum(_loose(x.as_py(), np.uint64), dtype=np.uint64) for x in rows.column("context")]
+        name, weight = (np.concatenate([_loose(x.as_py(), t) for x in rows.column(k)]) for k, t in (("name", np.uint32), ("weight", np.int64)))
+        sizes = np.array([len(x) for x in c])
+        c, part, place = np.concatenate(c), np.repeat(np.arange(len(sizes)), sizes), spans(np.zeros(len(sizes), np.int64), sizes)
+        order = np.argsort(c)
+        edge = np.flatnonzero(np.r_[True, c[order[1:]] != c[order[:-1]]])
+        met = (np.minimum.reduceat(part[order], edge) < np.maximum.reduceat(part[order], edge)) & (np.add.reduceat(weight[order], edge) > 0)
+        order = order[np.repeat(met, np.diff(np.r_[edge, len(order)]))]
+        key = keys_of(name[order], vocabulary)
+        by = np.lexsort((key, c[order]))
+        order, key = order[by], key[by]
+        size = sizes_of(name[order], c[order], vocabulary)
+        out, first, same = shared_prefixes(c[order], key, size, weight[order])
+        by = np.argsort(order)  # by slice, and by place there
+        order, first, size, same = order[by], first[by], size[by], same[by]
+        cuts = np.searchsorted(part[order], np.arange(len(sizes) + 1))
+        some = np.flatnonzero(np.diff(cuts))
+        ranges = list(zip(cuts[some], cuts[some + 1], strict=True))
+        cols = [
+            [_squeezed(np.diff(place[order[lo:hi]].astype(np.uint32), prepend=np.uint32(0))) for lo, hi in ranges],
+            [_squeezed(out[spans(first[lo:hi], size[lo:hi] + 1)]) for lo, hi in ranges],
+            [_squeezed(same[lo:hi]) for lo, hi in ranges],
+        ]
+        names, bucket = rows.column("slice").to_numpy()[some], rows.column("bucket").to_numpy()[some]
+        return pa.table([pa.array(names, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], ["slice", "bucket", "at", "shared", "same"])
+
+    asked = texts.mapInArrow(ask, "bucket long, slice long, context binary, name binary, weight binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "slice long, bucket long, at binary, shared binary, same binary")
+
+
+class Foretold:
+    """What other documents' places of the same whole context foretell for the tokens of a slice: where each token's counts begin (NONE: no other place), the counts of those that share its first 0, 1, ... bits, those that share all and the word itself; the class of the run of foretold words before; and how often training documents hold each rare word."""
+
+    def __init__(self, part: Slice, vocabulary: Vocabulary, buckets: int, told: list[tuple[int, bytes, bytes, bytes]]):
+        e = Entries(part, vocabulary, buckets)
+        n = len(e.c)
+        self.known = e.weight[e.of_rare].copy()
+        first, same = np.full(n, NONE), np.zeros(n, np.int64)
+        pools, begin = [], 0
+        new = np.r_[True, e.c[1:] != e.c[:-1]][:n]
+        group = np.cumsum(new) - 1
+        some = np.flatnonzero((np.bincount(group, e.places) > 1)[group] & (np.bincount(group, e.weight) > 0)[group]) if n else np.empty(0, np.int64)
+        if len(some):  # several places of this slice
+            pool, at, exact = shared_prefixes(group[some], e.key[some], e.size[some], e.weight[some])
+            pools.append(pool)
+            first[some], same[some], begin = at, exact, len(pool)
+        for bucket, at, counts, exact in told:
+            at = np.cumsum(_loose(at, np.uint32)).astype(np.int64) + e.cuts[bucket]
+            pool = _loose(counts, np.int64)
+            size = e.size[at] + 1
+            first[at], same[at] = begin + np.cumsum(size) - size, _loose(exact, np.int64)
+            pools.append(pool)
+            begin += len(pool)
+        pool = np.concatenate([*pools, np.zeros(1, np.int64)])
+        asked = first[e.of_rare] >= 0
+        self.known[asked] = same[e.of_rare[asked]]
+        # places with counts; a training document's own ones are taken off
+        has = np.flatnonzero(first[e.of_place] >= 0)
+        of, at = e.of_place[has], e.at[has]
+        size, learnt = e.size[of], part.train[part.doc[at]]
+        counts = pool[spans(first[of], size + 1)] - np.repeat(learnt.astype(np.int64), size + 1)
+        exact = same[of] - learnt
+        begin = np.cumsum(size + 1) - size - 1
+        pair = group[of] * np.int64(len(part.lens)) + part.doc[at]
+        order = np.argsort(pair, kind="stable")
+        edge = np.r_[np.flatnonzero(np.r_[True, pair[order[1:]] != pair[order[:-1]]][: len(order)]), len(order)]
+        again = order[np.repeat(np.diff(edge) > 1, np.diff(edge))]
+        again = again[learnt[again]]
+        if len(again):  # a context that stands several times in its document
+            again = again[np.lexsort((e.key[of[again]], pair[again]))]
+            own, own_first, own_same = shared_prefixes(pair[again], e.key[of[again]], size[again], np.ones(len(again), np.int64))
+            counts[spans(begin[again], size[again] + 1)] -= own - 1
+            exact[again] -= own_same - 1
+        told = counts[begin] > 0 if len(begin) else np.empty(0, bool)
+        self.first, self.exact = np.full(len(part.tokens), NONE), np.zeros(len(part.tokens), np.int64)
+        self.first[at[told]] = begin[told]
+        self.exact[at[told]] = exact[told]
+        self.counts = np.r_[counts, 0].astype(np.float32)
+        i = np.arange(len(part.tokens))
+        missed = np.maximum.accumulate(np.where((self.exact == 0) | (part.place == 0), i, NONE)) if len(i) else i
+        run = np.r_[0, (i - missed)[:-1]][: len(i)]  # words foretold right before; one more if it goes back to a document's first
+        run[part.place == 0] = 0
+        self.run = np.searchsorted(RUNS, run, side="right")
+
+
+# scores ----------------------------------------------------------------------------------------------
+
+
+#: Where weights start. Of a token's bits, by how often the word before was seen: of the word before without and with a whole context, and of the whole context.
+BEFORE_ALONE = (0.0, 0.0, 0.02, 0.08, 0.25, 0.35, 0.4, 1.2)
+BEFORE = (0.4, 0.5, 0.45, 0.35, 0.3, 0.25, 0.25, 0.2)
+FORETOLD = (1.0, 1.1, 1.6, 1.8, 1.7, 1.3, 1.0, 0.85)
+#: By the run of foretold words, a factor of the last; and of a spelt word's bit the weight of how often, and the rest.
+FORETOLD_RUN = (1.0, 1.05, 0.95, 1.3)
+SPELT_RUN = ((-0.7, 0.7, 0.5, 2.0), (-0.3, 1.2, 1.5, 2.5))
+#: By how often the frequent word before was seen: of it, and of no context beside it where the word before was seen often.
+NEAR_ALONE = (0.25, 0.35, 0.6, 0.9)
+PLAIN = (0.4, 0.4, 0.4, 0.2)
+#: Of spelt bits, by the classes of five bytes and of three with the frequent word: no context, two, three and five bytes, the word so far, three with the frequent word.
+SPELT = (
+    (-0.3, -0.2, -0.1, 0.0, 0.0, 0.2, -0.1, 0.05, 0.3),
+    (0.6, 0.55, 0.35, 0.35, 0.35, 0.2, 0.15, 0.2, 0.1),
+    (0.1, 0.2, 0.5, 0.25, 0.4, 0.35, 0.3, 0.3, 0.15),
+    (0.25, 0.25, 0.25, 0.15, 0.25, 0.55, 0.2, 0.3, 0.45),
+    (0.2, 0.2, 0.2, 0.2, 0.2, 0.2, 0.25, 0.25, 0.25),
+    (0.25, 0.05, 0.1, 0.25, 0.2, 0.4, 0.25, 0.15, 0.4),
+)
+
+
+def first_weights() -> np.ndarray:
+    """(4, GATES): where the weights of a token's bits start."""
+    w = np.zeros((4, WHOLE, 8, 4), np.float32)
+    w[0] = 0.4
+    w[0, 0, 4:] = PLAIN
+    w[1, 0], w[1, 1:] = NEAR_ALONE, 0.5
+    w[2, 0], w[2, 1:] = np.reshape(BEFORE_ALONE, (8, 1)), np.reshape(BEFORE, (8, 1))
+    for run, factor in enumerate(FORETOLD_RUN):
+        for several in (0, 1):
+            w[3, 1 + 2 * run + several] = np.reshape(FORETOLD, (8, 1)) * factor * (0.85 if several else 1)
+    return w.reshape(4, GATES)
+
+
+def first_spelt_weights() -> np.ndarray:
+    """(6, SPELT_GATES): where the weights of spelt bits start."""
+    return np.repeat(np.array(SPELT, np.float32)[:, None], 8, axis=1).reshape(6, SPELT_GATES)
+
+
+def first_run_weights() -> np.ndarray:
+    """(2, classes of runs): where the weights start of the bit that says that a spelt word is foretold."""
+    return np.array(SPELT_RUN, np.float32)
+
+
+def mixed(weights: np.ndarray, key: np.ndarray, inputs: list[np.ndarray], rate: float = RATE) -> np.ndarray:
+    """Costs of bits in nats, by guesses stretched towards what each bit is; then moves the weights (inputs, keys) along the gradient of the cost."""
+    z = weights[0][key] * inputs[0]
+    for w, x in zip(weights[1:], inputs[1:], strict=True):
+        z += w[key] * x
+    np.clip(z, -LIMIT, LIMIT, out=z)
+    np.negative(z, out=z)
+    np.exp(z, out=z)
+    err = z / (z + np.float32(1))
+    n = weights.shape[1]
+    scale = rate / (np.bincount(key, minlength=n) + 16) * 16
+    for w, x in zip(weights, inputs, strict=True):
+        w += np.bincount(key, err * x, n) * scale
+    return np.log1p(z)
+
+
+def blocks(longest: int) -> Iterator[tuple[int, int]]:
+    at = 0
+    while at < longest:
+        size = max(BLOCK, at // GROWTH)
+        yield at, size
+        at += size
 
 
-def step(weights: np.ndarray, key: np.ndarray, st: np.ndarray, err: np.ndarray, power: np.ndarray, rate: float) -> None:
-    """Moves the weights of each key along the gradient of the coding cost, by a step normalised by the guesses' power."""
-    n = len(weights)
-    scale = 4 * rate / (np.bincount(key, power, n) + 4.0)
-    for k in range(PREDICTORS):
-        weights[:, k] += np.bincount(key, err * st[:, k], n) * scale
+class Scorer:
+    """Scores slices of texts; a text's score does not depend on its slice."""
+
+    def __init__(self, vocabulary: Vocabulary, tables: list[np.ndarray]):
+        self.vocabulary, self.tables = vocabulary, tables
+        self.start = (first_weights(), first_spelt_weights(), first_run_weights())
+
+    def _looked_up(self, k: int, slots: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tables[k][slots]
+        return (found >> np.int16(3)) * sign * np.float32(0.1), found & np.int16(7)
+
+    def costs(self, part: Slice, told: Foretold) -> np.ndarray:
+        """The cost of each token of a slice, in nats."""
+        spelt = self.vocabulary.spelt(part.rare)
+        out = np.zeros(len(part.tokens))
+        order = np.argsort(-part.lens, kind="stable")
+        weights = [np.repeat(w[:, None], len(part.lens), axis=1) for w in self.start]
+        for b, size in blocks(int(part.lens.max())):
+            live = order[: int(np.searchsorted(-part.lens[order], -b, side="left"))]
+            sizes = np.minimum(size, part.lens[live] - b)
+            chunk = (np.cumsum(sizes) - sizes) // CHUNK
+            for lo, hi in zip(*(lambda e: (e[:-1], e[1:]))(np.r_[np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]), len(live)]), strict=True):
+                some = live[lo:hi]
+                doc = np.repeat(np.arange(len(some)), sizes[lo:hi])
+                at = spans(part.start[some] + b, sizes[lo:hi])
+                mine = [np.take(w, some, axis=1) for w in weights]
+                out[at] = self._block(part, told, spelt, at, doc, [w.reshape(len(w), -1) for w in mine])
+                for w, m in zip(weights, mine, strict=True):
+                    w[:, some] = m
+        return out
 
+    def _block(self, part: Slice, told: Foretold, spelt: Spelt, at: np.ndarray, doc: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+        v = self.vocabulary
+        code, ids = v.code, part.ids[at]
+        n = code.size[ids]
+        ends = np.cumsum(n)
+        bit = spans(code.first[ids], n)
+        sign, node = code.sign[bit].astype(np.float32), v.node[bit]
+        near, seen_near = self._looked_up(0, v.slots(node + np.repeat(v.salts[0][part.near[at]], n)), sign)
+        before, seen = self._looked_up(1, v.slots(node + np.repeat(v.salts[1][part.before[at]], n)), sign)
+        whole, kind = np.zeros(len(bit), np.float32), np.zeros(len(bit), np.int64)
+        hit = np.flatnonzero(told.first[at] >= 0)
+        if len(hit):
+            of = spans(ends[hit] - n[hit], n[hit])
+            begin = spans(told.first[at[hit]], n[hit])
+            all_, right = told.counts[begin], told.counts[begin + 1]
+            whole[of] = np.log((right + np.float32(0.1)) / (all_ - right + np.float32(0.1)))
+            kind[of] = np.where(all_ > 0, 1 + 2 * np.repeat(told.run[at[hit]], n[hit]) + (all_ > 1), 0)
+        gate = (kind * 8 + seen) * 4 + (seen_near >> np.int16(1))
+        cost = mixed(weights[0], np.repeat(doc * GATES, n) + gate, [code.guess[bit], near, before, whole])
+        total = np.add.reduceat(cost, ends - n, dtype=np.float64)
+        odd = np.flatnonzero(ids == v.escape)
+        if not len(odd):
+            return total
+        # is an escaped word one that the words before foretell? that many others were escaped, and that many were this word
+        place = at[odd]
+        asked = np.flatnonzero(told.first[place] >= 0)
+        escaped = told.counts[told.first[place[asked]] + code.size[v.escape]]
+        asked, escaped = asked[escaped > 0], escaped[escaped > 0]
+        right = told.exact[place[asked]]
+        if len(asked):
+            sign = np.where(right > 0, 1, -1).astype(np.float32)
+            key = doc[odd[asked]] * (len(RUNS) + 1) + told.run[place[asked]]
+            total[odd[asked]] += mixed(weights[2], key, [sign * np.log(escaped + 1), sign])
+            yes = right > 0
+            total[odd[asked[yes]]] += np.log(escaped[yes] / right[yes])
+            odd = np.delete(odd, asked[yes])
+            if not len(odd):
+                return total
+        word, place = part.tokens[at[odd]] - v.escape - 1, at[odd]
+        n = spelt.size[word]
+        ends = np.cumsum(n)
+        bit = spans(spelt.first[word], n)
+        sign = spelt.sign[bit].astype(np.float32)
+        inputs, seen = [spelt.guess[bit]], []
+        for k, slot in enumerate([*(x[bit] for x in spelt.slots), v.slots(spelt.three[bit] + np.repeat(v.salts[0][part.near[place]], n))], 2):
+            x, c = self._looked_up(k, slot, sign)
+            inputs.append(x)
+            seen.append(c)
+        gate = (seen[3] * 3 + _THREE[seen[2]]) * 3 + _THREE[seen[4]]
+        cost = mixed(weights[1], np.repeat(doc[odd] * SPELT_GATES, n) + gate, inputs)
+        total[odd] += np.add.reduceat(cost, ends - n, dtype=np.float64)
+        return total
 
-def _first_weights(counts: DataFrame, code: tuple, tables) -> np.ndarray:
-    """Weights fitted on all training words, leaving out one occurrence of each; means over the partitions, weighted by bits."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, total = uniform_weights(), np.zeros(GATES)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                piece = batch.slice(at, 1_000)
-                p = paths_of(piece.column(0).to_pylist(), code)
-                zeros, ones = _lookup(tables.value, p.slots)
-                zeros = [np.maximum(z - (p.bit == 0), 0) for z in zeros]
-                ones = [np.maximum(o - (p.bit == 1), 0) for o in ones]
-                st, gate = guesses(zeros, ones)
-                times = np.repeat(np.array(piece.column(1), dtype=np.float64), np.diff(p.start))
-                power = times * np.einsum("ij,ij->i", st, st)
-                err = p.bit - 1 / (1 + np.exp(-np.einsum("ij,ij->i", st, weights[gate])))
-                step(weights, gate, st, times * err, power, 0.5)
-                total += np.bincount(gate, times, GATES)
-        if total.any():
-            yield pa.record_batch([pa.array([(weights * total[:, None]).ravel().tolist()], pa.list_(pa.float64())), pa.array([total.tolist()], pa.list_(pa.float64()))], ["w", "n"])
-
-    # a row of GATES * PREDICTORS numbers from each partition, summed on the executors
-    rows = counts.select("word", "c").mapInArrow(run, "w array<double>, n array<double>")
-    sums = rows.select(F.posexplode(F.concat("w", "n")).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    flat = np.zeros(GATES * (PREDICTORS + 1))
-    for r in sums:
-        flat[r["i"]] = r["x"]
-    w, n = flat[: GATES * PREDICTORS].reshape(GATES, PREDICTORS), flat[GATES * PREDICTORS :]
-    return np.where(n[:, None] > 0, w / np.maximum(n, 1e-9)[:, None], uniform_weights()).astype(np.float32)
+_THREE = np.array([0, 1, 1, 2, 2, 2, 2, 2], np.int16)
 
 
-@dataclass
-class Guesses:
-    """The tables as a byte a slot: the stretched guess in tenths, and the classes of the two longest contexts."""
+def vocabulary_of(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabulary, int, int]:
+    """From the counts of the training words: the vocabulary, the sum of the counts, and how many words there are."""
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = counts.where(F.col("c") > 1).orderBy(F.desc("c"), "word").limit(frequent).toArrow()  # at most `frequent` words
+    words, many = top.column("word").to_pylist(), top.column("c").to_pylist()
+    if END not in words:
+        ends = counts.where(F.col("word") == F.lit(bytearray(END))).first()
+        words, many = [*words, END], [*many, ends["c"] if ends else 0]
 
-    stretched: list[np.ndarray]
-    whole: np.ndarray
-    short: np.ndarray
+    known = counts.sparkSession.sparkContext.broadcast(frozenset(words))
 
-    @classmethod
-    def of(cls, tables: list[np.ndarray]) -> Guesses:
-        out = []
-        for t in tables:
-            st = np.log((t[:, 1] + np.float32(PRIOR)) / (t[:, 0] + np.float32(PRIOR)))
-            out.append(np.rint(np.clip(st, -12, 12) * 10).astype(np.int8))
-        seen = tables[-1].astype(np.int32)
-        whole = np.searchsorted(SEEN, seen.sum(1), side="right") * 2 + (seen.min(1) == 0)
-        return cls(out, whole.astype(np.uint8), np.searchsorted(SEEN_SHORT, tables[-2].astype(np.int32).sum(1), side="right").astype(np.uint8))
-
-    def at(self, slots: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        st = np.empty((len(slots[0]), PREDICTORS), np.float32)
-        for k, (t, s) in enumerate(zip(self.stretched, slots, strict=True)):
-            st[:, k] = t[s]
-        st *= np.float32(0.1)
-        return st, self.whole[slots[-1]].astype(np.int64) * (len(SEEN_SHORT) + 1) + self.short[slots[-2]]
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256)
+        for batch in batches:
+            rare = [(w, c) for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if w not in known.value]
+            text = np.frombuffer(b"".join(w + b" " for w, _ in rare), np.uint8)
+            total += np.bincount(text, np.repeat([c for _, c in rare], [len(w) + 1 for w, _ in rare]) if rare else None, 256)
+        yield pa.record_batch([pa.array(range(256), pa.int32()), pa.array(total.tolist(), pa.float64())], ["byte", "c"])
 
+    frequency = np.zeros(256)
+    for r in counts.select("word", "c").mapInArrow(letters, "byte int, c double").groupBy("byte").agg(F.sum("c").alias("c")).collect():
+        frequency[r["byte"]] = r["c"]
+    known.unpersist()
+    bits = min(TABLE_BITS, max(12, math.ceil(math.log2(sums["n"] + 1))))
+    return Vocabulary(words, np.array(many, np.int64), int(sums["n"]), frequency, bits), int(sums["n"]), int(sums["v"])
 
-class Scorer:
-    """Scores texts in batches; what a text's score is does not depend on its batch. A word's guesses are looked up once a batch; all its bits are mixed and refined along the document."""
-
-    def __init__(self, code: tuple, tables: list[np.ndarray], weights: np.ndarray, anchors: Anchors | None = None, frequent: dict[bytes, int] | None = None):
-        self.frequent = frequent or {}
-        self.code, self.tables, self.weights, self.anchors = code, Guesses.of(tables), weights.astype(np.float32), anchors
-        self._reset()
-
-    def _reset(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.count, self.hash = np.empty(0, np.int64), np.empty(0, np.uint32)
-        self.first, self.size, self.seen, self.names = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), []
-        self.st, self.gate = np.empty((0, PREDICTORS), np.float16), np.empty(0, np.uint8)
-
-    def learn(self, new: list[bytes]) -> None:
-        """Adds words: for each how many bits it has; of these the guesses and gates."""
-        count, sts, gates = [self.count], [self.st], [self.gate]
-        for at in range(0, len(new), 8192):
-            paths = paths_of(new[at : at + 8192], self.code)
-            st, gate = self.tables.at(paths.slots)
-            sign = paths.bit.astype(np.float32) * 2 - 1
-            count.append(np.diff(paths.start))
-            sts.append((st * sign[:, None]).astype(np.float16))  # guesses of the right bit
-            gates.append(gate.astype(np.uint8))
-        self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
-        self.count, self.st, self.gate = map(np.concatenate, (count, sts, gates))
-        self.first = np.cumsum(self.count) - self.count
-        self.hash = np.concatenate([self.hash, word_hashes(new)])
-        self.size = np.concatenate([self.size, np.fromiter((len(w) + (w != END) for w in new), np.int64, len(new))])
-        self.seen = np.concatenate([self.seen, np.fromiter((self.frequent.get(w, 0) for w in new), np.float64, len(new))])
-        self.names += new
-
-    def _halve(self) -> None:
-        n = KEPT // 2
-        bits = int(self.first[n])
-        self.ids, self.names = dict(islice(self.ids.items(), n)), self.names[:n]
-        self.count, self.hash, self.first, self.size, self.seen = (x[:n].copy() for x in (self.count, self.hash, self.first, self.size, self.seen))
-        self.st, self.gate = self.st[:bits].copy(), self.gate[:bits].copy()
-
-    def numbered(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of all words and ends, one document after the other, and each document's count. What was learnt is kept for later batches, up to KEPT words."""
-        if len(self.ids) > KEPT:
-            self._halve()
-        new = set().union(*docs)
-        new.add(END)
-        new.difference_update(self.ids)
-        if new:
-            self.learn(sorted(new))
-        get, end, out = self.ids.__getitem__, self.ids[END], []
-        for d in docs:
-            out.extend(map(get, d))
-            out.append(end)
-        return np.array(out, np.int64), np.array([len(d) + 1 for d in docs])
-
-    def score(self, docs: list[list[bytes]], own: np.ndarray) -> np.ndarray:
-        """log10 of the model's probability of each document, given as words; the end token is added here. own: whether it was a training document."""
-        if not docs:
-            return np.empty(0)
-        tokens, lens = self.numbered(docs)
-        hashes = spread(self.hash[tokens], lens)
-        return self.score_numbered(tokens, lens, *self.anchors.foretold(hashes, np.repeat(own.astype(np.int64), lens + 1)))
-
-    def score_numbered(self, tokens: np.ndarray, lens: np.ndarray, share: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Scores of documents by their words' numbers, and by what anchors foretell for each place, with a place behind each document."""
-        count, first = self.count, self.first
-        start = np.cumsum(lens) - lens
-        begin = start + np.arange(len(lens))
-        order = np.argsort(-lens, kind="stable")
-        total = np.zeros(len(lens))
-        weights = np.repeat(self.weights[None], len(lens), axis=0)
-        trust = np.repeat(TRUST[None], len(lens), axis=0)
-        for b in range(0, int(lens[order[0]]), BLOCK):
-            live = order[: int(np.searchsorted(-lens[order], -b, side="left"))]
-            for part in range(0, len(live), 512):
-                some = live[part : part + 512]
-                sizes = np.minimum(BLOCK, lens[some] - b)
-                doc = np.repeat(np.arange(len(some)), sizes)
-                within = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                block = tokens[np.repeat(start[some] + b, sizes) + within]
-                n = count[block]
-                ends = np.cumsum(n)
-                at = np.repeat(first[block] - ends + n, n) + np.arange(int(ends[-1]))
-                key = np.repeat(doc * GATES, n) + self.gate[at]
-                x = self.st[at].astype(np.float32)
-                mine = weights[some].reshape(-1, PREDICTORS)
-                against = np.exp(-np.maximum(np.einsum("ij,ij->i", x, mine[key]), np.float32(-80)))
-                spelt = -np.diff(np.r_[0.0, np.cumsum(np.log1p(against), dtype=np.float64)][np.r_[0, ends]]) / np.log(10)
-                step(mine, key, x, against / (1 + against), np.einsum("ij,ij->i", x, x), RATE)
-                weights[some] = mine.reshape(len(some), GATES, PREDICTORS)
-                # a token's probability mixes what its anchor foretells with what its bits give
-                place = np.repeat(begin[some] + b, sizes) + within
-                told, k, likely = share[place] >= 0, kind[place], np.maximum(share[place], 0)
-                odds = trust[some]
-                m = np.where(told, 1 / (1 + np.exp(-odds[doc, k])), 0.0)
-                both = m * likely + (1 - m) * 10.0**spelt
-                total[some] += np.bincount(doc, np.where(told & (both > 0), np.log10(np.maximum(both, 1e-300)), spelt + np.log10(1 - m)), len(some))
-                if told.any():
-                    after = m * likely / np.maximum(both, 1e-300)
-                    cell = (doc * len(TRUST) + k)[told]
-                    up = np.bincount(cell, (after - m)[told], odds.size) / (np.bincount(cell, (m * (1 - m))[told], odds.size) + 1)
-                    trust[some] = np.clip(odds + 0.5 * np.clip(up, -4, 4).reshape(odds.shape), -7, 7)
-        return total
 
+@dataclass
+class Model:
+    """What scores texts: slices of them, what the whole contexts foretell there, and the rest, sent to the executors."""
 
-def model_of(counts: DataFrame) -> tuple[tuple, list[np.ndarray], np.ndarray]:
-    """Code, tables and first weights from the counts of the training words."""
+    texts: DataFrame
+    told: DataFrame
+    scorer: object
+    buckets: int
+    n_train: int
+    n_words: int
 
-    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(256)
-        for batch in batches:
-            c = np.array(batch.column(1), dtype=np.float64)
-            words = batch.column(0).to_pylist()
-            text = np.frombuffer(b"".join(w if w == END else w + b" " for w in words), np.uint8)
-            sums += np.bincount(text, np.repeat(c, [len(w) + (w != END) for w in words]), 256)
-        yield pa.record_batch([pa.array(range(256), pa.int32()), pa.array(sums.tolist(), pa.float64())], ["byte", "c"])
 
-    by_byte = counts.select("word", "c").mapInArrow(letters, "byte int, c double").groupBy("byte").agg(F.sum("c").alias("c")).collect()
-    frequency = np.zeros(256)
-    for r in by_byte:
-        frequency[r["byte"]] = r["c"]
-    code = huffman(frequency)
-    tables = _tables(counts, code)
-    shipped = counts.sparkSession.sparkContext.broadcast(tables)
-    return code, tables, _first_weights(counts, code, shipped)
+def model_of(data: DataFrame, frequent: int = FREQUENT) -> Model:
+    """From doc_id, train and text (binary)."""
+    context = data.sparkSession.sparkContext
+    counts = cut(counted_tokens(data.where("train")), "token-counts")
+    vocabulary, n_train, n_words = vocabulary_of(counts, frequent)
+    shared = context.broadcast(vocabulary)
+    texts = sliced(data, shared, data.schema["doc_id"].dataType.simpleString())
+    buckets = max(1, -(-n_train // BUCKET))
+    tables = _tables(texts, shared, n_train, vocabulary.bits)
+    return Model(texts, hints(texts, shared, buckets), context.broadcast(Scorer(vocabulary, tables)), buckets, n_train, n_words)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte for each row of docs."""
-    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     held = F.coalesce(crc_of_id(F.col("doc_id")) % folds == 0, F.lit(False))
-    data = sliced(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text")).withColumn("train", ~held), kind)
-    counts = cut(counted_tokens(data.where("train")), "token-counts")
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_train, vocabulary = sums["n"], sums["v"]
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).toArrow()  # at most `frequent` words
-    known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist(), strict=True))
-    scorer = spark.sparkContext.broadcast(Scorer(*model_of(counts), frequent=known))
+    model = model_of(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text")).withColumn("train", ~held), frequent)
+    scorer, buckets, n_train, n_words = model.scorer, model.buckets, model.n_train, model.n_words
 
-    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         own = scorer.value
-        docs = docs.sort_by("d")
-        tokens, lens = own.numbered([t.as_py().translate(LOWER).split() for t in docs.column("text")])
-        starts = np.cumsum(lens) - lens
-        d, at, n, seen = (np.concatenate([np.empty(0, np.uint32), *(_loose(b.as_py(), np.uint32) for b in told.column(k))]).astype(np.int64) for k in ("d", "at", "n", "seen"))
-        total = own.score_numbered(tokens, lens, *foretold(spread(own.hash[tokens], lens), starts[d] + d + at, n, seen.reshape(-1, AHEAD)))
-        c = own.seen[tokens]
-        logs = np.add.reduceat(np.where(c > 0, np.log10(c + 0.1), 0.0), starts)
-        hits = np.add.reduceat((c > 0).astype(np.int64), starts)
-        # words that aren't among the frequent ones wait for their counts
-        odd = np.flatnonzero(c == 0)
-        pair, times = np.unique(np.repeat(np.arange(len(lens)), lens)[odd] * np.int64(1 << 32) + tokens[odd], return_counts=True)
-        cuts = np.searchsorted(pair >> 32, np.arange(len(lens) + 1)).astype(np.int32)
-        names = own.names
-        rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array([names[i] for i in (pair & 0xFFFFFFFF).tolist()], pa.binary()))
-        sizes = np.add.reduceat(own.size[tokens], starts)
-        return pa.table(
-            [docs.column("doc_id"), pa.array(lens.astype(np.int64)), pa.array(sizes), pa.array(logs), pa.array(hits), pa.array(total, pa.float64()), rare, pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))],
-            ["doc_id", "n_tokens", "n_bytes", "logs", "hits", "score", "rare", "times"],
-        )
-
-    told = hints(data, max(1, -(-n_train // BUCKET)))
-    met = data.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_bytes long, logs double, hits long, score double, rare array<binary>, times array<int>")
-    rows = cut(met.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    met = rare.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 0.1)).alias("more_logs"), F.sum("times").alias("more_hits"))
-    out = rows.drop("rare", "times").join(met, "row", "left")
-    hits = F.col("hits") + F.coalesce("more_hits", F.lit(0))
-    base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + (F.col("n_tokens") - hits) * F.log10(F.lit(0.1)) - F.col("n_tokens") * F.log10(F.lit(float(n_train + 0.1 * (vocabulary + 1))))
-    return out.select("doc_id", held.alias("held_out"), "n_tokens", hits.cast("long").alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
+        part = _read(texts, 0, own.vocabulary)
+        foretold = Foretold(part, own.vocabulary, buckets, list(zip(*(told.column(k).to_pylist() for k in ("bucket", "at", "shared", "same")), strict=True)))
+        lens, start = part.lens, part.start
+        total = -np.add.reduceat(own.costs(part, foretold), start) / np.log(10)
+        c = np.r_[own.vocabulary.counts, 0, foretold.known][part.tokens]
+        sizes = np.r_[[len(w) + (w != END) for w in own.vocabulary.words], 0, [len(w) + 1 for w in part.rare]].astype(np.int64)[part.tokens]
+        base = np.add.reduceat(np.log10((c + 0.1) / (n_train + 0.1 * (n_words + 1))), start)
+        out = [texts.column("ids").combine_chunks().flatten(), *(pa.array(x) for x in (lens, np.add.reduceat((c > 0).astype(np.int64), start), base, total, np.add.reduceat(sizes, start)))]
+        return pa.table(out, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+
+    met = model.texts.groupBy("slice").cogroup(model.told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    return met.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))

@@ -391,45 +391,66 @@ def test_scores(docs, rows, empty):
     assert scoring.score(empty).count() == 0
 
 
-def test_model_is_a_distribution(docs):
-    """The probabilities of all words of up to two letters, and of the end, sum to less than one."""
-    counts = scoring.counted_tokens(docs.select(F.col("text").cast("binary").alias("text")))
-    code, tables, weights = scoring.model_of(counts)
-    scorer = scoring.Scorer(code, tables, weights, scoring.Anchors.of(scoring.counted_anchors(docs.select(F.col("text").cast("binary").alias("text")))))
-    end = scorer.score([[]], np.zeros(1, bool))[0]
-    letters = [bytes([b]) for b in range(33, 256)]
-    some = [*letters, *[a + b for a in letters[60:90] for b in letters]]
-    alone = scorer.score([[w] for w in some], np.zeros(len(some), bool)) - end
-    assert 0.05 < 10**end + (10**alone).sum() <= 1 + 1e-6
-
-
-def test_every_anchor_counts():
-    """Against brute force: all continuations of a context count, of all training places but a document's own."""
-    rng = np.random.default_rng(5)
-    docs = [(rng.integers(1, 4, int(rng.integers(1, 30))) * 2 + 1).astype(np.uint32) << np.uint32(16) for _ in range(60)]
-    train = np.array([i % 4 > 0 for i in range(60)])
-    lens = np.array([len(d) for d in docs])
-    hashes = scoring.spread(np.concatenate(docs), lens)
-    begin = np.cumsum(lens + 1) - lens - 1
-    at, context, ahead = scoring.anchors_in(hashes)
-    of = np.searchsorted(begin, at, side="right") - 1
-    which, n, seen = scoring.of_others(context, ahead, of, train[of].astype(np.int64))
-    share, _ = scoring.foretold(hashes, at[which], n, seen)
-    known = 0
+def scored_slices(table, held):
+    """Of rows (doc_id, text), by doc_id: each token's cost in nats, and what the whole contexts foretell; on the driver."""
+    data = table.select("doc_id", F.col("text").cast("binary").alias("text")).withColumn("train", ~F.col("doc_id").isin(list(held)))
+    model = scoring.model_of(data)
+    scorer, told, out = model.scorer.value, model.told.collect(), {}
+    for r in model.texts.collect():
+        part = scoring.Slice.read(r.train, r.lens, r.tokens, r.rare, scorer.vocabulary)
+        foretold = scoring.Foretold(part, scorer.vocabulary, model.buckets, [(t.bucket, t.at, t.shared, t.same) for t in told if t.slice == r.slice])
+        costs = scorer.costs(part, foretold)
+        for i, (k, begin, n) in enumerate(zip(r.ids, part.start, part.lens, strict=True)):
+            out[k] = costs[begin : begin + n], foretold, begin, part
+    return out, scorer.vocabulary
+
+
+def test_model_is_a_distribution(spark):
+    """The next word's probabilities sum to one at most, at places where whole contexts foretell known and spelt words, and where none do."""
+    rng = random.Random(11)
+    known = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(30)]
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota".split()
+    train = [" ".join(rng.choice(known) for _ in range(40)) for _ in range(60)]
+    train += [" ".join([*rng.sample(known, 4), *passage, *rng.sample(known, 3)]) for _ in range(3)]
+    train += [" ".join([*passage[:5], x]) for x in ("onceonly", "neveragain", *known[:2])]
+    every = sorted({w for t in train for w in t.split()}) + ["zz", "q", "unheardof"]
+    for prefix in (passage[:5], passage[:6], [known[3], "q"]):
+        rows = [*enumerate(train), *((1000 + i, " ".join([*prefix, w])) for i, w in enumerate(every)), (999, " ".join(prefix))]
+        held = [i for i, _ in rows if i >= 999]
+        out, _ = scored_slices(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), held)
+        total = math.exp(-out[999][0][-1]) + sum(math.exp(-out[1000 + i][0][-2]) for i in range(len(every)))
+        assert 0.3 < total <= 1 + 1e-5
+    assert math.exp(-out[999][0][0]) < 1
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_whole_contexts_count(spark, parts):
+    """Against brute force: of all training places with the same three words before but a document's own, those that share a token's first 0, 1, ... bits."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "b", "c", f"r{i}", f"q{i // 2}"]) for _ in range(rng.randint(1, 30))) for i in range(60)]
+    held = set(range(0, 60, 4))
+    out, v = scored_slices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts), held)
+    number = {w: i for i, w in enumerate(v.words)}
+    code = lambda w: number.get(w, v.escape)
+    bits = lambda w: v.code.sign[v.code.first[code(w)] :][: v.code.size[code(w)]].tolist()
+    docs, checked = [[*words(t), b"\n"] for t in texts], 0
+    after = collections.defaultdict(list)
+    for j, d in enumerate(docs):
+        if j not in held:
+            for r in range(3, len(d)):
+                after[tuple(d[r - 3 : r])].append((j, d[r]))
     for i, d in enumerate(docs):
+        _, told, begin, part = out[i]
         for p in range(len(d)):
-            want = -1.0
-            for k in range(scoring.AHEAD):
-                q = p - k
-                if q < scoring.ANCHOR:
-                    break
-                same = [(j, r) for j, e in enumerate(docs) if train[j] and j != i for r in range(3, len(e)) if (e[r - 3 : r] == d[q - 3 : q]).all()]
-                if same:
-                    want = sum(r + k < len(docs[j]) and docs[j][r + k] == d[p] for j, r in same) / len(same)
-                    break
-            assert abs(share[begin[i] + p] - want) < 1e-12
-            known += want >= 0
-    assert known > 100
+            others = [w for j, w in after[tuple(d[p - 3 : p])] if j != i] if p >= 3 else []
+            at = told.first[begin + p]
+            assert (at >= 0) == bool(others)
+            if others:
+                mine = bits(d[p])
+                assert told.counts[at : at + len(mine) + 1].tolist() == [sum(bits(w)[:k] == mine[:k] for w in others) for k in range(len(mine) + 1)]
+                assert told.exact[begin + p] == sum(w == d[p] for w in others)
+                checked += 1
+    assert checked > 150
 
 
 def test_rare_passages_are_known(spark):
@@ -442,30 +463,54 @@ def test_rare_passages_are_known(spark):
     assert max(got[i] for i in range(120, 180)) < min(got[i] for i in range(120))
 
 
-def test_all_bits_are_mixed(docs):
-    """Against a plain loop: every bit of a block costs what the document's weights say, and every bit moves them for the next block."""
-    texts = docs.select(F.col("text").cast("binary").alias("text"))
-    code, tables, weights = scoring.model_of(scoring.counted_tokens(texts))
-    scorer = scoring.Scorer(code, tables, weights, scoring.Anchors.of(scoring.counted_anchors(texts)))
-    assert scoring.ORDERS == (1, 2, 3, 4, 6)
-    strange = [b"zqxj", b"abc", b"\xff\xfe", b"word"] * 800  # no training document has three of these in a row
-    paths = scoring.paths_of([*strange, b"\n"], code)
-    st, gate = scoring.Guesses.of(tables).at(paths.slots)
-    w, cost = weights.astype(np.float64), 0.0
-    for at in range(0, len(strange) + 1, scoring.BLOCK):
-        some = slice(paths.start[at], paths.start[min(at + scoring.BLOCK, len(strange) + 1)])
-        x, g, bit = st[some].astype(np.float64), gate[some], paths.bit[some]
-        p = 1 / (1 + np.exp(-(x * w[g]).sum(1)))
-        cost += np.log10(np.where(bit == 1, p, 1 - p)).sum()
-        w = w.copy()
-        for k in np.unique(g):
-            w[k] += ((bit - p)[:, None] * x)[g == k].sum(0) * 4 * scoring.RATE / ((x * x)[g == k].sum() + 4)
-    assert abs(scorer.score([strange], np.zeros(1, bool))[0] - cost) < 1e-3 * abs(cost)
-
-
-def test_huffman_code_is_complete():
-    length, _, _ = scoring.huffman(np.arange(256.0))
-    assert abs((0.5**length).sum() - 1) < 1e-12
+def test_scores_do_not_depend_on_the_layout(spark, docs):
+    one = sorted((r.doc_id, r.score) for r in scoring.score(docs.coalesce(1)).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    many = sorted((r.doc_id, r.score) for r in scoring.score(docs.repartition(7)).collect())
+    spark.conf.unset("spark.sql.shuffle.partitions")
+    assert [k for k, _ in one] == [k for k, _ in many]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(one, many, strict=True)) < 1e-3
+
+
+def test_all_bits_are_mixed():
+    """Against a plain loop: every bit costs what its key's weights say, and every bit moves them."""
+    rng = np.random.default_rng(2)
+    key, inputs = rng.integers(0, 3, 400), [rng.normal(size=400).astype(np.float32) for _ in range(4)]
+    weights = rng.normal(size=(4, 3)).astype(np.float32)
+    want, cost = weights.astype(np.float64), []
+    moved = want.copy()
+    for k in range(3):
+        some = np.flatnonzero(key == k)
+        for b in some:
+            x = np.array([i[b] for i in inputs], np.float64)
+            p = 1 / (1 + math.exp(-(want[:, k] @ x)))
+            cost.append((b, -math.log(p)))
+            moved[:, k] += 16 * scoring.RATE / (len(some) + 16) * (1 - p) * x
+    got = scoring.mixed(weights, key, inputs)
+    assert np.allclose(got, [c for _, c in sorted(cost)], atol=1e-5) and np.allclose(weights, moved, atol=1e-5)
+
+
+def test_a_documents_cost_is_its_own():
+    """Weights move for a document alone: others beside it in a slice don't change its cost."""
+    vocabulary = scoring.Vocabulary([b"the", b"cat", b"\n"], np.array([5, 3, 2]), 12, np.ones(256), 12)
+    scorer = scoring.Scorer(vocabulary, [scoring.guesses(np.random.default_rng(k).integers(0, 9, (1 << 12, 2))) for k in range(scoring.TABLES)])
+    texts = [[0, 1, 4, 0, 2], [1] * 500 + [5, 2], [2]]
+
+    def costs(some):
+        part = scoring.Slice(np.ones(len(some), bool), np.array([len(texts[i]) for i in some]), np.concatenate([texts[i] for i in some]).astype(np.int64), [b"dog", b"zebra"], vocabulary)
+        return scorer.costs(part, scoring.Foretold(part, vocabulary, 1, []))
+
+    assert np.allclose(np.concatenate([costs([0]), costs([1]), costs([2])]), costs([0, 1, 2]), atol=1e-5)
+
+
+def test_code_is_complete_and_holds_the_counts():
+    counts = np.r_[np.arange(1.0, 200), 10**9, 3 * 10**12]
+    code = scoring.Code.of(counts)
+    assert abs((0.5 ** code.size.astype(float)).sum() - 1) < 1e-9 and code.size.max() <= 32
+    cost = np.add.reduceat(np.log1p(np.exp(-code.guess.astype(np.float64))), code.first)
+    assert np.allclose(cost, -np.log(counts / counts.sum()), atol=1e-3)
+    paths = {(int(w) >> (32 - int(s)), int(s)) for w, s in zip(code.word, code.size, strict=True)}
+    assert len(paths) == len(counts)
 
 
 # mixing ----------------------------------------------------------------------------------------------
