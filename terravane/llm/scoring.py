@@ -44,6 +44,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,7 +59,7 @@ from terravane.llm.media import slices
 from terravane.llm.tables import LOWER, crc_of_id, cut
 
 END = b"\n"
-FREQUENT = 200_000
+FREQUENT = 400_000
 #: Different words that a worker counts before it hands them on.
 HELD = 300_000
 #: log2 of the slots of a hashed table, at most.
@@ -81,7 +82,7 @@ SLICE = 4 << 20
 BLOCK = 32
 GROWTH = 8
 #: Tokens whose bits are mixed together.
-CHUNK = 12_000
+CHUNK = 4_000
 RATE = 0.05
 #: Classes of how often a context was seen.
 SEEN = np.array([1, 2, 4, 10, 40, 200, 1500])
@@ -101,15 +102,21 @@ _MIX32 = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
 def counted_tokens(docs: DataFrame) -> DataFrame:
-    """word, c: lower-cased words and end tokens of a column text (binary)."""
+    """word, c: lower-cased words and end tokens of a column text (binary). Tasks hand on compressed lists, which meet by their words' hashes."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def handed() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "c"])
+            words, counts = list(held.keys()), np.fromiter(held.values(), np.int64, len(held))
             held.clear()
-            return out
+            part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            lists = [order[cuts[i] : cuts[i + 1]] for i in some]
+            return pa.record_batch([pa.array(some, pa.int32()), pa.array([_zip(b" ".join([words[i] for i in x.tolist()])) for x in lists], pa.binary()), pa.array([_squeezed(counts[x]) for x in lists], pa.binary())], ["part", "words", "counts"])
 
         for batch in batches:
             for (texts,) in slices(batch, 4 << 20):
@@ -121,7 +128,35 @@ def counted_tokens(docs: DataFrame) -> DataFrame:
         if held:
             yield handed()
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    def add(rows: pa.Table) -> pa.Table:
+        total: dict[bytes, int] = {}
+        for words, counts in zip(rows.column("words"), rows.column("counts"), strict=True):
+            for w, c in zip(_unzip(words.as_py()).split(b" "), _loose(counts.as_py(), np.int64).tolist(), strict=True):
+                total[w] = total.get(w, 0) + c
+        return pa.table([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["word", "c"])
+
+    return docs.select("text").mapInArrow(run, "part int, words binary, counts binary").groupBy("part").applyInArrow(add, "word binary, c long")
+
+
+def _zip(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unzip(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    return _zip(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def _loose(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unzip(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -130,40 +165,40 @@ def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-@dataclass
 class Code:
-    """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on; for each bit its node, its value as a sign, and the stretched guess of it by the counts."""
-
-    first: np.ndarray
-    size: np.ndarray
-    word: np.ndarray
-    node: np.ndarray
-    sign: np.ndarray
-    guess: np.ndarray
+    """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on. For each bit its value as a sign, the stretched guess of it by the counts, the node from which its group of three bits starts, and its place in the group's line of eight."""
 
-    @classmethod
-    def of(cls, counts: np.ndarray) -> Code:
+    def __init__(self, counts: np.ndarray):
         """Every symbol has a code, of at most 32 bits."""
         n = len(counts)
         true = np.maximum(np.asarray(counts, np.float64), 0.5)
-        floor = np.maximum(true, true.sum() / 2**21)
-        heap = list(zip(floor.tolist(), range(n), strict=True))
+        heap = list(zip(np.maximum(true, true.sum() / 2**21).tolist(), range(n), strict=True))
         heapq.heapify(heap)
-        up, side, weight = np.full(2 * n - 1, NONE), np.zeros(2 * n - 1, np.int8), np.r_[true, np.zeros(n - 1)]
+        up, side = np.full(2 * n - 1, NONE, np.int32), np.zeros(2 * n - 1, np.int8)
         for node in range(n, 2 * n - 1):
             (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
             up[i] = up[j] = node
             side[j] = 1
-            weight[node] = weight[i] + weight[j]
             heapq.heappush(heap, (a + b, node))
-        at, size = np.arange(n), np.zeros(n, np.int64)
-        steps = []
+        self.__setstate__((up, side, true))
+
+    def __getstate__(self) -> tuple:
+        return self.tree
+
+    def __setstate__(self, tree: tuple) -> None:
+        self.tree = up, side, true = tree
+        n = len(true)
+        weight = np.r_[true, np.zeros(n - 1)].tolist()
+        for i, j in enumerate(up[:-1].tolist()):  # nodes come behind what they join
+            weight[j] += weight[i]
+        weight = np.array(weight)
+        at, size, steps = np.arange(n), np.zeros(n, np.int64), []
         while (up[at] >= 0).any():  # from each symbol towards the root
             steps.append(at)
             size += up[at] >= 0
             at = np.where(up[at] >= 0, up[at], at)
         first = np.cumsum(size) - size
-        node, sign, guess, word = np.zeros(size.sum(), np.uint32), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
+        node, sign, guess, word = np.zeros(size.sum(), np.int64), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
         for k, at in enumerate(steps):
             some = np.flatnonzero(size > k)
             here, place = at[some], first[some] + size[some] - 1 - k
@@ -171,7 +206,13 @@ class Code:
             sign[place] = 2 * side[here] - 1
             guess[place] = np.log(weight[here] / np.maximum(weight[up[here]] - weight[here], 1e-9))
             word[some] |= side[here].astype(np.uint32) << (32 - size[some] + k).astype(np.uint32)
-        return cls(first, size, word, node, sign, guess)
+        depth = np.arange(len(node)) - np.repeat(first, size)
+        back = depth % 3
+        one = (sign > 0).astype(np.uint8)
+        before, last = np.r_[np.zeros(2, np.uint8), one][: len(one)], np.r_[np.zeros(1, np.uint8), one][: len(one)]
+        self.first, self.size, self.word, self.sign, self.guess = first, size, word, sign, guess
+        self.root = node[np.arange(len(node)) - back].astype(np.uint32)
+        self.line = np.where(back == 0, 1, np.where(back == 1, 2 + last, 4 + 2 * before + last)).astype(np.uint8)
 
 
 class Ids(dict):
@@ -207,13 +248,14 @@ def _mixed32(x: np.ndarray, salt: int) -> np.ndarray:
 
 @dataclass
 class Spelt:
-    """Words as bits of their bytes: where each word's begin and how many; for each bit its sign, the guess without context, its node and three bytes hashed, and its slot in four tables."""
+    """Words as bits of their bytes: where each word's begin and how many; for each bit its sign, the guess without context, its node and three bytes hashed, its place in its line, and its slot in four tables."""
 
     first: np.ndarray
     size: np.ndarray
     sign: np.ndarray
     guess: np.ndarray
     three: np.ndarray
+    line: np.ndarray
     slots: list[np.ndarray]
 
 
@@ -221,27 +263,34 @@ class Vocabulary:
     """Words with codes of their own, by falling count; the number behind the last is the escape's, the next stands for no word."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, total: int, letters: np.ndarray, bits: int):
-        self.words, self.counts, self.bits = words, counts, bits
-        self.escape, self.end = len(words), words.index(END)
-        self.code = Code.of(np.r_[counts, total - counts.sum()])
-        self.bytes = Code.of(letters)
-        self.node = _mixed32(self.code.node, 3)
-        self.hash = np.r_[hashes(words), np.uint64(0)]
-        number = np.arange(len(words) + 2)
+        self.__setstate__((_zip(b" ".join(words)), counts, bits, Code(np.r_[counts, total - counts.sum()]), Code(letters)))
+
+    def __getstate__(self) -> tuple:
+        return _zip(b" ".join(self.words)), self.counts, self.bits, self.code, self.bytes
+
+    def __setstate__(self, state: tuple) -> None:
+        words, self.counts, self.bits, self.code, self.bytes = state
+        self.words = _unzip(words).split(b" ")
+        self.escape, self.end = len(self.words), self.words.index(END)
+        self.node = _mixed32(self.code.root, 3)
+        self.hash = np.r_[hashes(self.words), np.uint64(0)]
+        number = np.arange(len(self.words) + 2)
         self.salts = (_mixed32(number, 101), _mixed32(number, 202))
+        self._ids: Ids | None = None
 
     def ids(self) -> Ids:
         """One for a worker."""
-        if "_ids" not in self.__dict__:
+        if self._ids is None:
             self._ids = Ids(self.words)
         return self._ids
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_ids"}
-
-    def slots(self, mixed: np.ndarray) -> np.ndarray:
-        mixed = mixed ^ (mixed >> np.uint32(16))
-        return (mixed * _MIX32[2]) >> np.uint32(32 - self.bits)
+    def slots(self, mixed: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Bits of one group of three lie in one line of eight slots."""
+        mixed = (mixed ^ (mixed >> np.uint32(16))) * _MIX32[2]
+        mixed >>= np.uint32(35 - self.bits)
+        mixed <<= np.uint32(3)
+        mixed |= line
+        return mixed
 
     def spelt(self, words: list[bytes]) -> Spelt:
         code = self.bytes
@@ -268,23 +317,10 @@ class Vocabulary:
             live, value = live[on], value[on]
         n = code.size[text]
         at, of = spans(code.first[text], n), np.repeat(np.arange(len(text)), n)
-        node = _mixed32(code.node[at], 5)
-        slots = [self.slots(c[of] + node) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
+        node, line = _mixed32(code.root[at], 5), code.line[at]
+        slots = [self.slots(c[of] + node, line) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
         size = np.add.reduceat(n, begin) if len(words) else np.empty(0, np.int64)
-        return Spelt(np.cumsum(size) - size, size, code.sign[at], code.guess[at], contexts[3][of] + node, slots)
-
-
-def _squeezed(x: np.ndarray) -> bytes:
-    """Numbers as compressed planes of bytes."""
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
-
-
-def _loose(data: bytes, kind) -> np.ndarray:
-    import zstandard
-
-    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+        return Spelt(np.cumsum(size) - size, size, code.sign[at], code.guess[at], contexts[3][of] + node, line, slots)
 
 
 class Slice:
@@ -309,16 +345,13 @@ class Slice:
 
     COLUMNS = "train binary, lens binary, tokens binary, rare binary"
 
-    def packed(self) -> list[bytes]:
-        import zstandard
-
-        return [_squeezed(self.train.astype(np.uint8)), _squeezed(self.lens.astype(np.int64)), _squeezed(self.tokens.astype(np.uint32)), zstandard.ZstdCompressor(level=1).compress(b" ".join(self.rare))]
+    @staticmethod
+    def packed(train: np.ndarray, lens: list[int], tokens: list[int], rare: list[bytes]) -> list[bytes]:
+        return [_squeezed(train.astype(np.uint8)), _squeezed(np.array(lens, np.int64)), _squeezed(np.array(tokens, np.uint32)), _zip(b" ".join(rare))]
 
     @classmethod
     def read(cls, train: bytes, lens: bytes, tokens: bytes, rare: bytes, vocabulary: Vocabulary) -> Slice:
-        import zstandard
-
-        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), _loose(tokens, np.uint32).astype(np.int64), zstandard.ZstdDecompressor().decompress(rare).split(), vocabulary)
+        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), _loose(tokens, np.uint32).astype(np.int64), _unzip(rare).split(), vocabulary)
 
 
 def sliced(data: DataFrame, shared, kind: str) -> DataFrame:
@@ -338,8 +371,7 @@ def sliced(data: DataFrame, shared, kind: str) -> DataFrame:
                     tokens.extend(map(ids.__getitem__, words))
                     tokens.append(vocabulary.end)
                     lens.append(len(words) + 1)
-                part = Slice(train.to_numpy(zero_copy_only=False).astype(bool), np.array(lens, np.int64), np.array(tokens, np.int64), ids.forget(), vocabulary)
-                cols = [pa.array([x], pa.binary()) for x in part.packed()]
+                cols = [pa.array([x], pa.binary()) for x in Slice.packed(train.to_numpy(zero_copy_only=False), lens, tokens, ids.forget())]
                 yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *cols], ["slice", "ids", "train", "lens", "tokens", "rare"])
                 name += 1
 
@@ -367,21 +399,23 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
                 part = _read(batch, i, vocabulary)
                 code, learnt = vocabulary.code, part.train[part.doc]
                 at = np.flatnonzero(learnt)
-                for some in np.array_split(at, max(1, len(at) // 50_000)):
+                for some in np.array_split(at, max(1, len(at) // CHUNK)):
                     n = code.size[part.ids[some]]
                     bit = spans(code.first[part.ids[some]], n)
-                    node, one = vocabulary.node[bit], (code.sign[bit] > 0).astype(np.uint32)
+                    node, line, one = vocabulary.node[bit], code.line[bit], code.sign[bit] > 0
                     for k, of in enumerate((part.near, part.before)):
-                        np.add.at(tables[k], vocabulary.slots(node + np.repeat(vocabulary.salts[k][of[some]], n)) * np.uint32(2) + one, np.uint32(1))
+                        np.add.at(tables[k], vocabulary.slots(node + np.repeat(vocabulary.salts[k][of[some]], n), line) * np.uint32(2) + one, np.uint32(1))
                 odd = np.flatnonzero(learnt & (part.tokens > vocabulary.escape))
-                if not len(odd):
-                    continue
-                word, spelt = part.tokens[odd] - vocabulary.escape - 1, vocabulary.spelt(part.rare)
-                n = spelt.size[word]
-                bit = spans(spelt.first[word], n)
-                one = (spelt.sign[bit] > 0).astype(np.uint32)
-                for k, slot in enumerate([*(x[bit] for x in spelt.slots), vocabulary.slots(spelt.three[bit] + np.repeat(vocabulary.salts[0][part.near[odd]], n))], 2):
-                    np.add.at(tables[k], slot * np.uint32(2) + one, np.uint32(1))
+                spelt = vocabulary.spelt(part.rare)
+                times = np.repeat(np.bincount(part.tokens[odd] - vocabulary.escape - 1, minlength=len(part.rare)).astype(np.uint32), spelt.size)
+                for k, slot in enumerate(spelt.slots, 2):
+                    np.add.at(tables[k], slot * np.uint32(2) + (spelt.sign > 0), times)
+                for some in np.array_split(odd, max(1, len(odd) // CHUNK)):
+                    word = part.tokens[some] - vocabulary.escape - 1
+                    n = spelt.size[word]
+                    bit = spans(spelt.first[word], n)
+                    slot = vocabulary.slots(spelt.three[bit] + np.repeat(vocabulary.salts[0][part.near[some]], n), spelt.line[bit])
+                    np.add.at(tables[6], slot * np.uint32(2) + (spelt.sign[bit] > 0), np.uint32(1))
         if tables is not None:
             task = TaskContext.get().partitionId()
             for k, t in enumerate(tables):
@@ -449,34 +483,34 @@ class Entries:
     def __init__(self, part: Slice, vocabulary: Vocabulary, buckets: int):
         rare = hashes(part.rare)
         h = np.r_[vocabulary.hash, rare]
-        self.at = np.flatnonzero(part.place >= CONTEXT)
-        context = np.zeros(len(self.at), np.uint64)
+        token = h[part.tokens]
+        context = np.zeros(max(len(token) - CONTEXT, 0), np.uint64)
         for k in range(CONTEXT):
-            context = (context + h[part.tokens[self.at - CONTEXT + k]]) * _MIX[k]
+            context += token[k : k + len(context)]
+            context *= _MIX[k]
             context ^= context >> np.uint64(32)
-        context = np.r_[context, (rare ^ (rare >> np.uint64(29))) * _MIX[0]]
-        kind = np.r_[np.zeros(len(self.at), np.uint64), np.ones(len(rare), np.uint64)]
+        self.at = np.flatnonzero(part.place >= CONTEXT)
+        context = np.r_[context[self.at - CONTEXT], (rare ^ (rare >> np.uint64(29))) * _MIX[0]]
         # bucket, 39 bits of the context, 1 bit: a rare word's own entry
-        c = ((((context >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40)) | ((context & np.uint64((1 << 39) - 1)) << np.uint64(1)) | kind
-        word = np.r_[part.tokens[self.at], vocabulary.escape + 1 + np.arange(len(rare))]
-        name = np.where(word > vocabulary.escape, h[word] & np.uint64(0x7FFFFFFF) | np.uint64(0x80000000), word.astype(np.uint64)).astype(np.uint32)
+        c = ((((context >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40)) | ((context & np.uint64((1 << 39) - 1)) << np.uint64(1))
+        c[len(self.at) :] |= np.uint64(1)
+        names = np.r_[np.arange(vocabulary.escape + 1, dtype=np.uint32), (rare & np.uint64(0x7FFFFFFF) | np.uint64(0x80000000)).astype(np.uint32)]
+        name = np.r_[names[part.tokens[self.at]], names[vocabulary.escape + 1 :]]
         odd = part.tokens > vocabulary.escape
-        own = np.bincount(part.tokens[odd & part.train[part.doc]] - vocabulary.escape - 1, minlength=len(rare))
-        weight = np.r_[part.train[part.doc[self.at]].astype(np.int64), own]
-        places = np.r_[np.ones(len(self.at), np.int64), np.zeros(len(rare), np.int64)]
-        key = keys_of(name, vocabulary)
+        learnt = part.train[part.doc]
+        weight = np.r_[learnt[self.at], np.bincount(part.tokens[odd & learnt] - vocabulary.escape - 1, minlength=len(rare))]
         order = np.argsort(c)
-        new = np.r_[True, c[order[1:]] != c[order[:-1]]][: len(order)]
-        edge = np.r_[np.flatnonzero(new), len(order)]
-        several = np.flatnonzero(np.repeat(np.diff(edge) > 1, np.diff(edge)))  # ties go by key
-        tied = order[several]
-        order[several] = tied[np.lexsort((key[tied], c[tied]))]
-        c, key = c[order], key[order]
-        new = np.r_[True, (c[1:] != c[:-1]) | (key[1:] != key[:-1])][: len(order)]
+        sorted_ = c[order]
+        edge = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1], True][: len(order) + 1])
+        several = np.repeat(np.diff(edge) > 1, np.diff(edge))
+        tied = order[several]  # ties go by key
+        order[several] = tied[np.lexsort((keys_of(name[tied], vocabulary), c[tied]))]
+        sorted_, name = c[order], name[order]
+        new = np.r_[True, (sorted_[1:] != sorted_[:-1]) | (name[1:] != name[:-1])][: len(order)]
         begin = np.flatnonzero(new)
-        self.c, self.key, self.name = c[begin], key[begin], name[order[begin]]
-        self.weight, self.places = (np.add.reduceat(x[order], begin) if len(begin) else x for x in (weight, places))
-        self.size = sizes_of(self.name, self.c, vocabulary)
+        self.c, self.name = sorted_[begin], name[begin]
+        self.weight = np.add.reduceat(weight[order], begin) if len(begin) else weight
+        self.places = np.diff(np.r_[begin, len(order)])
         of = np.empty(len(order), np.int64)
         of[order] = np.cumsum(new) - 1
         self.of_place, self.of_rare = of[: len(self.at)], of[len(self.at) :]
@@ -550,13 +584,13 @@ class Foretold:
         group = np.cumsum(new) - 1
         some = np.flatnonzero((np.bincount(group, e.places) > 1)[group] & (np.bincount(group, e.weight) > 0)[group]) if n else np.empty(0, np.int64)
         if len(some):  # several places of this slice
-            pool, at, exact = shared_prefixes(group[some], e.key[some], e.size[some], e.weight[some])
+            pool, at, exact = shared_prefixes(group[some], keys_of(e.name[some], vocabulary), sizes_of(e.name[some], e.c[some], vocabulary), e.weight[some])
             pools.append(pool)
             first[some], same[some], begin = at, exact, len(pool)
         for bucket, at, counts, exact in told:
             at = np.cumsum(_loose(at, np.uint32)).astype(np.int64) + e.cuts[bucket]
             pool = _loose(counts, np.int64)
-            size = e.size[at] + 1
+            size = sizes_of(e.name[at], e.c[at], vocabulary) + 1
             first[at], same[at] = begin + np.cumsum(size) - size, _loose(exact, np.int64)
             pools.append(pool)
             begin += len(pool)
@@ -566,7 +600,7 @@ class Foretold:
         # places with counts; a training document's own ones are taken off
         has = np.flatnonzero(first[e.of_place] >= 0)
         of, at = e.of_place[has], e.at[has]
-        size, learnt = e.size[of], part.train[part.doc[at]]
+        size, learnt = vocabulary.code.size[part.ids[at]], part.train[part.doc[at]]
         counts = pool[spans(first[of], size + 1)] - np.repeat(learnt.astype(np.int64), size + 1)
         exact = same[of] - learnt
         begin = np.cumsum(size + 1) - size - 1
@@ -576,8 +610,8 @@ class Foretold:
         again = order[np.repeat(np.diff(edge) > 1, np.diff(edge))]
         again = again[learnt[again]]
         if len(again):  # a context that stands several times in its document
-            again = again[np.lexsort((e.key[of[again]], pair[again]))]
-            own, own_first, own_same = shared_prefixes(pair[again], e.key[of[again]], size[again], np.ones(len(again), np.int64))
+            again = again[np.lexsort((keys_of(e.name[of[again]], vocabulary), pair[again]))]
+            own, own_first, own_same = shared_prefixes(pair[again], keys_of(e.name[of[again]], vocabulary), size[again], np.ones(len(again), np.int64))
             counts[spans(begin[again], size[again] + 1)] -= own - 1
             exact[again] -= own_same - 1
         told = counts[begin] > 0 if len(begin) else np.empty(0, bool)
@@ -652,7 +686,7 @@ def mixed(weights: np.ndarray, key: np.ndarray, inputs: list[np.ndarray], rate:
     scale = rate / (np.bincount(key, minlength=n) + 16) * 16
     for w, x in zip(weights, inputs, strict=True):
         w += np.bincount(key, err * x, n) * scale
-    return np.log1p(z)
+    return np.log(z + np.float32(1))
 
 
 def blocks(longest: int) -> Iterator[tuple[int, int]]:
@@ -663,6 +697,19 @@ def blocks(longest: int) -> Iterator[tuple[int, int]]:
         at += size
 
 
+class Tables:
+    """Tables of guesses, small when sent."""
+
+    def __init__(self, tables: list[np.ndarray]):
+        self.tables = tables
+
+    def __getstate__(self) -> list[bytes]:
+        return [_squeezed(t) for t in self.tables]
+
+    def __setstate__(self, state: list[bytes]) -> None:
+        self.tables = [_loose(t, np.int16) for t in state]
+
+
 class Scorer:
     """Scores slices of texts; a text's score does not depend on its slice."""
 
@@ -672,7 +719,7 @@ class Scorer:
 
     def _looked_up(self, k: int, slots: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = self.tables[k][slots]
-        return (found >> np.int16(3)) * sign * np.float32(0.1), found & np.int16(7)
+        return np.multiply((found >> np.int16(3)) * sign, np.float32(0.1), dtype=np.float32), found & np.int16(7)
 
     def costs(self, part: Slice, told: Foretold) -> np.ndarray:
         """The cost of each token of a slice, in nats."""
@@ -700,10 +747,10 @@ class Scorer:
         n = code.size[ids]
         ends = np.cumsum(n)
         bit = spans(code.first[ids], n)
-        sign, node = code.sign[bit].astype(np.float32), v.node[bit]
-        near, seen_near = self._looked_up(0, v.slots(node + np.repeat(v.salts[0][part.near[at]], n)), sign)
-        before, seen = self._looked_up(1, v.slots(node + np.repeat(v.salts[1][part.before[at]], n)), sign)
-        whole, kind = np.zeros(len(bit), np.float32), np.zeros(len(bit), np.int64)
+        sign, node, line = code.sign[bit], v.node[bit], code.line[bit]
+        near, seen_near = self._looked_up(0, v.slots(node + np.repeat(v.salts[0][part.near[at]], n), line), sign)
+        before, seen = self._looked_up(1, v.slots(node + np.repeat(v.salts[1][part.before[at]], n), line), sign)
+        whole, kind = np.zeros(len(bit), np.float32), np.zeros(len(bit), np.int16)
         hit = np.flatnonzero(told.first[at] >= 0)
         if len(hit):
             of = spans(ends[hit] - n[hit], n[hit])
@@ -711,7 +758,7 @@ class Scorer:
             all_, right = told.counts[begin], told.counts[begin + 1]
             whole[of] = np.log((right + np.float32(0.1)) / (all_ - right + np.float32(0.1)))
             kind[of] = np.where(all_ > 0, 1 + 2 * np.repeat(told.run[at[hit]], n[hit]) + (all_ > 1), 0)
-        gate = (kind * 8 + seen) * 4 + (seen_near >> np.int16(1))
+        gate = (kind * np.int16(8) + seen) * np.int16(4) + (seen_near >> np.int16(1))
         cost = mixed(weights[0], np.repeat(doc * GATES, n) + gate, [code.guess[bit], near, before, whole])
         total = np.add.reduceat(cost, ends - n, dtype=np.float64)
         odd = np.flatnonzero(ids == v.escape)
@@ -736,13 +783,13 @@ class Scorer:
         n = spelt.size[word]
         ends = np.cumsum(n)
         bit = spans(spelt.first[word], n)
-        sign = spelt.sign[bit].astype(np.float32)
+        sign = spelt.sign[bit]
         inputs, seen = [spelt.guess[bit]], []
-        for k, slot in enumerate([*(x[bit] for x in spelt.slots), v.slots(spelt.three[bit] + np.repeat(v.salts[0][part.near[place]], n))], 2):
+        for k, slot in enumerate([*(x[bit] for x in spelt.slots), v.slots(spelt.three[bit] + np.repeat(v.salts[0][part.near[place]], n), spelt.line[bit])], 2):
             x, c = self._looked_up(k, slot, sign)
             inputs.append(x)
             seen.append(c)
-        gate = (seen[3] * 3 + _THREE[seen[2]]) * 3 + _THREE[seen[4]]
+        gate = (seen[3] * np.int16(3) + _THREE[seen[2]]) * np.int16(3) + _THREE[seen[4]]
         cost = mixed(weights[1], np.repeat(doc[odd] * SPELT_GATES, n) + gate, inputs)
         total[odd] += np.add.reduceat(cost, ends - n, dtype=np.float64)
         return total
@@ -784,7 +831,8 @@ class Model:
 
     texts: DataFrame
     told: DataFrame
-    scorer: object
+    vocabulary: object
+    tables: object
     buckets: int
     n_train: int
     n_words: int
@@ -799,7 +847,7 @@ def model_of(data: DataFrame, frequent: int = FREQUENT) -> Model:
     texts = sliced(data, shared, data.schema["doc_id"].dataType.simpleString())
     buckets = max(1, -(-n_train // BUCKET))
     tables = _tables(texts, shared, n_train, vocabulary.bits)
-    return Model(texts, hints(texts, shared, buckets), context.broadcast(Scorer(vocabulary, tables)), buckets, n_train, n_words)
+    return Model(texts, hints(texts, shared, buckets), shared, context.broadcast(Tables(tables)), buckets, n_train, n_words)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, frequent: int = FREQUENT) -> DataFrame:
@@ -807,10 +855,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     kind = docs.schema[id_col].dataType.simpleString()
     held = F.coalesce(crc_of_id(F.col("doc_id")) % folds == 0, F.lit(False))
     model = model_of(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text")).withColumn("train", ~held), frequent)
-    scorer, buckets, n_train, n_words = model.scorer, model.buckets, model.n_train, model.n_words
+    vocabulary, tables, buckets, n_train, n_words = model.vocabulary, model.tables, model.buckets, model.n_train, model.n_words
 
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
-        own = scorer.value
+        own = Scorer(vocabulary.value, tables.value.tables)
         part = _read(texts, 0, own.vocabulary)
         foretold = Foretold(part, own.vocabulary, buckets, list(zip(*(told.column(k).to_pylist() for k in ("bucket", "at", "shared", "same")), strict=True)))
         lens, start = part.lens, part.start

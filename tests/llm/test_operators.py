@@ -395,7 +395,7 @@ def scored_slices(table, held):
     """Of rows (doc_id, text), by doc_id: each token's cost in nats, and what the whole contexts foretell; on the driver."""
     data = table.select("doc_id", F.col("text").cast("binary").alias("text")).withColumn("train", ~F.col("doc_id").isin(list(held)))
     model = scoring.model_of(data)
-    scorer, told, out = model.scorer.value, model.told.collect(), {}
+    scorer, told, out = scoring.Scorer(model.vocabulary.value, model.tables.value.tables), model.told.collect(), {}
     for r in model.texts.collect():
         part = scoring.Slice.read(r.train, r.lens, r.tokens, r.rare, scorer.vocabulary)
         foretold = scoring.Foretold(part, scorer.vocabulary, model.buckets, [(t.bucket, t.at, t.shared, t.same) for t in told if t.slice == r.slice])
@@ -505,7 +505,7 @@ def test_a_documents_cost_is_its_own():
 
 def test_code_is_complete_and_holds_the_counts():
     counts = np.r_[np.arange(1.0, 200), 10**9, 3 * 10**12]
-    code = scoring.Code.of(counts)
+    code = scoring.Code(counts)
     assert abs((0.5 ** code.size.astype(float)).sum() - 1) < 1e-9 and code.size.max() <= 32
     cost = np.add.reduceat(np.log1p(np.exp(-code.guess.astype(np.float64))), code.first)
     assert np.allclose(cost, -np.log(counts / counts.sum()), atol=1e-3)
