@@ -45,7 +45,6 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,7 +76,7 @@ CONTEXT = 3
 #: Places of the corpus that meet in one bucket of contexts.
 BUCKET = 2_000_000
 #: Bytes of text that are read and scored together.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Tokens after which a document's weights are refined: so many at first, and later this share of those before.
 BLOCK = 32
 GROWTH = 8
@@ -101,12 +100,12 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 _MIX32 = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
-def counted_tokens(docs: DataFrame) -> DataFrame:
-    """word, c: lower-cased words and end tokens of a column text (binary). Tasks hand on compressed lists, which meet by their words' hashes."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def counted_tokens(texts: DataFrame) -> DataFrame:
+    """word, c: how often training documents hold each word and the end, from slices of texts. Tasks hand on compressed lists, which meet by their words' hashes."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[bytes, int] = {}
 
         def handed() -> pa.RecordBatch:
             words, counts = list(held.keys()), np.fromiter(held.values(), np.int64, len(held))
@@ -119,10 +118,10 @@ def counted_tokens(docs: DataFrame) -> DataFrame:
             return pa.record_batch([pa.array(some, pa.int32()), pa.array([_zip(b" ".join([words[i] for i in x.tolist()])) for x in lists], pa.binary()), pa.array([_squeezed(counts[x]) for x in lists], pa.binary())], ["part", "words", "counts"])
 
         for batch in batches:
-            for (texts,) in slices(batch, 4 << 20):
-                for t in texts:
-                    held.update(t.translate(LOWER).split())
-                held[END] += len(texts)
+            for words, counts in zip(batch.column(0), batch.column(1), strict=True):
+                for w, c in zip(_words(words.as_py()), _loose(counts.as_py(), np.int64).tolist(), strict=True):
+                    if c:
+                        held[w] = held.get(w, 0) + c
                 if len(held) > HELD:
                     yield handed()
         if held:
@@ -131,11 +130,15 @@ def counted_tokens(docs: DataFrame) -> DataFrame:
     def add(rows: pa.Table) -> pa.Table:
         total: dict[bytes, int] = {}
         for words, counts in zip(rows.column("words"), rows.column("counts"), strict=True):
-            for w, c in zip(_unzip(words.as_py()).split(b" "), _loose(counts.as_py(), np.int64).tolist(), strict=True):
+            for w, c in zip(_words(words.as_py()), _loose(counts.as_py(), np.int64).tolist(), strict=True):
                 total[w] = total.get(w, 0) + c
         return pa.table([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["word", "c"])
 
-    return docs.select("text").mapInArrow(run, "part int, words binary, counts binary").groupBy("part").applyInArrow(add, "word binary, c long")
+    return texts.select("words", "counts").mapInArrow(run, "part int, words binary, counts binary").groupBy("part").applyInArrow(add, "word binary, c long")
+
+
+def _words(data: bytes) -> list[bytes]:
+    return _unzip(data).split(b" ")
 
 
 def _zip(data: bytes) -> bytes:
@@ -198,7 +201,7 @@ class Code:
             size += up[at] >= 0
             at = np.where(up[at] >= 0, up[at], at)
         first = np.cumsum(size) - size
-        node, sign, guess, word = np.zeros(size.sum(), np.int64), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
+        node, sign, guess, word = np.zeros(size.sum(), np.uint32), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
         for k, at in enumerate(steps):
             some = np.flatnonzero(size > k)
             here, place = at[some], first[some] + size[some] - 1 - k
@@ -206,33 +209,21 @@ class Code:
             sign[place] = 2 * side[here] - 1
             guess[place] = np.log(weight[here] / np.maximum(weight[up[here]] - weight[here], 1e-9))
             word[some] |= side[here].astype(np.uint32) << (32 - size[some] + k).astype(np.uint32)
-        depth = np.arange(len(node)) - np.repeat(first, size)
-        back = depth % 3
+        back = ((np.arange(len(node), dtype=np.int32) - np.repeat(first.astype(np.int32), size)) % 3).astype(np.int8)
         one = (sign > 0).astype(np.uint8)
         before, last = np.r_[np.zeros(2, np.uint8), one][: len(one)], np.r_[np.zeros(1, np.uint8), one][: len(one)]
         self.first, self.size, self.word, self.sign, self.guess = first, size, word, sign, guess
-        self.root = node[np.arange(len(node)) - back].astype(np.uint32)
+        self.root = node[np.arange(len(node), dtype=np.int32) - back]
         self.line = np.where(back == 0, 1, np.where(back == 1, 2 + last, 4 + 2 * before + last)).astype(np.uint8)
 
 
-class Ids(dict):
-    """Numbers of words; words that aren't in the vocabulary are numbered behind the escape, until they are forgotten."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.many, self.new = len(words), []
+class Numbers(dict):
+    """Numbers of words, by first use."""
 
     def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        n = self[word] = self.many + len(self.new)
+        n = self[word] = len(self)
         return n
 
-    def forget(self) -> list[bytes]:
-        new, self.new = self.new, []
-        for w in new:
-            del self[w]
-        return new
-
 
 def hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
@@ -246,16 +237,25 @@ def _mixed32(x: np.ndarray, salt: int) -> np.ndarray:
     return x * _MIX32[1]
 
 
+def packed_bits(node: np.ndarray, guess: np.ndarray, line: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """All that bits are as one number each, so that one look finds it: a hashed node, the stretched guess in thousandths, the place in a line, the value."""
+    guess = np.rint(np.clip(guess, -LIMIT, LIMIT) * 1000).astype(np.int16).view(np.uint16)
+    return node.astype(np.uint64) << np.uint64(32) | guess.astype(np.uint64) << np.uint64(16) | line.astype(np.uint64) << np.uint64(1) | (sign > 0)
+
+
+def loose_bits(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, guesses, places in lines, and values (0 or 1)."""
+    low = packed.astype(np.uint32)
+    return (packed >> np.uint64(32)).astype(np.uint32), np.multiply((low >> np.uint32(16)).astype(np.uint16).view(np.int16), np.float32(0.001), dtype=np.float32), (low >> np.uint32(1)) & np.uint32(7), (low & np.uint32(1)).astype(np.int8)
+
+
 @dataclass
 class Spelt:
-    """Words as bits of their bytes: where each word's begin and how many; for each bit its sign, the guess without context, its node and three bytes hashed, its place in its line, and its slot in four tables."""
+    """Words as bits of their bytes: where each word's begin and how many; for each bit packed_bits, with the last three bytes in its node, and its slot in four tables."""
 
     first: np.ndarray
     size: np.ndarray
-    sign: np.ndarray
-    guess: np.ndarray
-    three: np.ndarray
-    line: np.ndarray
+    bit: np.ndarray
     slots: list[np.ndarray]
 
 
@@ -272,17 +272,23 @@ class Vocabulary:
         words, self.counts, self.bits, self.code, self.bytes = state
         self.words = _unzip(words).split(b" ")
         self.escape, self.end = len(self.words), self.words.index(END)
-        self.node = _mixed32(self.code.root, 3)
+        self.bit = packed_bits(_mixed32(self.code.root, 3), self.code.guess, self.code.line, self.code.sign)
+        for gone in ("root", "guess", "line", "sign"):
+            delattr(self.code, gone)
         self.hash = np.r_[hashes(self.words), np.uint64(0)]
         number = np.arange(len(self.words) + 2)
         self.salts = (_mixed32(number, 101), _mixed32(number, 202))
-        self._ids: Ids | None = None
+        self._ids: dict[bytes, int] | None = None
 
-    def ids(self) -> Ids:
-        """One for a worker."""
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """The numbers of different words, and those that aren't in the vocabulary: they are numbered behind the escape."""
         if self._ids is None:
-            self._ids = Ids(self.words)
-        return self._ids
+            self._ids = dict(zip(self.words, range(len(self.words)), strict=True))
+        get, none = self._ids.get, self.escape
+        out = np.fromiter((get(w, none) for w in words), np.int64, len(words))
+        odd = np.flatnonzero(out == none)
+        out[odd] += 1 + np.arange(len(odd))
+        return out, [words[i] for i in odd.tolist()]
 
     def slots(self, mixed: np.ndarray, line: np.ndarray) -> np.ndarray:
         """Bits of one group of three lie in one line of eight slots."""
@@ -320,7 +326,7 @@ class Vocabulary:
         node, line = _mixed32(code.root[at], 5), code.line[at]
         slots = [self.slots(c[of] + node, line) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
         size = np.add.reduceat(n, begin) if len(words) else np.empty(0, np.int64)
-        return Spelt(np.cumsum(size) - size, size, code.sign[at], code.guess[at], contexts[3][of] + node, line, slots)
+        return Spelt(np.cumsum(size) - size, size, packed_bits(contexts[3][of] + node, code.guess[at], line, code.sign[at]), slots)
 
 
 class Slice:
@@ -343,43 +349,40 @@ class Slice:
             reach *= 2
         self.near = near
 
-    COLUMNS = "train binary, lens binary, tokens binary, rare binary"
-
-    @staticmethod
-    def packed(train: np.ndarray, lens: list[int], tokens: list[int], rare: list[bytes]) -> list[bytes]:
-        return [_squeezed(train.astype(np.uint8)), _squeezed(np.array(lens, np.int64)), _squeezed(np.array(tokens, np.uint32)), _zip(b" ".join(rare))]
-
     @classmethod
-    def read(cls, train: bytes, lens: bytes, tokens: bytes, rare: bytes, vocabulary: Vocabulary) -> Slice:
-        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), _loose(tokens, np.uint32).astype(np.int64), _unzip(rare).split(), vocabulary)
+    def read(cls, train: bytes, lens: bytes, tokens: bytes, words: bytes, vocabulary: Vocabulary) -> Slice:
+        numbers, rare = vocabulary.numbers(_words(words))
+        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), numbers[_loose(tokens, np.uint32)], rare, vocabulary)
 
 
-def sliced(data: DataFrame, shared, kind: str) -> DataFrame:
-    """slice, ids, and a Slice's columns: documents (doc_id, train, text) dealt to slices of about SLICE bytes."""
+def sliced(data: DataFrame) -> DataFrame:
+    """slice, ids, train, lens, tokens, words, counts: documents (doc_id, train, text) dealt to slices of about SLICE bytes; the slice's different words, their numbers in place of them, and how often its training documents hold each."""
+    kind = data.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         name = TaskContext.get().partitionId() << 32
-        vocabulary = shared.value
-        ids = vocabulary.ids()
         for batch in batches:
             for keys, train, texts in slices(batch, SLICE):
-                tokens, lens = [], []
+                numbers, tokens, lens = Numbers(), [], []
+                number, end = numbers.__getitem__, numbers[END]
                 for t in texts:
                     words = t.translate(LOWER).split()
-                    tokens.extend(map(ids.__getitem__, words))
-                    tokens.append(vocabulary.end)
+                    tokens.extend(map(number, words))
+                    tokens.append(end)
                     lens.append(len(words) + 1)
-                cols = [pa.array([x], pa.binary()) for x in Slice.packed(train.to_numpy(zero_copy_only=False), lens, tokens, ids.forget())]
-                yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *cols], ["slice", "ids", "train", "lens", "tokens", "rare"])
+                train, lens, tokens = train.to_numpy(zero_copy_only=False), np.array(lens, np.int64), np.array(tokens, np.uint32)
+                counts = np.bincount(tokens[np.repeat(train, lens)], minlength=len(numbers))
+                cols = [_squeezed(train.astype(np.uint8)), _squeezed(lens), _squeezed(tokens), _zip(b" ".join(numbers)), _squeezed(counts)]
+                yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *(pa.array([x], pa.binary()) for x in cols)], ["slice", "ids", "train", "lens", "tokens", "words", "counts"])
                 name += 1
 
-    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"slice long, ids array<{kind}>, {Slice.COLUMNS}"), "slices")
+    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"slice long, ids array<{kind}>, train binary, lens binary, tokens binary, words binary, counts binary"), "slices")
 
 
 def _read(batch: pa.RecordBatch | pa.Table, i: int, vocabulary: Vocabulary) -> Slice:
-    return Slice.read(*(batch.column(k)[i].as_py() for k in ("train", "lens", "tokens", "rare")), vocabulary)
+    return Slice.read(*(batch.column(k)[i].as_py() for k in ("train", "lens", "tokens", "words")), vocabulary)
 
 
 # hashed tables ---------------------------------------------------------------------------------------
@@ -401,21 +404,20 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
                 at = np.flatnonzero(learnt)
                 for some in np.array_split(at, max(1, len(at) // CHUNK)):
                     n = code.size[part.ids[some]]
-                    bit = spans(code.first[part.ids[some]], n)
-                    node, line, one = vocabulary.node[bit], code.line[bit], code.sign[bit] > 0
+                    node, _, line, one = loose_bits(vocabulary.bit[spans(code.first[part.ids[some]], n)])
                     for k, of in enumerate((part.near, part.before)):
                         np.add.at(tables[k], vocabulary.slots(node + np.repeat(vocabulary.salts[k][of[some]], n), line) * np.uint32(2) + one, np.uint32(1))
                 odd = np.flatnonzero(learnt & (part.tokens > vocabulary.escape))
                 spelt = vocabulary.spelt(part.rare)
                 times = np.repeat(np.bincount(part.tokens[odd] - vocabulary.escape - 1, minlength=len(part.rare)).astype(np.uint32), spelt.size)
+                one = (spelt.bit & np.uint64(1)).astype(np.uint32)
                 for k, slot in enumerate(spelt.slots, 2):
-                    np.add.at(tables[k], slot * np.uint32(2) + (spelt.sign > 0), times)
+                    np.add.at(tables[k], slot * np.uint32(2) + one, times)
                 for some in np.array_split(odd, max(1, len(odd) // CHUNK)):
                     word = part.tokens[some] - vocabulary.escape - 1
                     n = spelt.size[word]
-                    bit = spans(spelt.first[word], n)
-                    slot = vocabulary.slots(spelt.three[bit] + np.repeat(vocabulary.salts[0][part.near[some]], n), spelt.line[bit])
-                    np.add.at(tables[6], slot * np.uint32(2) + (spelt.sign[bit] > 0), np.uint32(1))
+                    three, _, line, one = loose_bits(spelt.bit[spans(spelt.first[word], n)])
+                    np.add.at(tables[6], vocabulary.slots(three + np.repeat(vocabulary.salts[0][part.near[some]], n), line) * np.uint32(2) + one, np.uint32(1))
         if tables is not None:
             task = TaskContext.get().partitionId()
             for k, t in enumerate(tables):
@@ -430,7 +432,7 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
 
     schema = "k int, part int, task int, data binary"
     # a task should meet many tokens, as each hands on whole tables
-    parts = cut(texts.select("train", "lens", "tokens", "rare").coalesce(max(1, -(-n_train // TABLE_TOKENS))).mapInArrow(gather, schema), "table-parts")
+    parts = cut(texts.select("train", "lens", "tokens", "words").coalesce(max(1, -(-n_train // TABLE_TOKENS))).mapInArrow(gather, schema), "table-parts")
     while (parts.agg(F.max("task")).first()[0] or 0) > 0:  # sums of 32 at a time, so that no task holds more
         parts = cut(parts.groupBy("k", "part", F.floor(F.col("task") / 32).cast("int").alias("group")).applyInPandas(add, schema), "table-parts")
     tables = [guesses(np.zeros((1, 2)))[0] * np.ones(1 << bits, np.int16) for _ in range(TABLES)]
@@ -567,7 +569,7 @@ def hints(texts: DataFrame, shared, buckets: int) -> DataFrame:
         names, bucket = rows.column("slice").to_numpy()[some], rows.column("bucket").to_numpy()[some]
         return pa.table([pa.array(names, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], ["slice", "bucket", "at", "shared", "same"])
 
-    asked = texts.mapInArrow(ask, "bucket long, slice long, context binary, name binary, weight binary")
+    asked = texts.select("slice", "train", "lens", "tokens", "words").mapInArrow(ask, "bucket long, slice long, context binary, name binary, weight binary")
     return asked.groupBy("bucket").applyInArrow(answer, "slice long, bucket long, at binary, shared binary, same binary")
 
 
@@ -717,13 +719,16 @@ class Scorer:
         self.vocabulary, self.tables = vocabulary, tables
         self.start = (first_weights(), first_spelt_weights(), first_run_weights())
 
-    def _looked_up(self, k: int, slots: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tables[k][slots]
+    @staticmethod
+    def _read(found: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A table's guesses of what bits are, and the classes of how often they were seen."""
         return np.multiply((found >> np.int16(3)) * sign, np.float32(0.1), dtype=np.float32), found & np.int16(7)
 
     def costs(self, part: Slice, told: Foretold) -> np.ndarray:
         """The cost of each token of a slice, in nats."""
         spelt = self.vocabulary.spelt(part.rare)
+        # of each spelt bit what four tables say, in one number
+        spelt.slots = np.stack([t[s] for t, s in zip(self.tables[2:6], spelt.slots, strict=True)], axis=1).view(np.uint64).ravel()
         out = np.zeros(len(part.tokens))
         order = np.argsort(-part.lens, kind="stable")
         weights = [np.repeat(w[:, None], len(part.lens), axis=1) for w in self.start]
@@ -746,11 +751,11 @@ class Scorer:
         code, ids = v.code, part.ids[at]
         n = code.size[ids]
         ends = np.cumsum(n)
-        bit = spans(code.first[ids], n)
-        sign, node, line = code.sign[bit], v.node[bit], code.line[bit]
-        near, seen_near = self._looked_up(0, v.slots(node + np.repeat(v.salts[0][part.near[at]], n), line), sign)
-        before, seen = self._looked_up(1, v.slots(node + np.repeat(v.salts[1][part.before[at]], n), line), sign)
-        whole, kind = np.zeros(len(bit), np.float32), np.zeros(len(bit), np.int16)
+        node, guess, line, one = loose_bits(v.bit[spans(code.first[ids], n)])
+        sign = one * np.int8(2) - np.int8(1)
+        near, seen_near = self._read(self.tables[0][v.slots(node + np.repeat(v.salts[0][part.near[at]], n), line)], sign)
+        before, seen = self._read(self.tables[1][v.slots(node + np.repeat(v.salts[1][part.before[at]], n), line)], sign)
+        whole, kind = np.zeros(len(node), np.float32), np.zeros(len(node), np.int16)
         hit = np.flatnonzero(told.first[at] >= 0)
         if len(hit):
             of = spans(ends[hit] - n[hit], n[hit])
@@ -759,7 +764,7 @@ class Scorer:
             whole[of] = np.log((right + np.float32(0.1)) / (all_ - right + np.float32(0.1)))
             kind[of] = np.where(all_ > 0, 1 + 2 * np.repeat(told.run[at[hit]], n[hit]) + (all_ > 1), 0)
         gate = (kind * np.int16(8) + seen) * np.int16(4) + (seen_near >> np.int16(1))
-        cost = mixed(weights[0], np.repeat(doc * GATES, n) + gate, [code.guess[bit], near, before, whole])
+        cost = mixed(weights[0], np.repeat(doc * GATES, n) + gate, [guess, near, before, whole])
         total = np.add.reduceat(cost, ends - n, dtype=np.float64)
         odd = np.flatnonzero(ids == v.escape)
         if not len(odd):
@@ -783,14 +788,12 @@ class Scorer:
         n = spelt.size[word]
         ends = np.cumsum(n)
         bit = spans(spelt.first[word], n)
-        sign = spelt.sign[bit]
-        inputs, seen = [spelt.guess[bit]], []
-        for k, slot in enumerate([*(x[bit] for x in spelt.slots), v.slots(spelt.three[bit] + np.repeat(v.salts[0][part.near[place]], n), spelt.line[bit])], 2):
-            x, c = self._looked_up(k, slot, sign)
-            inputs.append(x)
-            seen.append(c)
+        three, guess, line, one = loose_bits(spelt.bit[bit])
+        sign = one * np.int8(2) - np.int8(1)
+        found = [*spelt.slots[bit].view(np.int16).reshape(-1, 4).T, self.tables[6][v.slots(three + np.repeat(v.salts[0][part.near[place]], n), line)]]
+        inputs, seen = zip(*(self._read(x, sign) for x in found), strict=True)
         gate = (seen[3] * np.int16(3) + _THREE[seen[2]]) * np.int16(3) + _THREE[seen[4]]
-        cost = mixed(weights[1], np.repeat(doc[odd] * SPELT_GATES, n) + gate, inputs)
+        cost = mixed(weights[1], np.repeat(doc[odd] * SPELT_GATES, n) + gate, [guess, *inputs])
         total[odd] += np.add.reduceat(cost, ends - n, dtype=np.float64)
         return total
 
@@ -841,10 +844,10 @@ class Model:
 def model_of(data: DataFrame, frequent: int = FREQUENT) -> Model:
     """From doc_id, train and text (binary)."""
     context = data.sparkSession.sparkContext
-    counts = cut(counted_tokens(data.where("train")), "token-counts")
+    texts = sliced(data)
+    counts = cut(counted_tokens(texts), "token-counts")
     vocabulary, n_train, n_words = vocabulary_of(counts, frequent)
     shared = context.broadcast(vocabulary)
-    texts = sliced(data, shared, data.schema["doc_id"].dataType.simpleString())
     buckets = max(1, -(-n_train // BUCKET))
     tables = _tables(texts, shared, n_train, vocabulary.bits)
     return Model(texts, hints(texts, shared, buckets), shared, context.broadcast(Tables(tables)), buckets, n_train, n_words)
@@ -869,5 +872,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         out = [texts.column("ids").combine_chunks().flatten(), *(pa.array(x) for x in (lens, np.add.reduceat((c > 0).astype(np.int64), start), base, total, np.add.reduceat(sizes, start)))]
         return pa.table(out, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
-    met = model.texts.groupBy("slice").cogroup(model.told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    met = model.texts.drop("counts").groupBy("slice").cogroup(model.told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return met.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))

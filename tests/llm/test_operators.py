@@ -397,7 +397,7 @@ def scored_slices(table, held):
     model = scoring.model_of(data)
     scorer, told, out = scoring.Scorer(model.vocabulary.value, model.tables.value.tables), model.told.collect(), {}
     for r in model.texts.collect():
-        part = scoring.Slice.read(r.train, r.lens, r.tokens, r.rare, scorer.vocabulary)
+        part = scoring.Slice.read(r.train, r.lens, r.tokens, r.words, scorer.vocabulary)
         foretold = scoring.Foretold(part, scorer.vocabulary, model.buckets, [(t.bucket, t.at, t.shared, t.same) for t in told if t.slice == r.slice])
         costs = scorer.costs(part, foretold)
         for i, (k, begin, n) in enumerate(zip(r.ids, part.start, part.lens, strict=True)):
@@ -432,7 +432,7 @@ def test_whole_contexts_count(spark, parts):
     out, v = scored_slices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts), held)
     number = {w: i for i, w in enumerate(v.words)}
     code = lambda w: number.get(w, v.escape)
-    bits = lambda w: v.code.sign[v.code.first[code(w)] :][: v.code.size[code(w)]].tolist()
+    bits = lambda w: scoring.loose_bits(v.bit[v.code.first[code(w)] :][: v.code.size[code(w)]])[3].tolist()
     docs, checked = [[*words(t), b"\n"] for t in texts], 0
     after = collections.defaultdict(list)
     for j, d in enumerate(docs):
