@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.media import slices
-from terravane.llm.tables import LOWER, crc_of_id, cut
+from terravane.llm.tables import LOWER, crc_of_id, cut, hand_back
 
 END = b"\n"
 FREQUENT = 400_000
@@ -65,6 +65,8 @@ HELD = 300_000
 TABLE_BITS = 22
 #: The hashed tables: frequent word before; word before; and of spelt bytes: two, three and five, the word so far, three with the frequent word.
 TABLES = 7
+#: Tables of spelt bits have that many times a half of the slots.
+SPELT_LESS = 2
 #: Slots of a table that are summed together.
 PART = 1 << 16
 #: Training tokens whose bits one task adds to its tables.
@@ -75,7 +77,8 @@ NEAR = 16
 CONTEXT = 3
 #: Places of the corpus that meet in one bucket of contexts.
 BUCKET = 2_000_000
-#: Bytes of text that are read and scored together.
+#: Bytes of text in a row of the slices, which ask and are answered together, and in each of its parts, which are read and scored together.
+ROW = 16 << 20
 SLICE = 2 << 20
 #: Tokens after which a document's weights are refined: so many at first, and later this share of those before.
 BLOCK = 32
@@ -134,7 +137,7 @@ def counted_tokens(texts: DataFrame) -> DataFrame:
                 total[w] = total.get(w, 0) + c
         return pa.table([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["word", "c"])
 
-    return texts.select("words", "counts").mapInArrow(run, "part int, words binary, counts binary").groupBy("part").applyInArrow(add, "word binary, c long")
+    return texts.select(F.explode(F.arrays_zip("words", "counts")).alias("p")).select("p.words", "p.counts").mapInArrow(run, "part int, words binary, counts binary").groupBy("part").applyInArrow(add, "word binary, c long")
 
 
 def _words(data: bytes) -> list[bytes]:
@@ -169,7 +172,7 @@ def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Code:
-    """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on. For each bit its value as a sign, the stretched guess of it by the counts, the node from which its group of three bits starts, and its place in the group's line of eight."""
+    """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on."""
 
     def __init__(self, counts: np.ndarray):
         """Every symbol has a code, of at most 32 bits."""
@@ -186,35 +189,43 @@ class Code:
         self.__setstate__((up, side, true))
 
     def __getstate__(self) -> tuple:
-        return self.tree
+        return self.up, self.side, self.true
 
     def __setstate__(self, tree: tuple) -> None:
-        self.tree = up, side, true = tree
-        n = len(true)
-        weight = np.r_[true, np.zeros(n - 1)].tolist()
-        for i, j in enumerate(up[:-1].tolist()):  # nodes come behind what they join
-            weight[j] += weight[i]
-        weight = np.array(weight)
-        at, size, steps = np.arange(n), np.zeros(n, np.int64), []
-        while (up[at] >= 0).any():  # from each symbol towards the root
-            steps.append(at)
-            size += up[at] >= 0
-            at = np.where(up[at] >= 0, up[at], at)
-        first = np.cumsum(size) - size
-        node, sign, guess, word = np.zeros(size.sum(), np.uint32), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32), np.zeros(n, np.uint32)
-        for k, at in enumerate(steps):
+        self.up, self.side, self.true = tree
+        n = len(self.true)
+        self.weight = np.r_[self.true, np.zeros(n - 1)]
+        at, self.size = np.arange(n), np.zeros(n, np.int64)
+        while (up := self.up[at]).max() >= 0:
+            self.size += up >= 0
+            at = np.where(up >= 0, up, at)
+        for i, j in enumerate(self.up[:-1].tolist()):  # nodes come behind what they join
+            self.weight[j] += self.weight[i]
+        self.first = np.cumsum(self.size) - self.size
+        self.word = np.zeros(n, np.uint32)
+        at = np.arange(n)
+        for k in range(int(self.size.max())):  # from each symbol towards the root
+            some = np.flatnonzero(self.size > k)
+            self.word[some] |= self.side[at[some]].astype(np.uint32) << (32 - self.size[some] + k).astype(np.uint32)
+            at[some] = self.up[at[some]]
+
+    def flat(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the bits of symbols lo to hi: the node from which the bit's group of three starts, its place in the group's line of eight, the stretched guess of it by the counts, and its value as a sign."""
+        n, size, first = len(self.true), self.size[lo:hi], self.first[lo:hi] - self.first[lo]
+        node, sign, guess = np.zeros(size.sum(), np.int64), np.zeros(size.sum(), np.int8), np.zeros(size.sum(), np.float32)
+        at = np.arange(lo, hi)
+        for k in range(int(size.max(initial=0))):
             some = np.flatnonzero(size > k)
             here, place = at[some], first[some] + size[some] - 1 - k
-            node[place] = up[here] - n
-            sign[place] = 2 * side[here] - 1
-            guess[place] = np.log(weight[here] / np.maximum(weight[up[here]] - weight[here], 1e-9))
-            word[some] |= side[here].astype(np.uint32) << (32 - size[some] + k).astype(np.uint32)
-        back = ((np.arange(len(node), dtype=np.int32) - np.repeat(first.astype(np.int32), size)) % 3).astype(np.int8)
+            above = self.up[here]
+            node[place], sign[place] = above - n, 2 * self.side[here] - 1
+            guess[place] = np.log(self.weight[here] / np.maximum(self.weight[above] - self.weight[here], 1e-9))
+            at[some] = above
+        back = (np.arange(len(node)) - np.repeat(first, size)) % 3
         one = (sign > 0).astype(np.uint8)
         before, last = np.r_[np.zeros(2, np.uint8), one][: len(one)], np.r_[np.zeros(1, np.uint8), one][: len(one)]
-        self.first, self.size, self.word, self.sign, self.guess = first, size, word, sign, guess
-        self.root = node[np.arange(len(node), dtype=np.int32) - back]
-        self.line = np.where(back == 0, 1, np.where(back == 1, 2 + last, 4 + 2 * before + last)).astype(np.uint8)
+        line = np.where(back == 0, 1, np.where(back == 1, 2 + last, 4 + 2 * before + last)).astype(np.uint8)
+        return node[np.arange(len(node)) - back].astype(np.uint32), line, guess, sign
 
 
 class Numbers(dict):
@@ -272,14 +283,23 @@ class Vocabulary:
         words, self.counts, self.bits, self.code, self.bytes = state
         self.words = _unzip(words).split(b" ")
         self.escape, self.end = len(self.words), self.words.index(END)
-        self.bit = packed_bits(_mixed32(self.code.root, 3), self.code.guess, self.code.line, self.code.sign)
-        for gone in ("root", "guess", "line", "sign"):
-            delattr(self.code, gone)
+        self._bit: np.ndarray | None = None
         self.hash = np.r_[hashes(self.words), np.uint64(0)]
         number = np.arange(len(self.words) + 2)
         self.salts = (_mixed32(number, 101), _mixed32(number, 202))
         self._ids: dict[bytes, int] | None = None
 
+    @property
+    def bit(self) -> np.ndarray:
+        """packed_bits of all words and the escape."""
+        if self._bit is None:
+            self._bit = np.empty(int(self.code.size.sum()), np.uint64)
+            for lo in range(0, self.escape + 1, 20_000):
+                hi = min(lo + 20_000, self.escape + 1)
+                root, line, guess, sign = self.code.flat(lo, hi)
+                self._bit[self.code.first[lo] :][: len(root)] = packed_bits(_mixed32(root, 3), guess, line, sign)
+        return self._bit
+
     def numbers(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """The numbers of different words, and those that aren't in the vocabulary: they are numbered behind the escape."""
         if self._ids is None:
@@ -290,16 +310,16 @@ class Vocabulary:
         out[odd] += 1 + np.arange(len(odd))
         return out, [words[i] for i in odd.tolist()]
 
-    def slots(self, mixed: np.ndarray, line: np.ndarray) -> np.ndarray:
+    def slots(self, mixed: np.ndarray, line: np.ndarray, less: int = 0) -> np.ndarray:
         """Bits of one group of three lie in one line of eight slots."""
         mixed = (mixed ^ (mixed >> np.uint32(16))) * _MIX32[2]
-        mixed >>= np.uint32(35 - self.bits)
+        mixed >>= np.uint32(35 + less - self.bits)
         mixed <<= np.uint32(3)
         mixed |= line
         return mixed
 
     def spelt(self, words: list[bytes]) -> Spelt:
-        code = self.bytes
+        code, (root, lines, guess, sign) = self.bytes, self.bytes.flat(0, 256)
         lens = np.array([len(w) + 1 for w in words], np.int64)
         text = np.frombuffer(b"".join(w + b" " for w in words), np.uint8)
         begin = np.cumsum(lens) - lens
@@ -323,10 +343,10 @@ class Vocabulary:
             live, value = live[on], value[on]
         n = code.size[text]
         at, of = spans(code.first[text], n), np.repeat(np.arange(len(text)), n)
-        node, line = _mixed32(code.root[at], 5), code.line[at]
-        slots = [self.slots(c[of] + node, line) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
+        node, line = _mixed32(root[at], 5), lines[at]
+        slots = [self.slots(c[of] + node, line, SPELT_LESS) for c in (contexts[2], contexts[3], contexts[5], whole * _MIX32[1])]
         size = np.add.reduceat(n, begin) if len(words) else np.empty(0, np.int64)
-        return Spelt(np.cumsum(size) - size, size, packed_bits(contexts[3][of] + node, code.guess[at], line, code.sign[at]), slots)
+        return Spelt(np.cumsum(size) - size, size, packed_bits(contexts[3][of] + node, guess[at], line, sign[at]), slots)
 
 
 class Slice:
@@ -356,33 +376,43 @@ class Slice:
 
 
 def sliced(data: DataFrame) -> DataFrame:
-    """slice, ids, train, lens, tokens, words, counts: documents (doc_id, train, text) dealt to slices of about SLICE bytes; the slice's different words, their numbers in place of them, and how often its training documents hold each."""
+    """slice, ids, train, lens, tokens, words, counts: documents (doc_id, train, text) dealt to rows of about ROW bytes, in parts of about SLICE bytes; each part's different words, their numbers in place of them, and how often its training documents hold each."""
     kind = data.schema["doc_id"].dataType.simpleString()
 
+    def part_of(train: np.ndarray, texts: list[bytes]) -> list[bytes]:
+        numbers, tokens, lens = Numbers(), [], []
+        number, end = numbers.__getitem__, numbers[END]
+        for t in texts:
+            words = t.translate(LOWER).split()
+            tokens.extend(map(number, words))
+            tokens.append(end)
+            lens.append(len(words) + 1)
+        lens, tokens = np.array(lens, np.int64), np.array(tokens, np.uint32)
+        counts = np.bincount(tokens[np.repeat(train, lens)], minlength=len(numbers))
+        return [_squeezed(train.astype(np.uint8)), _squeezed(lens), _squeezed(tokens), _zip(b" ".join(numbers)), _squeezed(counts)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         name = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for keys, train, texts in slices(batch, SLICE):
-                numbers, tokens, lens = Numbers(), [], []
-                number, end = numbers.__getitem__, numbers[END]
-                for t in texts:
-                    words = t.translate(LOWER).split()
-                    tokens.extend(map(number, words))
-                    tokens.append(end)
-                    lens.append(len(words) + 1)
-                train, lens, tokens = train.to_numpy(zero_copy_only=False), np.array(lens, np.int64), np.array(tokens, np.uint32)
-                counts = np.bincount(tokens[np.repeat(train, lens)], minlength=len(numbers))
-                cols = [_squeezed(train.astype(np.uint8)), _squeezed(lens), _squeezed(tokens), _zip(b" ".join(numbers)), _squeezed(counts)]
-                yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *(pa.array([x], pa.binary()) for x in cols)], ["slice", "ids", "train", "lens", "tokens", "words", "counts"])
+            for keys, train, texts in slices(batch, ROW):
+                train = train.to_numpy(zero_copy_only=False)
+                begins = np.cumsum([0, *map(len, texts)])[:-1] // SLICE
+                cuts = [*np.flatnonzero(np.r_[True, begins[1:] != begins[:-1]]).tolist(), len(texts)]
+                parts = [part_of(train[lo:hi], texts[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                cols = [pa.array([[p[k] for p in parts]], pa.list_(pa.binary())) for k in range(5)]
+                hand_back()
+                yield pa.record_batch([pa.array([name], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *cols], ["slice", "ids", "train", "lens", "tokens", "words", "counts"])
                 name += 1
 
-    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"slice long, ids array<{kind}>, train binary, lens binary, tokens binary, words binary, counts binary"), "slices")
+    blobs = ", ".join(f"{c} array<binary>" for c in ("train", "lens", "tokens", "words", "counts"))
+    return cut(data.select("doc_id", "train", "text").mapInArrow(run, f"slice long, ids array<{kind}>, {blobs}"), "slices")
 
 
-def _read(batch: pa.RecordBatch | pa.Table, i: int, vocabulary: Vocabulary) -> Slice:
-    return Slice.read(*(batch.column(k)[i].as_py() for k in ("train", "lens", "tokens", "words")), vocabulary)
+def parts_of(batch: pa.RecordBatch | pa.Table, i: int, vocabulary: Vocabulary) -> Iterator[Slice]:
+    for blobs in zip(*(batch.column(k)[i] for k in ("train", "lens", "tokens", "words")), strict=True):
+        yield Slice.read(*(b.as_py() for b in blobs), vocabulary)
 
 
 # hashed tables ---------------------------------------------------------------------------------------
@@ -397,9 +427,9 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
         vocabulary, tables = shared.value, None
         for batch in batches:
             if tables is None:
-                tables = [np.zeros(2 << bits, np.uint32) for _ in range(TABLES)]
-            for i in range(batch.num_rows):
-                part = _read(batch, i, vocabulary)
+                tables = [np.zeros(2 << (bits - SPELT_LESS * (k > 1)), np.uint32) for k in range(TABLES)]
+            for part in (p for i in range(batch.num_rows) for p in parts_of(batch, i, vocabulary)):
+                hand_back()
                 code, learnt = vocabulary.code, part.train[part.doc]
                 at = np.flatnonzero(learnt)
                 for some in np.array_split(at, max(1, len(at) // CHUNK)):
@@ -417,7 +447,7 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
                     word = part.tokens[some] - vocabulary.escape - 1
                     n = spelt.size[word]
                     three, _, line, one = loose_bits(spelt.bit[spans(spelt.first[word], n)])
-                    np.add.at(tables[6], vocabulary.slots(three + np.repeat(vocabulary.salts[0][part.near[some]], n), line) * np.uint32(2) + one, np.uint32(1))
+                    np.add.at(tables[6], vocabulary.slots(three + np.repeat(vocabulary.salts[0][part.near[some]], n), line, SPELT_LESS) * np.uint32(2) + one, np.uint32(1))
         if tables is not None:
             task = TaskContext.get().partitionId()
             for k, t in enumerate(tables):
@@ -435,7 +465,7 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
     parts = cut(texts.select("train", "lens", "tokens", "words").coalesce(max(1, -(-n_train // TABLE_TOKENS))).mapInArrow(gather, schema), "table-parts")
     while (parts.agg(F.max("task")).first()[0] or 0) > 0:  # sums of 32 at a time, so that no task holds more
         parts = cut(parts.groupBy("k", "part", F.floor(F.col("task") / 32).cast("int").alias("group")).applyInPandas(add, schema), "table-parts")
-    tables = [guesses(np.zeros((1, 2)))[0] * np.ones(1 << bits, np.int16) for _ in range(TABLES)]
+    tables = [guesses(np.zeros((1, 2)))[0] * np.ones(1 << (bits - SPELT_LESS * (k > 1)), np.int16) for k in range(TABLES)]
     for r in parts.select("k", "part", "data").toLocalIterator():  # bounded by TABLE_BITS
         x = guesses(_loose(r["data"], np.uint64).reshape(-1, 2))
         tables[r["k"]][r["part"] * PART : r["part"] * PART + len(x)] = x
@@ -529,54 +559,84 @@ def sizes_of(name: np.ndarray, c: np.ndarray, vocabulary: Vocabulary) -> np.ndar
 
 
 def hints(texts: DataFrame, shared, buckets: int) -> DataFrame:
-    """slice, bucket, at, shared, same: for entries that other slices share, by their place among the slice's entries in the bucket, what shared_prefixes finds over all training documents."""
+    """slice, bucket, told: for a row of slices and a bucket, for each part None or, for its entries that other parts share, their places among its entries in the bucket, and what shared_prefixes finds over all training documents."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                found = Entries(_read(batch, i, vocabulary), vocabulary, buckets)
-                some = np.flatnonzero(np.diff(found.cuts))
-                c = found.c & np.uint64((1 << 40) - 1)
-                cols = [[_squeezed(x) for x in (np.diff(c[lo:hi], prepend=np.uint64(0)), found.name[lo:hi], found.weight[lo:hi])] for lo, hi in zip(found.cuts[some], found.cuts[some + 1], strict=True)]
-                yield pa.record_batch([pa.array(some), pa.array(np.full(len(some), batch.column("slice")[i].as_py()), pa.int64()), *(pa.array([x[k] for x in cols], pa.binary()) for k in range(3))], ["bucket", "slice", "context", "name", "weight"])
+                found = []
+                for part in parts_of(batch, i, vocabulary):
+                    e = Entries(part, vocabulary, buckets)
+                    found.append((e.cuts, e.c & np.uint64((1 << 40) - 1), e.name, e.weight.astype(np.uint32)))
+                some = np.flatnonzero(sum(np.diff(f[0]) for f in found))
+                asked = []
+                for b in some.tolist():
+                    cuts = [slice(f[0][b], f[0][b + 1]) for f in found]
+                    sizes = np.array([c.stop - c.start for c in cuts], np.int64)
+                    asked.append(_joined(sizes, np.concatenate([np.diff(f[1][c], prepend=np.uint64(0)) for f, c in zip(found, cuts, strict=True)]), *(np.concatenate([f[k][c] for f, c in zip(found, cuts, strict=True)]) for k in (2, 3))))
+                yield pa.record_batch([pa.array(some), pa.array(np.full(len(some), batch.column("slice")[i].as_py()), pa.int64()), pa.array(asked, pa.binary())], ["bucket", "slice", "asked"])
+                del found, asked
+                hand_back()
 
     def answer(rows: pa.Table) -> pa.Table:
-        vocabulary = shared.value
-        c = [np.cumsum(_loose(x.as_py(), np.uint64), dtype=np.uint64) for x in rows.column("context")]
-        name, weight = (np.concatenate([_loose(x.as_py(), t) for x in rows.column(k)]) for k, t in (("name", np.uint32), ("weight", np.int64)))
-        sizes = np.array([len(x) for x in c])
-        c, part, place = np.concatenate(c), np.repeat(np.arange(len(sizes)), sizes), spans(np.zeros(len(sizes), np.int64), sizes)
+        vocabulary, read = shared.value, []
+        for blob in rows.column("asked"):
+            sizes, c, name, weight = _apart(blob.as_py(), np.int64, np.uint64, np.uint32, np.uint32)
+            c = np.cumsum(c, dtype=np.uint64)  # each part's first is whole
+            edge = np.cumsum(sizes)[:-1]
+            c -= np.repeat(np.r_[np.uint64(0), np.r_[np.uint64(0), c][edge]], sizes)
+            read.append((sizes, c, name, weight))
+        parts = np.array([len(r[0]) for r in read])
+        sizes, c, name, weight = (np.concatenate(x) for x in zip(*read, strict=True))
+        del read
+        part = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         order = np.argsort(c)
-        edge = np.flatnonzero(np.r_[True, c[order[1:]] != c[order[:-1]]])
-        met = (np.minimum.reduceat(part[order], edge) < np.maximum.reduceat(part[order], edge)) & (np.add.reduceat(weight[order], edge) > 0)
+        by = c[order]
+        edge = np.flatnonzero(np.r_[True, by[1:] != by[:-1]])
+        del by
+        met = (np.minimum.reduceat(part[order], edge) < np.maximum.reduceat(part[order], edge)) & (np.add.reduceat(weight[order], edge, dtype=np.int64) > 0)
         order = order[np.repeat(met, np.diff(np.r_[edge, len(order)]))]
         key = keys_of(name[order], vocabulary)
         by = np.lexsort((key, c[order]))
         order, key = order[by], key[by]
         size = sizes_of(name[order], c[order], vocabulary)
-        out, first, same = shared_prefixes(c[order], key, size, weight[order])
-        by = np.argsort(order)  # by slice, and by place there
+        out, first, same = shared_prefixes(c[order], key, size, weight[order].astype(np.int64))
+        by = np.argsort(order)  # by part, and by place there
         order, first, size, same = order[by], first[by], size[by], same[by]
-        cuts = np.searchsorted(part[order], np.arange(len(sizes) + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        ranges = list(zip(cuts[some], cuts[some + 1], strict=True))
-        cols = [
-            [_squeezed(np.diff(place[order[lo:hi]].astype(np.uint32), prepend=np.uint32(0))) for lo, hi in ranges],
-            [_squeezed(out[spans(first[lo:hi], size[lo:hi] + 1)]) for lo, hi in ranges],
-            [_squeezed(same[lo:hi]) for lo, hi in ranges],
-        ]
-        names, bucket = rows.column("slice").to_numpy()[some], rows.column("bucket").to_numpy()[some]
-        return pa.table([pa.array(names, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], ["slice", "bucket", "at", "shared", "same"])
+        place = order - (np.cumsum(sizes) - sizes)[part[order]]
+        cuts = np.searchsorted(part[order], np.arange(len(sizes) + 1)).tolist()
+        told = [None if lo == hi else _joined(np.diff(place[lo:hi], prepend=0).astype(np.uint32), out[spans(first[lo:hi], size[lo:hi] + 1)], same[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        ends = np.cumsum(parts).tolist()
+        lists = [told[end - n : end] for end, n in zip(ends, parts.tolist(), strict=True)]
+        some = [i for i, x in enumerate(lists) if any(x)]
+        hand_back()
+        return pa.table([rows.column("slice").take(pa.array(some, pa.int64())), rows.column("bucket").take(pa.array(some, pa.int64())), pa.array([lists[i] for i in some], pa.list_(pa.binary()))], ["slice", "bucket", "told"])
+
+    asked = texts.select("slice", "train", "lens", "tokens", "words").mapInArrow(ask, "bucket long, slice long, asked binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "slice long, bucket long, told array<binary>")
 
-    asked = texts.select("slice", "train", "lens", "tokens", "words").mapInArrow(ask, "bucket long, slice long, context binary, name binary, weight binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "slice long, bucket long, at binary, shared binary, same binary")
+
+def _joined(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers as compressed planes of bytes, all in one."""
+    head = np.array([len(x) for x in arrays], np.uint32).tobytes()
+    return _zip(head + b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays))
+
+
+def _apart(data: bytes, *kinds) -> list[np.ndarray]:
+    data = np.frombuffer(_unzip(data), np.uint8)
+    at, out = 4 * len(kinds), []
+    for n, kind in zip(data[:at].view(np.uint32).tolist(), kinds, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(data[at : at + n * width].reshape(width, n).T).view(kind).reshape(n))
+        at += n * width
+    return out
 
 
 class Foretold:
     """What other documents' places of the same whole context foretell for the tokens of a slice: where each token's counts begin (NONE: no other place), the counts of those that share its first 0, 1, ... bits, those that share all and the word itself; the class of the run of foretold words before; and how often training documents hold each rare word."""
 
-    def __init__(self, part: Slice, vocabulary: Vocabulary, buckets: int, told: list[tuple[int, bytes, bytes, bytes]]):
+    def __init__(self, part: Slice, vocabulary: Vocabulary, buckets: int, told: list[tuple[int, bytes]]):
         e = Entries(part, vocabulary, buckets)
         n = len(e.c)
         self.known = e.weight[e.of_rare].copy()
@@ -589,11 +649,11 @@ class Foretold:
             pool, at, exact = shared_prefixes(group[some], keys_of(e.name[some], vocabulary), sizes_of(e.name[some], e.c[some], vocabulary), e.weight[some])
             pools.append(pool)
             first[some], same[some], begin = at, exact, len(pool)
-        for bucket, at, counts, exact in told:
-            at = np.cumsum(_loose(at, np.uint32)).astype(np.int64) + e.cuts[bucket]
-            pool = _loose(counts, np.int64)
+        for bucket, blob in told:
+            at, pool, exact = _apart(blob, np.uint32, np.int64, np.int64)
+            at = np.cumsum(at).astype(np.int64) + e.cuts[bucket]
             size = sizes_of(e.name[at], e.c[at], vocabulary) + 1
-            first[at], same[at] = begin + np.cumsum(size) - size, _loose(exact, np.int64)
+            first[at], same[at] = begin + np.cumsum(size) - size, exact
             pools.append(pool)
             begin += len(pool)
         pool = np.concatenate([*pools, np.zeros(1, np.int64)])
@@ -790,7 +850,7 @@ class Scorer:
         bit = spans(spelt.first[word], n)
         three, guess, line, one = loose_bits(spelt.bit[bit])
         sign = one * np.int8(2) - np.int8(1)
-        found = [*spelt.slots[bit].view(np.int16).reshape(-1, 4).T, self.tables[6][v.slots(three + np.repeat(v.salts[0][part.near[place]], n), line)]]
+        found = [*spelt.slots[bit].view(np.int16).reshape(-1, 4).T, self.tables[6][v.slots(three + np.repeat(v.salts[0][part.near[place]], n), line, SPELT_LESS)]]
         inputs, seen = zip(*(self._read(x, sign) for x in found), strict=True)
         gate = (seen[3] * np.int16(3) + _THREE[seen[2]]) * np.int16(3) + _THREE[seen[4]]
         cost = mixed(weights[1], np.repeat(doc[odd] * SPELT_GATES, n) + gate, [guess, *inputs])
@@ -801,6 +861,11 @@ class Scorer:
 _THREE = np.array([0, 1, 1, 2, 2, 2, 2, 2], np.int16)
 
 
+def told_of(told: pa.Table, part: int) -> list[tuple[int, bytes]]:
+    """What all buckets told a part of a row."""
+    return [(b, blob.as_py()) for b, x in zip(told.column("bucket").to_pylist(), told.column("told"), strict=True) if (blob := x[part]).is_valid]
+
+
 def vocabulary_of(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabulary, int, int]:
     """From the counts of the training words: the vocabulary, the sum of the counts, and how many words there are."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -824,7 +889,7 @@ def vocabulary_of(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Vocabula
     for r in counts.select("word", "c").mapInArrow(letters, "byte int, c double").groupBy("byte").agg(F.sum("c").alias("c")).collect():
         frequency[r["byte"]] = r["c"]
     known.unpersist()
-    bits = min(TABLE_BITS, max(12, math.ceil(math.log2(sums["n"] + 1))))
+    bits = min(TABLE_BITS, max(14, math.ceil(math.log2(sums["n"] + 1))))
     return Vocabulary(words, np.array(many, np.int64), int(sums["n"]), frequency, bits), int(sums["n"]), int(sums["v"])
 
 
@@ -862,15 +927,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         own = Scorer(vocabulary.value, tables.value.tables)
-        part = _read(texts, 0, own.vocabulary)
-        foretold = Foretold(part, own.vocabulary, buckets, list(zip(*(told.column(k).to_pylist() for k in ("bucket", "at", "shared", "same")), strict=True)))
-        lens, start = part.lens, part.start
-        total = -np.add.reduceat(own.costs(part, foretold), start) / np.log(10)
-        c = np.r_[own.vocabulary.counts, 0, foretold.known][part.tokens]
-        sizes = np.r_[[len(w) + (w != END) for w in own.vocabulary.words], 0, [len(w) + 1 for w in part.rare]].astype(np.int64)[part.tokens]
-        base = np.add.reduceat(np.log10((c + 0.1) / (n_train + 0.1 * (n_words + 1))), start)
-        out = [texts.column("ids").combine_chunks().flatten(), *(pa.array(x) for x in (lens, np.add.reduceat((c > 0).astype(np.int64), start), base, total, np.add.reduceat(sizes, start)))]
-        return pa.table(out, ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+        lengths = np.r_[[len(w) + (w != END) for w in own.vocabulary.words], 0].astype(np.int64)
+        rows = []
+        for k, part in enumerate(parts_of(texts, 0, own.vocabulary)):
+            foretold = Foretold(part, own.vocabulary, buckets, told_of(told, k))
+            total = -np.add.reduceat(own.costs(part, foretold), part.start) / np.log(10)
+            c = np.r_[own.vocabulary.counts, 0, foretold.known][part.tokens]
+            base = np.add.reduceat(np.log10((c + 0.1) / (n_train + 0.1 * (n_words + 1))), part.start)
+            sizes = np.r_[lengths, np.array([len(w) + 1 for w in part.rare], np.int64)][part.tokens]
+            del foretold
+            hand_back()
+            rows.append((part.lens, np.add.reduceat((c > 0).astype(np.int64), part.start), base, total, np.add.reduceat(sizes, part.start)))
+        return pa.table([texts.column("ids").combine_chunks().flatten(), *(pa.array(np.concatenate(x)) for x in zip(*rows, strict=True))], ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
     met = model.texts.drop("counts").groupBy("slice").cogroup(model.told.groupBy("slice")).applyInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return met.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))

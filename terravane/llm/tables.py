@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +15,31 @@ SPACE = r"[\x20\x09-\x0D]+"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.mallopt(-3, 16 << 20)  # blocks from 16 MB on are mapped on their own, and go back to the system once they are freed
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+def hand_back() -> None:
+    """Python workers live on between tasks, beside a JVM: what one has freed goes back to the system at once."""
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a new one where that is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where that is unset, a local master gets a new one; a cluster has no other folder that all can read."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        import tempfile
+
         found = f"file://{tempfile.mkdtemp(prefix='terravane-')}"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -397,11 +397,13 @@ def scored_slices(table, held):
     model = scoring.model_of(data)
     scorer, told, out = scoring.Scorer(model.vocabulary.value, model.tables.value.tables), model.told.collect(), {}
     for r in model.texts.collect():
-        part = scoring.Slice.read(r.train, r.lens, r.tokens, r.words, scorer.vocabulary)
-        foretold = scoring.Foretold(part, scorer.vocabulary, model.buckets, [(t.bucket, t.at, t.shared, t.same) for t in told if t.slice == r.slice])
-        costs = scorer.costs(part, foretold)
-        for i, (k, begin, n) in enumerate(zip(r.ids, part.start, part.lens, strict=True)):
-            out[k] = costs[begin : begin + n], foretold, begin, part
+        ids = iter(r.ids)
+        for k, blobs in enumerate(zip(r.train, r.lens, r.tokens, r.words, strict=True)):
+            part = scoring.Slice.read(*blobs, scorer.vocabulary)
+            foretold = scoring.Foretold(part, scorer.vocabulary, model.buckets, [(t.bucket, t.told[k]) for t in told if t.slice == r.slice and t.told[k] is not None])
+            costs = scorer.costs(part, foretold)
+            for begin, n in zip(part.start, part.lens, strict=True):
+                out[next(ids)] = costs[begin : begin + n], foretold, begin, part
     return out, scorer.vocabulary
 
 
@@ -492,8 +494,8 @@ def test_all_bits_are_mixed():
 
 def test_a_documents_cost_is_its_own():
     """Weights move for a document alone: others beside it in a slice don't change its cost."""
-    vocabulary = scoring.Vocabulary([b"the", b"cat", b"\n"], np.array([5, 3, 2]), 12, np.ones(256), 12)
-    scorer = scoring.Scorer(vocabulary, [scoring.guesses(np.random.default_rng(k).integers(0, 9, (1 << 12, 2))) for k in range(scoring.TABLES)])
+    vocabulary = scoring.Vocabulary([b"the", b"cat", b"\n"], np.array([5, 3, 2]), 12, np.ones(256), 14)
+    scorer = scoring.Scorer(vocabulary, [scoring.guesses(np.random.default_rng(k).integers(0, 9, (1 << (14 if k < 2 else 12), 2))) for k in range(scoring.TABLES)])
     texts = [[0, 1, 4, 0, 2], [1] * 500 + [5, 2], [2]]
 
     def costs(some):
@@ -507,7 +509,7 @@ def test_code_is_complete_and_holds_the_counts():
     counts = np.r_[np.arange(1.0, 200), 10**9, 3 * 10**12]
     code = scoring.Code(counts)
     assert abs((0.5 ** code.size.astype(float)).sum() - 1) < 1e-9 and code.size.max() <= 32
-    cost = np.add.reduceat(np.log1p(np.exp(-code.guess.astype(np.float64))), code.first)
+    cost = np.add.reduceat(np.log1p(np.exp(-code.flat(0, len(counts))[2].astype(np.float64))), code.first)
     assert np.allclose(cost, -np.log(counts / counts.sum()), atol=1e-3)
     paths = {(int(w) >> (32 - int(s)), int(s)) for w, s in zip(code.word, code.size, strict=True)}
     assert len(paths) == len(counts)
