@@ -58,15 +58,15 @@ from terravane.llm.media import slices
 from terravane.llm.tables import LOWER, crc_of_id, cut, hand_back
 
 END = b"\n"
-FREQUENT = 400_000
+FREQUENT = 250_000
 #: Different words that a worker counts before it hands them on.
 HELD = 300_000
 #: log2 of the slots of a hashed table, at most.
-TABLE_BITS = 22
+TABLE_BITS = 20
 #: The hashed tables: frequent word before; word before; and of spelt bytes: two, three and five, the word so far, three with the frequent word.
 TABLES = 7
 #: Tables of spelt bits have that many times a half of the slots.
-SPELT_LESS = 2
+SPELT_LESS = 1
 #: Slots of a table that are summed together.
 PART = 1 << 16
 #: Training tokens whose bits one task adds to its tables.
@@ -76,12 +76,12 @@ NEAR = 16
 #: Words of a whole context.
 CONTEXT = 3
 #: Places of the corpus that meet in one bucket of contexts.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 #: Bytes of text in a row of the slices, which ask and are answered together, and in each of its parts, which are read and scored together.
 ROW = 16 << 20
 SLICE = 2 << 20
 #: Tokens after which a document's weights are refined: so many at first, and later this share of those before.
-BLOCK = 32
+BLOCK = 64
 GROWTH = 8
 #: Tokens whose bits are mixed together.
 CHUNK = 4_000
@@ -352,8 +352,10 @@ class Vocabulary:
 class Slice:
     """Some documents as numbers of their tokens, one document after the other."""
 
-    def __init__(self, train: np.ndarray, lens: np.ndarray, tokens: np.ndarray, rare: list[bytes], vocabulary: Vocabulary):
-        self.train, self.lens, self.tokens, self.rare = train, lens, tokens, rare
+    def __init__(self, train: np.ndarray, lens: np.ndarray, numbers: np.ndarray, tokens: np.ndarray, rare: list[bytes], vocabulary: Vocabulary):
+        """numbers: of the slice's different words; tokens: places of words among them."""
+        self.train, self.lens, self.rare, self.local, self.words = train, lens, rare, tokens, np.minimum(numbers, vocabulary.escape)
+        self.tokens = tokens = numbers[tokens]
         self.start = np.cumsum(lens) - lens
         self.doc = np.repeat(np.arange(len(lens)), lens)
         self.place = np.arange(len(tokens)) - self.start[self.doc]
@@ -369,10 +371,15 @@ class Slice:
             reach *= 2
         self.near = near
 
+    def bits(self, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The slice's own words' bits, those of words that come early and so often together: where a word's begin, how many, and packed_bits."""
+        size = vocabulary.code.size[self.words]
+        return np.cumsum(size) - size, size, vocabulary.bit[spans(vocabulary.code.first[self.words], size)]
+
     @classmethod
     def read(cls, train: bytes, lens: bytes, tokens: bytes, words: bytes, vocabulary: Vocabulary) -> Slice:
         numbers, rare = vocabulary.numbers(_words(words))
-        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), numbers[_loose(tokens, np.uint32)], rare, vocabulary)
+        return cls(_loose(train, np.uint8).astype(bool), _loose(lens, np.int64), numbers, _loose(tokens, np.uint32).astype(np.int64), rare, vocabulary)
 
 
 def sliced(data: DataFrame) -> DataFrame:
@@ -430,11 +437,11 @@ def _tables(texts: DataFrame, shared, n_train: int, bits: int) -> list[np.ndarra
                 tables = [np.zeros(2 << (bits - SPELT_LESS * (k > 1)), np.uint32) for k in range(TABLES)]
             for part in (p for i in range(batch.num_rows) for p in parts_of(batch, i, vocabulary)):
                 hand_back()
-                code, learnt = vocabulary.code, part.train[part.doc]
+                learnt, (first, size, own) = part.train[part.doc], part.bits(vocabulary)
                 at = np.flatnonzero(learnt)
                 for some in np.array_split(at, max(1, len(at) // CHUNK)):
-                    n = code.size[part.ids[some]]
-                    node, _, line, one = loose_bits(vocabulary.bit[spans(code.first[part.ids[some]], n)])
+                    n = size[part.local[some]]
+                    node, _, line, one = loose_bits(own[spans(first[part.local[some]], n)])
                     for k, of in enumerate((part.near, part.before)):
                         np.add.at(tables[k], vocabulary.slots(node + np.repeat(vocabulary.salts[k][of[some]], n), line) * np.uint32(2) + one, np.uint32(1))
                 odd = np.flatnonzero(learnt & (part.tokens > vocabulary.escape))
@@ -789,6 +796,7 @@ class Scorer:
         spelt = self.vocabulary.spelt(part.rare)
         # of each spelt bit what four tables say, in one number
         spelt.slots = np.stack([t[s] for t, s in zip(self.tables[2:6], spelt.slots, strict=True)], axis=1).view(np.uint64).ravel()
+        bits = part.bits(self.vocabulary)
         out = np.zeros(len(part.tokens))
         order = np.argsort(-part.lens, kind="stable")
         weights = [np.repeat(w[:, None], len(part.lens), axis=1) for w in self.start]
@@ -801,17 +809,18 @@ class Scorer:
                 doc = np.repeat(np.arange(len(some)), sizes[lo:hi])
                 at = spans(part.start[some] + b, sizes[lo:hi])
                 mine = [np.take(w, some, axis=1) for w in weights]
-                out[at] = self._block(part, told, spelt, at, doc, [w.reshape(len(w), -1) for w in mine])
+                out[at] = self._block(part, told, bits, spelt, at, doc, [w.reshape(len(w), -1) for w in mine])
                 for w, m in zip(weights, mine, strict=True):
                     w[:, some] = m
         return out
 
-    def _block(self, part: Slice, told: Foretold, spelt: Spelt, at: np.ndarray, doc: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+    def _block(self, part: Slice, told: Foretold, bits: tuple, spelt: Spelt, at: np.ndarray, doc: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
         v = self.vocabulary
-        code, ids = v.code, part.ids[at]
-        n = code.size[ids]
+        first, size, bit = bits
+        word = part.local[at]
+        n = size[word]
         ends = np.cumsum(n)
-        node, guess, line, one = loose_bits(v.bit[spans(code.first[ids], n)])
+        node, guess, line, one = loose_bits(bit[spans(first[word], n)])
         sign = one * np.int8(2) - np.int8(1)
         near, seen_near = self._read(self.tables[0][v.slots(node + np.repeat(v.salts[0][part.near[at]], n), line)], sign)
         before, seen = self._read(self.tables[1][v.slots(node + np.repeat(v.salts[1][part.before[at]], n), line)], sign)
@@ -826,13 +835,13 @@ class Scorer:
         gate = (kind * np.int16(8) + seen) * np.int16(4) + (seen_near >> np.int16(1))
         cost = mixed(weights[0], np.repeat(doc * GATES, n) + gate, [guess, near, before, whole])
         total = np.add.reduceat(cost, ends - n, dtype=np.float64)
-        odd = np.flatnonzero(ids == v.escape)
+        odd = np.flatnonzero(part.ids[at] == v.escape)
         if not len(odd):
             return total
         # is an escaped word one that the words before foretell? that many others were escaped, and that many were this word
         place = at[odd]
         asked = np.flatnonzero(told.first[place] >= 0)
-        escaped = told.counts[told.first[place[asked]] + code.size[v.escape]]
+        escaped = told.counts[told.first[place[asked]] + v.code.size[v.escape]]
         asked, escaped = asked[escaped > 0], escaped[escaped > 0]
         right = told.exact[place[asked]]
         if len(asked):

@@ -499,7 +499,7 @@ def test_a_documents_cost_is_its_own():
     texts = [[0, 1, 4, 0, 2], [1] * 500 + [5, 2], [2]]
 
     def costs(some):
-        part = scoring.Slice(np.ones(len(some), bool), np.array([len(texts[i]) for i in some]), np.concatenate([texts[i] for i in some]).astype(np.int64), [b"dog", b"zebra"], vocabulary)
+        part = scoring.Slice(np.ones(len(some), bool), np.array([len(texts[i]) for i in some]), np.arange(6), np.concatenate([texts[i] for i in some]).astype(np.int64), [b"dog", b"zebra"], vocabulary)
         return scorer.costs(part, scoring.Foretold(part, vocabulary, 1, []))
 
     assert np.allclose(np.concatenate([costs([0]), costs([1]), costs([2])]), costs([0, 1, 2]), atol=1e-5)
