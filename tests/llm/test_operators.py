@@ -495,7 +495,7 @@ def test_all_bits_are_mixed():
 def test_a_documents_cost_is_its_own():
     """Weights move for a document alone: others beside it in a slice don't change its cost."""
     vocabulary = scoring.Vocabulary([b"the", b"cat", b"\n"], np.array([5, 3, 2]), 12, np.ones(256), 14)
-    scorer = scoring.Scorer(vocabulary, [scoring.guesses(np.random.default_rng(k).integers(0, 9, (1 << (14 if k < 2 else 12), 2))) for k in range(scoring.TABLES)])
+    scorer = scoring.Scorer(vocabulary, [scoring.guesses(np.random.default_rng(k).integers(0, 9, (1 << (14 - scoring.SPELT_LESS * (k > 1)), 2))) for k in range(scoring.TABLES)])
     texts = [[0, 1, 4, 0, 2], [1] * 500 + [5, 2], [2]]
 
     def costs(some):
