@@ -13,9 +13,11 @@ lies between its header and its successor, over as many pieces as that takes.
 Defined results: a null payload is empty; every record's payload_bytes and
 payload_digest are those of the full payload, also for revisits; a payload may
 hold version lines, whole records, and any other text; repeated page_ids give
-records of their own, and rows of equal payload and id refer to that id; an
-empty table gives no records; other columns are ignored. A file whose chain
-breaks off raises an error.
+records of their own; of rows of equal payload and smallest id one is the
+response, that of the smallest url, and the others refer to its id; null ids come
+last; an empty table gives no records; other columns are ignored. A file whose
+chain breaks off raises an error, and so does a count of records read back that
+differs from the pages written.
 """
 
 from __future__ import annotations
@@ -43,24 +45,35 @@ def base32_sha1(data: Column) -> Column:
 
 def records(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url", least: int = 0) -> DataFrame:
     """page_id, record: each page's whole record but for its last CRLF. Payloads under `least` bytes are never revisits."""
-    data = pages.select(pages[id_col].alias("page_id"), (pages[url_col] if url_col in pages.columns else F.lit(None).cast("string")).alias("url"), F.coalesce(pages[payload_col], F.lit("")).alias("payload"))
+    url = F.coalesce(pages[url_col].cast("string"), F.lit("")) if url_col in pages.columns else F.lit("")
+    data = pages.select(pages[id_col].alias("page_id"), url.alias("url"), F.coalesce(pages[payload_col], F.lit("")).alias("payload"))
     data = data.withColumn("key", F.sha2("payload", 256))
-    first = cut(data.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "copies")
-    marked = data.join(first, "key", "left")
-    revisit = F.coalesce((F.col("page_id") != F.col("first")) & (F.octet_length("payload") >= least), F.lit(False))
+    per = data.groupBy("key", "page_id").agg(F.count("*").alias("n"))
+    first = cut(per.groupBy("key").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "n")).alias("first"), F.sum("n").alias("n")).where("n > 1"), "copies")
+    marked = data.join(first.select("key", "first"), "key", "left").withColumn("own", F.coalesce(F.col("page_id").eqNullSafe(F.col("first.page_id")), F.lit(False)))
+    revisit = F.col("first").isNotNull() & ~F.col("own")
+    if not first.where("first.n > 1").isEmpty():  # several rows of the smallest id, counted by url: one of them is the response
+        tied = marked.where("own and first.n > 1").groupBy("key", "page_id", "url").agg(F.count("*").alias("n"), F.max("payload").alias("payload"), F.max("first").alias("first"))
+        lead = tied.groupBy("key").agg(F.min("url").alias("lead"))
+        spread = tied.join(lead, "key").select("page_id", "url", "payload", "first", "lead", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+        rows = marked.where("first is null or not own or first.n = 1").select("page_id", "url", "payload", "first", revisit.alias("again")).unionAll(
+            spread.select("page_id", "url", "payload", "first", ((F.col("copy") > 1) | (F.col("url") != F.col("lead"))).alias("again"))
+        )
+    else:
+        rows = marked.select("page_id", "url", "payload", "first", revisit.alias("again"))
+    revisit = F.col("again") & (F.octet_length("payload") >= least)
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]+", "%20")
     name = lambda c: F.concat(F.lit(f"<{ID}"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     head = F.concat(
         F.lit(f"{VERSION}WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit("\r\nWARC-Record-ID: "), name(F.col("page_id")),
-        F.lit("\r\nWARC-Target-URI: "), url,
+        F.lit("\r\nWARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x20]+", "%20"),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), base32_sha1(F.col("payload").cast("binary")),
-        F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: "), name(F.col("first")), F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: "), name(F.col("first.page_id")), F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(body).cast("string"),
         F.lit("\r\n\r\n"),
     )
-    return marked.select("page_id", F.concat(head, body, F.lit("\r\n")).alias("record"))
+    return rows.select("page_id", F.concat(head, body, F.lit("\r\n")).alias("record"))
 
 
 def write_archives(pages: DataFrame, path: str, **options) -> str:
@@ -96,7 +109,7 @@ def _chain(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Pieces of archives between version lines: file, block, seq (together a piece's place) and value. A second scan of the same files splits and numbers them alike."""
+    """Pieces of archives between version lines: file, value, and block and seq, which order a file's pieces within this scan. Another scan may split files elsewhere: what joins scans is a piece's place in its file, never these."""
     return spark.read.option("lineSep", VERSION).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), F.col("value"))
 
 
@@ -118,7 +131,7 @@ def _digested(fields: dict[str, Column]) -> list[Column]:
 
 
 def chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Pieces on the boundary chains (file, block, seq, at, record: the first piece's at), and the digests of pieces that are whole records.
+    """Pieces on the boundary chains (file, at: the piece's place in its file, record: the first piece's at), and the digests of pieces that are whole records, by file and at.
 
     Only sizes, offsets and digests leave the scan, never payloads.
     """
@@ -132,38 +145,40 @@ def chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     # byte offsets within a file: each piece takes its own bytes and the version line before it; a file starts with an empty piece
     w = Window.partitionBy("file").orderBy("block", "seq")
     before = F.sum(F.col("size") + len(VERSION)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size") - 2 * len(VERSION)
-    placed = pieces.select("file", "block", "seq", F.row_number().over(w).alias("at"), "size", "span", before.alias("offset")).where("at > 1")
-    found = placed.select("file", "block", "seq", "at", "offset", F.coalesce(F.col("offset") + F.col("span"), F.lit(-1)).alias("successor"), (F.col("offset") + F.col("size") + len(VERSION)).alias("end"))
-    chained = found.select("file", "at", "offset", "successor", "end").groupBy("file").applyInPandas(_chain, "file string, at int, record int")
-    return cut(found.select("file", "block", "seq", "at").join(chained, ["file", "at"]), "chain"), pieces.where("own is not null").select("file", "block", "seq", "own")
-
-
-def _pieced(spark: SparkSession, path: str, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Keys of records of one piece, and the text of those of several, if there are any."""
-    several = links.groupBy("file", "record").agg(F.count("*").alias("n")).where("n > 1").select("file", "record")
-    # as a written table its size is known, so that Spark needn't shuffle the archives' text to find a few pieces in it
-    parts = cut(links.join(several, ["file", "record"], "left_semi"), "parts")
-    if parts.isEmpty():
-        return links.select("file", "block", "seq"), None
-    single = links.where("at = record").join(parts.select("file", "record").distinct(), ["file", "record"], "left_anti").select("file", "block", "seq")
-    rows = _lines(spark, path).join(parts, ["file", "block", "seq"])
+    placed = cut(pieces.select("file", F.row_number().over(w).alias("at"), "size", "span", before.alias("offset"), "own").where("at > 1"), "placed")
+    found = placed.select("file", "at", "offset", F.coalesce(F.col("offset") + F.col("span"), F.lit(-1)).alias("successor"), (F.col("offset") + F.col("size") + len(VERSION)).alias("end"))
+    chained = found.groupBy("file").applyInPandas(_chain, "file string, at int, record int")
+    return cut(chained, "chain"), placed.where("own is not null").select("file", "at", "own")
+
+
+def _pieced(spark: SparkSession, path: str, links: DataFrame, every: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Places of records of one piece, and the text of those of several, if there are any. every: the text of all records, in place of both."""
+    parts = links if every else cut(links.join(links.groupBy("file", "record").agg(F.count("*").alias("n")).where("n > 1").select("file", "record"), ["file", "record"], "left_semi"), "parts")
+    single = None if every else links.where("at = record")
+    if not every:
+        if parts.isEmpty():
+            return single.select("file", "at"), None
+        single = single.join(parts.select("file", "record").distinct(), ["file", "record"], "left_anti").select("file", "at")
+    # a second scan, of the files that hold such records: its pieces are placed anew, as it may split files elsewhere
+    lines = _lines(spark, path)
+    lines = lines if every else lines.join(parts.select("file").distinct(), "file", "left_semi")
+    placed = lines.select("file", F.row_number().over(Window.partitionBy("file").orderBy("block", "seq")).alias("at"), "value")
+    rows = placed.join(parts, ["file", "at"])
     return single, rows.groupBy("file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), VERSION).alias("value"))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, record_type, refers_to, digest and payload of every record in the WARC files under path."""
     links, _ = chain(spark, path)
-    single, whole = _pieced(spark, path, links)
-    text = _lines(spark, path).join(single, ["file", "block", "seq"]).select("value")
-    text = text.unionAll(whole.select("value")) if whole is not None else text
-    return text.select(*[c.alias(n) for n, c in _record(F.col("value")).items()])
+    _, whole = _pieced(spark, path, links, every=True)
+    return whole.select(*[c.alias(n) for n, c in _record(F.col("value")).items()])
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Like read_archives, with payload_bytes and payload_digest for the payload: only records of several pieces move their text."""
+    """Like read_archives, with payload_bytes and payload_digest for the payload: only files with records of several pieces move their text."""
     links, own = chain(spark, path)
     single, whole = _pieced(spark, path, links)
-    out = own.join(single, ["file", "block", "seq"]).select("own.*")
+    out = own.join(single, ["file", "at"]).select("own.*")
     return out.unionAll(whole.select(*_digested(_record(F.col("value"))))) if whole is not None else out
 
 
@@ -172,6 +187,8 @@ def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     spark = pages.sparkSession
     path = write_archives(pages, path or new_path(spark, "warc"), **options)
     back = cut(read_digests(spark, path), "records")
+    if (read := back.count()) != (wrote := pages.count()):
+        raise ValueError(f"{wrote} pages were written, {read} records read back")
     full = back.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest")).dropDuplicates(["refers_to"])
     wrong = back.where("record_type = 'response' and digest <> payload_digest")
     if not wrong.isEmpty():
