@@ -11,9 +11,11 @@ the number of blocks that each source gives is its quota. The quotas are split
 among output shards by halving the shards again and again: how many blocks of
 each source go left is drawn from the multivariate hypergeometric law, so that
 all quotas hold exactly. A source's permuted blocks are then dealt to the shards
-by their quotas, disjointly, and each shard shuffles its rows locally.
+by their quotas, disjointly; a row is taken as often as a shard drew its block,
+and each shard shuffles its rows locally.
 
-The driver handles a row for each source and block, not for each document.
+The driver handles a row for each source and block, not for each document, and
+refuses more than MOST_SOURCES sources.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in the order; rows alike in id and text are drawn together; an empty table
@@ -38,6 +40,8 @@ SEED = 17
 #: A block is the rows of a source that agree in so many leading bits of their order.
 BLOCK_BITS = 7
 STEP_BITS = 10
+#: The driver holds 2 ** STEP_BITS numbers a source, so that it refuses more sources than these.
+MOST_SOURCES = 10_000
 
 
 def words(text: Column) -> Column:
@@ -83,12 +87,17 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return np.concatenate([split_quotas(draw, left, rng), split_quotas(quotas - draw, shards - left, rng)])
 
 
+def deal(items: list[tuple], shares: np.ndarray) -> dict[tuple, int]:
+    """The shard that draws each item: the first so many permuted items go to shard 0, the next to shard 1, and so on."""
+    return dict(zip(items, np.repeat(np.arange(len(shares)), shares).tolist(), strict=True))
+
+
 @dataclass
 class Mix:
     """What the mix takes: by source, and by source and block."""
 
     sources: DataFrame  # key, source_size, target, whole, drawn: the rows of one more copy, as ranges of the order with a bound on the size
-    blocks: DataFrame  # key, block, shards: of the block's first copy, second, ...
+    blocks: DataFrame  # key, block, shards of the block's whole copies, last: the shard of the rows that one more copy takes, if any
     seed: int
 
 
@@ -126,6 +135,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
             bits -= down
         return until
 
+    if (n := base.select("key").distinct().count()) > MOST_SOURCES:
+        raise ValueError(f"{n} sources; the driver plans for {MOST_SOURCES} at most")
     parts = level(base, 63 - STEP_BITS)
     keys = sorted(parts)
     sizes = [sum(p[1] for p in parts[k]) for k in keys]
@@ -151,35 +162,33 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     shares = split_quotas(np.array([len(items[k]) for k in keys], np.int64), shards, rng) if keys else np.zeros((shards, 0), np.int64)
     rows = []
     for i, k in enumerate(keys):
-        order = rng.permutation(len(items[k]))
-        dealt = dict(zip([items[k][j] for j in order], np.repeat(np.arange(shards), shares[:, i]).tolist(), strict=True))
-        rows += [(k, b, [dealt[c, b] for c in range(whole[i] + 1) if (c, b) in dealt]) for b in blocks[k]]
+        dealt = deal([items[k][j] for j in rng.permutation(len(items[k]))], shares[:, i])
+        rows += [(k, b, [dealt[c, b] for c in range(whole[i]) if (c, b) in dealt], dealt.get((whole[i], b))) for b in blocks[k]]
     return Mix(
         spark.createDataFrame([(k, s, t, w, drawn.get(k, [])) for k, s, t, w in zip(keys, sizes, target, whole, strict=True)], "key string, source_size long, target double, whole int, drawn array<struct<begin: long, until: long, most: long>>"),
-        spark.createDataFrame(rows, "key string, block long, shards array<int>"),
+        spark.createDataFrame(rows, "key string, block long, shards array<int>, last int"),
         seed,
     )
 
 
 def counted(docs: DataFrame, plan: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs with __mix: size, source_size, target, copies, order and the shards of the copies. Both joined tables have at most 2 ** BLOCK_BITS rows a source."""
+    """row: docs' columns; mix: size, source_size, target, copies, order and the shards of the copies. A row is taken as often as its block was dealt to a shard. Both joined tables have at most 2 ** BLOCK_BITS rows a source, of MOST_SOURCES at most."""
     own = F.struct(source_key(docs[source_col]).alias("key"), words(docs[text_col]).alias("size"), order_of(docs[id_col], docs[text_col], plan.seed).alias("order"))
-    data = docs.withColumn("__own", own)
-    per = plan.sources.select(F.col("key").alias("__key"), F.struct("source_size", "target", "whole", "drawn").alias("__source"))
-    block = plan.blocks.select(F.col("key").alias("__bkey"), F.col("block").alias("__block"), F.col("shards").alias("__shards"))
-    out = data.join(F.broadcast(per), F.col("__own.key") == F.col("__key")).join(F.broadcast(block), (F.col("__own.key") == F.col("__bkey")) & (F.shiftright(F.col("__own.order"), 63 - BLOCK_BITS) == F.col("__block")))
-    copies = F.col("__source.whole") + F.exists("__source.drawn", lambda d: (F.col("__own.order") >= d["begin"]) & (F.col("__own.order") < d["until"]) & (F.col("__own.size") <= d["most"])).cast("int")
-    mix = F.struct(F.col("__own.size").alias("size"), F.col("__own.order").alias("order"), F.col("__source.source_size").alias("source_size"), F.col("__source.target").alias("target"), copies.alias("copies"), F.slice("__shards", F.lit(1), copies).alias("shards"))
-    return out.select(*[docs[c] for c in docs.columns], mix.alias("__mix"))
+    data = docs.select(F.struct("*").alias("row"), own.alias("own"))
+    per = plan.sources.select("key", F.struct("source_size", "target", "whole", "drawn").alias("source"))
+    block = plan.blocks.select("key", "block", "shards", "last")
+    out = data.join(F.broadcast(per), F.col("own.key") == per["key"]).drop("key").join(F.broadcast(block), (F.col("own.key") == block["key"]) & (F.shiftright(F.col("own.order"), 63 - BLOCK_BITS) == F.col("block")))
+    once_more = F.exists("source.drawn", lambda d: (F.col("own.order") >= d["begin"]) & (F.col("own.order") < d["until"]) & (F.col("own.size") <= d["most"])) & F.col("last").isNotNull()
+    shards = F.concat("shards", F.when(once_more, F.array("last")).otherwise(F.array().cast("array<int>")))
+    return out.select("row", F.struct("own.size", "own.order", "source.source_size", "source.target", F.size(shards).alias("copies"), shards.alias("shards")).alias("mix"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shuffled: bool = True, **options) -> DataFrame:
     """docs' columns, a row for each copy taken. shuffled: dealt to the shards' partitions and shuffled in each."""
     plan = plan_mix(docs, id_col, text_col, source_col, **options)
-    taken = counted(docs, plan, id_col, text_col, source_col)
-    rows = taken.select(*docs.columns, F.posexplode("__mix.shards").alias("__copy", "__shard"))
+    rows = counted(docs, plan, id_col, text_col, source_col).select("row", F.posexplode("mix.shards").alias("copy", "shard"))
     if not shuffled:
-        return rows.select(*docs.columns)
+        return rows.select("row.*")
     # a shard may be larger than a task: each is dealt over several partitions, whose rows are shuffled there
-    salt = F.xxhash64(id_col, "__copy", F.lit(plan.seed))
-    return rows.withColumn("__salt", salt).repartition("__shard", F.pmod("__salt", F.lit(64))).sortWithinPartitions("__shard", "__salt").select(*docs.columns)
+    salt = F.xxhash64(F.col("row")[id_col], "copy", F.lit(plan.seed))
+    return rows.withColumn("salt", salt).repartition("shard", F.pmod("salt", F.lit(64))).sortWithinPartitions("shard", "salt").select("row.*")

@@ -50,8 +50,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rows = mixing.counted(docs, mixing.plan_mix(docs))
-    mix = F.col("__mix")
-    return rows.select("doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), (mix["size"] * mix["copies"]).cast("long").alias("taken"), mix["shards"].alias("shards"))
+    mix = F.col("mix")
+    return rows.select("row.doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"), (mix["size"] * mix["copies"]).cast("long").alias("taken"), mix["shards"].alias("shards"))
 
 
 QUERIES = {f.__name__: f for f in (op1_media, op2_exact_dedup, op3_license_scan, op4_sharding, op5_simhash, op6_warc, op7_packing, op8_quality, op9_lm_scoring, op10_mixing)}
