@@ -150,7 +150,7 @@ def _data(docs: DataFrame, id_col: str, text_col: str, metadata: tuple) -> tuple
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, metadata: tuple = METADATA, sample: int = SAMPLE) -> Model:
-    """Fitted on at most `sample` labelled rows whose fold (crc32 of the id as text, modulo folds) is not 0."""
+    """Fitted on at most `sample` labelled rows whose fold (crc32 of the id as text, modulo folds) is not 0; of rows of one id, on that with the smallest words."""
     chosen = (
         labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("label"))
         .where("doc_id is not null and label in (0, 1)")
@@ -168,8 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for (ids, label), found in _with_metadata(batch, 2, n):
                 yield pa.record_batch([ids.cast(pa.string()), label, pa.array([f[0].tobytes() for f in found], pa.binary()), pa.array([f[1] for f in found], pa.list_(pa.float64()))], ["doc_id", "label", "words", "stats"])
 
-    found = rows.mapInArrow(run, "doc_id string, label int, words binary, stats array<double>").toArrow().to_pylist()
-    found.sort(key=lambda r: (r["doc_id"], r["words"]))
+    # of rows of one id one is learnt, so that the driver gets `sample` rows at most
+    one = rows.mapInArrow(run, "doc_id string, label int, words binary, stats array<double>").groupBy("doc_id").agg(F.min(F.struct("words", "stats", "label")).alias("r"))
+    found = one.select("doc_id", "r.words", "r.stats", "r.label").toArrow().to_pylist()
+    found.sort(key=lambda r: r["doc_id"])
     return fit([(np.frombuffer(r["words"], np.int32), r["stats"]) for r in found], np.array([r["label"] for r in found], np.float64), STATISTICS + n)
 
 
