@@ -31,6 +31,8 @@ from terravane.llm.tables import cut
 BLOCK = 4096
 #: Names that one bucket sorts.
 BUCKET_ROWS = 20_000
+#: Groups of equal texts that are sent to all tasks, at most.
+HOT = 5_000
 
 
 def normalised(text: Column) -> Column:
@@ -108,8 +110,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """A row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256. Of rows of one text and one id, one is kept."""
     named = cut(text_names(docs, id_col, text_col, block), "text-names")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row")))
-    groups = named.groupBy("blocks", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
-    return named.join(groups, ["blocks", "name"]).select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
+    groups = cut(named.groupBy("blocks", "name").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
+    # groups of over one in HOT of all rows are fewer than HOT: they are sent to the rows, so that none of them meets in one task
+    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    hot = groups.where(F.col("group_size") > total // HOT).select("blocks", "name", F.struct("first", "group_size").alias("hot"))
+    met = named.join(F.broadcast(hot), ["blocks", "name"], "left")
+    rest = met.where("hot is null").drop("hot").join(groups.where(F.col("group_size") <= total // HOT), ["blocks", "name"])
+    out = met.where("hot is not null").select("doc_id", "row", "text_sha256", "hot.first", "hot.group_size").unionAll(rest.select("doc_id", "row", "text_sha256", "first", "group_size"))
+    return out.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,11 +126,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Ids are what names a row here: should an id be repeated or null, its rows
     are kept or dropped by (id, text), one of each.
     """
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    marked = docs.withColumn("__sha2", F.sha2(normalised(docs[text_col]), 256))
-    out = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (marked["__sha2"] == kept["__sha"]), "left_semi")
-    repeated = not docs.groupBy(id_col).count().where("count > 1").isEmpty()
-    return (out.dropDuplicates([id_col, "__sha2"]) if repeated else out).drop("__sha2")
+    kept = exact_groups(docs, id_col, text_col).where("kept").select("doc_id", "text_sha256")
+    marked = docs.select(F.struct("*").alias("row"), docs[id_col].alias("id"), F.sha2(normalised(docs[text_col]), 256).alias("sha"))
+    out = marked.join(kept, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256")), "left_semi")
+    repeated = not docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    return (out.dropDuplicates(["id", "sha"]) if repeated else out).select("row.*")
 
 
 ORACLE = r"""
