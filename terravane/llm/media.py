@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terravane.llm.tables import hand_back
+
 ROW = 192
 MAX_ROWS = 8191
 #: Payload bytes coded or read at once, which bounds a worker's memory.
@@ -377,6 +379,8 @@ def slices(batch: pa.RecordBatch, most: int) -> Iterator[tuple]:
             begin, size, held = i + 1, 0, []
     if held:
         yield *(c.slice(begin) for c in batch.columns[:-1]), held
+    held = None
+    hand_back()
 
 
 def read_media(stored: DataFrame, payload: bool = False) -> DataFrame:

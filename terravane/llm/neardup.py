@@ -230,10 +230,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """docs with one row of each group, that of the smallest id, and of the smallest text hash where ids are equal; null ids come last. Rows alike in id and text are one."""
     # the id's place among all: null ids last, and equal ids told apart by their texts
     key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), F.sha2(F.coalesce(docs[text_col].cast("binary"), F.lit("").cast("binary")), 256).alias("sha"))
-    marked = docs.withColumn("__key", key)
-    groups = near_groups(marked, "__key", text_col, radius)
-    keep = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id.id").alias("__id"), F.col("doc_id.sha").alias("__sha")).agg(F.count("*").alias("__n")), "kept")
-    out = marked.join(keep, marked["__key.id"].eqNullSafe(keep["__id"]) & (marked["__key.sha"] == keep["__sha"]), "left_semi")
-    if not keep.where("__n > 1").isEmpty():
-        out = out.dropDuplicates(["__key"])
-    return out.drop("__key")
+    marked = docs.select(F.struct("*").alias("row"), key.alias("key"), docs[text_col].alias("text"))
+    groups = near_groups(marked, "key", "text", radius)
+    keep = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id.id").alias("id"), F.col("doc_id.sha").alias("sha")).agg(F.count("*").alias("n")), "kept")
+    out = marked.select("row", "key").join(keep, F.col("key.id").eqNullSafe(keep["id"]) & (F.col("key.sha") == keep["sha"]), "left_semi")
+    if not keep.where("n > 1").isEmpty():
+        out = out.dropDuplicates(["key"])
+    return out.select("row.*")

@@ -23,6 +23,9 @@ def words(t):
     return (t or "").encode().translate(LOW).split()
 
 
+DEAL = mixing.deal
+
+
 def by_row(df):
     return collections.Counter(tuple(r) for r in df.collect())
 
@@ -268,6 +271,40 @@ def test_warc(spark):
     assert warc.archive(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", ["997", "5000"])
+def test_warc_scans_split_elsewhere(spark, tmp_path, size):
+    """The second scan splits files otherwise than the first one, as it may after a lost executor."""
+    rows = [(100 * k + i, u, (h or "") + str(k % 3), c) for k in range(5) for i, u, h, c in pages(spark)]
+    path = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string, file string").repartition(2), f"file://{tmp_path}/w")
+    links, own = warc.chain(spark, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        single, whole = warc._pieced(spark, path, links)
+        text = [r.value for r in whole.collect()]
+        found = own.join(single, ["file", "at"]).select("own.*").unionAll(whole.select(*warc._digested(warc._record(F.col("value"))))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(text) > 5 and sorted(r.page_id for r in found) == sorted(r[0] for r in rows)
+    assert all(r.payload_digest == r.digest for r in found if r.record_type == "response")
+
+
+def test_warc_repeated_and_null_ids(spark):
+    """Of equal payloads one is the response, also among rows of one id, or of none."""
+    rows = [(1, "b", "same"), (1, "a", "same"), (1, "a", "same"), (2, "c", "same"), (3, None, "other"), (3, "x", "else"), (None, "n", "null"), (None, "m", "null"), (None, "p", "same")]
+    got = by_row(warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "record_type", "refers_to"))
+    want = {(1, "response", None): 1, (1, "revisit", 1): 2, (2, "revisit", 1): 1, (3, "response", None): 2, (None, "response", None): 1, (None, "revisit", None): 1, (None, "revisit", 1): 1}
+    assert got == want
+
+
+def test_warc_counts_what_it_reads(spark, monkeypatch):
+    whole = warc.read_digests
+    monkeypatch.setattr(warc, "read_digests", lambda *a: whole(*a).limit(2))
+    with pytest.raises(ValueError, match="read back"):
+        warc.archive(spark.createDataFrame(pages(spark), "page_id long, url string, html string, file string"))
+
+
 def test_warc_split_files_and_broken_chain(spark, tmp_path):
     rows = pages(spark)
     df = spark.createDataFrame(rows, "page_id long, url string, html string, file string").coalesce(1)
@@ -520,7 +557,7 @@ def test_code_is_complete_and_holds_the_counts():
 
 def test_mix(docs, rows, empty):
     plan = mixing.plan_mix(docs)
-    got = mixing.counted(docs, plan).select("doc_id", "source", "__mix.*").collect()
+    got = mixing.counted(docs, plan).select("row.doc_id", "row.source", "mix.*").collect()
     assert len(got) == len(rows)
     size = collections.Counter()
     for r in rows:
@@ -535,14 +572,14 @@ def test_mix(docs, rows, empty):
     out = mixing.mix(docs)
     assert out.columns == docs.columns and out.count() == sum(r.copies for r in got)
     assert mixing.mix(empty).count() == 0
-    again = mixing.counted(docs.repartition(5), mixing.plan_mix(docs.repartition(2))).select("doc_id", "source", "__mix.*")
+    again = mixing.counted(docs.repartition(5), mixing.plan_mix(docs.repartition(2))).select("row.doc_id", "row.source", "mix.*")
     assert by_row(again.select("doc_id", "copies")) == collections.Counter((r.doc_id, r.copies) for r in got)
 
 
 def test_mix_meets_targets(spark):
     rng = np.random.default_rng(2)
     docs = spark.createDataFrame([(i, "w " * int(rng.integers(1, 40)), "abcdefg"[int(rng.integers(0, 7)) if i % 3 else 0]) for i in range(3000)], "doc_id long, text string, source string")
-    got = mixing.counted(docs, mixing.plan_mix(docs)).select("source", "__mix.*").toPandas()
+    got = mixing.counted(docs, mixing.plan_mix(docs)).select("row.source", "mix.*").toPandas()
     s = got.assign(taken=got["size"] * got["copies"]).groupby("source").agg(taken=("taken", "sum"), target=("target", "first"), n=("size", "sum"))
     assert (abs(s.taken - s.target) <= 40).all() and (s.target <= 3 * s.n + 1e-6).all()
 
@@ -556,7 +593,7 @@ def test_mix_fills_until_no_row_fits(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     plan = mixing.plan_mix(docs)
     whole = {r.key: r.whole for r in plan.sources.collect()}
-    got = mixing.counted(docs, plan).select("source", "__mix.*").toPandas()
+    got = mixing.counted(docs, plan).select("row.source", "mix.*").toPandas()
     for source, rows in got.groupby("source"):
         left = rows.target.iloc[0] - (rows["size"] * rows["copies"]).sum()
         spare = rows[(rows["copies"] == whole[f"={source}"]) & (rows["size"] > 0)].groupby("order")["size"].sum()
@@ -564,6 +601,34 @@ def test_mix_fills_until_no_row_fits(spark):
     assert len({s for shards in got.shards for s in shards}) == mixing.SHARDS
 
 
+def test_mix_comes_through_the_tree(spark, monkeypatch):
+    """A tree that loses a part of the quotas takes fewer words; one that fails fails the mix."""
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 9), "ab"[i % 2]) for i in range(2000)], "doc_id long, text string, source string")
+    taken = lambda: mixing.counted(docs, mixing.plan_mix(docs)).select(F.sum(F.col("mix.size") * F.col("mix.copies"))).first()[0]
+    whole = taken()
+    monkeypatch.setattr(mixing, "deal", lambda items, shares: {item: s for item, s in DEAL(items, shares).items() if s != 3})
+    assert 0.8 * whole < taken() < 0.95 * whole
+
+
+def test_mix_refuses_sources_without_bound(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.plan_mix(spark.createDataFrame([(i, "w", f"s{i}") for i in range(5)], "doc_id long, text string, source string"))
+
+
+NAMES = ("row", "own", "key", "id", "sha", "mix", "copy", "shard", "salt", "last", "text_sha256", "__key", "__id", "__sha", "__sha2", "__copy", "__shard", "__mix", "block", "source_size", "fp", "n")
+
+
+def test_no_column_name_clashes(spark):
+    """Whatever docs' other columns are called, they come through."""
+    rows = [(i, t, "ab"[i % 2], *range(len(NAMES))) for i, t in enumerate(["one two three four"] * 3 + ["five six seven eight nine"] * 2 + ["", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in NAMES))
+    for out, n in ((exact.drop_copies(docs), 3), (neardup.drop_near_copies(docs), 3), (mixing.mix(docs), None), (mixing.mix(docs, shuffled=False), None)):
+        got = out.collect()
+        assert out.columns == docs.columns and all(tuple(r)[3:] == tuple(range(len(NAMES))) for r in got) and got
+        assert n is None or len(got) == n
+
+
 def test_splitting_tree_keeps_quotas():
     q = np.array([0, 7, 100, 3])
     s = mixing.split_quotas(q, 8, np.random.default_rng(0))
