@@ -17,7 +17,9 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
-    _LIBC.mallopt(-3, 16 << 20)  # blocks from 16 MB on are mapped on their own, and go back to the system once they are freed
+    # blocks under 32 MB come from the heap, whose free end is handed back by hand_back alone, not at every turn
+    _LIBC.mallopt(-3, 32 << 20)
+    _LIBC.mallopt(-1, 1 << 30)
 except (OSError, AttributeError):  # another C library
     _LIBC = None
 pa.set_memory_pool(pa.system_memory_pool())
