@@ -4,16 +4,20 @@ Candidates meet by an equi join on grid cells: every shape is listed under the
 cells that its bounds touch, a pair is taken only in the cell that holds the
 lower left corner of the bounds' common part, so that no pair is met twice, and
 an exact test follows in Arrow batches. Shapes are rows findex, gtype, coords
-(the shell or line), and optionally holes (array of rings).
+(the shell, line or point), and optionally holes (array of rings); shapes of
+several parts hold all of their rings, lines or points in rings instead. A
+polygon's inside is what an odd number of its rings surround, so that holes and
+parts need no order. Other kinds of shapes are refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -23,74 +27,120 @@ from terravane.functions import geometry as g
 COORDS = "array<struct<x:double,y:double,z:double>>"
 
 
+def rings_of(shapes: DataFrame) -> Column:
+    """All rings, lines or points of a shape."""
+    coords = F.array("coords")
+    if "holes" in shapes.columns:
+        coords = F.concat(coords, F.coalesce(F.col("holes"), F.array().cast(f"array<{COORDS}>")))
+    return F.coalesce(F.col("rings"), coords) if "rings" in shapes.columns else coords
+
+
 def bounds(shapes: DataFrame, grow: float = 0.0) -> DataFrame:
-    low = lambda c: F.array_min(F.transform("coords", lambda p: p[c])) - grow
-    high = lambda c: F.array_max(F.transform("coords", lambda p: p[c])) + grow
+    low = lambda c: F.array_min(F.transform(F.flatten(rings_of(shapes)), lambda p: p[c])) - grow
+    high = lambda c: F.array_max(F.transform(F.flatten(rings_of(shapes)), lambda p: p[c])) + grow
     return shapes.withColumns({"x0": low("x"), "y0": low("y"), "x1": high("x"), "y1": high("y")})
 
 
 def candidates(main: DataFrame, sub: DataFrame, cell: float, grow: float = 0.0) -> DataFrame:
-    """Pairs whose bounds, those of main grown, meet: columns l, l_coords, l_type, r, r_coords, r_type."""
+    """Pairs whose bounds, those of main grown, meet: columns l, l_rings, l_type, r, r_rings, r_type."""
 
     def cells(df: DataFrame, side: str, more: float) -> DataFrame:
-        b = bounds(df, more).select(F.col("findex").alias(side), F.col("coords").alias(f"{side}_coords"), F.col("gtype").alias(f"{side}_type"), *[F.col(c).alias(f"{side}_{c}") for c in ("x0", "y0", "x1", "y1")])
+        b = bounds(df, more).select(F.col("findex").alias(side), rings_of(df).alias(f"{side}_rings"), F.col("gtype").alias(f"{side}_type"), *[F.col(c).alias(f"{side}_{c}") for c in ("x0", "y0", "x1", "y1")])
         span = lambda c: F.sequence(F.floor(F.col(f"{side}_{c}0") / cell), F.floor(F.col(f"{side}_{c}1") / cell))
         return b.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
 
     met = cells(main, "l", grow).join(cells(sub, "r", 0.0), ["cx", "cy"])
     touch = (F.col("l_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("l_x1")) & (F.col("l_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("l_y1"))
     once = (F.floor(F.greatest("l_x0", "r_x0") / cell) == F.col("cx")) & (F.floor(F.greatest("l_y0", "r_y0") / cell) == F.col("cy"))
-    return met.where(touch & once).select("l", "l_coords", "l_type", "r", "r_coords", "r_type")
+    return met.where(touch & once).select("l", "l_rings", "l_type", "r", "r_rings", "r_type")
 
 
 def xyz(coords) -> np.ndarray:
     return np.array([(p["x"], p["y"], p["z"] if p["z"] is not None else np.nan) for p in coords], float).reshape(-1, 3)
 
 
-def _parts(coords, kind: str) -> tuple[int, np.ndarray]:
-    """Dimension and vertices of a shape."""
-    a = xyz(coords)[:, :2]
-    return (2, g.closed(a)) if kind == "Polygon" else (1, a) if kind == "LineString" and len(a) > 1 else (0, a[:1])
+#: Dimensions of the kinds of shapes.
+KINDS = {"Point": 0, "MultiPoint": 0, "LineString": 1, "MultiLineString": 1, "LinearRing": 1, "Polygon": 2, "MultiPolygon": 2}
+
+
+def _parts(rings, kind: str) -> tuple[int, list[np.ndarray]]:
+    """Dimension, and rings, lines, or all points in one array."""
+    if kind not in KINDS:
+        raise ValueError(f"shapes of kind {kind} can't be compared")
+    found = [xyz(r)[:, :2] for r in rings]
+    if KINDS[kind] == 2:
+        return 2, [g.closed(r) for r in found]
+    lines = [r for r in found if len(r) > 1] if KINDS[kind] == 1 else []
+    return (1, lines) if lines else (0, [np.concatenate(found)])
+
+
+def polygons(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Rings by polygon, the shell first: one that an even number of others surround."""
+    size = [abs(g.area(r)) for r in rings]
+    within = [[j for j, o in enumerate(rings) if size[j] > size[i] and g.side(np.array([g.representative_point([r])]), [o])[0] > 0] for i, r in enumerate(rings)]
+    out = {i: [r] for i, r in enumerate(rings) if len(within[i]) % 2 == 0}
+    for i, r in enumerate(rings):
+        if i not in out:
+            out[min((j for j in within[i] if j in out), key=lambda j: size[j])].append(r)
+    return list(out.values())
+
 
+def _meet(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
+    return any(g.crossings(x, y) for x in a for y in b)
 
-def distance(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
+
+def _cut(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Lines of a in pieces between where they meet lines of b."""
+    return [p for x in a for p in g.split_at(x, [(i, t) for y in b for i, t, _, _ in g.crossings(x, y)])]
+
+
+def _to_lines(points: np.ndarray, lines: list[np.ndarray]) -> np.ndarray:
+    """Each point's least distance to the lines."""
+    return np.min([g.point_segments(points, x).min(1) for x in lines], axis=0)
+
+
+def distance(a: tuple[int, list], b: tuple[int, list]) -> float:
     """Least distance of two shapes, 0 if they meet."""
     (da, pa), (db, pb) = a, b
-    if da == 2 and (g.side(pb[:1], [pa])[0] >= 0) or db == 2 and (g.side(pa[:1], [pb])[0] >= 0):
+    some = lambda d, p: p[0] if d == 0 else np.array([x[0] for x in p])  # noqa: E731  a point of each part
+    if da == 2 and (g.side(some(db, pb), pa) >= 0).any() or db == 2 and (g.side(some(da, pa), pb) >= 0).any():
         return 0.0
-    if da and db and g.crossings(pa, pb):
+    if da and db and _meet(pa, pb):
         return 0.0
     if not da and not db:
-        return float(np.hypot(*(pa[0] - pb[0])))
-    return float(min([g.point_segments(pa, pb).min()] * bool(db) + [g.point_segments(pb, pa).min()] * bool(da)))
+        return float(np.hypot(*np.moveaxis(pa[0][:, None] - pb[0][None], 2, 0)).min())
+    return float(min([_to_lines(x, pb).min() for x in pa if db] + [_to_lines(x, pa).min() for x in pb if da]))
 
 
-def _inside(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> tuple[bool, bool]:
+def _inside(a: tuple[int, list], b: tuple[int, list]) -> tuple[bool, bool]:
     """Whether a lies in b, boundary included, and whether their interiors meet."""
     (da, pa), (db, pb) = a, b
     if db == 2:
         if da == 0:
-            s = int(g.side(pa, [pb])[0])
-            return s >= 0, s > 0
-        pieces = g.split_at(pa, [(i, t) for i, t, _, _ in g.crossings(pa, pb)])
-        sides = g.side(np.array([_middle(p) for p in pieces]), [pb])
-        covered = bool((sides >= 0).all())
-        inner = bool((sides > 0).any())
-        if da == 2 and not inner:  # nested, or equal
-            inner = covered or g.side(np.array([g.representative_point([pb])]), [pa])[0] > 0
+            s = g.side(pa[0], pb)
+            return bool((s >= 0).all()), bool((s > 0).any())
+        sides = g.side(np.array([_middle(p) for p in _cut(pa, pb)]), pb)
+        covered, inner = bool((sides >= 0).all()), bool((sides > 0).any())
+        if da == 2:
+            back = g.side(np.array([_middle(p) for p in _cut(pb, pa)]), pa)
+            if (back > 0).any():  # beyond b's boundary there is something outside b
+                return False, True
+            if not inner:  # all on the boundary or outside: equal, a in a hole of b, b in a hole of a, or apart
+                within = g.side(np.array([g.representative_point(p) for p in polygons(pa)]), pb) > 0
+                return covered and bool(within.all()), bool(within.any())
         return covered, inner
     if da > db:
         return False, False
     if db == 1:
         if da == 0:
-            on = bool(g.point_segments(pa, pb).min() <= g.EPS)
-            ends = (np.abs(pb[[0, -1]] - pa[0]).max(1) <= g.EPS).any() and not np.array_equal(pb[0], pb[-1])
-            return on, on and not bool(ends)
-        pieces = g.split_at(pa, [(i, t) for i, t, _, _ in g.crossings(pa, pb)])
-        on = [bool(g.point_segments(_middle(p), pb).min() <= g.EPS) for p in pieces]
-        return all(on), any(on) or any(_interior(pa, i, t) and _interior(pb, j, u) for i, t, j, u in g.crossings(pa, pb))
-    same = bool(np.abs(pa[0] - pb[0]).max() <= g.EPS)
-    return same, same
+            on = _to_lines(pa[0], pb) <= g.EPS
+            ends = np.array([x[k] for x in pb if not np.array_equal(x[0], x[-1]) for k in (0, -1)]).reshape(-1, 2)
+            end = (np.abs(pa[0][:, None] - ends[None]).max(2) <= g.EPS).any(1) if len(ends) else np.zeros(len(on), bool)
+            return bool(on.all()), bool((on & ~end).any())
+        on = [bool(_to_lines(_middle(p)[None], pb).min() <= g.EPS) for p in _cut(pa, pb)]
+        return all(on), any(on) or any(_interior(x, i, t) and _interior(y, j, u) for x in pa for y in pb for i, t, j, u in g.crossings(x, y))
+    same = (np.abs(pa[0][:, None] - pb[0][None]).max(2) <= g.EPS).any(1)
+    return bool(same.all()), bool(same.any())
 
 
 def _interior(line: np.ndarray, k: int, t: float) -> bool:
@@ -117,15 +167,14 @@ def relate(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], how: str) -> bo
     inner = ia or ib
     if how == "touches":
         return not inner
+    along = lambda: any(_to_lines(_middle(p)[None], b[1]).min() <= g.EPS for p in _cut(a[1], b[1]))
     if how == "crosses":
         if a[0] == b[0] == 1:
-            along = any(g.point_segments(_middle(p), b[1]).min() <= g.EPS for p in g.split_at(a[1], [(i, t) for i, t, _, _ in g.crossings(a[1], b[1])]))
-            return inner and not along
-        low, cover = (ca, cb) if a[0] < b[0] else (cb, ca)
+            return inner and not along()
+        low = ca if a[0] < b[0] else cb
         return a[0] != b[0] and inner and not low
     if how == "overlaps":
-        along = a[0] != 1 or any(g.point_segments(_middle(p), b[1]).min() <= g.EPS for p in g.split_at(a[1], [(i, t) for i, t, _, _ in g.crossings(a[1], b[1])]))
-        return a[0] == b[0] and a[0] > 0 and inner and along and not ca and not cb
+        return a[0] == b[0] and inner and (a[0] != 1 or along()) and not ca and not cb
     raise ValueError(f"no such predicate: {how}")
 
 
@@ -136,7 +185,7 @@ def _tested(pairs: DataFrame, test: Callable[[tuple, tuple], float | None]) -> D
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            found = [test(_parts(a, ta), _parts(b, tb)) for a, ta, b, tb in zip(f["l_coords"], f["l_type"], f["r_coords"], f["r_type"], strict=True)]
+            found = [test(_parts(a, ta), _parts(b, tb)) for a, ta, b, tb in zip(f["l_rings"], f["l_type"], f["r_rings"], f["r_type"], strict=True)]
             keep = [i for i, m in enumerate(found) if m is not None]
             yield pd.DataFrame({"l": f["l"].iloc[keep], "r": f["r"].iloc[keep], "measure": [found[i] for i in keep]})
 
@@ -185,14 +234,12 @@ def most_intersecting(main: DataFrame, sub: DataFrame, cell: float) -> DataFrame
         if distance(a, b) > g.EPS:
             return None
         if a[0] == b[0] == 2:
-            return g.rings_area(g.overlay([[a[1]]], [[b[1]]], "intersection"))
+            return g.rings_area(g.overlay(polygons(a[1]), polygons(b[1]), "intersection"))
         line, other = (a[1], b) if a[0] == 1 else (b[1], a)
         if max(a[0], b[0]) == 2 and min(a[0], b[0]) == 1:
-            pieces = g.split_at(line, [(i, t) for i, t, _, _ in g.crossings(line, other[1])])
-            return float(sum(g.length(p) for p in pieces if g.side(_middle(p), [other[1]])[0] >= 0))
+            return float(sum(g.length(p) for p in _cut(line, other[1]) if g.side(_middle(p), other[1])[0] >= 0))
         if a[0] == b[0] == 1:
-            pieces = g.split_at(a[1], [(i, t) for i, t, _, _ in g.crossings(a[1], b[1])])
-            return float(sum(g.length(p) for p in pieces if g.point_segments(_middle(p), b[1]).min() <= g.EPS))
+            return float(sum(g.length(p) for p in _cut(a[1], b[1]) if _to_lines(_middle(p)[None], b[1]).min() <= g.EPS))
         return 0.0
 
     pairs = _tested(candidates(main, sub, cell), common).join(bounds(sub).select(F.col("findex").alias("r"), "x0", "y0"), "r")
@@ -205,20 +252,22 @@ def overlay_pairs(main: DataFrame, sub: DataFrame, pairs: DataFrame, how: str) -
 
     Rows: l, r (null for results a main shape), ring, rings as coords; shells anticlockwise, holes clockwise.
     """
-    full = pairs.where("r is not null").join(main.select(F.col("findex").alias("l"), F.col("coords").alias("a")), "l").join(sub.select(F.col("findex").alias("r"), F.col("coords").alias("b")), "r")
+    full = pairs.where("r is not null").join(main.select(F.col("findex").alias("l"), rings_of(main).alias("a")), "l").join(sub.select(F.col("findex").alias("r"), rings_of(sub).alias("b")), "r")
     kinds = {f.name: f.dataType for f in full.schema}
-    schema = T.StructType([T.StructField("l", kinds["l"]), T.StructField("r", kinds["r"]), T.StructField("ring", T.IntegerType()), T.StructField("coords", kinds["a"]), T.StructField("area", T.DoubleType())])
+    schema = T.StructType([T.StructField("l", kinds["l"]), T.StructField("r", kinds["r"]), T.StructField("ring", T.IntegerType()), T.StructField("coords", kinds["a"].elementType), T.StructField("area", T.DoubleType())])
 
     def rows(l, r, rings: list[np.ndarray]) -> list[dict]:  # noqa: E741
         return [{"l": l, "r": r, "ring": i, "coords": [{"x": float(x), "y": float(y), "z": 0.0} for x, y in ring], "area": g.area(ring)} for i, ring in enumerate(rings)]
 
+    every = lambda rings: polygons([xyz(r) for r in rings])
+
     if how in ("difference", "clip"):
 
         def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 out = []
                 for l, r, a, b in zip(f["l"], f["r"], f["a"], f["b"], strict=True):  # noqa: E741
-                    rings = g.overlay([[xyz(a)]], [[xyz(b)]], "difference" if how == "difference" else "intersection")
+                    rings = g.overlay(every(a), every(b), "difference" if how == "difference" else "intersection")
                     out += rows(l, r, rings if how == "difference" else rings[:1])
                 yield pd.DataFrame(out, columns=["l", "r", "ring", "coords", "area"])
 
@@ -226,16 +275,16 @@ def overlay_pairs(main: DataFrame, sub: DataFrame, pairs: DataFrame, how: str) -
 
     def whole(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("r")
-        a = [[xyz(f["a"].iloc[0])]]
+        a = every(f["a"].iloc[0])
         done: list[list[np.ndarray]] = a if how != "intersection" else []
         for b in f["b"]:
             if how == "union":
-                done = g.as_polygons(g.overlay(done, [[xyz(b)]], "union"))
+                done = g.as_polygons(g.overlay(done, every(b), "union"))
             elif how == "intersection":
-                part = g.as_polygons(g.overlay(a, [[xyz(b)]], "intersection"))
+                part = g.as_polygons(g.overlay(a, every(b), "intersection"))
                 done = g.as_polygons(g.overlay(done, part, "union")) if done and part else done or part
             else:
-                done = g.as_polygons(g.overlay(done, [[xyz(b)]], "difference"))
+                done = g.as_polygons(g.overlay(done, every(b), "difference"))
         return pd.DataFrame(rows(f["l"].iloc[0], None, [r for p in done for r in g._oriented(p)]), columns=["l", "r", "ring", "coords", "area"])
 
     return full.groupBy("l").applyInPandas(whole, schema)
@@ -314,14 +363,14 @@ def touching_ends(main: DataFrame, sub: DataFrame, tolerance: float) -> DataFram
     return nearest_segments(keyed, main, max(tolerance, 1e-9), best_only=False).select(F.col("line").alias("l"), F.col("point.r").alias("r"), F.col("point.end").alias("end"), "x", "y")
 
 
-def cascade_touches(main: DataFrame, sub: DataFrame, cell: float, tolerance: float = 0.0, steps: int = 50) -> DataFrame:
-    """l, r, step: subs reached from each main shape over touching subs, breadth first, each at its first step."""
+def cascade_touches(main: DataFrame, sub: DataFrame, cell: float, tolerance: float = 0.0, steps: int | None = None) -> DataFrame:
+    """l, r, step: subs reached from each main shape over touching subs, breadth first, each at its first step. steps: where to stop, if at all."""
     from terravane.plans.lineage import cut
 
     front = cut(predicate_pairs(main, sub, "intersects", cell, tolerance).withColumn("step", F.lit(1)))
     edges = cut(predicate_pairs(sub, sub, "intersects", cell, tolerance).where("l <> r").select(F.col("l").alias("from"), F.col("r").alias("to")))
     seen = front
-    for k in range(2, steps + 1):
+    for k in count(2) if steps is None else range(2, steps + 1):
         new = front.join(edges, front["r"] == edges["from"]).select("l", F.col("to").alias("r")).distinct().join(seen.select("l", "r"), ["l", "r"], "left_anti").withColumn("step", F.lit(k))
         front = cut(new)
         if front.isEmpty():

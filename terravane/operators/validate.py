@@ -98,8 +98,10 @@ def validate(df: DataFrame, rules: list[tuple[str, str]], stop: bool = False) ->
 
 def rules_for(checks: tuple[str, ...], columns: dict[str, list[str]]) -> list[tuple[str, str]]:
     """Pairs of rule and column for named checks; columns says which columns a check is about, by default findex."""
-    known = [c for c in checks if c in ROW_RULES or c in TABLE_RULES]
-    return [(c, col) for c in known for col in columns.get(c, ["findex"])]
+    unknown = [c for c in checks if c not in ROW_RULES and c not in TABLE_RULES]
+    if unknown:
+        raise ValueError(f"no such checks: {', '.join(unknown)}")
+    return [(c, col) for c in checks for col in columns.get(c, ["findex"])]
 
 
 #: Groups of checks that many validators share.

@@ -62,10 +62,10 @@ def convert_type(s, d):
     return fields.convert_type(fields.convert_type(df, "b", "float", "number"), "a", "int", "whole").select("findex", "text", "number", "whole")
 
 
-@query(f"with {fx.FIELDS} select findex, round_even(b / 2.0::double, 0) as half, round(a, 1) as tenth from f")
+@query(f"with {fx.FIELDS} select findex, round_even(b / 2.0::double, 0) as half, round_even(a, 1) as tenth from f")
 def round_field(s, d):
     df = fx.fields(s, d).withColumn("h", F.col("b") / 2)
-    return fields.round_field(df, "h", 0, "half").select("findex", "half", F.round("a", 1).alias("tenth"))
+    return fields.round_field(fields.round_field(df, "h", 0, "half"), "a", 1, "tenth").select("findex", "half", "tenth")
 
 
 @query(f"with {fx.DIRTY} select findex, case when v is null or trim(v) = '' or v = 'NaN' then '0' else v end as v, case when num < 10 or num > 90 then -1.0 else num end as num from d")

@@ -246,3 +246,50 @@ def test_key_points_have_no_cap(spark):
     assert len(got) >= 3600 and {(round((x - 6) / 12), round((y - 6) / 12)) for x, y in got} >= {(x, y) for x in range(30) for y in range(30)}
     assert all(np.hypot(np.array(got)[:, 0] - x, np.array(got)[:, 1] - y)[np.arange(len(got)) != i].min() >= 3 for i, (x, y) in enumerate(got))
     assert [(r.px, r.py) for r in images.key_points(rows, 500).orderBy("n").collect()] == got[:500]
+
+
+def _cells(boxes, holes):
+    """Unit cells of boxes less holes, each (x0, y0, x1, y1)."""
+    inside = lambda x, y, bs: any(x0 <= x < x1 and y0 <= y < y1 for x0, y0, x1, y1 in bs)
+    return {(x, y) for x in range(20) for y in range(20) if inside(x, y, boxes) and not inside(x, y, holes)}
+
+
+def test_predicates_and_overlays_with_holes_and_parts(spark):
+    """Against sets of unit cells: shapes of several boxes and holes, a hole filled exactly, points and lines in holes."""
+    ring = lambda b: [(b[0], b[1]), (b[2], b[1]), (b[2], b[3]), (b[0], b[3]), (b[0], b[1])]
+    shapes = {
+        0: ([(0, 0, 10, 10)], [(3, 3, 7, 7)]), 1: ([(3, 3, 7, 7)], []), 2: ([(4, 4, 6, 6)], []), 3: ([(2, 2, 8, 8)], []), 4: ([(0, 0, 2, 2), (12, 12, 15, 15)], []),
+        5: ([(12, 12, 15, 15)], [(13, 13, 14, 14)]), 6: ([(10, 0, 12, 4)], []), 7: ([(0, 0, 10, 10), (4, 4, 6, 6)], [(3, 3, 7, 7)]), 8: ([(8, 1, 9, 9), (1, 8, 2, 9)], []), 9: ([(0, 0, 10, 10)], [(3, 3, 7, 7)]),
+    }
+    cells = {k: _cells(b, h) for k, (b, h) in shapes.items()}
+    cells[7] |= _cells([(4, 4, 6, 6)], [])  # an island in the hole
+    xyz = lambda r: [(float(x), float(y), 0.0) for x, y in r]
+    rows = [(k, "MultiPolygon" if len(b) > 1 else "Polygon", xyz(ring(b[0])), [xyz(ring(x)) for x in [*b, *h]]) for k, (b, h) in shapes.items()]
+    schema = f"findex int, gtype string, coords {spatial.COORDS}, rings array<{spatial.COORDS}>"
+    df = spark.createDataFrame(rows, schema)
+    closed = {k: {(2 * x + i, 2 * y + j) for x, y in c for i in range(3) for j in range(3)} for k, c in cells.items()}
+    meets = {"intersects": lambda a, b: bool(closed[a] & closed[b]), "within": lambda a, b: cells[a] <= cells[b], "contains": lambda a, b: cells[b] <= cells[a], "covers": lambda a, b: cells[b] <= cells[a], "covered_by": lambda a, b: cells[a] <= cells[b], "equals": lambda a, b: cells[a] == cells[b], "touches": lambda a, b: bool(closed[a] & closed[b]) and not cells[a] & cells[b], "overlaps": lambda a, b: bool(cells[a] & cells[b]) and not cells[a] <= cells[b] and not cells[b] <= cells[a], "crosses": lambda a, b: False}
+    for how, rule in meets.items():
+        got = {(r.l, r.r) for r in spatial.predicate_pairs(df, df, how, 4.0).collect()}
+        assert got == {(a, b) for a in cells for b in cells if rule(a, b)}, how
+    pairs = spatial.predicate_pairs(df, df, "intersects", 4.0)
+    area = {r.l: r.area for r in spatial.overlay_pairs(df, df, pairs.where("l <> r and r in (2, 3, 5)"), "symmetric_difference").groupBy("l").agg(F.sum("area").alias("area")).collect()}
+    for k in area:
+        assert abs(area[k] - len(cells[k] - set().union(*(cells[r] for r in (2, 3, 5) if r != k)))) < 1e-6, k
+    most = {r.l: r.measure for r in spatial.most_intersecting(df, df, 4.0).collect()}
+    assert all(abs(most[k] - len(cells[k])) < 1e-6 for k in cells)
+    points = spark.createDataFrame([(0, "Point", [(5.0, 5.0, 0.0)], None), (1, "MultiPoint", [(1.0, 1.0, 0.0)], [[(1.0, 1.0, 0.0)], [(5.0, 5.0, 0.0)]]), (2, "LineString", [(4.0, 5.0, 0.0), (6.0, 5.0, 0.0)], None), (3, "MultiLineString", [(1.0, 1.0, 0.0), (2.0, 1.0, 0.0)], [[(1.0, 1.0, 0.0), (2.0, 1.0, 0.0)], [(4.0, 5.0, 0.0), (6.0, 5.0, 0.0)]])], schema)
+    ring_only = df.where("findex = 0")
+    assert {r.l for r in spatial.predicate_pairs(points, ring_only, "within", 4.0).collect()} == set()
+    assert {r.l for r in spatial.predicate_pairs(points, ring_only, "intersects", 4.0).collect()} == {1, 3}
+    assert {r.l for r in spatial.predicate_pairs(points, ring_only, "crosses", 4.0).collect()} == {1, 3}
+    assert {r.l for r in spatial.predicate_pairs(points, df.where("findex = 7"), "within", 4.0).collect()} == {0, 1, 2, 3}
+    away = {r.l: r.distance for r in spatial.distance_pairs(points, ring_only, 5.0, 4.0).collect()}
+    assert away == {0: 2.0, 1: 0.0, 2: 1.0, 3: 0.0}
+    with pytest.raises(Exception, match="can't be compared"):
+        spatial.predicate_pairs(df.withColumn("gtype", F.lit("GeometryCollection")), df, "intersects", 4.0).collect()
+
+
+def test_unknown_checks_are_refused():
+    with pytest.raises(ValueError, match="no such checks: nothing"):
+        validate.rules_for(("empty_data", "nothing"), {})
