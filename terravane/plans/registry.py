@@ -304,11 +304,11 @@ def depth_lines(s, d):
     return vertices.points_to_depth_lines(fx.plane_points(s, d).withColumn("depth", F.lit(1200)), "depth", "mm")
 
 
-@query(f"with {fx.SHORT}, e as (select findex, arg_min(x, seq) as xa, arg_min(y, seq) as ya, arg_max(x, seq) as xb, arg_max(y, seq) as yb from lines group by 1 having count(*) = 2) select findex, cast(trunc(xa) as int) as x0, cast(trunc(ya) as int) as y0, cast(trunc(xb) as int) as x1, cast(trunc(yb) as int) as y1, round(degrees(atan2(yb - ya, xb - xa)), 2) as angle from e")
+@query(f"with {fx.SHORT}, e as (select findex, arg_min(x, seq) as xa, arg_min(y, seq) as ya, arg_max(x, seq) as xb, arg_max(y, seq) as yb from lines group by 1 having count(*) >= 2) select findex, cast(trunc(xa) as int) as x0, cast(trunc(ya) as int) as y0, cast(trunc(xb) as int) as x1, cast(trunc(yb) as int) as y1, round(degrees(atan2(yb - ya, xb - xa)), 2) as angle from e")
 def line_ends(s, d):
     v = fx.short_lines(s, d)
-    two = v.groupBy("findex").count().where("count = 2").select("findex")
-    return fields.line_ends(v.join(two, "findex", "left_semi"))
+    ends = v.groupBy("findex").agg(F.min("seq").alias("first"), F.max("seq").alias("last")).where("first < last")
+    return fields.line_ends(v.join(ends, "findex").where("seq = first or seq = last").drop("first", "last"))
 
 
 @query(f"with {fx.SHORT}, n as (select findex, count(*) - 1 as segs, sum(case when d < 3 then 1 else 0 end) as close, arg_min(x, seq) <> arg_max(x, seq) or arg_min(y, seq) <> arg_max(y, seq) as open, sum(c) < 0 as cw, count(*) < 4 as few, sum(case when same then 1 else 0 end) as same from (select *, {_STEP}) as d, x * lead(y) over w - lead(x) over w * y as c, x = lead(x) over w and y = lead(y) over w and z = lead(z) over w as same from lines window w as (partition by findex order by seq)) group by 1), u as (select findex, unnest(['repeated_vertex', 'too_close', 'not_closed', 'clockwise', 'too_few_vertices']) as problem, unnest([same, close, open::int, coalesce(cw, false)::int, few::int]) as n from n) select findex, problem, cast(n as bigint) as n from u where n > 0")
@@ -346,9 +346,9 @@ def split_by_index(s, d):
     return tiles.split_by_index(fx.table(s, d, "events").select("event_id"), 1000, ["event_id"])
 
 
-@query("with t as (select distinct event_type as list_name, user_id as tile from events where user_id % 3 = 0 or event_type = 'view') select list_name || '_' || cast(tile as varchar) as dwh, '' as type, '' as value from (select distinct list_name from t) l, (select distinct tile from t) m where not exists (select 1 from t where t.list_name = l.list_name and t.tile = m.tile)")
+@query("with t as (select distinct event_type as list_name, cast(floor(value * 10) as bigint) as tile from events) select list_name || '_' || cast(tile as varchar) as dwh, '' as type, '' as value from (select distinct list_name from t) l, (select distinct tile from t) m where not exists (select 1 from t where t.list_name = l.list_name and t.tile = m.tile)")
 def missing_tiles(s, d):
-    t = fx.table(s, d, "events").where("user_id % 3 = 0 or event_type = 'view'").select(F.col("event_type").alias("list_name"), F.col("user_id").alias("tile")).distinct()
+    t = fx.table(s, d, "events").select(F.col("event_type").alias("list_name"), F.floor(F.col("value") * 10).alias("tile")).distinct()
     return tiles.missing_tiles(t)
 
 
@@ -378,11 +378,11 @@ def spatial_distance(s, d):
     return r6(spatial.distance_pairs(pts, pts, 150.0, 300.0))
 
 
-@query(f"with {fx.PLANE}, {fx.BOXES} select distinct p.* from points p join boxes b on x > x0 and x < x0 + 800 and y > y0 and y < y0 + 600 where b.findex % 2 = 0")
+@query(f"with {fx.PLANE}, {fx.BOXES} select distinct p.* from points p join boxes b on x > x0 and x < x0 + 800 and y > y0 and y < y0 + 600")
 def extract_by_location(s, d):
     pts = fx.plane_points(s, d)
     shapes = pts.select("findex", F.lit("Point").alias("gtype"), F.array(F.struct("x", "y", "z")).alias("coords"))
-    found = spatial.extract_by_location(shapes, fx.boxes(s, d).where("findex % 2 = 0").select("findex", "gtype", "coords"), "within", 500.0)
+    found = spatial.extract_by_location(shapes, fx.boxes(s, d).select("findex", "gtype", "coords"), "within", 500.0)
     return pts.join(found, "findex", "left_semi")
 
 
@@ -410,10 +410,11 @@ def insert_snapped(s, d):
     return spatial.insert_snapped(fx.plane_points(s, d), _grid_lines(s), 100.0, 1.0)
 
 
-@query("select b.r_regionkey as node, min(a.r_regionkey) as root from region a, region b where a.r_regionkey <= b.r_regionkey and a.r_regionkey % 2 = b.r_regionkey % 2 group by 1")
+@query("with recursive e as (select p_partkey - 37 * p_size as l, p_partkey as r from part where p_partkey > 37 * p_size), up as (select r as node, l as root from e union all select node, l from up join e on r = root) select node, min(root) as root from (select * from up union all select l, l from e) group by 1")
 def connected_groups(s, d):
-    r = fx.table(s, d, "region").select(F.col("r_regionkey").cast("long").alias("r"))
-    return network.components(r.where("r >= 2").select((F.col("r") - 2).alias("l"), "r")).select(F.col("node").cast("int").alias("node"), F.col("root").cast("int").alias("root"))
+    """A link a part to one before it: trees whose least part is their root."""
+    p = fx.table(s, d, "part").select((F.col("p_partkey") - 37 * F.col("p_size")).alias("l"), F.col("p_partkey").alias("r"))
+    return network.components(p.where("l > 0")).select("node", "root")
 
 
 @query(f"with {fx.BOXES} select findex, round(greatest(0, least(x0 + 800, 2500) - greatest(x0, 500)) * greatest(0, least(y0 + 600, 2000) - greatest(y0, 500)), 4) as area from boxes where x0 < 2500 and x0 + 800 > 500 and y0 < 2000 and y0 + 600 > 500")
