@@ -6,22 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from terravane.plans.lineage import cut
+
 
 def numbered(df: DataFrame, order: list[str], output: str, rows: int = 200_000) -> DataFrame:
     """df with output: 0, 1, 2, ... in the given order, which must be total for the result to be repeatable.
 
-    Rows are sorted in ranges of the first column; a range's first number is
-    the count of rows in the ranges before it. The driver sees a row a range.
+    Rows are dealt to ranges of the order, whatever its columns' types; a range's
+    first number is the count of rows in the ranges before it. The ranges are
+    written, so that both jobs see the same ones; the driver sees a row a range.
     """
-    spark = df.sparkSession
     n = df.count()
     if n <= rows:
         return df.withColumn(output, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))  # fits a task
-    parts = -(-n // rows)
-    cuts = df.where(F.col(order[0]).isNotNull()).approxQuantile(order[0], [i / parts for i in range(1, parts)], 0.2 / parts) if dict(df.dtypes)[order[0]] in ("int", "bigint", "double", "float") else []
-    cuts = sorted(set(cuts))
-    bucket = F.coalesce(sum((F.col(order[0]) >= c).cast("int") for c in cuts), F.lit(-1)) if cuts else F.lit(0)
-    ranged = df.withColumn("__range", bucket)
+    ranged = cut(df.repartitionByRange(-(-n // rows), *order).withColumn("__range", F.spark_partition_id()))
     counts = ranged.groupBy("__range").count()
     before = counts.select("__range", F.coalesce(F.sum("count").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     w = Window.partitionBy("__range").orderBy(*order)

@@ -32,7 +32,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", definition
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Features of GeoJSON collections: findex from 0 in a file, gtype, parts and all properties as text."""
+    """Features of GeoJSON collections: findex from 0 in a file, gtype, parts, all properties as text, and for MultiPolygons in ring_counts how many of the parts are each polygon's rings."""
     shape = "struct<features: array<struct<geometry: struct<type: string, coordinates: string>, properties: map<string, string>>>>"
     docs = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.from_json("value", shape).alias("d"))
     f = docs.select("path", F.posexplode("d.features").alias("findex", "f")).select("path", F.col("findex").cast("double").alias("findex"), F.col("f.geometry.type").alias("gtype"), F.col("f.geometry.coordinates").alias("c"), F.col("f.properties").alias("attributes"))
@@ -50,15 +50,28 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     rule = F.lit(None).cast("array<array<struct<x:double,y:double,z:double>>>")
     for kind, n in depth.items():
         rule = F.when(F.col("gtype") == kind, parts(kind, n)).otherwise(rule)
-    return f.select("path", "findex", "gtype", rule.alias("parts"), "attributes")
+    polygons = F.from_json("c", "array<array<array<array<double>>>>")
+    return f.select("path", "findex", "gtype", rule.alias("parts"), "attributes", F.when(F.col("gtype") == "MultiPolygon", F.transform(polygons, F.size)).alias("ring_counts"))
 
 
 def to_geojson(features: DataFrame) -> DataFrame:
     """A row of text a feature, ready to be wrapped in a collection."""
     xyz = lambda p: F.array(p["x"], p["y"], F.coalesce(p["z"], F.lit(0.0)))
     lines = F.transform("parts", lambda a: F.transform(a, xyz))
-    c = F.when(F.col("gtype") == "Point", F.to_json(lines[0][0])).when(F.col("gtype") == "LineString", F.to_json(lines[0])).otherwise(F.to_json(lines))
-    kind = F.when(F.col("gtype").isin("Point", "LineString", "Polygon", "MultiLineString"), F.col("gtype")).otherwise("MultiLineString")
+    # without the rings of each polygon, all are one polygon's
+    rings = F.coalesce("ring_counts", F.array(F.size("parts"))) if "ring_counts" in features.columns else F.array(F.size("parts"))
+    begin = lambda i: F.aggregate(F.slice(rings, F.lit(1), i), F.lit(1), lambda a, n: a + n)
+    kinds = {
+        "Point": lines[0][0],
+        "MultiPoint": F.transform(lines, lambda a: a[0]),
+        "LineString": lines[0],
+        "Polygon": lines,
+        "MultiPolygon": F.transform(F.sequence(F.lit(0), F.size(rings) - 1), lambda i: F.slice(lines, begin(i), F.get(rings, i))),
+    }
+    c = F.to_json(lines)
+    for k, shape in kinds.items():
+        c = F.when(F.col("gtype") == k, F.to_json(shape)).otherwise(c)
+    kind = F.when(F.col("gtype").isin(*kinds), F.col("gtype")).otherwise("MultiLineString")
     return features.select(F.concat(F.lit('{"type":"Feature","geometry":{"type":"'), kind, F.lit('","coordinates":'), c, F.lit('},"properties":'), F.coalesce(F.to_json("attributes"), F.lit("{}")), F.lit("}")).alias("value"))
 
 

@@ -293,3 +293,24 @@ def test_predicates_and_overlays_with_holes_and_parts(spark):
 def test_unknown_checks_are_refused():
     with pytest.raises(ValueError, match="no such checks: nothing"):
         validate.rules_for(("empty_data", "nothing"), {})
+
+
+def test_geojson_keeps_kinds_holes_and_parts(spark, tmp_path):
+    ring = lambda x, y, n: [[x, y, 0.0], [x + n, y, 0.0], [x + n, y + n, 0.0], [x, y + n, 0.0], [x, y, 0.0]]
+    shapes = [
+        ("Point", [1.0, 2.0, 0.0]), ("MultiPoint", [[1.0, 2.0, 0.0], [3.0, 4.0, 0.0]]), ("LineString", ring(0.0, 0.0, 1.0)), ("MultiLineString", [ring(0.0, 0.0, 1.0), ring(5.0, 0.0, 1.0)]),
+        ("Polygon", [ring(0.0, 0.0, 9.0), ring(1.0, 1.0, 2.0)]), ("MultiPolygon", [[ring(0.0, 0.0, 9.0), ring(1.0, 1.0, 2.0)], [ring(20.0, 0.0, 1.0)], [ring(30.0, 0.0, 9.0), ring(31.0, 1.0, 1.0), ring(34.0, 1.0, 1.0)]]),
+    ]
+    features = [{"type": "Feature", "geometry": {"type": k, "coordinates": c}, "properties": {"n": str(i)}} for i, (k, c) in enumerate(shapes)]
+    (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    back = [json.loads(r.value) for r in readers.to_geojson(readers.read_geojson(spark, f"file://{tmp_path}/a.geojson").orderBy("findex")).collect()]
+    assert [(f["geometry"]["type"], f["geometry"]["coordinates"], f["properties"]) for f in back] == [(k, c, {"n": str(i)}) for i, (k, c) in enumerate(shapes)]
+
+
+def test_numbers_by_text_in_ranges(spark):
+    """Text keys with nulls and ties, in many ranges: the numbers follow the order, and no range holds all rows."""
+    rows = [(None if i % 50 == 0 else f"k{i * 7919 % 1000:03d}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "key string, id long").repartition(5)
+    got = numbered(df, ["key", "id"], "n", rows=200)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r.key, r.id) for r in got.orderBy("n").collect()] == want and [r.n for r in got.select("n").orderBy("n").collect()] == list(range(3000))
