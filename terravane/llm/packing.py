@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.media import slices
-from terravane.llm.tables import LOWER, cut
+from terravane.llm.tables import LOWER, Numbers, cut, spans
 
 CAPACITY = 2048
 #: Pieces that one task packs.
@@ -87,6 +87,18 @@ class WordTokens:
         split: list[tuple[bytes, list[str]]] = []
         fresh: dict[str, None] = {}
         for w in words:
+            # most words are small ASCII letters, or those and one mark behind them
+            if w.isalpha() and w.islower() and len(w) <= 200:
+                split.append((w, [(low := w.decode())]))
+                if low not in self.pieces:
+                    fresh[low] = None
+                continue
+            if 1 < len(w) <= 200 and 33 <= w[-1] <= 126 and not w[-1:].isalnum() and (body := w[:-1]).isalpha() and body.islower():
+                split.append((w, found := [body.decode(), chr(w[-1])]))
+                for p in found:
+                    if p not in self.pieces:
+                        fresh[p] = None
+                continue
             s = w.decode("utf-8", "replace")
             if b"<|" in w or len(w) > 200 or not w.isascii() and (odd(s) or not unicodedata.is_normalized("NFC", s)):
                 self.words[w] = np.array(self.whole.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
@@ -141,22 +153,28 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
         for batch in batches:
             for ids, texts in slices(batch, 2 << 20):
                 # case is dropped by the tokenizer's normaliser, and so early here: fewer different words
-                split = [t.translate(LOWER).split() if b"<|" not in t else t.split() for t in texts]
-                every = set().union(*split)
-                new = every.difference(tokens.words)
-                if new:
-                    tokens.learn(new, every)
-                owner, piece, start, length, crc = [], [], [], [], []
-                for i, words in enumerate(split):
-                    data = b"".join(map(tokens.words.__getitem__, words)) + tail
-                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                        part = data[at : at + 4 * capacity]
-                        owner.append(i)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                yield pa.record_batch([ids.take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                numbers, words, counts = Numbers(), [], []
+                number, stop = numbers.__getitem__, numbers[b" "]  # no word is a space: it stands for the end
+                for t in texts:
+                    found = t.translate(LOWER).split() if b"<|" not in t else t.split()
+                    words.extend(map(number, found))
+                    words.append(stop)
+                    counts.append(len(found) + 1)
+                every = set(numbers) - {b" "}
+                tokens.learn(every.difference(tokens.words), every)
+                blobs = [tokens.words[w] if w != b" " else tail for w in numbers]
+                size = np.array([len(b) // 4 for b in blobs])
+                words = np.array(words, np.int64)
+                flat = np.frombuffer(b"".join(blobs), "<u4")[spans((np.cumsum(size) - size)[words], size[words])]
+                lens = np.add.reduceat(size[words], np.cumsum([0, *counts[:-1]]))
+                n = -(-lens // capacity)
+                owner, piece = np.repeat(np.arange(len(lens)), n), spans(np.zeros(len(n), np.int64), n)
+                start = piece * capacity
+                length = np.minimum(capacity, lens[owner] - start)
+                begin = (np.cumsum(lens) - lens)[owner] + start
+                view = memoryview(flat.tobytes())
+                crc = [zlib.crc32(view[4 * b : 4 * (b + m)]) for b, m in zip(begin.tolist(), length.tolist(), strict=True)]
+                yield pa.record_batch([ids.take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return data.mapInArrow(run, f"doc_id {data.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 

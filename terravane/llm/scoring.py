@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.media import slices
-from terravane.llm.tables import LOWER, crc_of_id, cut, hand_back
+from terravane.llm.tables import LOWER, Numbers, crc_of_id, cut, hand_back, spans
 
 END = b"\n"
 FREQUENT = 250_000
@@ -165,12 +165,6 @@ def _loose(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(_unzip(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All places of ranges, one range after the other."""
-    ends = np.cumsum(size)
-    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Code:
     """A Huffman code of numbered symbols. For each: where its bits begin, how many, and all of them from a word's top bit on."""
 
@@ -228,14 +222,6 @@ class Code:
         return node[np.arange(len(node)) - back].astype(np.uint32), line, guess, sign
 
 
-class Numbers(dict):
-    """Numbers of words, by first use."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 def hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
