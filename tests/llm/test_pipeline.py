@@ -51,7 +51,7 @@ def test_stages(spark, sf_dir, tmp_path):
     assert ids(after) == collections.Counter({c for _, c in brute_components([tuple(r) for r in before.collect()]).values()})
 
     before, after = seen["source mixing"]
-    want = collections.Counter({r.doc_id: r.copies for r in mixing.counted(before, mixing.plan_mix(before)).select("doc_id", "__mix.copies").collect() if r.copies})
+    want = collections.Counter({r.doc_id: r.copies for r in mixing.counted(before, mixing.plan_mix(before)).select("row.doc_id", "mix.copies").collect() if r.copies})
     assert ids(after) == want and max(want.values()) <= 3
 
     before, after = seen["best-fit packing"]
