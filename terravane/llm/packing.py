@@ -33,8 +33,8 @@ CAPACITY = 2048
 PART = 50_000
 ROUNDS = 3
 #: Entries of a worker's caches of words' tokens; beyond that, the half that came first stays, as frequent words come early.
-CACHE = 350_000
-PIECE_CACHE = 200_000
+CACHE = 450_000
+PIECE_CACHE = 250_000
 
 #: Fixed value: how the tokenizer's file splits normalised text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -115,7 +115,7 @@ class WordTokens:
             self.words[w] = b"".join(map(self.pieces.__getitem__, found)) if len(found) != 1 else self.pieces[found[0]]
 
     def _encode(self, fresh: list[str]) -> None:
-        joined = [" ".join(p.encode().decode("latin-1").translate(self.letter) for p in fresh[i : i + 256]) for i in range(0, len(fresh), 256)]
+        joined = [" ".join([p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.letter) for p in fresh[i : i + 256]]) for i in range(0, len(fresh), 256)]
         ids = np.concatenate([np.array(e.ids, "<u4") for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)])
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(fresh):
