@@ -151,7 +151,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer)
         for batch in batches:
-            for ids, texts in slices(batch, 2 << 20):
+            for ids, texts in slices(batch, 8 << 20):
                 # case is dropped by the tokenizer's normaliser, and so early here: fewer different words
                 numbers, words, counts = Numbers(), [], []
                 number, stop = numbers.__getitem__, numbers[b" "]  # no word is a space: it stands for the end
@@ -160,7 +160,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
                     words.extend(map(number, found))
                     words.append(stop)
                     counts.append(len(found) + 1)
-                every = set(numbers) - {b" "}
+                every = set(numbers)
+                every.discard(b" ")
                 tokens.learn(every.difference(tokens.words), every)
                 blobs = [tokens.words[w] if w != b" " else tail for w in numbers]
                 size = np.array([len(b) // 4 for b in blobs])
