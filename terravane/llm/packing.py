@@ -32,7 +32,7 @@ CAPACITY = 2048
 #: Pieces that one task packs.
 PART = 50_000
 ROUNDS = 3
-#: Entries of a worker's caches of words' tokens; beyond that, the half that came first stays, as frequent words come early.
+#: Entries of a worker's caches of words' tokens; beyond that, those that came first stay, as frequent words come early, and those in use.
 CACHE = 450_000
 PIECE_CACHE = 250_000
 
@@ -80,7 +80,8 @@ class WordTokens:
 
         odd = re.compile("[Σİ]").search
         if len(self.words) > CACHE:
-            self.words = dict(islice(self.words.items(), CACHE // 2))
+            known, self.words = self.words, dict(islice(self.words.items(), CACHE // 3))
+            self.words.update((w, known[w]) for w in every or () if w in known)  # what is needed now stays too
             words = (every or words).difference(self.words)
         if len(self.pieces) > PIECE_CACHE:
             self.pieces = dict(islice(self.pieces.items(), PIECE_CACHE // 2))
