@@ -6,10 +6,11 @@ vertex x, y, z and its normal nx, ny, nz.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,73 +29,159 @@ def _table(findex: float, triangles: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({"findex": np.full(len(p), findex), "patch": (rows // 4).astype(np.int32), "k": (rows % 4).astype(np.int32), "x": p[:, 0], "y": p[:, 1], "z": p[:, 2], "nx": n[:, 0], "ny": n[:, 1], "nz": n[:, 2]})
 
 
-def _frames(line: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """At each vertex of a 3D line: the mitre's sideways and upward vectors, for cross sections of constant size."""
-    d = np.diff(line, axis=0)
-    d = d / np.maximum(np.linalg.norm(d, axis=1), 1e-12)[:, None]
-    up = np.array([0.0, 0.0, 1.0])
-    sides = []
-    for v in d:
-        s = np.cross(v, up)
-        sides.append(s / np.linalg.norm(s) if np.linalg.norm(s) > 1e-9 else np.array([1.0, 0.0, 0.0]))
-    out = []
-    for i in range(len(line)):
-        a, b = max(i - 1, 0), min(i, len(d) - 1)
-        s = sides[a] + sides[b]
-        s = sides[b] if np.linalg.norm(s) < 1e-9 else s / np.linalg.norm(s)
-        t = d[a] + d[b]
-        t = d[b] if np.linalg.norm(t) < 1e-9 else t / np.linalg.norm(t)
-        u = np.cross(s, t)
-        u = u / (np.linalg.norm(u) or 1)
-        wide = 1 / max(0.2, float(s @ sides[b]))  # a mitre is wider than the section
-        out.append((s * wide, u if u[2] >= 0 else -u))
-    return out
-
-
-def sweep(line: np.ndarray, section: np.ndarray, start: bool, end: bool) -> list[tuple]:
-    """Triangles of a section (sideways, upward offsets) drawn along a line, with caps on request."""
-    line = line[np.r_[True, np.linalg.norm(np.diff(line, axis=0), axis=1) > 1e-12]]
-    if len(line) < 2:
-        return []
-    rings = [[p + a * s + b * u for a, b in section] for p, (s, u) in zip(line, _frames(line), strict=True)]
-    n, out = len(section), []
-    for r, q in zip(rings[:-1], rings[1:], strict=True):
-        for i in range(n):
-            j = (i + 1) % n
-            out += [(r[i], r[j], q[j]), (r[i], q[j], q[i])]
-    fan = g.triangulate(np.asarray(section))
-    if start:
-        out += [(rings[0][a], rings[0][c], rings[0][b]) for a, b, c in fan]
-    if end:
-        out += [(rings[-1][a], rings[-1][b], rings[-1][c]) for a, b, c in fan]
-    return out
-
-
 def _lines(vertices: DataFrame, sizes: DataFrame) -> DataFrame:
     return vertices.join(sizes, "findex").withColumn("findex", F.col("findex").cast("double"))
 
 
+#: Vertices of one turn of the kernels over many lines; a line's own stay together.
+TURN = 4096
+
+
+def _many(vertices: DataFrame, sizes: DataFrame, names: list[str], run: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Applies run to many whole lines at once: keys, numbers of vertices, vertices one line after the other, and a row of sizes for each line."""
+    vertex = F.struct(F.col("seq").alias("seq"), *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])
+    lines = vertices.join(sizes, "findex").groupBy("findex").agg(F.collect_list(vertex).alias("line"), *[F.first(c).cast("double").alias(c) for c in names])
+    lines = lines.select(F.col("findex").cast("double").alias("findex"), "line", *names)
+    numbers = lambda a: a.to_numpy(zero_copy_only=False)
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            count = numbers(batch.column("line").value_lengths()).astype(np.int64)
+            seq, *xyz = batch.column("line").flatten().flatten()
+            seq, p = numbers(seq), np.column_stack([numbers(c).astype(float) for c in xyz])
+            line = np.repeat(np.arange(len(count)), count)
+            if ((seq[1:] < seq[:-1]) & (line[1:] == line[:-1])).any():
+                p = p[np.lexsort((seq, line))]
+            keys, size = numbers(batch.column("findex")), np.column_stack([numbers(batch.column(c)).astype(float) for c in names])
+            ends = np.cumsum(count)
+            i = 0
+            while i < len(count):
+                first = ends[i] - count[i]
+                j = max(i + 1, int(np.searchsorted(ends, first + TURN, "right")))
+                yield from run(keys[i:j], count[i:j], p[first : ends[j - 1]], size[i:j])
+                i = j
+
+    return lines.mapInArrow(batches, schema)
+
+
+def _kept(count: np.ndarray, p: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whose lines are left with two vertices or more, their numbers of vertices, and those."""
+    line = np.repeat(np.arange(len(count)), count)
+    left = np.bincount(line[keep], minlength=len(count))
+    some = np.flatnonzero(left > 1)
+    return some, left[some], p[keep & (left > 1)[line]]
+
+
+def _steps(count: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vertex less the one before it, and whether it is the first of its line."""
+    first = np.zeros(len(p), bool)
+    first[(np.cumsum(count) - count)[count > 0]] = True
+    return np.diff(p, axis=0, prepend=p[:1]), first
+
+
+def _sides(count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For lines of two vertices or more: each segment's first vertex, each vertex's place, and the segments before and after it (at ends the only one)."""
+    start = np.cumsum(count) - count
+    line = np.repeat(np.arange(len(count)), count)
+    at = np.arange(len(line)) - start[line]
+    segments = np.delete(np.arange(len(line)), start + count - 1)
+    own = (start - np.arange(len(count)))[line]
+    return segments, at, own + np.maximum(at - 1, 0), own + np.minimum(at, count[line] - 2)
+
+
+def _unit(v: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    n = np.sqrt((v**2).sum(1))[:, None]
+    return np.where(n < 1e-9, otherwise, v / np.where(n < 1e-9, 1, n))
+
+
+def _frames(count: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At each vertex of 3D lines: the mitre's sideways and upward vectors, for cross sections of constant size."""
+    seg, _, a, b = _sides(count)
+    d = p[seg + 1] - p[seg]
+    d = d / np.maximum(np.sqrt((d**2).sum(1)), 1e-12)[:, None]
+    flat = np.column_stack([d[:, 1], -d[:, 0], np.zeros(len(d))])
+    n = np.sqrt((flat**2).sum(1))[:, None]
+    side = np.where(n > 1e-9, flat / np.where(n > 1e-9, n, 1), np.array([1.0, 0.0, 0.0]))
+    s, t = _unit(side[a] + side[b], side[b]), _unit(d[a] + d[b], d[b])
+    u = np.column_stack([s[:, 1] * t[:, 2], -s[:, 0] * t[:, 2], s[:, 0] * t[:, 1] - s[:, 1] * t[:, 0]])
+    n = np.sqrt((u**2).sum(1))[:, None]
+    u = u / np.where(n == 0, 1, n)
+    wide = 1 / np.fmax(0.2, (s * side[b]).sum(1))  # a mitre is wider than the section
+    return s * wide[:, None], np.where(u[:, 2:] >= 0, u, -u)
+
+
+def sweep(count: np.ndarray, p: np.ndarray, sections: np.ndarray, start: bool, end: bool) -> tuple[np.ndarray, np.ndarray, list[list[np.ndarray]]]:
+    """Each line's section (lines, corners, and sideways and upward offsets) drawn along it, with caps on request: each triangle's line and number, and its corners' coordinates."""
+    d, first = _steps(count, p)
+    some, count, p = _kept(count, p, first | (np.sqrt((d**2).sum(1)) > 1e-12))
+    if not len(some):
+        return np.empty(0, np.int64), np.empty(0, np.int64), [[np.empty(0)] * 3] * 3
+    sections = sections[some]
+    m, line = sections.shape[1], np.repeat(np.arange(len(count)), count)
+    s, u = _frames(count, p)
+    ring = [(p[:, c, None] + sections[line, :, 0] * s[:, c, None] + sections[line, :, 1] * u[:, c, None]).ravel() for c in range(3)]
+    seg, at, _, _ = _sides(count)
+    # the caps' triangles follow from a section's corners but for their distances from its middle
+    _, like, kind = np.unique(np.where(np.isnan(sections), 2, np.sign(sections)).reshape(len(sections), -1), axis=0, return_index=True, return_inverse=True)
+    fans = [np.array(g.triangulate(sections[i]), np.int64).reshape(-1, 3) for i in like]
+    lid, kind = np.array([len(f) for f in fans])[kind.ravel()], kind.ravel()
+    walls = (count - 1) * 2 * m
+    total = walls + lid * (start + end)
+    base = np.cumsum(total) - total
+    corner = np.empty((3, int(total.sum())), np.int64)
+    i = np.arange(m)
+    j = (i + 1) % m
+    to = ((base[line] + at * 2 * m)[seg][:, None] + np.arange(2 * m)).ravel()
+    for k, (one, two) in enumerate(((i, i), (j, j + m), (j + m, i + m))):
+        corner[k, to] = (seg[:, None] * m + np.column_stack([one, two]).ravel()).ravel()
+    last = np.cumsum(count)
+    for k, fan in enumerate(fans):
+        of = np.flatnonzero(kind == k)
+        to = ((base + walls)[of][:, None] + np.arange(len(fan))).ravel()
+        if start:
+            corner[:, to] = [(((last - count)[of] * m)[:, None] + fan[:, c]).ravel() for c in (0, 2, 1)]
+            to += len(fan)
+        if end:
+            corner[:, to] = [(((last - 1)[of] * m)[:, None] + fan[:, c]).ravel() for c in (0, 1, 2)]
+    owner = np.repeat(np.arange(len(count)), total)
+    return some[owner], np.arange(len(owner)) - base[owner], [[c[k] for c in ring] for k in corner]
+
+
+FLAT = ", ".join(["findex double, patch int", *[f"{v}{c} double" for v in "abcn" for c in "xyz"]])
+
+
+def _tubes(vertices: DataFrame, sizes: DataFrame, names: list[str], section: Callable[[np.ndarray], np.ndarray], start: bool, end: bool) -> DataFrame:
+    """Sections swept along lines: the kernel gives a row a triangle, of which Catalyst makes four."""
+
+    def run(keys: np.ndarray, count: np.ndarray, p: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            owner, patch, (a, b, c) = sweep(count, p, section(size), start, end)
+            e, f = [y - x for x, y in zip(a, b, strict=True)], [y - x for x, y in zip(a, c, strict=True)]
+            n = [e[1] * f[2] - e[2] * f[1], e[2] * f[0] - e[0] * f[2], e[0] * f[1] - e[1] * f[0]]
+            norm = np.sqrt(n[0] ** 2 + n[1] ** 2 + n[2] ** 2)
+            norm[norm == 0] = 1
+            out = pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[owner], patch.astype(np.int32), *a, *b, *c, *[v / norm for v in n])], [f.split()[0] for f in FLAT.split(", ")])
+        for i in range(0, len(out), 1 << 16):
+            yield out.slice(i, 1 << 16)
+
+    flat = _many(vertices, sizes, names, run, FLAT).withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
+    corner = lambda c: F.when(F.col("k") == 1, F.col(f"b{c}")).when(F.col("k") == 2, F.col(f"c{c}")).otherwise(F.col(f"a{c}")).alias(c)
+    return flat.select("findex", "patch", "k", *[corner(c) for c in "xyz"], "nx", "ny", "nz")
+
+
 def box_solids(vertices: DataFrame, sizes: DataFrame, start: bool = True, end: bool = True) -> DataFrame:
     """Box tubes around lines, of each line's width and depth (sizes: findex, width, depth)."""
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("seq")
-        w, h = float(f["width"].iloc[0]) / 2, float(f["depth"].iloc[0]) / 2
-        return _table(f["findex"].iloc[0], sweep(f[["x", "y", "z"]].to_numpy(float), np.array([(-w, -h), (w, -h), (w, h), (-w, h)]), start, end))
+    def section(size: np.ndarray) -> np.ndarray:
+        return size[:, None, :] / 2 * np.array([(-1, -1), (1, -1), (1, 1), (-1, 1)])
 
-    return _lines(vertices, sizes).groupBy("findex").applyInPandas(run, TRIANGLES)
+    return _tubes(vertices, sizes, ["width", "depth"], section, start, end)
 
 
 def cylinder_solids(vertices: DataFrame, sizes: DataFrame, divisions: int = 16, start: bool = True, end: bool = True) -> DataFrame:
     """Cylinders around lines (sizes: findex, radius)."""
     t = np.arange(divisions) * 2 * np.pi / divisions
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("seq")
-        r = float(f["radius"].iloc[0])
-        return _table(f["findex"].iloc[0], sweep(f[["x", "y", "z"]].to_numpy(float), r * np.c_[np.cos(t), np.sin(t)], start, end))
-
-    return _lines(vertices, sizes).groupBy("findex").applyInPandas(run, TRIANGLES)
+    return _tubes(vertices, sizes, ["radius"], lambda size: size[:, :, None] * np.c_[np.cos(t), np.sin(t)], start, end)
 
 
 def prism_solids(vertices: DataFrame, sizes: DataFrame, top: bool = True, bottom: bool = True) -> DataFrame:

@@ -138,6 +138,41 @@ def test_solids(spark):
     assert [(round(r.x, 9), round(r.z, 9)) for r in sheet.orderBy("seq").collect()] == [(1, 1), (11, 1)]
 
 
+def grouped(df):
+    """Whether a Python call is made for each key of df's plan."""
+    return "FlatMapGroupsIn" in df._jdf.queryExecution().analyzed().toString()
+
+
+def odd_lines(spark):
+    """Lines of 1 to 6 vertices, some repeated, upright or without z, rows in any order."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        p = rng.integers(0, 4, (rng.integers(1, 7), 3)).astype(float)
+        p[:, :2] *= i % 7 > 0
+        rows += [(i, k, *q) for k, q in enumerate(p.tolist())]
+    rng.shuffle(rows)
+    return line(spark, *rows)
+
+
+def test_cylinder_solids_of_many_lines(spark):
+    v = odd_lines(spark)
+    tri = solids.cylinder_solids(v, v.select("findex").distinct().withColumn("radius", F.col("findex") % 5 / 4), 8)
+    assert not grouped(tri)
+    rows = tri.toPandas().sort_values(["findex", "patch", "k"]).groupby("findex")
+    points = v.toPandas().sort_values(["findex", "seq"]).groupby("findex")[["x", "y", "z"]]
+    t = np.arange(8) * 2 * np.pi / 8
+    for k, p in points:
+        p = p.to_numpy()
+        _, patch, corner = solids.sweep(np.array([len(p)]), p, (k % 5 / 4 * np.c_[np.cos(t), np.sin(t)])[None], True, True)
+        segments = int((np.abs(np.diff(p, axis=0)).max(1, initial=0) > 0).sum())
+        assert len(patch) == (16 * segments + 2 * (6 if k % 5 else 1) if segments else 0)
+        found = rows.get_group(k) if k in rows.groups else tri.limit(0).toPandas()
+        assert found["patch"].tolist() == np.repeat(patch, 4).tolist() and found["k"].tolist() == [0, 1, 2, 3] * len(patch)
+        want = np.array(corner)[[0, 1, 2, 0]].transpose(2, 0, 1).reshape(-1, 3)
+        assert np.allclose(found[["x", "y", "z"]].to_numpy(float).reshape(-1, 3), want, atol=1e-12)
+
+
 def test_networks(spark):
     v = line(spark, (1, 0, 0, 0, 0), (1, 1, 10, 0, 0), (2, 0, 10, 0, 0), (2, 1, 20, 0, 0), (3, 0, 5, -5, 0), (3, 1, 5, 5, 0))
     assert {(r.l, r.r, r.x) for r in network.segment_crossings(v, 4.0).collect()} == {(1, 3, 5.0)}
