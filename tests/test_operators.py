@@ -173,6 +173,20 @@ def test_cylinder_solids_of_many_lines(spark):
         assert np.allclose(found[["x", "y", "z"]].to_numpy(float).reshape(-1, 3), want, atol=1e-12)
 
 
+def test_box_solids_of_many_lines(spark):
+    v = odd_lines(spark)
+    size = v.select("findex").distinct().withColumns({"width": F.col("findex") % 3 + 0.5, "depth": F.col("findex") % 4 + 0.25})
+    tri = solids.box_solids(v, size)
+    assert not grouped(tri)
+    straight = v.groupBy("findex").agg(F.max_by(F.struct("x", "y", "z"), "seq").alias("q"), F.min_by(F.struct("x", "y", "z"), "seq").alias("p"), F.count("*").alias("n")).where("n = 2 and (p.x <> q.x or p.y <> q.y or p.z <> q.z)")
+    far = F.sqrt(sum(F.pow(F.col(f"p.{c}") - F.col(f"q.{c}"), 2) for c in "xyz"))
+    found = straight.join(size, "findex").withColumn("want", far * F.col("width") * F.col("depth")).join(solids.volume(tri), "findex").collect()
+    assert len(found) == straight.count() > 20
+    assert all(abs(abs(r.volume) - r.want) < 1e-9 for r in found)
+    open_ended = solids.box_solids(v, size, start=False, end=True)
+    assert tri.count() - open_ended.count() == 8 * tri.select("findex").distinct().count()
+
+
 def test_networks(spark):
     v = line(spark, (1, 0, 0, 0, 0), (1, 1, 10, 0, 0), (2, 0, 10, 0, 0), (2, 1, 20, 0, 0), (3, 0, 5, -5, 0), (3, 1, 5, 5, 0))
     assert {(r.l, r.r, r.x) for r in network.segment_crossings(v, 4.0).collect()} == {(1, 3, 5.0)}
