@@ -300,34 +300,50 @@ def invalid_shapes(vertices: DataFrame, polygons: bool = True) -> DataFrame:
 def bottom_polygons(vertices: DataFrame, widths: DataFrame, half: bool = False) -> DataFrame:
     """Lines widened to both sides by the full width (or half of it), neighbouring offsets joined where they cross, collinear vertices left out."""
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("seq")
-        p, w = f[["x", "y", "z"]].to_numpy(float), float(f["width"].iloc[0]) * (0.5 if half else 1)
-        p = p[np.r_[True, np.abs(np.diff(p[:, :2], axis=0)).max(1) > 0]]
-        ring = np.vstack([_offset(p, w), _offset(p, -w)[::-1]]) if len(p) > 1 else np.empty((0, 3))
-        keep = []
-        for i in range(len(ring)):
-            a, b, c = ring[i - 1, :2], ring[i, :2], ring[(i + 1) % len(ring), :2]
-            keep.append(abs((b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])) > 1e-9)
-        ring = ring[np.array(keep, bool)] if len(ring) else ring
-        ring = np.vstack([ring, ring[:1]]) if len(ring) else ring
-        return pd.DataFrame([(float(f["findex"].iloc[0]), i, *q) for i, q in enumerate(ring)], columns=["findex", "seq", "x", "y", "z"])
-
-    return _lines(vertices, widths.select("findex", "width")).groupBy("findex").applyInPandas(run, VERTICES)
-
-
-def _offset(p: np.ndarray, w: float) -> np.ndarray:
-    """A line moved sideways by w, to the right."""
-    d = np.diff(p[:, :2], axis=0)
-    n = np.c_[d[:, 1], -d[:, 0]] / np.maximum(np.hypot(*d.T), 1e-12)[:, None]
-    out = [p[0, :2] + w * n[0]]
-    for i in range(1, len(p) - 1):
-        a0, a1, b0, b1 = p[i - 1, :2] + w * n[i - 1], p[i, :2] + w * n[i - 1], p[i, :2] + w * n[i], p[i + 1, :2] + w * n[i]
-        r, s = a1 - a0, b1 - b0
-        den = r[0] * s[1] - r[1] * s[0]
-        out.append(a1 if abs(den) < 1e-12 else a0 + r * ((b0[0] - a0[0]) * s[1] - (b0[1] - a0[1]) * s[0]) / den)
-    out.append(p[-1, :2] + w * n[-1])
-    return np.c_[np.array(out), p[:, 2]]
+    def run(keys: np.ndarray, count: np.ndarray, p: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            d, first = _steps(count, p)
+            some, count, p = _kept(count, p, first | (np.abs(d[:, :2]).max(1) > 0))
+            if not len(some):
+                return
+            w = size[some, 0] * (0.5 if half else 1)
+            # a ring: the line to the right, and the way back to the left
+            start, n = np.cumsum(count) - count, 2 * count
+            owner = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(owner)) - 2 * start[owner]
+            there = place < count[owner]
+            vertex = start[owner] + np.where(there, place, 2 * count[owner] - 1 - place)
+            line = np.repeat(np.arange(len(count)), count)
+            ring = np.where(there[:, None], _offset(count, p, w[line])[vertex], _offset(count, p, -w[line])[vertex])
+            low, row = 2 * start[owner], np.arange(len(owner))
+            a, c = ring[np.where(place == 0, low + n[owner] - 1, row - 1), :2], ring[np.where(place == n[owner] - 1, low, row + 1), :2]
+            b = ring[:, :2]
+            keep = np.abs((b[:, 0] - a[:, 0]) * (c[:, 1] - b[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - b[:, 0])) > 1e-9
+            ring, n = ring[keep], np.bincount(owner[keep], minlength=len(n))
+            low, n = np.cumsum(n) - n, n + (n > 0)  # closed
+            owner = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+            ring = ring[low[owner] + np.where(place == n[owner] - 1, 0, place)]
+        out = pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[some][owner], place.astype(np.int32), *ring.T.copy())], ["findex", "seq", "x", "y", "z"])
+        for i in range(0, len(out), 1 << 16):
+            yield out.slice(i, 1 << 16)
+
+    return _many(vertices, widths, ["width"], run, VERTICES)
+
+
+def _offset(count: np.ndarray, p: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Lines moved sideways by w at each vertex, to the right."""
+    seg, at, i, j = _sides(count)
+    d = p[seg + 1, :2] - p[seg, :2]
+    n = np.column_stack([d[:, 1], -d[:, 0]]) / np.maximum(np.hypot(*d.T), 1e-12)[:, None]
+    w = w[:, None]
+    a0, a1, b0, b1 = p[seg[i], :2] + w * n[i], p[:, :2] + w * n[i], p[:, :2] + w * n[j], p[seg[j] + 1, :2] + w * n[j]
+    r, s = a1 - a0, b1 - b0
+    den = r[:, 0] * s[:, 1] - r[:, 1] * s[:, 0]
+    t = ((b0[:, 0] - a0[:, 0]) * s[:, 1] - (b0[:, 1] - a0[:, 1]) * s[:, 0]) / den
+    met = np.where(np.abs(den)[:, None] < 1e-12, a1, a0 + r * t[:, None])
+    end = (i == j)[:, None]  # of two segments none is the one before and after
+    return np.column_stack([np.where(end, p[:, :2] + w * n[i], met), p[:, 2]])
 
 
 def centre_lines(vertices: DataFrame, margin: float) -> DataFrame:

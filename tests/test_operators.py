@@ -187,6 +187,21 @@ def test_box_solids_of_many_lines(spark):
     assert tri.count() - open_ended.count() == 8 * tri.select("findex").distinct().count()
 
 
+def test_bottom_polygons_of_many_lines(spark):
+    v = line(spark, (1, 1, 0, 0, 1), (1, 2, 4, 0, 2), (1, 3, 4, 0, 3), (1, 4, 4, 4, 4), (2, 0, 0, 0, 0), (3, 0, 1, 1, 0), (3, 1, 1, 1, 5), (4, 0, 0, 0, 0), (4, 1, 2, 0, 1), (4, 2, 5, 0, 2))
+    sized = lambda v: v.select("findex").distinct().withColumn("width", F.lit(1.0))
+    found = solids.bottom_polygons(v, sized(v))
+    assert not grouped(found)
+    rings = {k: f.sort_values("seq")[["x", "y", "z"]].to_numpy().tolist() for k, f in found.toPandas().groupby("findex")}
+    assert rings == {
+        1.0: [[0, -1, 1], [5, -1, 2], [5, 4, 4], [3, 4, 4], [3, 1, 2], [0, 1, 1], [0, -1, 1]],
+        4.0: [[0, -1, 0], [5, -1, 2], [5, 1, 2], [0, 1, 0], [0, -1, 0]],
+    }
+    many = odd_lines(spark)
+    flat = lambda v: sorted(map(tuple, solids.bottom_polygons(v, sized(v), True).collect()))
+    assert flat(many) == sorted(r for k in range(3) for r in flat(many.where(F.col("findex") % 3 == k)))
+
+
 def test_networks(spark):
     v = line(spark, (1, 0, 0, 0, 0), (1, 1, 10, 0, 0), (2, 0, 10, 0, 0), (2, 1, 20, 0, 0), (3, 0, 5, -5, 0), (3, 1, 5, 5, 0))
     assert {(r.l, r.r, r.x) for r in network.segment_crossings(v, 4.0).collect()} == {(1, 3, 5.0)}
