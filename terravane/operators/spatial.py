@@ -200,9 +200,35 @@ def predicate_pairs(main: DataFrame, sub: DataFrame, how: str, cell: float, tole
     return _tested(candidates(main, sub, cell, tolerance), test).select("l", "r")
 
 
+def _one_point(shapes: DataFrame) -> Column:
+    rings = rings_of(shapes)
+    return F.coalesce((F.col("gtype") == "Point") & (F.size(rings) == 1) & (F.size(F.get(rings, F.lit(0))) == 1), F.lit(False))
+
+
+def point_pairs(main: DataFrame, sub: DataFrame, reach: float, cell: float) -> DataFrame:
+    """l, r, distance of points no farther apart than reach, in built-in expressions: a point of main is listed under all cells that it reaches, one of sub under its own."""
+    most = reach + g.EPS
+
+    def points(df: DataFrame, side: str) -> DataFrame:
+        p = F.get(F.get(rings_of(df), F.lit(0)), F.lit(0))
+        return df.where(_one_point(df)).select(F.col("findex").alias(side), p["x"].alias(f"{side}x"), p["y"].alias(f"{side}y"))
+
+    span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - most) / cell), F.floor((F.col(c) + most) / cell)))
+    left = points(main, "l").where("lx is not null and ly is not null").withColumn("cx", span("lx")).withColumn("cy", span("ly"))
+    right = points(sub, "r").withColumns({"cx": F.floor(F.col("rx") / cell), "cy": F.floor(F.col("ry") / cell)})
+    apart = lambda c: F.col(f"l{c}") - F.col(f"r{c}")
+    # few bytes make many pairs: a number that is given keeps rows from being gathered into a few tasks
+    left = left.repartition(int(main.sparkSession.conf.get("spark.sql.shuffle.partitions")), "l", "cx", "cy")
+    return left.join(right, ["cx", "cy"]).select("l", "r", F.sqrt(apart("x") * apart("x") + apart("y") * apart("y")).alias("distance")).where(F.col("distance") <= most)
+
+
 def distance_pairs(main: DataFrame, sub: DataFrame, reach: float, cell: float) -> DataFrame:
-    """l, r, distance of pairs no farther apart than reach."""
-    return _tested(candidates(main, sub, cell, reach), lambda a, b: d if (d := distance(a, b)) <= reach + g.EPS else None).withColumnRenamed("measure", "distance")
+    """l, r, distance of pairs no farther apart than reach; all but pairs of points are measured in Arrow batches."""
+    test = lambda a, b: d if (d := distance(a, b)) <= reach + g.EPS else None
+    out = point_pairs(main, sub, reach, cell)
+    for m, s in ((main.where(~_one_point(main)), sub), (main.where(_one_point(main)), sub.where(~_one_point(sub)))):
+        out = out.unionAll(_tested(candidates(m, s, cell, reach), test).withColumnRenamed("measure", "distance"))
+    return out
 
 
 def package(pairs: DataFrame, main: DataFrame, output: str = "pairs", include_empty: bool = False) -> DataFrame:

@@ -202,6 +202,19 @@ def test_bottom_polygons_of_many_lines(spark):
     assert flat(many) == sorted(r for k in range(3) for r in flat(many.where(F.col("findex") % 3 == k)))
 
 
+def test_distance_pairs_of_points_and_others(spark):
+    rng = np.random.default_rng(5)
+    p = rng.integers(0, 40, (200, 2)) / 2
+    rows = [(i, "Point", [(x, y, 0.0)]) for i, (x, y) in enumerate(p.tolist())] + [(200, "LineString", [(0.0, 0.0, 0.0), (20.0, 20.0, 0.0)]), (201, "MultiPoint", [(1.0, 1.0, 0.0), (9.0, 9.0, 0.0)])]
+    shapes = spark.createDataFrame(rows, f"findex long, gtype string, coords {spatial.COORDS}")
+    assert "MapInPandas" not in spatial.point_pairs(shapes, shapes, 2.5, 4.0)._jdf.queryExecution().analyzed().toString()
+    kind = {"Point": 0, "MultiPoint": 0, "LineString": 1}
+    parts = [(kind[k], [np.array(c)[:, :2]]) for _, k, c in rows]
+    want = {(i, j): d for i, a in enumerate(parts) for j, b in enumerate(parts) if (d := spatial.distance(a, b)) <= 2.5}
+    found = spatial.distance_pairs(shapes, shapes, 2.5, 4.0).collect()
+    assert len(found) == len(want) and all(abs(want[r.l, r.r] - r.distance) < 1e-12 for r in found)
+
+
 def test_networks(spark):
     v = line(spark, (1, 0, 0, 0, 0), (1, 1, 10, 0, 0), (2, 0, 10, 0, 0), (2, 1, 20, 0, 0), (3, 0, 5, -5, 0), (3, 1, 5, 5, 0))
     assert {(r.l, r.r, r.x) for r in network.segment_crossings(v, 4.0).collect()} == {(1, 3, 5.0)}
