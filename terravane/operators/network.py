@@ -119,7 +119,13 @@ def integrate_lines(vertices: DataFrame) -> DataFrame:
     e = line_ends(vertices).select("findex", "end", F.col("x").alias("ex"), F.col("y").alias("ey"))
     joint = e.groupBy("ex", "ey").agg(F.count("*").alias("n"), F.min("findex").alias("l"), F.max("findex").alias("r")).where("n = 2")
     roots = components(joint.select("l", "r").where("l <> r"))
-    rows = vertices.join(roots, vertices["findex"] == roots["node"], "left").withColumn("root", F.coalesce("root", "findex").cast("double")).select("root", F.col("findex").cast("double").alias("findex"), "seq", "x", "y", "z")
+    met = vertices.join(roots, vertices["findex"] == roots["node"], "left")
+    rows = met.where("root is not null").select(F.col("root").cast("double").alias("root"), F.col("findex").cast("double").alias("findex"), "seq", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])
+    # a line that meets no other: from its last vertex, unless it is closed
+    w = Window.partitionBy("findex").orderBy("seq")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    at, n, closed = F.row_number().over(w), F.count(F.lit(1)).over(whole), (F.first("x").over(whole) == F.last("x").over(whole)) & (F.first("y").over(whole) == F.last("y").over(whole))
+    alone = met.where("root is null").select(F.col("findex").cast("double").alias("root"), F.when(closed, at - 1).otherwise(n - at).cast("int").alias("seq"), *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         lines = {k: x.sort_values("seq")[["x", "y", "z"]].to_numpy(float) for k, x in f.groupby("findex")}
@@ -141,7 +147,7 @@ def integrate_lines(vertices: DataFrame) -> DataFrame:
         p = np.vstack(path)
         return pd.DataFrame({"root": f["root"].iloc[0], "seq": range(len(p)), "x": p[:, 0], "y": p[:, 1], "z": p[:, 2]})
 
-    return rows.groupBy("root").applyInPandas(run, "root double, seq int, x double, y double, z double")
+    return alone.unionAll(rows.groupBy("root").applyInPandas(run, "root double, seq int, x double, y double, z double"))
 
 
 def group_leader_lines(vertices: DataFrame, groups: DataFrame, tolerance: float) -> DataFrame:

@@ -215,6 +215,18 @@ def test_distance_pairs_of_points_and_others(spark):
     assert len(found) == len(want) and all(abs(want[r.l, r.r] - r.distance) < 1e-12 for r in found)
 
 
+def test_integrate_lines_leaves_lone_lines_to_catalyst(spark):
+    v = line(spark, (1, 3, 0, 0, 1), (1, 5, 1, 0, 2), (1, 9, 2, 5, 3), (2, 0, 7, 7, 0), (2, 1, 8, 7, 1), (2, 2, 7, 7, 2), (3, 0, 20, 0, 0), (3, 1, 21, 0, 1), (4, 0, 22, 0, 2), (4, 1, 21, 0, 3), (5, 0, 30, 30, 0))
+    found = network.integrate_lines(v)
+    assert found.dtypes == [("root", "double"), ("seq", "int"), ("x", "double"), ("y", "double"), ("z", "double")]
+    # lines 3 and 4 alone share an end; a line that is not closed begins with its last vertex
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 0, 2, 5, 3), (1, 1, 1, 0, 2), (1, 2, 0, 0, 1), (2, 0, 7, 7, 0), (2, 1, 8, 7, 1), (2, 2, 7, 7, 2),
+        (3, 0, 20, 0, 0), (3, 1, 21, 0, 1), (3, 2, 22, 0, 2), (5, 0, 30, 30, 0),
+    ]
+    assert "Union" in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_networks(spark):
     v = line(spark, (1, 0, 0, 0, 0), (1, 1, 10, 0, 0), (2, 0, 10, 0, 0), (2, 1, 20, 0, 0), (3, 0, 5, -5, 0), (3, 1, 5, 5, 0))
     assert {(r.l, r.r, r.x) for r in network.segment_crossings(v, 4.0).collect()} == {(1, 3, 5.0)}
