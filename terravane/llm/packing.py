@@ -16,7 +16,7 @@ documents; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from itertools import islice
 
 import numpy as np
@@ -35,6 +35,9 @@ ROUNDS = 3
 #: Entries of a worker's caches of words' tokens; beyond that, those that came first stay, as frequent words come early, and those in use.
 CACHE = 450_000
 PIECE_CACHE = 250_000
+#: New words that are tokenized, and words whose tokens are gathered, at a time.
+PORTION = 20_000
+SPAN = 1 << 17
 
 #: Fixed value: how the tokenizer's file splits normalised text.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -73,18 +76,24 @@ class WordTokens:
         self.learn({w for w in words if w not in self.words}, set(words))
         return b"".join(map(self.words.__getitem__, words))
 
-    def learn(self, words: set[bytes], every: set[bytes] | None = None) -> None:
-        """Tokenizes words that are new. every: all that are needed at once, should the cache start anew."""
+    def learn(self, words: Collection[bytes], every: Collection[bytes] | None = None) -> None:
+        """Tokenizes words that are new, a portion at a time. every: all that are needed at once, should the cache start anew."""
+        if len(self.words) > CACHE:
+            needed = {w: self.words[w] for w in every or () if w in self.words}  # what is needed now stays too
+            self.words = dict(islice(self.words.items(), CACHE // 3))
+            self.words.update(needed)
+            words = [w for w in every or words if w not in self.words]
+        if len(self.pieces) > PIECE_CACHE:
+            self.pieces = dict(islice(self.pieces.items(), PIECE_CACHE // 2))
+        new = iter(words)
+        while portion := list(islice(new, PORTION)):
+            self._learn(portion)
+
+    def _learn(self, words: list[bytes]) -> None:
         import re
         import unicodedata
 
         odd = re.compile("[Σİ]").search
-        if len(self.words) > CACHE:
-            known, self.words = self.words, dict(islice(self.words.items(), CACHE // 3))
-            self.words.update((w, known[w]) for w in every or () if w in known)  # what is needed now stays too
-            words = (every or words).difference(self.words)
-        if len(self.pieces) > PIECE_CACHE:
-            self.pieces = dict(islice(self.pieces.items(), PIECE_CACHE // 2))
         split: list[tuple[bytes, list[str]]] = []
         fresh: dict[str, None] = {}
         for w in words:
@@ -152,7 +161,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer)
         for batch in batches:
-            for ids, texts in slices(batch, 8 << 20):
+            for ids, texts in slices(batch, 6 << 20):
                 # case is dropped by the tokenizer's normaliser, and so early here: fewer different words
                 numbers, words, counts = Numbers(), [], []
                 number, stop = numbers.__getitem__, numbers[b" "]  # no word is a space: it stands for the end
@@ -161,20 +170,29 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
                     words.extend(map(number, found))
                     words.append(stop)
                     counts.append(len(found) + 1)
-                every = set(numbers)
-                every.discard(b" ")
-                tokens.learn(every.difference(tokens.words), every)
-                blobs = [tokens.words[w] if w != b" " else tail for w in numbers]
+                words = np.array(words, np.int32)
+                del found, number, numbers[b" "]
+                known = tokens.words
+                tokens.learn([w for w in numbers if w not in known], numbers)
+                known = tokens.words
+                blobs = [tail, *[known[w] for w in numbers]]
+                del numbers, known
                 size = np.array([len(b) // 4 for b in blobs])
-                words = np.array(words, np.int64)
-                flat = np.frombuffer(b"".join(blobs), "<u4")[spans((np.cumsum(size) - size)[words], size[words])]
+                table, first = np.frombuffer(b"".join(blobs), "<u4"), np.cumsum(size) - size
+                del blobs
                 lens = np.add.reduceat(size[words], np.cumsum([0, *counts[:-1]]))
+                flat, to = np.empty(int(lens.sum()), "<u4"), 0
+                for k in range(0, len(words), SPAN):
+                    some = words[k : k + SPAN]
+                    ids_here = table[spans(first[some], size[some])]
+                    flat[to : to + len(ids_here)] = ids_here
+                    to += len(ids_here)
                 n = -(-lens // capacity)
                 owner, piece = np.repeat(np.arange(len(lens)), n), spans(np.zeros(len(n), np.int64), n)
                 start = piece * capacity
                 length = np.minimum(capacity, lens[owner] - start)
                 begin = (np.cumsum(lens) - lens)[owner] + start
-                view = memoryview(flat.tobytes())
+                view = memoryview(flat).cast("B")
                 crc = [zlib.crc32(view[4 * b : 4 * (b + m)]) for b, m in zip(begin.tolist(), length.tolist(), strict=True)]
                 yield pa.record_batch([ids.take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 

@@ -371,6 +371,15 @@ def test_words_have_the_tokenizers_ids(text):
     assert np.frombuffer(w.ids(text.encode()), "<u4").tolist() == w.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_many_new_words_are_tokenized_in_portions():
+    w, calls = packing.WordTokens("word_bpe_49k.json"), []
+    encode = w._encode
+    w._encode = lambda fresh: (calls.append(len(fresh)), encode(fresh))
+    words = [("w" + "".join(chr(97 + int(c)) for c in str(i))).encode() for i in range(3 * packing.PORTION // 2)]
+    assert len(w.ids(b" ".join(words))) > 4 * len(words)
+    assert max(calls) <= packing.PORTION and sum(calls) == len(words)
+
+
 # quality ---------------------------------------------------------------------------------------------
 
 
