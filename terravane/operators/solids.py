@@ -72,6 +72,12 @@ def _kept(count: np.ndarray, p: np.ndarray, keep: np.ndarray) -> tuple[np.ndarra
     return some, left[some], p[keep & (left > 1)[line]]
 
 
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _steps(count: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each vertex less the one before it, and whether it is the first of its line."""
     first = np.zeros(len(p), bool)
@@ -110,21 +116,30 @@ def _frames(count: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s * wide[:, None], np.where(u[:, 2:] >= 0, u, -u)
 
 
-def sweep(count: np.ndarray, p: np.ndarray, sections: np.ndarray, start: bool, end: bool) -> tuple[np.ndarray, np.ndarray, list[list[np.ndarray]]]:
-    """Each line's section (lines, corners, and sideways and upward offsets) drawn along it, with caps on request: each triangle's line and number, and its corners' coordinates."""
+def _rings(count: np.ndarray, p: np.ndarray, sections: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """Whose lines have a length, their numbers of vertices, each vertex's section (vertices, corners, xyz), the caps' triangles by kind of section, and each line's kind."""
     d, first = _steps(count, p)
     some, count, p = _kept(count, p, first | (np.sqrt((d**2).sum(1)) > 1e-12))
     if not len(some):
-        return np.empty(0, np.int64), np.empty(0, np.int64), [[np.empty(0)] * 3] * 3
+        return some, count, np.empty((0, sections.shape[1], 3)), [], some
     sections = sections[some]
-    m, line = sections.shape[1], np.repeat(np.arange(len(count)), count)
+    line = np.repeat(np.arange(len(count)), count)
     s, u = _frames(count, p)
-    ring = [(p[:, c, None] + sections[line, :, 0] * s[:, c, None] + sections[line, :, 1] * u[:, c, None]).ravel() for c in range(3)]
-    seg, at, _, _ = _sides(count)
+    ring = p[:, None] + sections[line, :, :1] * s[:, None] + sections[line, :, 1:] * u[:, None]
     # the caps' triangles follow from a section's corners but for their distances from its middle
     _, like, kind = np.unique(np.where(np.isnan(sections), 2, np.sign(sections)).reshape(len(sections), -1), axis=0, return_index=True, return_inverse=True)
-    fans = [np.array(g.triangulate(sections[i]), np.int64).reshape(-1, 3) for i in like]
-    lid, kind = np.array([len(f) for f in fans])[kind.ravel()], kind.ravel()
+    return some, count, ring, [np.array(g.triangulate(sections[i]), np.int64).reshape(-1, 3) for i in like], kind.ravel()
+
+
+def sweep(count: np.ndarray, p: np.ndarray, sections: np.ndarray, start: bool, end: bool) -> tuple[np.ndarray, np.ndarray, list[list[np.ndarray]]]:
+    """Each line's section (lines, corners, and sideways and upward offsets) drawn along it, with caps on request: each triangle's line and number, and its corners' coordinates."""
+    some, count, ring, fans, kind = _rings(count, p, sections)
+    if not len(some):
+        return np.empty(0, np.int64), np.empty(0, np.int64), [[np.empty(0)] * 3] * 3
+    m, line = sections.shape[1], np.repeat(np.arange(len(count)), count)
+    ring = [ring[:, :, c].ravel() for c in range(3)]
+    seg, at, _, _ = _sides(count)
+    lid = np.array([len(f) for f in fans])[kind]
     walls = (count - 1) * 2 * m
     total = walls + lid * (start + end)
     base = np.cumsum(total) - total
@@ -147,26 +162,63 @@ def sweep(count: np.ndarray, p: np.ndarray, sections: np.ndarray, start: bool, e
     return some[owner], np.arange(len(owner)) - base[owner], [[c[k] for c in ring] for k in corner]
 
 
-FLAT = ", ".join(["findex double, patch int", *[f"{v}{c} double" for v in "abcn" for c in "xyz"]])
+#: Segments of a line that come in one row at most.
+PIECE = 512
+PIECES = "findex double, base int, walls int, head int, total int, cap int, tail int, ring array<double>, fan array<int>"
 
 
 def _tubes(vertices: DataFrame, sizes: DataFrame, names: list[str], section: Callable[[np.ndarray], np.ndarray], start: bool, end: bool) -> DataFrame:
-    """Sections swept along lines: the kernel gives a row a triangle, of which Catalyst makes four."""
+    """Sections swept along lines, as sweep does it: the kernel gives sections along pieces of lines, of which Catalyst makes triangles.
+
+    A piece has the triangles of its walls, numbered from base, then head ones of the first cap, numbered from cap, and the last cap's, from tail.
+    """
+    m = section(np.zeros((1, len(names)))).shape[1]
 
     def run(keys: np.ndarray, count: np.ndarray, p: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
         with np.errstate(all="ignore"):
-            owner, patch, (a, b, c) = sweep(count, p, section(size), start, end)
-            e, f = [y - x for x, y in zip(a, b, strict=True)], [y - x for x, y in zip(a, c, strict=True)]
-            n = [e[1] * f[2] - e[2] * f[1], e[2] * f[0] - e[0] * f[2], e[0] * f[1] - e[1] * f[0]]
-            norm = np.sqrt(n[0] ** 2 + n[1] ** 2 + n[2] ** 2)
-            norm[norm == 0] = 1
-            out = pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[owner], patch.astype(np.int32), *a, *b, *c, *[v / norm for v in n])], [f.split()[0] for f in FLAT.split(", ")])
-        for i in range(0, len(out), 1 << 16):
-            yield out.slice(i, 1 << 16)
-
-    flat = _many(vertices, sizes, names, run, FLAT).withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
-    corner = lambda c: F.when(F.col("k") == 1, F.col(f"b{c}")).when(F.col("k") == 2, F.col(f"c{c}")).otherwise(F.col(f"a{c}")).alias(c)
-    return flat.select("findex", "patch", "k", *[corner(c) for c in "xyz"], "nx", "ny", "nz")
+            some, count, ring, fans, kind = _rings(count, p, section(size))
+        if not len(some):
+            return
+        pieces = -(-(count - 1) // PIECE)
+        line = np.repeat(np.arange(len(count)), pieces)
+        at = np.arange(len(line)) - (np.cumsum(pieces) - pieces)[line]
+        segments = np.minimum(PIECE, count[line] - 1 - at * PIECE)
+        lid, cap, walls = np.array([len(f) for f in fans])[kind][line], (count[line] - 1) * 2 * m, segments * 2 * m
+        head, last = lid * (at == 0) * start, lid * (at == pieces[line] - 1) * end
+        numbers = [at * PIECE * 2 * m, walls, head, walls + head + last, cap, cap + lid * start]
+        corners = ring[_spans((np.cumsum(count) - count)[line] + at * PIECE, segments + 1)].ravel()
+        fan, of = np.concatenate(fans).ravel(), kind[line]
+        corner_count = np.array([f.size for f in fans])
+        listed = lambda values, size: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(values))
+        columns = [pa.array(keys[some][line]), *(pa.array(x, pa.int32()) for x in numbers), listed(corners, (segments + 1) * 3 * m), listed(fan[_spans((np.cumsum(corner_count) - corner_count)[of], corner_count[of])].astype(np.int32), corner_count[of])]
+        out = pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PIECES.split(", ")])
+        for i in range(0, len(out), 1 << 10):
+            yield out.slice(i, 1 << 10)
+
+    c = F.col
+    v = _many(vertices, sizes, names, run, PIECES).withColumn("t", F.explode(F.sequence(F.lit(0), c("total") - 1)))
+    # corners' places among the piece's: walls go round the section, by two triangles a side
+    odd = c("t").bitwiseAND(1)
+    v = v.withColumns({"from": F.expr(f"int(t div {2 * m}) * {m}"), "i": F.expr(f"int(t % {2 * m} div 2)"), "odd": odd == 1})
+    j = F.when(c("i") == m - 1, 0).otherwise(c("i") + 1)
+    v = v.withColumns({"j": j, "wall": c("t") < c("walls"), "first": c("t") < c("walls") + c("head")})
+    v = v.withColumn("f", F.when(c("first"), c("t") - c("walls")).otherwise(c("t") - c("walls") - c("head")))
+    onto = F.when(c("first"), 0).otherwise(F.expr("int(walls div 2)"))
+    lid = lambda one, two: onto + F.when(c("first"), c("fan")[c("f") * 3 + one]).otherwise(c("fan")[c("f") * 3 + two])
+    v = v.withColumns({
+        "a": F.when(c("wall"), c("from") + c("i")).otherwise(lid(0, 0)),
+        "b": F.when(c("wall"), c("from") + c("j") + F.when(c("odd"), m).otherwise(0)).otherwise(lid(2, 1)),
+        "c": F.when(c("wall"), c("from") + m + F.when(c("odd"), c("i")).otherwise(c("j"))).otherwise(lid(1, 2)),
+        "patch": F.when(c("wall"), c("base") + c("t")).when(c("first"), c("cap") + c("f")).otherwise(c("tail") + c("f")),
+    })
+    v = v.select("findex", "patch", *[c("ring")[c(p) * 3 + k].alias(f"{p}{x}") for p in "abc" for k, x in enumerate("xyz")])
+    v = v.select("*", *[(c(f"{p}{x}") - c(f"a{x}")).alias(f"{to}{x}") for p, to in (("b", "e"), ("c", "f")) for x in "xyz"])
+    v = v.select("*", *[(c(f"e{y}") * c(f"f{z}") - c(f"e{z}") * c(f"f{y}")).alias(f"n{x}") for x, y, z in ("xyz", "yzx", "zxy")])
+    norm = F.sqrt(c("nx") * c("nx") + c("ny") * c("ny") + c("nz") * c("nz"))
+    v = v.withColumn("norm", norm).withColumn("norm", F.when(c("norm") == 0, 1.0).otherwise(c("norm")))
+    v = v.withColumns({f"n{x}": c(f"n{x}") / c("norm") for x in "xyz"}).withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
+    corner = lambda x: F.when(c("k") == 1, c(f"b{x}")).when(c("k") == 2, c(f"c{x}")).otherwise(c(f"a{x}")).alias(x)
+    return v.select("findex", "patch", "k", *[corner(x) for x in "xyz"], "nx", "ny", "nz")
 
 
 def box_solids(vertices: DataFrame, sizes: DataFrame, start: bool = True, end: bool = True) -> DataFrame:

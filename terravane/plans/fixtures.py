@@ -13,8 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def short_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line an order, a vertex a line item."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("findex"), F.row_number().over(w).alias("seq"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"))
+    w = Window.partitionBy("findex").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")  # dealt by findex, as what follows asks
+    return table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "findex").select("findex", F.row_number().over(w).alias("seq"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"))
 
 
 SHORT = "lines as (select l_orderkey as findex, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as seq, l_quantity as x, l_extendedprice / 1000 as y, l_discount * 100 as z from lineitem)"

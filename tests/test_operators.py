@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from terravane.functions import crs, geometry as g, pixels as px
 from terravane.operators import aggregates, export, fields, images, joins, network, solids, spatial, tiles, validate, vertices
+from terravane.plans import fixtures
 from terravane.plans.flow import Flow, operators, template
 from terravane.plans.numbering import numbered
 from terravane.sources import readers
@@ -187,6 +188,33 @@ def test_box_solids_of_many_lines(spark):
     assert tri.count() - open_ended.count() == 8 * tri.select("findex").distinct().count()
 
 
+def test_box_solids_by_pieces(spark):
+    """Lines longer than a piece, sizes of any kind and unknown places: the rows are sweep's. Lines that were dealt by findex are not dealt again."""
+    rng = np.random.default_rng(4)
+    rows = [(i, k, *q) for i, n in enumerate((2, 512, 513, 514, 1026, 3, 3, 4, 2)) for k, q in enumerate(rng.normal(size=(n, 3)).tolist())]
+    rows = [(i, k, None if (i, k) in ((5, 1), (7, 0)) else x, y, z) for i, k, x, y, z in rows]
+    rng.shuffle(rows)
+    v = spark.createDataFrame([(int(i), int(k), x, y, z) for i, k, x, y, z in rows], "findex long, seq int, x double, y double, z double")
+    wide = {i: (0.5 + i, 2.0) for i in range(6)} | {6: (-1.0, 2.0), 7: (1.0, 0.0), 8: (None, 1.0)}
+    size = spark.createDataFrame([(i, *w) for i, w in wide.items()], "findex long, width double, depth double")
+    for start, end in ((True, True), (False, True), (True, False)):
+        found = dict(list(solids.box_solids(v, size, start, end).toPandas().sort_values(["findex", "patch", "k"]).groupby("findex")))
+        for i, p in v.toPandas().sort_values(["findex", "seq"]).groupby("findex")[["x", "y", "z"]]:
+            section = np.array(wide[i], float) / 2 * np.array([(-1, -1), (1, -1), (1, 1), (-1, 1)])
+            p = p.to_numpy(float)
+            with np.errstate(all="ignore"):
+                _, patch, corner = solids.sweep(np.array([len(p)]), p, section[None], start, end)
+            want = np.array(corner)[[0, 1, 2, 0]].transpose(2, 0, 1).reshape(-1, 3)
+            if not len(patch):
+                assert i not in found
+                continue
+            assert found[i]["patch"].tolist() == np.repeat(patch, 4).tolist() and found[i]["k"].tolist() == [0, 1, 2, 3] * len(patch)
+            assert np.array_equal(found[i][["x", "y", "z"]].to_numpy(float), want, equal_nan=True)
+    lines = fixtures.short_lines(spark, "/root/testdata/sf0.001")
+    plan = solids.box_solids(lines, lines.select("findex").distinct().withColumns({"width": F.lit(0.4), "depth": F.lit(0.2)}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # of vertices and of sizes
+
+
 def test_bottom_polygons_of_many_lines(spark):
     v = line(spark, (1, 1, 0, 0, 1), (1, 2, 4, 0, 2), (1, 3, 4, 0, 3), (1, 4, 4, 4, 4), (2, 0, 0, 0, 0), (3, 0, 1, 1, 0), (3, 1, 1, 1, 5), (4, 0, 0, 0, 0), (4, 1, 2, 0, 1), (4, 2, 5, 0, 2))
     sized = lambda v: v.select("findex").distinct().withColumn("width", F.lit(1.0))
