@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.media import slices
-from terravane.llm.tables import LOWER, Numbers, cut, spans
+from terravane.llm.tables import LOWER, Numbers, cut, hand_back, kept, let_go, spans
 
 CAPACITY = 2048
 #: Pieces that one task packs.
@@ -143,14 +143,9 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-_TOKENS: dict[str, WordTokens] = {}
-
-
 def word_tokens(name: str) -> WordTokens:
     """One for a worker process, with what it has learnt."""
-    if name not in _TOKENS:
-        _TOKENS[name] = WordTokens(name)
-    return _TOKENS[name]
+    return kept(f"tokens {name}", lambda: WordTokens(name))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,6 +190,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
                 view = memoryview(flat).cast("B")
                 crc = [zlib.crc32(view[4 * b : 4 * (b + m)]) for b, m in zip(begin.tolist(), length.tolist(), strict=True)]
                 yield pa.record_batch([ids.take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                del texts, ids, flat, table, words, view, ids_here
+                hand_back()
+            del batch  # else it stays while the next is read
 
     return data.mapInArrow(run, f"doc_id {data.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
@@ -248,6 +246,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 def _packer(capacity: int, n_round: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         part = part.sort_values(["length", "ids_crc32", "doc_id", "piece", "start"], ascending=[False, True, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
         lengths = part["length"].to_numpy()
         place, offset, n = best_fit(lengths, capacity)

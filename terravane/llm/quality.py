@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm.media import slices
-from terravane.llm.tables import LOWER, crc_of_id
+from terravane.llm.tables import LOWER, crc_of_id, let_go
 
 #: Bound on the labelled rows that the model is fitted on: those of the least hash of their id.
 SAMPLE = 12_000
@@ -138,6 +138,7 @@ def fit(docs: list[tuple[np.ndarray, list[float]]], labels: np.ndarray, m: int,
 
 def _with_metadata(batch: pa.RecordBatch, first: int, metadata: int) -> Iterator[tuple]:
     """Pieces of a batch: the columns before `first`, and features with metadata behind the statistics."""
+    let_go()
     for *cols, texts in slices(batch, 4 << 20):
         meta = [[float("nan") if x is None else float(x) for x in c.to_pylist()] for c in cols[first : first + metadata]]
         docs = [(idx, stats + [float(np.log1p(max(0.0, c[i]))) for c in meta]) for i, (idx, stats) in enumerate(map(features, texts))]
@@ -199,7 +200,8 @@ def keep_good(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slim = pa.record_batch([pa.array(range(batch.num_rows), pa.int64()), *[batch.column(i) for i in meta], batch.column(at).cast(pa.binary())], [str(i) for i in range(2 + len(meta))])
-            keep = [i for (rows,), found in _with_metadata(slim, 1, len(meta)) for i in np.array(rows)[shipped.value.score(found) >= threshold]]
-            yield batch.take(pa.array(keep, pa.int64()))
+            for (rows,), found in _with_metadata(slim, 1, len(meta)):  # by pieces, so that no batch stands twice
+                yield batch.take(rows.filter(pa.array(shipped.value.score(found) >= threshold)))
+            del batch, slim  # else they stay while the next is read
 
     return docs.mapInArrow(run, docs.schema)

@@ -650,3 +650,21 @@ def test_targets(sizes, want):
     assert abs(sum(got) - sum(sizes)) < 1e-9 and all(t <= 3 * s + 1e-9 for t, s in zip(got, sizes, strict=True))
     if want[:1] == [3]:
         assert got[0] == 3
+
+
+def test_workers_keep_one_operators_words():
+    """A worker that has tokenized words doesn't keep them while it classifies or packs."""
+    import gc
+    import weakref
+
+    import pandas as pd
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array(["a", "b"]), pa.array([b"some words", b"and more"])], ["doc_id", "text"])
+    part = pd.DataFrame({"doc_id": ["a"], "piece": [0], "start": [0], "length": [5], "ids_crc32": [1], "sequence_id": [0], "offset": [0]})
+    for then in (lambda: list(quality._with_metadata(batch, 1, 0)), lambda: packing._packer(2048, 0)((0,), part)):
+        words = weakref.ref(packing.word_tokens("word_bpe_49k.json"))
+        assert words() is packing.word_tokens("word_bpe_49k.json")
+        then()
+        gc.collect()
+        assert words() is None
