@@ -551,6 +551,39 @@ def test_a_documents_cost_is_its_own():
     assert np.allclose(np.concatenate([costs([0]), costs([1]), costs([2])]), costs([0, 1, 2]), atol=1e-5)
 
 
+def test_pairs_are_looked_up_once(monkeypatch):
+    """The counts of a loop over all places, from as many bits as the different pairs have."""
+    words = [b"the", b"cat", b"sat", b"\n"]
+    v = scoring.Vocabulary(words, np.array([9, 5, 3, 2]), 22, np.ones(256), 14)
+    rng = np.random.default_rng(4)
+    word, context = rng.integers(0, 5, 3000), rng.integers(0, 6, 3000)
+    want, pairs, looked = np.zeros(2 << 14, np.uint32), set(), []
+    loose = scoring.loose_bits
+    for w, c in zip(word.tolist(), context.tolist(), strict=True):
+        node, _, line, one = loose(v.bit[v.code.first[w] :][: v.code.size[w]])
+        np.add.at(want, v.slots(node + v.salts[1][c], line) * 2 + one, np.uint32(1))
+        pairs.add((w, c))
+    monkeypatch.setattr(scoring, "loose_bits", lambda x: looked.append(len(x)) or loose(x))
+    got = np.zeros(2 << 14, np.uint32)
+    scoring.count_pairs(got, v, v.salts[1], word << 32 | context)
+    scoring.count_pairs(got, v, v.salts[1], word[:0] << 32)
+    assert (got == want).all() and sum(looked) == sum(int(v.code.size[w]) for w, _ in pairs)
+
+
+def test_words_are_numbered():
+    """As by a dictionary, of words that differ little, are very long or hold any bytes."""
+    rng = random.Random(8)
+    words = list({bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(1, 9))) for _ in range(4000)} | {b"a" * 5000, b"a" * 4999 + b"b"})
+    known = [*words[::2], b"\n"]
+    v = scoring.Vocabulary(known, np.ones(len(known), np.int64), len(known) + 9, np.ones(256), 14)
+    got, rare = v.numbers(b" ".join(words))
+    place = {w: i for i, w in enumerate(known)}
+    assert rare == [w for w in words if w not in place]
+    new = iter(range(v.escape + 1, v.escape + 1 + len(rare)))
+    assert got.tolist() == [place[w] if w in place else next(new) for w in words]
+    assert len(np.unique(scoring.hashes(words))) == len(words)
+
+
 def test_code_is_complete_and_holds_the_counts():
     counts = np.r_[np.arange(1.0, 200), 10**9, 3 * 10**12]
     code = scoring.Code(counts)
