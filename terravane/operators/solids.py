@@ -164,61 +164,77 @@ def sweep(count: np.ndarray, p: np.ndarray, sections: np.ndarray, start: bool, e
 
 #: Segments of a line that come in one row at most.
 PIECE = 512
-PIECES = "findex double, base int, walls int, head int, total int, cap int, tail int, ring array<double>, fan array<int>"
+PIECES = "findex double, base int, walls int, head int, tail int, lid int, cap int, ring array<double>, normal array<double>, flat array<double>, fan array<int>"
+
+
+def _across(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    e, f = np.moveaxis(b - a, -1, 0), np.moveaxis(c - a, -1, 0)
+    return np.stack([e[y] * f[z] - e[z] * f[y] for y, z in ((1, 2), (2, 0), (0, 1))], -1)
+
+
+def _normal(n: np.ndarray) -> np.ndarray:
+    size = np.sqrt(n[..., 0] * n[..., 0] + n[..., 1] * n[..., 1] + n[..., 2] * n[..., 2])
+    return n / np.where(size == 0, 1, size)[..., None]
 
 
 def _tubes(vertices: DataFrame, sizes: DataFrame, names: list[str], section: Callable[[np.ndarray], np.ndarray], start: bool, end: bool) -> DataFrame:
-    """Sections swept along lines, as sweep does it: the kernel gives sections along pieces of lines, of which Catalyst makes triangles.
+    """Sections swept along lines, as sweep does it: the kernel gives sections along pieces of lines and normals, of which Catalyst makes triangles.
 
-    A piece has the triangles of its walls, numbered from base, then head ones of the first cap, numbered from cap, and the last cap's, from tail.
+    A piece has head triangles of the first cap, numbered from cap, those of its walls, from base, and tail ones of the last cap, the last of all.
+    Rows of a cap or segment come by k, and the walls' two halves apart, so that coordinates and normals come again in long runs, which files
+    hold in less space than triangles one by one. A cap is flat and has one normal.
     """
     m = section(np.zeros((1, len(names)))).shape[1]
 
     def run(keys: np.ndarray, count: np.ndarray, p: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
         with np.errstate(all="ignore"):
             some, count, ring, fans, kind = _rings(count, p, section(size))
-        if not len(some):
-            return
+            if not len(some):
+                return
+            seg, _, _, _ = _sides(count)
+            near, far = ring[seg], ring[seg + 1]
+            over = np.roll(far, -1, 1)
+            normal = _normal(np.stack([_across(near, np.roll(near, -1, 1), over), _across(near, over, far)], 1))
+            last = np.cumsum(count) - 1
+            lids = np.empty((len(count), 2, 3))
+            for k, fan in enumerate(fans):
+                of = np.flatnonzero(kind == k)
+                for side, at, turn in ((0, last - count + 1, (0, 2, 1)), (1, last, (0, 1, 2))):
+                    lids[of, side] = _normal(_across(*(ring[at[of]][:, fan[:, c]] for c in turn)).sum(1))
         pieces = -(-(count - 1) // PIECE)
         line = np.repeat(np.arange(len(count)), pieces)
         at = np.arange(len(line)) - (np.cumsum(pieces) - pieces)[line]
         segments = np.minimum(PIECE, count[line] - 1 - at * PIECE)
-        lid, cap, walls = np.array([len(f) for f in fans])[kind][line], (count[line] - 1) * 2 * m, segments * 2 * m
-        head, last = lid * (at == 0) * start, lid * (at == pieces[line] - 1) * end
-        numbers = [at * PIECE * 2 * m, walls, head, walls + head + last, cap, cap + lid * start]
+        lid, walls = np.array([len(f) for f in fans])[kind][line], segments * 2 * m
+        head, tail = lid * (at == 0) * start, lid * (at == pieces[line] - 1) * end
+        numbers = [at * PIECE * 2 * m, walls, head, tail, np.maximum(lid, 1), (count[line] - 1) * 2 * m]
         corners = ring[_spans((np.cumsum(count) - count)[line] + at * PIECE, segments + 1)].ravel()
         fan, of = np.concatenate(fans).ravel(), kind[line]
         corner_count = np.array([f.size for f in fans])
         listed = lambda values, size: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(values))
-        columns = [pa.array(keys[some][line]), *(pa.array(x, pa.int32()) for x in numbers), listed(corners, (segments + 1) * 3 * m), listed(fan[_spans((np.cumsum(corner_count) - corner_count)[of], corner_count[of])].astype(np.int32), corner_count[of])]
+        columns = [pa.array(keys[some][line]), *(pa.array(x, pa.int32()) for x in numbers), listed(corners, (segments + 1) * 3 * m), listed(normal.ravel(), segments * 6 * m), listed(lids[line].ravel(), np.full(len(line), 6))]
+        columns.append(listed(fan[_spans((np.cumsum(corner_count) - corner_count)[of], corner_count[of])].astype(np.int32), corner_count[of]))
         out = pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PIECES.split(", ")])
         for i in range(0, len(out), 1 << 10):
             yield out.slice(i, 1 << 10)
 
     c = F.col
-    v = _many(vertices, sizes, names, run, PIECES).withColumn("t", F.explode(F.sequence(F.lit(0), c("total") - 1)))
+    v = _many(vertices, sizes, names, run, PIECES).withColumn("t", F.explode(F.sequence(F.lit(0), (c("head") + c("walls") + c("tail")) * 4 - 1)))
+    v = v.withColumns({"first": c("t") < c("head") * 4, "u": c("t") - c("head") * 4})
+    v = v.withColumns({"wall": ~c("first") & (c("u") < c("walls") * 4), "u": F.when(c("first"), c("t")).when(c("u") < c("walls") * 4, c("u")).otherwise(c("u") - c("walls") * 4)})
+    v = v.withColumns({"k": F.when(c("wall"), F.expr(f"int(u % {8 * m} div {2 * m})")).otherwise(F.expr("int(u div lid)")), "r": F.when(c("wall"), c("u") % (2 * m)).otherwise(c("u") % c("lid"))})
     # corners' places among the piece's: walls go round the section, by two triangles a side
-    odd = c("t").bitwiseAND(1)
-    v = v.withColumns({"from": F.expr(f"int(t div {2 * m}) * {m}"), "i": F.expr(f"int(t % {2 * m} div 2)"), "odd": odd == 1})
+    v = v.withColumns({"from": F.expr(f"int(u div {8 * m}) * {m}"), "odd": c("r") >= m, "i": c("r") % m})
     j = F.when(c("i") == m - 1, 0).otherwise(c("i") + 1)
-    v = v.withColumns({"j": j, "wall": c("t") < c("walls"), "first": c("t") < c("walls") + c("head")})
-    v = v.withColumn("f", F.when(c("first"), c("t") - c("walls")).otherwise(c("t") - c("walls") - c("head")))
-    onto = F.when(c("first"), 0).otherwise(F.expr("int(walls div 2)"))
-    lid = lambda one, two: onto + F.when(c("first"), c("fan")[c("f") * 3 + one]).otherwise(c("fan")[c("f") * 3 + two])
+    wall = c("from") + F.when(c("k") % 3 == 0, c("i")).when(c("k") == 1, F.when(c("odd"), j + m).otherwise(j)).otherwise(F.when(c("odd"), c("i")).otherwise(j) + m)
+    lid = F.when(c("first"), c("fan")[c("r") * 3 + (3 - c("k")) % 3]).otherwise(F.expr("int(walls div 2)") + c("fan")[c("r") * 3 + c("k") % 3])
     v = v.withColumns({
-        "a": F.when(c("wall"), c("from") + c("i")).otherwise(lid(0, 0)),
-        "b": F.when(c("wall"), c("from") + c("j") + F.when(c("odd"), m).otherwise(0)).otherwise(lid(2, 1)),
-        "c": F.when(c("wall"), c("from") + m + F.when(c("odd"), c("i")).otherwise(c("j"))).otherwise(lid(1, 2)),
-        "patch": F.when(c("wall"), c("base") + c("t")).when(c("first"), c("cap") + c("f")).otherwise(c("tail") + c("f")),
+        "patch": F.when(c("wall"), c("base") + (c("from") + c("i")) * 2 + c("odd").cast("int")).when(c("first"), c("cap") + c("r")).otherwise(c("cap") + F.when(F.lit(start), c("lid")).otherwise(0) + c("r")),
+        "corner": F.when(c("wall"), wall).otherwise(lid) * 3,
+        "of": F.when(c("wall"), c("from") * 2 + c("r")).when(c("first"), 0).otherwise(1) * 3,
     })
-    v = v.select("findex", "patch", *[c("ring")[c(p) * 3 + k].alias(f"{p}{x}") for p in "abc" for k, x in enumerate("xyz")])
-    v = v.select("*", *[(c(f"{p}{x}") - c(f"a{x}")).alias(f"{to}{x}") for p, to in (("b", "e"), ("c", "f")) for x in "xyz"])
-    v = v.select("*", *[(c(f"e{y}") * c(f"f{z}") - c(f"e{z}") * c(f"f{y}")).alias(f"n{x}") for x, y, z in ("xyz", "yzx", "zxy")])
-    norm = F.sqrt(c("nx") * c("nx") + c("ny") * c("ny") + c("nz") * c("nz"))
-    v = v.withColumn("norm", norm).withColumn("norm", F.when(c("norm") == 0, 1.0).otherwise(c("norm")))
-    v = v.withColumns({f"n{x}": c(f"n{x}") / c("norm") for x in "xyz"}).withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
-    corner = lambda x: F.when(c("k") == 1, c(f"b{x}")).when(c("k") == 2, c(f"c{x}")).otherwise(c(f"a{x}")).alias(x)
-    return v.select("findex", "patch", "k", *[corner(x) for x in "xyz"], "nx", "ny", "nz")
+    normals = [F.when(c("wall"), c("normal")[c("of") + k]).otherwise(c("flat")[c("of") + k]).alias(f"n{x}") for k, x in enumerate("xyz")]
+    return v.select("findex", "patch", "k", *[c("ring")[c("corner") + k].alias(x) for k, x in enumerate("xyz")], *normals)
 
 
 def box_solids(vertices: DataFrame, sizes: DataFrame, start: bool = True, end: bool = True) -> DataFrame:

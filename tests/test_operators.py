@@ -215,6 +215,25 @@ def test_box_solids_by_pieces(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # of vertices and of sizes
 
 
+def test_solids_as_files(spark, tmp_path):
+    """Files of solids hold what repeats in few bytes (cylinders, one triangle after the other, take 17.6 a row); each triangle has its own normal, and a cap one alone."""
+    rng = np.random.default_rng(5)
+    count = [*rng.integers(2, 8, 400).tolist(), 1100]
+    v = line(spark, *[(i, k, *q) for i, n in enumerate(count) for k, q in enumerate((rng.random((n, 3)) * 100).tolist())])
+    size = v.select("findex").distinct().withColumns({"radius": F.lit(0.2), "width": F.lit(0.4), "depth": F.lit(0.2)})
+    for name, tri, m, most in (("cylinder", solids.cylinder_solids(v, size.select("findex", "radius"), 8), 8, 12.5), ("box", solids.box_solids(v, size.select("findex", "width", "depth")), 4, 14.5)):
+        tri.write.options(**{"compression": "snappy", "parquet.enable.dictionary": "false"}).parquet(str(tmp_path / name))
+        rows = spark.read.parquet(str(tmp_path / name)).toPandas()
+        assert len(rows) == 4 * sum((n - 1) * 2 * m + 2 * (m - 2) for n in count)
+        assert sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")) / len(rows) < most
+        rows = rows.sort_values(["findex", "patch", "k"])
+        p, normal = (rows[c].to_numpy().reshape(-1, 4, 3) for c in (["x", "y", "z"], ["nx", "ny", "nz"]))
+        want = np.cross(p[:, 1] - p[:, 0], p[:, 2] - p[:, 0])
+        assert np.allclose(normal, (want / np.linalg.norm(want, axis=1)[:, None])[:, None], rtol=0, atol=1e-9)
+        caps = rows[rows["patch"] >= (rows["findex"].astype(int).map(dict(enumerate(count))) - 1) * 2 * m]
+        assert len(caps[["findex", "nx", "ny", "nz"]].drop_duplicates()) == 2 * len(count)
+
+
 def test_bottom_polygons_of_many_lines(spark):
     v = line(spark, (1, 1, 0, 0, 1), (1, 2, 4, 0, 2), (1, 3, 4, 0, 3), (1, 4, 4, 4, 4), (2, 0, 0, 0, 0), (3, 0, 1, 1, 0), (3, 1, 1, 1, 5), (4, 0, 0, 0, 0), (4, 1, 2, 0, 1), (4, 2, 5, 0, 2))
     sized = lambda v: v.select("findex").distinct().withColumn("width", F.lit(1.0))
